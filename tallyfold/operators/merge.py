@@ -4,12 +4,11 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyfold.functions.logic import first_match, in_list, to_number
 from tallyfold.operators.matrix import check_unique_cells, spine
-from tallyfold.operators.rows import group_size
 
 FACT_COLS = ["ubigeo", "name", "fecha", "modal", "value"]
 
@@ -51,15 +50,25 @@ def drop_placeholders(df: DataFrame, keys: list[str], value: str = "value",
                       modal: str = "modal", token: str = "-") -> DataFrame:
     """Placeholder precedence inside groups of more than one row (X11).
 
-    First drop rows whose value is the placeholder, recount, then drop rows
-    whose mode is the placeholder; finally drop the mode and de-duplicate.
-    A group made only of placeholders vanishes (the reference's rule).
+    Rule: count the group's rows; in groups of more than one drop rows whose
+    value is the placeholder; recount; in groups still larger than one drop
+    rows whose mode is the placeholder; drop the mode and de-duplicate.  A
+    group made only of placeholders vanishes (the reference's rule).
+
+    Plan: rows are first reduced to distinct (keys, value, mode) with their
+    multiplicity — a partial map-side aggregate, so a group holding a large
+    share of all rows ships a handful of rows — and both counts are window
+    sums over that small table.
     """
-    a = group_size(df, keys, "_reps")
-    a = a.where((F.col("_reps") == 1) | F.coalesce(F.col(value) != token, F.lit(False)))
-    b = group_size(a.drop("_reps"), keys, "_reps")
-    b = b.where((F.col("_reps") == 1) | F.coalesce(F.col(modal) != token, F.lit(False)))
-    return b.drop("_reps", modal).distinct()
+    by = Window.partitionBy(*keys)
+    not_value_token = F.coalesce(F.col(value) != token, F.lit(False))
+    not_modal_token = F.coalesce(F.col(modal) != token, F.lit(False))
+    dist = df.groupBy(*keys, value, modal).agg(F.count(F.lit(1)).alias("_m"))
+    dist = dist.withColumn("_n1", F.sum("_m").over(by))
+    first = dist.where((F.col("_n1") == 1) | not_value_token)
+    first = first.withColumn("_n2", F.sum("_m").over(by))
+    second = first.where((F.col("_n2") == 1) | not_modal_token)
+    return second.select(*keys, value).distinct()
 
 
 def dense_indicator_matrix(entities: DataFrame, facts: DataFrame, entity: str,

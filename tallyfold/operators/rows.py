@@ -38,25 +38,26 @@ def number_rows(df: DataFrame, order_by: str, tie_break: str, out: str = "n_row"
     partitions), sorted inside each partition and checkpointed to the
     shared checkpoint folder; the number is then the count of all earlier
     partitions plus the position inside the partition.  The checkpoint
-    fixes the partitioning, so the counting pass and the numbering pass see
-    the same partitions, and it is the durable copy the row numbers need
-    anyway (they are a key across a human review pause).  The offset table
-    has one row per partition and is broadcast.
+    fixes the partitioning, so the counting pass and the numbering see the
+    same partitions, and it is the durable copy the row numbers need anyway
+    (they are a key across a human review pause).  Only one count per
+    partition reaches the driver; the offsets go back as a literal array.
     """
     spark = df.sparkSession
     checkpoint_dir(spark)
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = [F.col(order_by).asc_nulls_last(), F.col(tie_break).asc()]
     ranged = df.repartitionByRange(n, *keys).sortWithinPartitions(*keys).checkpoint(eager=True)
-    tagged = (ranged.withColumn("_pid", F.spark_partition_id())
-                    .withColumn("_pos", F.monotonically_increasing_id()
-                                - F.shiftleft(F.spark_partition_id().cast("long"), 33)))
-    sizes = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-    return (tagged.join(F.broadcast(offsets), "_pid")
-                  .withColumn(out, F.col("_off") + F.col("_pos") + 1)
-                  .drop("_pid", "_pos", "_off"))
+    pid = F.spark_partition_id()
+    sizes = dict(ranged.groupBy(pid.alias("p")).count().collect())
+    n_parts = ranged.rdd.getNumPartitions()
+    offsets, total = [], 0
+    for p in range(n_parts):
+        offsets.append(total)
+        total += sizes.get(p, 0)
+    pos = F.monotonically_increasing_id() - F.shiftleft(pid.cast("long"), 33)
+    offset = F.element_at(F.array(*[F.lit(o).cast("long") for o in offsets]), pid + 1)
+    return ranged.withColumn(out, offset + pos + 1)
 
 
 def keep_first(df: DataFrame, keys: list[str], order_col: str) -> DataFrame:
@@ -91,3 +92,17 @@ def group_size(df: DataFrame, keys: list[str], out: str = "reps") -> DataFrame:
     sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_size"))
     joined = _join_back(df.drop(out), sizes, keys)
     return joined.withColumnRenamed("_size", out)
+
+
+def first_row_values(df: DataFrame, keys: list[str], order_col: str,
+                     values: list[str]) -> DataFrame:
+    """One row per group: ``values`` of the row with the smallest ``order_col``.
+
+    A single aggregate (``min`` of a struct led by the order column), so it
+    partially aggregates map-side and never joins back to the rows.  Use it
+    when ``order_col`` is unique inside each group; :func:`keep_first`
+    keeps ties.
+    """
+    first = F.min(F.struct(order_col, *values)).alias("_first")
+    return df.groupBy(*keys).agg(first).select(
+        *keys, *[F.col(f"_first.{v}").alias(v) for v in values])

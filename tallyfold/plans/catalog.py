@@ -96,7 +96,7 @@ def q_distinct_text(spark, sf):
 
 def q_keep_first(spark, sf):
     tidy, dec = _decisions(spark, sf)
-    return jobs.at_local(jobs.enriched_local(tidy, dec))
+    return jobs.at_local(tidy, dec)
 
 
 def q_decisions_accept(spark, sf):
@@ -119,7 +119,7 @@ def q_lookup_to_long(spark, sf):
 def _fanned(spark, sf):
     tidy, dec = _decisions(spark, sf)
     places = S.official_places(spark, sf)
-    return jobs.fanned_facts(jobs.at_local(jobs.enriched_local(tidy, dec)),
+    return jobs.fanned_facts(jobs.at_local(tidy, dec),
                              jobs.attendance_long(S.attendance(spark, sf)),
                              jobs.legacy_long(places, S.legacy_wide(spark, sf)))
 

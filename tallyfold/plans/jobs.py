@@ -12,7 +12,7 @@ runs on the stand-in tables (plans/standins.py) and on real inputs.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyfold.functions.dates import month_bounds, month_key
@@ -22,7 +22,7 @@ from tallyfold.operators.matrix import dense_count_matrix, spine
 from tallyfold.operators.merge import (dense_indicator_matrix, drop_placeholders,
                                        indicator_fanout, lookup_to_long, union_facts)
 from tallyfold.operators.review import accepted_codes
-from tallyfold.operators.rows import attach_joined_distinct, keep_first
+from tallyfold.operators.rows import attach_joined_distinct
 from tallyfold.plans import params as P
 
 
@@ -55,20 +55,40 @@ def regional_matrix(tidy: DataFrame, places: DataFrame) -> DataFrame:
 
 
 # local -----------------------------------------------------------------------
-def enriched_local(tidy: DataFrame, decisions: DataFrame) -> DataFrame:
-    """Accepted (code, row) pairs with the row's class, month, type, mode text and unit."""
+def _accepted_with_rows(tidy: DataFrame, decisions: DataFrame) -> DataFrame:
+    """Accepted (code, row) pairs with the row's class, month, type, mode and unit."""
     acc = accepted_codes(decisions)
     right = tidy.where(F.col("event_date") >= F.lit(P.LOCAL_START)).select(
         "n_row", F.col("category").alias("name"), month_key("event_date").alias("fecha"),
         if_else(F.col("responsible") == P.COORDINATION, "CE", "PPSS").alias("type"),
         F.col("mode").alias("modal"), F.col("responsible").alias("value"))
-    joined = acc.join(right, "n_row", "left")
-    return attach_joined_distinct(joined, ["ubigeo", "fecha"], "modal", "modal")
+    return acc.join(right, "n_row", "left")
 
 
-def at_local(enriched: DataFrame) -> DataFrame:
-    first = keep_first(enriched, ["ubigeo", "name", "type", "fecha"], "n_row")
-    return first.select("ubigeo", "name", "fecha", "modal", "value")
+def enriched_local(tidy: DataFrame, decisions: DataFrame) -> DataFrame:
+    """Every accepted row with its place-month's joined distinct mode text."""
+    return attach_joined_distinct(_accepted_with_rows(tidy, decisions),
+                                  ["ubigeo", "fecha"], "modal", "modal")
+
+
+def at_local(tidy: DataFrame, decisions: DataFrame) -> DataFrame:
+    """First accepted row per (place, class, type, month) with the mode text.
+
+    One aggregate per (place, month, class, type) group keeps the first
+    row's unit and the group's distinct modes; the place-month mode text is
+    then a window over those group rows (a few per place-month), so no pass
+    goes back to the submission rows.  A row number is unique within a
+    place, so the first row of a group is unique too.
+    """
+    rows = _accepted_with_rows(tidy, decisions)
+    groups = rows.groupBy("ubigeo", "fecha", "name", "type").agg(
+        F.min(F.struct("n_row", "value")).alias("_first"),
+        F.collect_set("modal").alias("_modes"))
+    per_month = Window.partitionBy("ubigeo", "fecha")
+    text = F.concat_ws(" y ", F.array_sort(F.array_distinct(
+        F.flatten(F.collect_list("_modes").over(per_month)))))
+    return groups.select("ubigeo", "name", "fecha", text.alias("modal"),
+                         F.col("_first.value").alias("value"))
 
 
 def attendance_long(att: DataFrame) -> DataFrame:
