@@ -46,9 +46,25 @@ def jaro_distance_py(a: str | None, b: str | None) -> float | None:
     return 1.0 - jaro_similarity(a, b)
 
 
+# Per-worker memo: a distance is computed once per distinct text pair even
+# when many rows carry the same pair.  Bounded, cleared when full.
+_MEMO: dict[tuple[str, str], float] = {}
+_MEMO_MAX = 500_000
+
+
+def _memo_distance(a: str, b: str) -> float:
+    key = (a, b)
+    d = _MEMO.get(key)
+    if d is None:
+        if len(_MEMO) >= _MEMO_MAX:
+            _MEMO.clear()
+        d = _MEMO[key] = 1.0 - jaro_similarity(a, b)
+    return d
+
+
 @F.pandas_udf(T.DoubleType())
 def _jaro_distance_udf(a: pd.Series, b: pd.Series) -> pd.Series:
-    out = [None if (x is None or y is None) else 1.0 - jaro_similarity(x, y)
+    out = [None if (x is None or y is None) else _memo_distance(x, y)
            for x, y in zip(a.tolist(), b.tolist())]
     return pd.Series(out, dtype="float64")
 

@@ -34,6 +34,7 @@ from pyspark.sql import functions as F
 
 from tallyfold.functions.jaro import jaro_distance, jaro_similarity
 from tallyfold.functions.logic import if_else
+from tallyfold.session import checkpoint_dir
 
 DEFAULT_LEVELS = ("department", "province", "district")
 
@@ -130,10 +131,18 @@ def _survives(m: Column, d: Column, below: Column, k: Column, cap: int) -> Colum
     return ((m == 0) & (d == 0)) | ((m > 0) & (F.lit(1) + k * below <= cap))
 
 
-def _pair_distances(pairs: DataFrame, a: str, b: str, out: str) -> DataFrame:
-    """Distance once per distinct lower-cased text pair."""
-    return (pairs.select(F.lower(a).alias("_a"), F.lower(b).alias("_b")).distinct()
-                 .withColumn(out, jaro_distance("_a", "_b")))
+def _pair_distances(pairs: DataFrame, typed: str, official: str, out: str) -> DataFrame:
+    """Case-insensitive distance once per distinct (typed, official) text pair."""
+    return (pairs.select(typed, official).distinct()
+                 .withColumn(out, jaro_distance(F.lower(typed), F.lower(official))))
+
+
+def _cut(df: DataFrame) -> DataFrame:
+    """Checkpoint a level's survivors to the shared folder: later levels read
+    them without recomputing earlier levels, and a lost executor does not
+    send the job back to the first level."""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
 
 
 def fuzzy_cascade(records: DataFrame, gazetteer: DataFrame, row_id: str = "n_row",
@@ -166,12 +175,11 @@ def fuzzy_cascade(records: DataFrame, gazetteer: DataFrame, row_id: str = "n_row
                  .select(*tkey, "_k", F.col("g").alias("_g1"), F.col("d").alias("_d1")))
 
     # level 2: survivors × official (l1, l2) pairs below them
-    g2 = gaz.groupBy(l1, l2).agg(F.count(F.lit(1)).alias("_w2"))
-    x2 = s1.join(g2, s1["_g1"] == g2[l1]).select(*tkey, "_k", "_g1", "_d1",
-                                                  F.col(l2).alias("_g2"), "_w2")
-    d2 = _pair_distances(x2, "_t2", "_g2", "_d2")
-    x2 = (x2.join(d2, (F.lower(x2["_t2"]) == d2["_a"]) & (F.lower(x2["_g2"]) == d2["_b"]))
-            .drop("_a", "_b"))
+    s1 = _cut(s1)
+    g2 = gaz.groupBy(l1, l2).agg(F.count(F.lit(1)).alias("_w2")).select(
+        F.col(l1).alias("_g1"), F.col(l2).alias("_g2"), "_w2")
+    d2 = _pair_distances(s1.select("_t2", "_g1").distinct().join(g2, "_g1"), "_t2", "_g2", "_d2")
+    x2 = s1.join(g2, "_g1").join(d2, ["_t2", "_g2"])
     per_t = Window.partitionBy(*tkey)
     s2 = (x2.withColumn("_m2", F.min("_d2").over(per_t))
             .withColumn("_b2", _strictly_below(tkey, "_d2", "_w2"))
@@ -179,11 +187,11 @@ def fuzzy_cascade(records: DataFrame, gazetteer: DataFrame, row_id: str = "n_row
             .select(*tkey, "_g1", "_d1", "_g2", "_d2"))
 
     # level 3: survivors × official rows; best combined score, ties kept
-    x3 = s2.join(gaz, (s2["_g1"] == gaz[l1]) & (s2["_g2"] == gaz[l2])).select(
-        *tkey, "_g1", "_d1", "_g2", "_d2", code, F.col(l3).alias("_g3"))
-    d3 = _pair_distances(x3, "_t3", "_g3", "_d3")
-    x3 = (x3.join(d3, (F.lower(x3["_t3"]) == d3["_a"]) & (F.lower(x3["_g3"]) == d3["_b"]))
-            .drop("_a", "_b")
+    s2 = _cut(s2)
+    g3 = gaz.select(code, F.col(l1).alias("_g1"), F.col(l2).alias("_g2"), F.col(l3).alias("_g3"))
+    d3 = _pair_distances(s2.select("_t3", "_g1", "_g2").distinct().join(g3, ["_g1", "_g2"]),
+                         "_t3", "_g3", "_d3")
+    x3 = (s2.join(g3, ["_g1", "_g2"]).join(d3, ["_t3", "_g3"])
             .withColumn("_score", (F.col("_d2") + 1) * (F.col("_d3") + 1) + F.col("_d3")))
     best = x3.withColumn("_best", F.min("_score").over(per_t)).where(F.col("_score") == F.col("_best"))
 
