@@ -88,7 +88,12 @@ def exclusions(spark: SparkSession, sf: str, numbered: DataFrame | None = None)
 def clean_submissions(spark: SparkSession, sf: str) -> DataFrame:
     """Number, fold, keep rows not excluded, with a department, matching the pattern."""
     numbered = numbered_submissions(spark, sf)
-    kept = exclude_rows(numbered, exclusions(spark, sf, numbered), "n_row")
+    return clean_submissions_from(exclude_rows(numbered, exclusions(spark, sf, numbered), "n_row"))
+
+
+def clean_submissions_from(kept: DataFrame) -> DataFrame:
+    """Fold texts, take the day of the event, keep rows with a department and
+    an intervention matching the pattern."""
     out = kept.select(
         "n_row", "submission_id",
         fold_text("department").alias("department"),
