@@ -83,7 +83,7 @@ def _block_candidates(cap: int):
 
 def nearest_candidates(queries: DataFrame, qcol: str, refs: DataFrame, rcol: str,
                        wcol: str, cap: int, block_size: int = 2048,
-                       broadcast_rows: int = 200_000) -> DataFrame:
+                       broadcast_rows: int = 200_000, salts: int = 64) -> DataFrame:
     """Nearest official texts for each distinct typed text (Jaro, case-insensitive).
 
     Returns ``(q, g, d, below, m)``: candidate ``g`` of typed text ``q`` at
@@ -94,7 +94,8 @@ def nearest_candidates(queries: DataFrame, qcol: str, refs: DataFrame, rcol: str
     The official texts are grouped into blocks of about ``block_size``; each
     typed text meets each block once.  The block table is broadcast only when
     the official list has at most ``broadcast_rows`` texts (checked here);
-    above that the join shuffles on the block id, salted by the typed text.
+    above that the join shuffles on (block id, salt), the salt taken from
+    the typed text and each block copied once per salt value.
     """
     q = queries.select(F.col(qcol).alias("_q")).where(F.col("_q").isNotNull()).distinct()
     r = refs.select(F.col(rcol).alias("_g"), F.col(wcol).cast("long").alias("_w"))
@@ -114,7 +115,12 @@ def nearest_candidates(queries: DataFrame, qcol: str, refs: DataFrame, rcol: str
     if n_ref <= broadcast_rows:
         pairs = qb.join(F.broadcast(blocks), "_blk")
     else:
-        pairs = qb.join(blocks, "_blk")
+        # every typed text meets every block, so a block id alone would be a
+        # hot key; a salt from the typed text spreads each block over tasks
+        salt = F.pmod(F.xxhash64("_q"), F.lit(salts))
+        blocks = blocks.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"),
+                                                                 F.lit(salts - 1).cast("long"))))
+        pairs = qb.withColumn("_salt", salt).join(blocks, ["_blk", "_salt"])
     found = pairs.select("_q", "_qkey", "_vals", "_keys", "_ws").mapInPandas(
         _block_candidates(cap), "_q string, _g string, _d double, _w long, _next double")
     found = found.withColumn("_next", F.when(~F.isnan("_next"), F.col("_next")))

@@ -86,10 +86,11 @@ def dense_indicator_matrix(entities: DataFrame, facts: DataFrame, entity: str,
     grid = spine(entities, [("fecha", months), ("name", names)])
     joined = grid.join(cells, [entity, "fecha", "name"], "left")
     filled = joined.withColumn(
-        "value", F.when(~in_list("name", [n for n in names if n not in zero_names])
-                        & F.col("value").isNull(), F.lit("0")).otherwise(F.col("value")))
+        "value", F.when(in_list("name", zero_names) & F.col("value").isNull(), F.lit("0"))
+                  .otherwise(F.col("value")))
+    # month-major, as the spine is crossed month then name
     col_names = [f"{n}_{m}" for m in months for n in names]
-    order = [f"{n}_{m}" for n in names for m in months]
+    order = col_names
     wide = (filled.withColumn("_cell", F.concat_ws("_", "name", "fecha"))
                   .groupBy(*ids).pivot("_cell", col_names).agg(F.first("value")))
     out = []

@@ -41,7 +41,8 @@ def number_rows(df: DataFrame, order_by: str, tie_break: str, out: str = "n_row"
     fixes the partitioning, so the counting pass and the numbering see the
     same partitions, and it is the durable copy the row numbers need anyway
     (they are a key across a human review pause).  Only one count per
-    partition reaches the driver; the offsets go back as a literal array.
+    partition reaches the driver; the offsets go back as a broadcast table
+    with one row per partition.
     """
     spark = df.sparkSession
     checkpoint_dir(spark)
@@ -50,14 +51,17 @@ def number_rows(df: DataFrame, order_by: str, tie_break: str, out: str = "n_row"
     ranged = df.repartitionByRange(n, *keys).sortWithinPartitions(*keys).checkpoint(eager=True)
     pid = F.spark_partition_id()
     sizes = dict(ranged.groupBy(pid.alias("p")).count().collect())
-    n_parts = ranged.rdd.getNumPartitions()
     offsets, total = [], 0
-    for p in range(n_parts):
-        offsets.append(total)
+    for p in range(ranged.rdd.getNumPartitions()):
+        offsets.append((p, total))
         total += sizes.get(p, 0)
+    # one row per partition: a bounded table, broadcast by design
+    table = spark.createDataFrame(offsets, "_pid int, _off long")
     pos = F.monotonically_increasing_id() - F.shiftleft(pid.cast("long"), 33)
-    offset = F.element_at(F.array(*[F.lit(o).cast("long") for o in offsets]), pid + 1)
-    return ranged.withColumn(out, offset + pos + 1)
+    tagged = ranged.withColumn("_pid", pid).withColumn("_pos", pos)
+    return (tagged.join(F.broadcast(table), "_pid")
+                  .withColumn(out, F.col("_off") + F.col("_pos") + 1)
+                  .drop("_pid", "_pos", "_off"))
 
 
 def keep_first(df: DataFrame, keys: list[str], order_col: str) -> DataFrame:

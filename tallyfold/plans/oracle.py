@@ -237,7 +237,7 @@ _TIDY_COLS = ("n_row, submission_id, department, province, district, "
               "strftime(event_date, '%Y-%m-%d') AS event_date, responsible, mode, "
               "intervention, recipient, category")
 _REG_NAMES = [f"{c}_{m}" for m in P.MONTHS for c in P.REGIONAL_CLASSES]
-_LOCAL_COLS = [f"{n}_{m}" for n in P.LOCAL_NAMES for m in P.MONTHS]
+_LOCAL_COLS = [f"{n}_{m}" for m in P.MONTHS for n in P.LOCAL_NAMES]
 
 
 def _local_col(c: str) -> str:

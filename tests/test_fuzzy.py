@@ -128,3 +128,14 @@ def test_plan_has_no_cartesian_product(spark):
     out = fuzzy_cascade(recs, spark.createDataFrame(gaz, GAZ_SCHEMA))
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
+
+
+def test_shuffled_block_join_equals_broadcast(spark):
+    from pyspark.sql import functions as F
+    from tallyfold.operators.fuzzy import nearest_candidates
+    q = spark.createDataFrame([("lima",), ("limon",), ("pun",), ("cusko",)], "t string")
+    refs = spark.createDataFrame([("lima", 2), ("limo", 1), ("puno", 3), ("cusco", 1), ("ica", 1)],
+                                 "v string, w long")
+    small = nearest_candidates(q, "t", refs, "v", "w", 3, block_size=2)
+    salted = nearest_candidates(q, "t", refs, "v", "w", 3, block_size=2, broadcast_rows=0, salts=3)
+    assert rows(small) == rows(salted) and small.count() > 0
