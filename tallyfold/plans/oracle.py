@@ -223,6 +223,27 @@ CTE["c2"] = f"SELECT *, rank() OVER ({_T} ORDER BY d2) AS rk2 FROM a2 WHERE m2 >
 CTE["c3"] = (f"SELECT *, rank() OVER ({_T} ORDER BY (d2 + 1) * (d3 + 1) + d3) AS rk3 "
              f"FROM c2 WHERE rk2 <= {P.MATCH_CAPS[1]}")
 
+CTE["lplaces"] = f"""
+  SELECT ubigeo,
+         CASE WHEN substr(ubigeo, 1, {len(P.SPECIAL_PREFIX)}) = '{P.SPECIAL_PREFIX}'
+              THEN '{P.SPECIAL_LABEL}' ELSE department END AS department,
+         province, district
+  FROM places"""
+CTE["lpairs"] = """
+  SELECT g.ubigeo, g.department AS gd, g.province AS gp, g.district AS gdi,
+         r.department AS sd, r.province AS sp, r.district AS sdi, r.n_row,
+         1 - jaro_similarity(lower(g.department), lower(r.department)) AS d1,
+         1 - jaro_similarity(lower(g.province), lower(r.province)) AS d2,
+         1 - jaro_similarity(lower(g.district), lower(r.district)) AS d3
+  FROM lplaces g CROSS JOIN local_rows r
+  WHERE r.department IS NOT NULL AND r.province IS NOT NULL AND r.district IS NOT NULL"""
+CTE["la1"] = f"SELECT *, min(d1) OVER ({_T}) AS m1 FROM lpairs"
+CTE["lc1"] = f"SELECT *, rank() OVER ({_T} ORDER BY d1) AS rk1 FROM la1 WHERE m1 > 0 OR d1 = m1"
+CTE["la2"] = f"SELECT *, min(d2) OVER ({_T}) AS m2 FROM lc1 WHERE rk1 <= {P.MATCH_CAPS[0]}"
+CTE["lc2"] = f"SELECT *, rank() OVER ({_T} ORDER BY d2) AS rk2 FROM la2 WHERE m2 > 0 OR d2 = m2"
+CTE["lc3"] = (f"SELECT *, rank() OVER ({_T} ORDER BY (d2 + 1) * (d3 + 1) + d3) AS rk3 "
+              f"FROM lc2 WHERE rk2 <= {P.MATCH_CAPS[1]}")
+
 _ORDER = list(CTE)
 
 
@@ -320,6 +341,12 @@ SQL: dict[str, str] = {
                round(d1, 6) AS dist_department, round(d2, 6) AS dist_province,
                round(d3, 6) AS dist_district, round(d1 + d2 + d3, 6) AS dist
         FROM c3 WHERE rk3 = 1""",
+    "q_candidates": with_ctes("lc3") + """
+        SELECT ubigeo, gd AS gaz_department, gp AS gaz_province, gdi AS gaz_district,
+               sd AS sub_department, sp AS sub_province, sdi AS sub_district, n_row,
+               round(d1, 6) AS dist_department, round(d2, 6) AS dist_province,
+               round(d3, 6) AS dist_district, round(d1 + d2 + d3, 6) AS dist
+        FROM lc3 WHERE rk3 = 1""",
     "q_fuzzy_no_candidate": with_ctes("recs") + """
         SELECT n_row, department, province, district FROM recs
         WHERE department IS NULL OR province IS NULL OR district IS NULL""",

@@ -44,11 +44,13 @@ def build_session(master: str | None = None, app: str = "tallyfold",
 def checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    The cluster names a shared folder there; only when it is unset (local
-    tests) a fresh scratch folder is made and registered.
+    A cluster must name a shared folder there.  Only a local session (tests)
+    without the setting gets a fresh scratch folder of its own.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
         path = tempfile.mkdtemp(prefix="tallyfold-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
     sc = spark.sparkContext
