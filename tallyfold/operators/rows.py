@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+import uuid
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -29,39 +32,40 @@ def _join_back(df: DataFrame, per_group: DataFrame, keys: list[str],
 
 
 def number_rows(df: DataFrame, order_by: str, tie_break: str, out: str = "n_row",
-                num_partitions: int | None = None) -> DataFrame:
+                num_partitions: int | None = None, path: str | None = None) -> DataFrame:
     """Global 1..n row number in (``order_by`` nulls last, ``tie_break``) order.
 
     A plain ``row_number().over(Window.orderBy(...))`` moves every row into
     one partition.  Instead the rows are range-partitioned on the sort key
     (the unique tie-break splits even a single hot timestamp across
-    partitions), sorted inside each partition and checkpointed to the
-    shared checkpoint folder; the number is then the count of all earlier
-    partitions plus the position inside the partition.  The checkpoint
-    fixes the partitioning, so the counting pass and the numbering see the
-    same partitions, and it is the durable copy the row numbers need anyway
-    (they are a key across a human review pause).  Only one count per
-    partition reaches the driver; the offsets go back as a broadcast table
-    with one row per partition.
+    partitions), sorted inside each partition and written as Parquet to
+    ``path`` (default: a new folder under the shared checkpoint folder) —
+    one file per range, in range order.  Read back, a row's number is the
+    row count of all earlier files plus its index inside its file
+    (``_metadata.row_index``).  Only one count per file reaches the driver;
+    the offsets return as a broadcast table with one row per file.
+
+    The written table is the durable copy row numbers need anyway (they are
+    a key across a human review pause), it cuts the lineage, and the numbers
+    depend only on the total order, not on where range boundaries fell.
     """
     spark = df.sparkSession
-    checkpoint_dir(spark)
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    path = path or os.path.join(checkpoint_dir(spark), f"numbered-{uuid.uuid4().hex}")
     keys = [F.col(order_by).asc_nulls_last(), F.col(tie_break).asc()]
-    ranged = df.repartitionByRange(n, *keys).sortWithinPartitions(*keys).checkpoint(eager=True)
-    pid = F.spark_partition_id()
-    sizes = dict(ranged.groupBy(pid.alias("p")).count().collect())
+    (df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+       .write.mode("overwrite").parquet(path))
+    back = spark.read.schema(df.schema).parquet(path).select(
+        "*", F.col("_metadata.file_name").alias("_file"),
+        F.col("_metadata.row_index").alias("_pos"))
     offsets, total = [], 0
-    for p in range(ranged.rdd.getNumPartitions()):
-        offsets.append((p, total))
-        total += sizes.get(p, 0)
-    # one row per partition: a bounded table, broadcast by design
-    table = spark.createDataFrame(offsets, "_pid int, _off long")
-    pos = F.monotonically_increasing_id() - F.shiftleft(pid.cast("long"), 33)
-    tagged = ranged.withColumn("_pid", pid).withColumn("_pos", pos)
-    return (tagged.join(F.broadcast(table), "_pid")
-                  .withColumn(out, F.col("_off") + F.col("_pos") + 1)
-                  .drop("_pid", "_pos", "_off"))
+    for file_name, rows_in_file in sorted(back.groupBy("_file").count().collect()):
+        offsets.append((file_name, total))
+        total += rows_in_file
+    table = spark.createDataFrame(offsets, "_file string, _off long")
+    return (back.join(F.broadcast(table), "_file")
+                .withColumn(out, F.col("_off") + F.col("_pos") + 1)
+                .drop("_file", "_pos", "_off"))
 
 
 def keep_first(df: DataFrame, keys: list[str], order_col: str) -> DataFrame:
