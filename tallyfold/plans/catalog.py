@@ -186,11 +186,7 @@ def q_fuzzy_cascade(spark, sf):
 
 def q_candidates(spark, sf):
     """The regional job's matcher call: local submissions against the official list."""
-    local = S.local_submissions(_tidy(spark, sf)).select("n_row", "department", "province",
-                                                        "district")
-    places = fuzzy.relabel_by_prefix(S.official_places(spark, sf), "ubigeo", P.SPECIAL_PREFIX,
-                                     "department", P.SPECIAL_LABEL)
-    return _round_dists(fuzzy.fuzzy_cascade(local, places, caps=P.MATCH_CAPS))
+    return _round_dists(jobs.match_candidates(_tidy(spark, sf), S.official_places(spark, sf)))
 
 
 def q_fuzzy_no_candidate(spark, sf):

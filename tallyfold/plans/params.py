@@ -1,37 +1,25 @@
-"""Job parameters.
+"""Stand-in parameters as module constants (used by the DuckDB oracle text).
 
-The stand-in values describe how the driver's TPC-H-like tables play the
-roles of the workflow's inputs (see plans/standins.py).  Labels and lists
-are plain parameters of the operators, not hard-wired in them.
+The values come from ``rules.STANDIN``; jobs take a :class:`rules.Rules`.
 """
 
-import datetime as dt
-
-# Month keys of the matrices, in column order (MMYYYY; text order is not time order).
-MONTHS = ["051996", "061996", "071996", "081996", "091996", "101996", "111996"]
-YEAR = "1996"
-LOCAL_START = dt.date(1996, 8, 1)
-
-REGIONAL_CLASSES = ["AT_ETR", "AT_ETL", "AT_GORE"]
-LOCAL_CLASSES = ["AT_GL", "AT_PPSS"]
-LOCAL_NAMES = ["AT_GL", "AT_PPSS", "CARGO_PPSS", "MODALIDAD"]
-ZERO_FILLED = ["AT_GL", "AT_PPSS"]
-NUMERIC_PREFIXES = ["AT_GL", "AT_PPSS"]
-
-# Labels of the classification rules.
-COORDINATION = "DIRECCION"          # responsible unit after the position rewrite
-COORDINATOR_POSITIONS = ["P"]        # positions whose unit is rewritten to COORDINATION
-PROGRAMMES = ["1-URGENT", "2-HIGH", "3-MEDIUM"]
-INTERVENTION_PATTERN = "URGENT|HIGH|MEDIUM|LOW"
-DEPARTMENT_REWRITE = ("MIDDLE EAST", "MIDEAST")
-
-# Month names of the attendance list and their month numbers (fixed values).
-MONTH_NUMBERS = {"MAYO": "05", "JUNIO": "06", "JULIO": "07", "AGOSTO": "08"}
-
-# Legacy two-month matrix: (month key, mode column).
-LEGACY_MONTHS = [("061996", "mode_june"), ("071996", "mode_july")]
-
-# Matcher: code prefix whose department label is replaced inside the matcher.
-SPECIAL_PREFIX = "15"
-SPECIAL_LABEL = "STANDARD"
-MATCH_CAPS = (3, 2)
+from tallyfold.plans.rules import STANDIN as _R
+
+MONTHS = list(_R.months)
+YEAR = _R.year
+LOCAL_START = _R.local_start
+REGIONAL_CLASSES = list(_R.regional_classes)
+LOCAL_CLASSES = list(_R.local_classes)
+LOCAL_NAMES = list(_R.local_names)
+ZERO_FILLED = list(_R.zero_filled)
+NUMERIC_PREFIXES = list(_R.numeric_prefixes)
+COORDINATION = _R.coordination
+COORDINATOR_POSITIONS = list(_R.coordinator_positions)
+PROGRAMMES = list(_R.class_rules[-1].units)
+INTERVENTION_PATTERN = _R.intervention_pattern
+DEPARTMENT_REWRITE = _R.department_rewrite
+MONTH_NUMBERS = dict(_R.month_numbers)
+LEGACY_MONTHS = list(_R.legacy_months)
+SPECIAL_PREFIX = _R.special_prefix
+SPECIAL_LABEL = _R.special_label
+MATCH_CAPS = _R.match_caps

@@ -28,12 +28,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyfold.functions.dates import month_key, to_day
-from tallyfold.functions.logic import if_else, in_list, matches
-from tallyfold.functions.text import fold_text
-from tallyfold.operators.quality import classify, exclude_rows
+from tallyfold.functions.logic import in_list
+from tallyfold.operators.quality import exclude_rows
 from tallyfold.operators.rows import number_rows
-from tallyfold.plans import params as P
+from tallyfold.plans import jobs
+from tallyfold.plans.rules import STANDIN
 from tallyfold.sources.io import driver_table
 
 
@@ -68,7 +67,7 @@ def raw_submissions(spark: SparkSession, sf: str) -> DataFrame:
 def official_places(spark: SparkSession, sf: str) -> DataFrame:
     """Official place list for the matrices: one row per nation."""
     n, r = _t(spark, sf, "nation"), _t(spark, sf, "region")
-    old, new = P.DEPARTMENT_REWRITE
+    old, new = STANDIN.department_rewrite
     dep = F.when(F.col("r_name") == old, F.lit(new)).otherwise(F.col("r_name"))
     return n.join(r, n.n_regionkey == r.r_regionkey).select(
         code2("n_nationkey").alias("ubigeo"), dep.alias("department"),
@@ -86,68 +85,19 @@ def exclusions(spark: SparkSession, sf: str, numbered: DataFrame | None = None)
 
 
 def clean_submissions(spark: SparkSession, sf: str) -> DataFrame:
-    """Number, fold, keep rows not excluded, with a department, matching the pattern."""
+    """X1 on the stand-in submissions (numbered, exclusions removed)."""
     numbered = numbered_submissions(spark, sf)
-    return clean_submissions_from(exclude_rows(numbered, exclusions(spark, sf, numbered), "n_row"))
-
-
-def clean_submissions_from(kept: DataFrame) -> DataFrame:
-    """Fold texts, take the day of the event, keep rows with a department and
-    an intervention matching the pattern."""
-    out = kept.select(
-        "n_row", "submission_id",
-        fold_text("department").alias("department"),
-        fold_text("province").alias("province"),
-        fold_text("district").alias("district"),
-        to_day("event_date").alias("event_date"),
-        fold_text("responsible").alias("responsible"),
-        F.col("mode"),
-        fold_text("position").alias("position"),
-        F.col("intervention"),
-        F.col("recipient"))
-    return out.where(F.col("department").isNotNull()
-                     & matches("intervention", P.INTERVENTION_PATTERN))
-
-
-def classification_rules():
-    dat = F.col("responsible") == P.COORDINATION
-    rec = F.col("recipient")
-    return [
-        ((rec == "AUTOMOBILE") & dat, "AT_ETR"),
-        ((rec == "BUILDING") & dat, "AT_ETL"),
-        (in_list(rec, ["FURNITURE", "HOUSEHOLD"]) & dat, "AT_GORE"),
-        (in_list(rec, ["MACHINERY", "HOUSEHOLD"]) & dat, "AT_GL"),
-        (in_list(rec, ["MACHINERY", "HOUSEHOLD"]) & in_list("responsible", P.PROGRAMMES), "AT_PPSS"),
-    ]
-
-
-def classification_rewrites():
-    old, new = P.DEPARTMENT_REWRITE
-    return [
-        ("department", F.when(F.col("department") == old, F.lit(new))
-                        .otherwise(F.col("department"))),
-        ("responsible", F.when(in_list("position", P.COORDINATOR_POSITIONS), F.lit(P.COORDINATION))
-                         .otherwise(F.col("responsible"))),
-    ]
+    kept = exclude_rows(numbered, exclusions(spark, sf, numbered), "n_row")
+    return jobs.clean_submissions(kept, STANDIN)
 
 
 def classified_submissions(spark: SparkSession, sf: str) -> DataFrame:
-    """Rewrites in order, then the ordered class rules; drops ``position``."""
-    df = classify(clean_submissions(spark, sf), classification_rules(), "category",
-                  rewrites=classification_rewrites())
-    return df.drop("position")
-
-
-def local_submissions(tidy: DataFrame) -> DataFrame:
-    """Rows sent to the place matcher / reviewer."""
-    return tidy.where((F.col("event_date") >= F.lit(P.LOCAL_START))
-                      & F.col("district").isNotNull() & (F.col("district") != "NA")
-                      & in_list("category", P.LOCAL_CLASSES))
+    return jobs.classified_submissions(clean_submissions(spark, sf), STANDIN)
 
 
 def decisions(spark: SparkSession, sf: str, tidy: DataFrame) -> DataFrame:
     """Reviewer decisions (n_row, ubigeo, decision) for the local rows."""
-    loc = local_submissions(tidy).select("n_row", "submission_id")
+    loc = jobs.local_submissions(tidy, STANDIN).select("n_row", "submission_id")
     o, c, n = _t(spark, sf, "orders"), _t(spark, sf, "customer"), _t(spark, sf, "nation")
     src = (loc.join(o, loc.submission_id == o.o_orderkey)
               .join(c, o.o_custkey == c.c_custkey)

@@ -1,11 +1,12 @@
 """The three jobs end to end, with durable hand-overs.
 
-``regional_job`` → writes the classified rows, the quarantine, the regional
-matrix and the match candidates for review.  A person edits the candidates
-into decisions; ``local_job`` reads the written classified rows and the
-decisions back and writes the rejects and the local matrix.
-``legacy_job`` must run first; it writes the legacy long rows the local
-job merges.  Sorting happens only at the sinks.
+``legacy_job`` runs first and writes the legacy long rows.  ``regional_job``
+numbers, cleans and classifies the submissions, writes the classified rows
+(the hand-over, Q10), the quarantine, the regional matrix and the match
+candidates for review.  A person turns the candidates into decisions;
+``local_job`` reads the classified rows and the decisions back and writes
+the rejects, the undecided rows and the local matrix.  Sorting happens only
+at the sinks.
 """
 
 from __future__ import annotations
@@ -15,30 +16,39 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyfold.operators import fuzzy, quality, review
-from tallyfold.plans import jobs, params as P, standins as S
+from tallyfold.operators import quality, review
+from tallyfold.operators.rows import number_rows
+from tallyfold.plans import jobs
+from tallyfold.plans.rules import STANDIN, Rules
 from tallyfold.sources.io import hand_over, write_table
 
 
-def legacy_job(places: DataFrame, wide: DataFrame, out_dir: str) -> DataFrame:
-    return hand_over(jobs.legacy_long(places, wide), os.path.join(out_dir, "legacy_long"))
+def legacy_job(places: DataFrame, wide: DataFrame, out_dir: str,
+               rules: Rules = STANDIN) -> DataFrame:
+    return hand_over(jobs.legacy_long(places, wide, rules), os.path.join(out_dir, "legacy_long"))
 
 
-def regional_job(numbered: DataFrame, exclusions: DataFrame, places: DataFrame,
-                 matcher_places: DataFrame, out_dir: str) -> dict[str, str]:
-    """Clean → classify → quarantine → reference check → matrix → candidates."""
-    kept = quality.exclude_rows(numbered, exclusions, "n_row")
-    clean = S.clean_submissions_from(kept)
-    classified = quality.classify(clean, S.classification_rules(), "category",
-                                  rewrites=S.classification_rewrites()).drop("position")
+def regional_job(submissions: DataFrame, exclusions: DataFrame | None, places: DataFrame,
+                 out_dir: str, rules: Rules = STANDIN, matcher_places: DataFrame | None = None,
+                 numbered: DataFrame | None = None) -> dict[str, str]:
+    """Number → exclude → clean → classify → quarantine → check → matrix → candidates.
+
+    ``exclusions`` lists row numbers to drop (column ``n_row``).  Pass
+    ``numbered`` when the rows are numbered already.
+    """
+    if numbered is None:
+        numbered = number_rows(submissions, "submitted_at", "submission_id",
+                               path=os.path.join(out_dir, "numbered"))
+    kept = numbered if exclusions is None else quality.exclude_rows(numbered, exclusions, "n_row")
+    classified = jobs.classified_submissions(jobs.clean_submissions(kept, rules), rules)
     classified = hand_over(classified, os.path.join(out_dir, "classified"))
     tidy, quarantine = quality.split_valid(classified, "category")
     write_table(quarantine, os.path.join(out_dir, "quarantine"))
     quality.assert_members(tidy, "department", places, message="department not in the list")
-    write_table(jobs.regional_matrix(tidy, places).orderBy("department"),
+    write_table(jobs.regional_matrix(tidy, places, rules).orderBy("department"),
                 os.path.join(out_dir, "regional_matrix"))
-    local = S.local_submissions(tidy).select("n_row", "department", "province", "district")
-    cands = fuzzy.fuzzy_cascade(local, matcher_places, caps=P.MATCH_CAPS)
+    cands = jobs.match_candidates(tidy, matcher_places if matcher_places is not None else places,
+                                  rules)
     write_table(cands.orderBy("n_row"), os.path.join(out_dir, "candidates"))
     return {k: os.path.join(out_dir, k) for k in
             ("classified", "quarantine", "regional_matrix", "candidates")}
@@ -46,15 +56,15 @@ def regional_job(numbered: DataFrame, exclusions: DataFrame, places: DataFrame,
 
 def local_job(spark: SparkSession, classified_path: str, decisions: DataFrame,
               attendance: DataFrame, legacy_long_path: str, places: DataFrame,
-              out_dir: str) -> dict[str, str]:
-    """Decisions + attendance + legacy rows → rejects and the local matrix."""
+              out_dir: str, rules: Rules = STANDIN) -> dict[str, str]:
+    """Decisions + attendance + legacy rows → rejects, undecided and the local matrix."""
     classified = spark.read.parquet(classified_path)
     tidy = classified.where(F.col("category").isNotNull())
     write_table(review.rejected_rows(tidy, decisions), os.path.join(out_dir, "rejected"))
     write_table(review.undecided(decisions), os.path.join(out_dir, "undecided"))
     facts = jobs.merged_facts(jobs.fanned_facts(
-        jobs.at_local(tidy, decisions), jobs.attendance_long(attendance),
-        spark.read.parquet(legacy_long_path)))
-    write_table(jobs.local_matrix(places, facts).orderBy("ubigeo"),
+        jobs.at_local(tidy, decisions, rules), jobs.attendance_long(attendance, rules),
+        spark.read.parquet(legacy_long_path), rules), rules)
+    write_table(jobs.local_matrix(places, facts, rules).orderBy("ubigeo"),
                 os.path.join(out_dir, "local_matrix"))
     return {k: os.path.join(out_dir, k) for k in ("rejected", "undecided", "local_matrix")}

@@ -26,6 +26,26 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType | None = Non
     return reader.load(path)
 
 
+def read_input(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """Scan an exported input by its extension (csv / json / parquet).
+
+    Columns are matched by name and cast to the declared types; CSV is read
+    without inference (every field text) so a reordered export cannot shift
+    columns.
+    """
+    ext = os.path.splitext(path.rstrip("/"))[1].lower().lstrip(".") or "parquet"
+    if ext == "csv":
+        raw = spark.read.option("header", "true").option("inferSchema", "false").csv(path)
+    elif ext in ("json", "jsonl"):
+        raw = spark.read.schema(schema).json(path)
+    else:
+        raw = spark.read.parquet(path)
+    missing = [f.name for f in schema.fields if f.name not in raw.columns]
+    if missing:
+        raise ValueError(f"{path}: missing columns {missing}")
+    return raw.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+
+
 def driver_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the driver's parquet tables, scanned with its declared schema."""
     return read_table(spark, os.path.join(sf_dir, f"{name}.parquet"),

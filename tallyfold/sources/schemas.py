@@ -30,6 +30,8 @@ LEGACY_WIDE = struct(
 
 DECISIONS = struct(("n_row", L), ("ubigeo", S), ("decision", S))
 
+EXCLUSIONS = struct(("n_row", L),)
+
 # Driver tables (TPC-H-like) ------------------------------------------------
 TABLES = {
     "region": struct(("r_regionkey", I), ("r_name", S)),
