@@ -152,6 +152,10 @@ def q_legacy_long(spark, sf):
     return jobs.legacy_long(S.official_places(spark, sf), S.legacy_wide(spark, sf))
 
 
+def q_legacy_multi_mode(spark, sf):
+    return jobs.legacy_long(S.official_places(spark, sf), S.legacy_wide_multi(spark, sf))
+
+
 def q_unpivot(spark, sf):
     pres = q_presence_max(spark, sf)
     return pres.unpivot(["ubigeo"], ["at_june", "ial_june", "at_july", "ial_july"],

@@ -144,23 +144,27 @@ CTE["legacy_wide"] = """
               WHEN n_regionkey = 4 THEN '1' END AS mode_july,
          CASE WHEN c_acctbal > 2500 THEN 'y' END AS ial_july
   FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey"""
-CTE["lw_keys"] = """
+def _legacy_ctes(wide: str, keys: str, out: str) -> None:
+    """legacy long rows from a wide table: distinct modes per key and month,
+    a single mode repeated to the key's row count."""
+    CTE[keys] = f"""
   SELECT p.ubigeo, coalesce(s.nj, 0) AS nj, coalesce(s.nl, 0) AS nl,
          greatest(greatest(coalesce(s.nj, 0), 1), greatest(coalesce(s.nl, 0), 1)) AS n
   FROM places p LEFT JOIN (
     SELECT ubigeo, count(DISTINCT mode_june) AS nj, count(DISTINCT mode_july) AS nl
-    FROM legacy_wide GROUP BY ubigeo) s ON p.ubigeo = s.ubigeo"""
+    FROM {wide} GROUP BY ubigeo) s ON p.ubigeo = s.ubigeo"""
+    parts = []
+    for month, col, cnt in (("061996", "mode_june", "nj"), ("071996", "mode_july", "nl")):
+        parts.append(f"""
+  SELECT ubigeo, 'AT_PPSS' AS name, '{month}' AS fecha, {_DECODE} AS modal, '-' AS value
+  FROM (SELECT k.ubigeo, j.m, unnest(range(CASE WHEN k.{cnt} = 1 THEN k.n ELSE 1 END)) AS rep
+        FROM {keys} k JOIN (SELECT DISTINCT ubigeo, {col} AS m FROM {wide}
+                             WHERE {col} IS NOT NULL) j ON k.ubigeo = j.ubigeo)""")
+    CTE[out] = "\n  UNION ALL".join(parts)
+
+
 _DECODE = "CASE WHEN m = '1' OR TRY_CAST(m AS DOUBLE) = 1 THEN 'Presencial' ELSE 'Virtual' END"
-CTE["legacy_long"] = f"""
-  SELECT ubigeo, 'AT_PPSS' AS name, '061996' AS fecha, {_DECODE} AS modal, '-' AS value
-  FROM (SELECT k.ubigeo, j.m, unnest(range(CASE WHEN k.nj = 1 THEN k.n ELSE 1 END)) AS rep
-        FROM lw_keys k JOIN (SELECT DISTINCT ubigeo, mode_june AS m FROM legacy_wide
-                             WHERE mode_june IS NOT NULL) j ON k.ubigeo = j.ubigeo)
-  UNION ALL
-  SELECT ubigeo, 'AT_PPSS' AS name, '071996' AS fecha, {_DECODE} AS modal, '-' AS value
-  FROM (SELECT k.ubigeo, j.m, unnest(range(CASE WHEN k.nl = 1 THEN k.n ELSE 1 END)) AS rep
-        FROM lw_keys k JOIN (SELECT DISTINCT ubigeo, mode_july AS m FROM legacy_wide
-                             WHERE mode_july IS NOT NULL) j ON k.ubigeo = j.ubigeo)"""
+_legacy_ctes("legacy_wide", "lw_keys", "legacy_long")
 
 
 def _fan(src: str, cond: str = "TRUE") -> str:
@@ -244,6 +248,15 @@ CTE["lc2"] = f"SELECT *, rank() OVER ({_T} ORDER BY d2) AS rk2 FROM la2 WHERE m2
 CTE["lc3"] = (f"SELECT *, rank() OVER ({_T} ORDER BY (d2 + 1) * (d3 + 1) + d3) AS rk3 "
               f"FROM lc2 WHERE rk2 <= {P.MATCH_CAPS[1]}")
 
+CTE["legacy_wide_multi"] = """
+  SELECT lpad(CAST(c.c_nationkey AS VARCHAR), 2, '0') AS ubigeo,
+         CASE WHEN c_acctbal < 0 THEN NULL
+              WHEN c_mktsegment IN ('BUILDING', 'MACHINERY') THEN '1' ELSE '2' END AS mode_june,
+         CASE WHEN c_acctbal < 0 THEN NULL WHEN n_regionkey IN (1, 3) THEN '2'
+              WHEN n_regionkey = 4 THEN '1' END AS mode_july
+  FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey"""
+_legacy_ctes("legacy_wide_multi", "lwm_keys", "legacy_long_multi")
+
 _ORDER = list(CTE)
 
 
@@ -331,6 +344,7 @@ SQL: dict[str, str] = {
                    FROM customer WHERE c_acctbal > 9500)
         SELECT k.ubigeo, v.segment FROM k LEFT JOIN v ON k.ubigeo = v.ubigeo""",
     "q_legacy_long": with_ctes("legacy_long") + "SELECT * FROM legacy_long",
+    "q_legacy_multi_mode": with_ctes("legacy_long_multi") + "SELECT * FROM legacy_long_multi",
     "q_jaro": with_ctes("recs") + """
         SELECT official, typed, round(1 - jaro_similarity(official, typed), 6) AS dist
         FROM (SELECT DISTINCT lower(p.p_name) AS official, lower(r.district) AS typed

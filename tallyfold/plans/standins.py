@@ -137,6 +137,21 @@ def legacy_wide(spark: SparkSession, sf: str) -> DataFrame:
         F.when(bal > 2500, F.lit("y")).alias("ial_july"))
 
 
+def legacy_wide_multi(spark: SparkSession, sf: str) -> DataFrame:
+    """A legacy matrix with several June modes per nation and at most one July
+    mode, so July's single mode is repeated to the nation's row count (Q7)."""
+    c, n = _t(spark, sf, "customer"), _t(spark, sf, "nation")
+    j = c.join(n, c.c_nationkey == n.n_nationkey)
+    bal, seg, reg = F.col("c_acctbal"), F.col("c_mktsegment"), F.col("n_regionkey")
+    return j.select(
+        code2("c_nationkey").alias("ubigeo"),
+        F.when(bal < 0, F.lit(None).cast("string"))
+         .when(in_list(seg, ["BUILDING", "MACHINERY"]), F.lit("1")).otherwise(F.lit("2"))
+         .alias("mode_june"),
+        F.when(bal < 0, F.lit(None)).when(in_list(reg, [1, 3]), F.lit("2"))
+         .when(reg == 4, F.lit("1")).cast("string").alias("mode_july"))
+
+
 def part_gazetteer(spark: SparkSession, sf: str) -> DataFrame:
     p = _t(spark, sf, "part")
     g = p.groupBy("p_type", "p_brand", "p_name").agg(F.min("p_partkey").alias("k"))
