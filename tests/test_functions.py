@@ -10,7 +10,7 @@ from tallyfold.functions.jaro import jaro_distance, jaro_similarity
 from tallyfold.functions.logic import first_match, if_else, in_list, matches, to_number
 from tallyfold.functions.text import fold_py, fold_text
 
-from conftest import rows
+
 
 
 def test_fold_text_q11(spark):

@@ -131,7 +131,6 @@ def test_plan_has_no_cartesian_product(spark):
 
 
 def test_shuffled_block_join_equals_broadcast(spark):
-    from pyspark.sql import functions as F
     from tallyfold.operators.fuzzy import nearest_candidates
     q = spark.createDataFrame([("lima",), ("limon",), ("pun",), ("cusko",)], "t string")
     refs = spark.createDataFrame([("lima", 2), ("limo", 1), ("puno", 3), ("cusco", 1), ("ica", 1)],
