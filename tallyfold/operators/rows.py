@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import uuid
 
 from pyspark.sql import Column, DataFrame
@@ -31,6 +32,18 @@ def _join_back(df: DataFrame, per_group: DataFrame, keys: list[str],
     return df.join(right, cond, "inner").drop(*tmp)
 
 
+_PART = re.compile(r"part-(\d+)-.*?(?:-c(\d+))?\.")
+
+
+def _file_order(name: str) -> tuple[int, int, str]:
+    """Range order of a written file: task (partition) index, then the file
+    counter inside the task; plain text order breaks past 99999 parts."""
+    m = _PART.match(name)
+    if not m:
+        raise ValueError(f"unexpected output file name: {name}")
+    return int(m.group(1)), int(m.group(2) or 0), name
+
+
 def number_rows(df: DataFrame, order_by: str, tie_break: str, out: str = "n_row",
                 num_partitions: int | None = None, path: str | None = None) -> DataFrame:
     """Global 1..n row number in (``order_by`` nulls last, ``tie_break``) order.
@@ -59,7 +72,8 @@ def number_rows(df: DataFrame, order_by: str, tie_break: str, out: str = "n_row"
         "*", F.col("_metadata.file_name").alias("_file"),
         F.col("_metadata.row_index").alias("_pos"))
     offsets, total = [], 0
-    for file_name, rows_in_file in sorted(back.groupBy("_file").count().collect()):
+    for file_name, rows_in_file in sorted(back.groupBy("_file").count().collect(),
+                                          key=lambda r: _file_order(r[0])):
         offsets.append((file_name, total))
         total += rows_in_file
     table = spark.createDataFrame(offsets, "_file string, _off long")
