@@ -7,14 +7,14 @@ import tempfile
 from tallyfold.__main__ import main
 
 SUBMISSIONS = """submission_id,submitted_at,department,province,district,event_date,responsible,mode,position,intervention,recipient
-s01,2022-05-03T10:00:00,Lima Metropolitana,Lima,Ancón,2022-05-02T00:00:00,Otra unidad,Presencial,Coordinador de Enlace,EGTPI,Equipo Territorial MIDIS (Regional)
+s01,2022-05-03T10:00:00,Lima Metropolitana,Lima,Ancón,2022-05-02T00:00:00,Otra unidad,Presencial,Coordinador de Enlace,Sello Municipal,Equipo Territorial MIDIS (Regional)
 s02,2022-06-10T09:00:00,Amazonas,Chachapoyas,Asunción,2022-06-09T00:00:00,Juntos,Virtual,Especialista,Sello Municipal,Gobierno Local
-s03,2022-08-15T08:00:00,Áncash,Huaraz,Huaráz,2022-08-14T00:00:00,Cuna Más,Virtual,Especialista,EGTPI,IAL
-s04,2022-08-16T08:00:00,Amazonas,Chachapoyas,Asunción,2022-08-16T00:00:00,Juntos,Virtual,Especialista,EGTPI,IAL
-s05,2022-09-01T08:00:00,Amazonas,Chachapoyas,Chachapoyas,2022-08-30T00:00:00,Dirección de Articulación Territorial,Presencial,Coordinador de Enlace,EGTPI,Gobierno Local
+s03,2022-08-15T08:00:00,Áncash,Huaraz,Huaráz,2022-08-14T00:00:00,Cuna Más,Virtual,Especialista,Sello Municipal,IAL
+s04,2022-08-16T08:00:00,Amazonas,Chachapoyas,Asunción,2022-08-16T00:00:00,Juntos,Virtual,Especialista,Sello Municipal,IAL
+s05,2022-09-01T08:00:00,Amazonas,Chachapoyas,Chachapoyas,2022-08-30T00:00:00,Dirección de Articulación Territorial,Presencial,Coordinador de Enlace,Sello Municipal,Gobierno Local
 s06,2022-09-02T08:00:00,Amazonas,Chachapoyas,Chachapoyas,2022-09-01T00:00:00,Juntos,Virtual,Especialista,Otro programa,IAL
-s07,2022-09-03T08:00:00,,Chachapoyas,Chachapoyas,2022-09-02T00:00:00,Juntos,Virtual,Especialista,EGTPI,IAL
-s08,2022-09-04T08:00:00,Amazonas,Chachapoyas,Chachapoyas,2022-09-03T00:00:00,Juntos,Virtual,Especialista,EGTPI,Otra institución
+s07,2022-09-03T08:00:00,,Chachapoyas,Chachapoyas,2022-09-02T00:00:00,Juntos,Virtual,Especialista,Sello Municipal,IAL
+s08,2022-09-04T08:00:00,Amazonas,Chachapoyas,Chachapoyas,2022-09-03T00:00:00,Juntos,Virtual,Especialista,Sello Municipal,Otra institución
 """
 PLACES = """ubigeo,department,province,district
 150101,LIMA M,LIMA,LIMA

@@ -8,7 +8,7 @@ HEADER = ",".join(f.name for f in SUBMISSIONS.fields)
 
 
 def _row(i, day):
-    return f"s{i},2022-0{day}-01T10:00:00,LIMA,LIMA,MIRAFLORES,2022-0{day}-01T00:00:00,JUNTOS,Virtual,,EGTPI,IAL"
+    return f"s{i},2022-0{day}-01T10:00:00,LIMA,LIMA,MIRAFLORES,2022-0{day}-01T00:00:00,JUNTOS,Virtual,,Sello Municipal,IAL"
 
 
 def test_intake_keeps_each_submission_once(spark):
