@@ -134,7 +134,10 @@ def nearest_candidates(queries: DataFrame, qcol: str, refs: DataFrame, rcol: str
 
 
 def _survives(m: Column, d: Column, below: Column, k: Column, cap: int) -> Column:
-    return ((m == 0) & (d == 0)) | ((m > 0) & (F.lit(1) + k * below <= cap))
+    """Exact-match rule, else min-rank ``1 + k * below <= cap`` (ties kept);
+    the product is taken in double so a very common triple cannot overflow."""
+    rank_ok = (below == 0) | (k.cast("double") * below.cast("double") <= cap - 1)
+    return ((m == 0) & (d == 0)) | ((m > 0) & rank_ok)
 
 
 def _pair_distances(pairs: DataFrame, typed: str, official: str, out: str) -> DataFrame:
