@@ -34,3 +34,20 @@ def test_every_query_runs_on_smallest_tables(spark):
     for name, fn in E.queries().items():
         df = fn(spark, SF_SMALL)
         df.write.format("noop").mode("overwrite").save()
+
+
+def test_read_input_matches_columns_by_name(spark):
+    from tallyfold.sources.io import read_input
+    from tallyfold.sources.schemas import DECISIONS
+    d = tempfile.mkdtemp(prefix="tf-in-")
+    p = os.path.join(d, "dec.csv")
+    with open(p, "w") as f:
+        f.write("decision,extra,ubigeo,n_row\nOK,z,010101,7\nNO,z,150101,8\n")
+    df = read_input(spark, p, DECISIONS)
+    assert df.columns == ["n_row", "ubigeo", "decision"]
+    assert rows(df) == [(7, "010101", "OK"), (8, "150101", "NO")]
+    with open(os.path.join(d, "bad.csv"), "w") as f:
+        f.write("n_row,decision\n1,OK\n")
+    import pytest
+    with pytest.raises(ValueError, match="ubigeo"):
+        read_input(spark, os.path.join(d, "bad.csv"), DECISIONS)
