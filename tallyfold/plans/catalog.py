@@ -77,7 +77,8 @@ def q_month_counts(spark, sf):
 
 
 def q_spine(spark, sf):
-    return jobs.regional_spine(S.official_places(spark, sf))
+    """Distinct departments of the classified submissions × the 21 class-month names."""
+    return jobs.regional_spine(_tidy(spark, sf))
 
 
 def q_regional_matrix(spark, sf):

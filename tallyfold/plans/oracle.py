@@ -307,8 +307,8 @@ SQL: dict[str, str] = {
         SELECT DISTINCT department FROM tidy
         WHERE department NOT IN (SELECT department FROM places WHERE department IS NOT NULL)""",
     "q_month_counts": with_ctes("month_counts") + "SELECT department, name, n FROM month_counts",
-    "q_spine": with_ctes("places") + f"""
-        SELECT DISTINCT p.department, t_name.name FROM places p, {_values('name', _REG_NAMES)}""",
+    "q_spine": with_ctes("tidy") + f"""
+        SELECT DISTINCT t.department, t_name.name FROM tidy t, {_values('name', _REG_NAMES)}""",
     "q_regional_matrix": with_ctes("month_counts") + "SELECT d.department, " + ", ".join(
         f"CAST(coalesce(max(CASE WHEN m.name = '{c}' THEN m.n END), 0) AS BIGINT) AS \"{c}\""
         for c in _REG_NAMES) + """
