@@ -44,6 +44,7 @@ def widen(df: DataFrame, ids: list[str], name: str, value: str, names: list[str]
     Giving the values keeps the output schema fixed and lets Spark plan a
     two-phase pivot aggregate without a job to discover the names.
     """
+    df = df.where(F.col(name).isin(names))
     if check_unique:
         df = check_unique_cells(df, ids + [name], value)
     return df.groupBy(*ids).pivot(name, names).agg(F.first(value))

@@ -82,8 +82,11 @@ def dense_indicator_matrix(entities: DataFrame, facts: DataFrame, entity: str,
     to be unique) before they meet the spine.
     """
     ids = list(entities.columns)
-    cells = check_unique_cells(facts, [entity, "fecha", "name"], "value")
     grid = spine(entities, [("fecha", months), ("name", names)])
+    # only cells the spine can meet are checked (and joined)
+    keys = [entity, "fecha", "name"]
+    facts = facts.join(grid.select(*keys), keys, "left_semi")
+    cells = check_unique_cells(facts, keys, "value")
     joined = grid.join(cells, [entity, "fecha", "name"], "left")
     filled = joined.withColumn(
         "value", F.when(in_list("name", zero_names) & F.col("value").isNull(), F.lit("0"))

@@ -60,3 +60,10 @@ def test_missing_semantics_f3_f4_c9_c11(spark):
     assert [r.c9 for r in got] == [None, "no", "yes"]
     assert [r.num for r in got] == [None, None, 3.5]
     assert [r.c8 for r in got] == ["other", "other", "Y"]
+
+
+@settings(max_examples=500, deadline=None)
+@given(st.text(alphabet="abc ", max_size=9), st.text(alphabet="abc ", max_size=9))
+def test_jaro_is_symmetric(a, b):
+    # the matcher computes (typed, official); the oracle SQL (official, typed)
+    assert jaro_similarity(a, b) == jaro_similarity(b, a)

@@ -51,7 +51,9 @@ def test_widen_refuses_two_values_q8(spark):
     df = spark.createDataFrame([("u", "n1", "x"), ("u", "n1", "y")], "u string, n string, v string")
     with pytest.raises(Exception, match="several values"):
         widen(df, ["u"], "n", "v", ["n1"]).collect()
-    ok = spark.createDataFrame([("u", "n1", "x"), ("u", "n2", "y")], "u string, n string, v string")
+    ok = spark.createDataFrame([("u", "n1", "x"), ("u", "n2", "y"), ("u", "n3", "a"), ("u", "n3", "b")],
+                               "u string, n string, v string")
+    # a conflict in a column that is not asked for does not matter
     assert rows(widen(ok, ["u"], "n", "v", ["n1", "n2"])) == [("u", "x", "y")]
 
 
@@ -107,3 +109,20 @@ def test_distinct_non_null_and_presence(spark):
     df = spark.createDataFrame([("a", "x"), ("a", "y"), ("a", "x"), ("b", None)], "k string, v string")
     assert rows(distinct_non_null(df, "k", "v")) == [("a", "x"), ("a", "y"), ("b", None)]
     assert rows(any_present(df, "k", ["v"])) == [("a", 1.0), ("b", 0.0)]
+
+
+def test_indicator_matrix_ignores_conflicts_outside_spine(spark):
+    from tallyfold.operators.merge import dense_indicator_matrix
+    ents = spark.createDataFrame([("01", "D")], "ubigeo string, department string")
+    facts = spark.createDataFrame(
+        [("01", "AT_GL", "052022", "1"),
+         ("01", "MODALIDAD", "122022", "A"), ("01", "MODALIDAD", "122022", "B"),   # month not listed
+         ("99", "MODALIDAD", "052022", "A"), ("99", "MODALIDAD", "052022", "B")],  # place not listed
+        "ubigeo string, name string, fecha string, value string")
+    m = dense_indicator_matrix(ents, facts, "ubigeo", ["052022"], ["AT_GL", "MODALIDAD"],
+                               ["AT_GL"], ["AT_GL"])
+    assert rows(m) == [("01", "D", 1.0, None)]
+    bad = facts.union(spark.createDataFrame([("01", "AT_GL", "052022", "2")], facts.schema))
+    with pytest.raises(Exception, match="several values"):
+        dense_indicator_matrix(ents, bad, "ubigeo", ["052022"], ["AT_GL", "MODALIDAD"],
+                               ["AT_GL"], ["AT_GL"]).collect()
