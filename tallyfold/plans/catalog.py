@@ -8,6 +8,9 @@ so both engines render values alike.
 
 from __future__ import annotations
 
+import os
+import uuid
+
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,7 +20,8 @@ from tallyfold.functions.jaro import jaro_distance
 from tallyfold.functions.text import fold_text
 from tallyfold.operators import fuzzy, legacy, quality, review
 from tallyfold.plans import jobs, params as P, standins as S
-from tallyfold.sources.io import driver_table, rename_at, rename_tail
+from tallyfold.session import checkpoint_dir
+from tallyfold.sources.io import driver_table, hand_over, rename_at, rename_tail
 
 
 def _day(df: DataFrame, col: str = "event_date") -> DataFrame:
@@ -86,7 +90,10 @@ def q_regional_matrix(spark, sf):
 
 
 def _decisions(spark, sf):
-    tidy = _tidy(spark, sf)
+    """Classified rows handed over as a written table (as between the jobs),
+    and the reviewer decisions on them."""
+    tidy = hand_over(_tidy(spark, sf),
+                     os.path.join(checkpoint_dir(spark), f"tidy-{uuid.uuid4().hex}"))
     return tidy, S.decisions(spark, sf, tidy)
 
 
