@@ -89,11 +89,15 @@ def q_regional_matrix(spark, sf):
     return jobs.regional_matrix(_tidy(spark, sf), S.official_places(spark, sf))
 
 
-def _decisions(spark, sf):
-    """Classified rows handed over as a written table (as between the jobs),
-    and the reviewer decisions on them."""
-    tidy = hand_over(_tidy(spark, sf),
+def _tidy_written(spark, sf):
+    """Classified rows handed over as a written table, as between the jobs."""
+    return hand_over(_tidy(spark, sf),
                      os.path.join(checkpoint_dir(spark), f"tidy-{uuid.uuid4().hex}"))
+
+
+def _decisions(spark, sf):
+    """Written classified rows and the reviewer decisions on them."""
+    tidy = _tidy_written(spark, sf)
     return tidy, S.decisions(spark, sf, tidy)
 
 
@@ -198,7 +202,8 @@ def q_fuzzy_cascade(spark, sf):
 
 def q_candidates(spark, sf):
     """The regional job's matcher call: local submissions against the official list."""
-    return _round_dists(jobs.match_candidates(_tidy(spark, sf), S.official_places(spark, sf)))
+    return _round_dists(jobs.match_candidates(_tidy_written(spark, sf),
+                                              S.official_places(spark, sf)))
 
 
 def q_fuzzy_no_candidate(spark, sf):
