@@ -95,9 +95,10 @@ def _tidy_written(spark, sf):
                      os.path.join(checkpoint_dir(spark), f"tidy-{uuid.uuid4().hex}"))
 
 
-def _decisions(spark, sf):
-    """Written classified rows and the reviewer decisions on them."""
-    tidy = _tidy_written(spark, sf)
+def _decisions(spark, sf, written: bool = True):
+    """Classified rows and the reviewer decisions on them; ``written`` hands
+    the rows over as a table when the query reads them more than once."""
+    tidy = _tidy_written(spark, sf) if written else _tidy(spark, sf)
     return tidy, S.decisions(spark, sf, tidy)
 
 
@@ -112,7 +113,7 @@ def q_keep_first(spark, sf):
 
 
 def q_decisions_accept(spark, sf):
-    return review.accepted_codes(_decisions(spark, sf)[1])
+    return review.accepted_codes(_decisions(spark, sf, written=False)[1])
 
 
 def q_decisions_reject(spark, sf):
@@ -121,7 +122,7 @@ def q_decisions_reject(spark, sf):
 
 
 def q_decisions_undecided(spark, sf):
-    return review.undecided(_decisions(spark, sf)[1])
+    return review.undecided(_decisions(spark, sf, written=False)[1])
 
 
 def q_lookup_to_long(spark, sf):
