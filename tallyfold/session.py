@@ -49,11 +49,14 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
-        if not spark.sparkContext.master.startswith("local"):
+        if not spark.conf.get("spark.master", "local").startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
         path = tempfile.mkdtemp(prefix="tallyfold-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: the server reads spark.checkpoint.dir itself
+        return path
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(path)
     return path
