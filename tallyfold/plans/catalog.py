@@ -15,13 +15,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyfold.functions.jaro import jaro_distance
 from tallyfold.functions.text import fold_text
 from tallyfold.operators import fuzzy, legacy, quality, review
 from tallyfold.plans import jobs, params as P, standins as S
 from tallyfold.session import checkpoint_dir
-from tallyfold.sources.io import driver_table, hand_over, rename_at, rename_tail
+from tallyfold.sources.io import (driver_table, hand_over, read_csv_after_banner, rename_at,
+                                  rename_tail)
 
 
 def _day(df: DataFrame, col: str = "event_date") -> DataFrame:
@@ -39,6 +41,25 @@ def q_scan_declared(spark, sf):
                     "o_orderpriority")
 
 
+def q_banner_csv(spark, sf):
+    """A sheet export with a banner line above the header (S2): orders are
+    written as CSV text with a banner into the shared folder and read back."""
+    o = driver_table(spark, sf, "orders")
+    cols = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "order_day",
+            "o_orderpriority"]
+    body = o.select(F.concat_ws(",", "o_orderkey", "o_custkey", "o_orderstatus",
+                                F.col("o_totalprice").cast("string"),
+                                F.date_format("o_orderdate", "yyyy-MM-dd"),
+                                "o_orderpriority").alias("value"))
+    top = spark.createDataFrame([("ORDERS EXPORT",), (",".join(cols),)], "value string")
+    path = os.path.join(checkpoint_dir(spark), f"sheet-{uuid.uuid4().hex}")
+    top.unionByName(body).write.text(path)
+    schema = T.StructType([T.StructField(c, t) for c, t in zip(cols, [
+        T.LongType(), T.LongType(), T.StringType(), T.DoubleType(), T.StringType(),
+        T.StringType()])])
+    return read_csv_after_banner(spark, path, schema)
+
+
 def q_positional_rename(spark, sf):
     p = rename_tail(driver_table(spark, sf, "part"),
                     ["name", "brand", "kind", "size", "price"])
@@ -146,7 +167,8 @@ def q_drop_placeholders(spark, sf):
 
 
 def q_indicator_matrix(spark, sf):
-    return jobs.local_matrix(S.official_places(spark, sf), jobs.merged_facts(_fanned(spark, sf)))
+    m = jobs.local_matrix(S.official_places(spark, sf), jobs.merged_facts(_fanned(spark, sf)))
+    return m.orderBy("ubigeo")  # sink order (O3)
 
 
 def q_presence_max(spark, sf):
@@ -203,8 +225,8 @@ def q_fuzzy_cascade(spark, sf):
 
 def q_candidates(spark, sf):
     """The regional job's matcher call: local submissions against the official list."""
-    return _round_dists(jobs.match_candidates(_tidy_written(spark, sf),
-                                              S.official_places(spark, sf)))
+    cands = jobs.match_candidates(_tidy_written(spark, sf), S.official_places(spark, sf))
+    return _round_dists(cands).orderBy("n_row")  # review order at the sink (O2)
 
 
 def q_fuzzy_no_candidate(spark, sf):

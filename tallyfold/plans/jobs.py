@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyfold.functions.dates import month_bounds, month_key, to_day
+from tallyfold.functions.dates import month_bounds, month_key, month_key_to_date, to_day
 from tallyfold.functions.logic import if_else, in_list, matches
 from tallyfold.functions.text import fold_text
 from tallyfold.operators.fuzzy import fuzzy_cascade, relabel_by_prefix
@@ -97,9 +97,12 @@ def regional_names(rules: Rules = STANDIN) -> list[str]:
 
 def regional_facts(tidy: DataFrame, rules: Rules = STANDIN) -> DataFrame:
     """(department, class_MMYYYY) for classified rows inside the month list."""
-    lo, hi = month_bounds(list(rules.months))
+    _, hi = month_bounds(list(rules.months))
     d = F.col("event_date")
-    return tidy.where((d >= F.lit(lo)) & (d < F.lit(hi))
+    # lower bound parsed from the first key (as the reference does); the upper
+    # bound is added so scans can prune (same result: later months have no column)
+    lo = month_key_to_date(F.lit(rules.months[0]))
+    return tidy.where((d >= lo) & (d < F.lit(hi))
                       & in_list("category", rules.regional_classes)).select(
         "department", F.concat_ws("_", "category", month_key(d)).alias("name"))
 

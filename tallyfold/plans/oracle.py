@@ -287,6 +287,10 @@ SQL: dict[str, str] = {
         SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice,
                strftime(o_orderdate, '%Y-%m-%d') AS order_day, o_orderpriority
         FROM orders""",
+    "q_banner_csv": """
+        SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice,
+               strftime(o_orderdate, '%Y-%m-%d') AS order_day, o_orderpriority
+        FROM orders""",
     "q_positional_rename": """
         SELECT p_partkey AS part_id, p_name AS name, p_brand AS brand, p_type AS kind,
                p_size AS size, p_retailprice AS price
