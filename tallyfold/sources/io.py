@@ -53,7 +53,7 @@ def driver_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def read_csv_after_banner(spark: SparkSession, path: str, schema: T.StructType,
-                          banner_lines: int = 1, sep: str = ",") -> DataFrame:
+                          sep: str = ",") -> DataFrame:
     """Scan a CSV export whose header is preceded by banner line(s).
 
     Lines are read as text and parsed with ``from_csv``; the banner and the
@@ -67,10 +67,8 @@ def read_csv_after_banner(spark: SparkSession, path: str, schema: T.StructType,
     body = text.where(
         (F.size(F.split("value", sep, -1)) == n_sep + 1)
         & (F.lower(F.col("value")) != header.lower()))
-    parsed = body.select(F.from_csv("value", schema.simpleString(),
-                                    {"sep": sep}).alias("r")).select("r.*")
-    del banner_lines  # kept for call-site readability; detection is by content
-    return parsed
+    return body.select(F.from_csv("value", schema.simpleString(),
+                                  {"sep": sep}).alias("r")).select("r.*")
 
 
 def rename_at(df: DataFrame, position: int, name: str) -> DataFrame:
