@@ -47,13 +47,16 @@ def indicator_fanout(df: DataFrame, presence_value: str = "1", role_name: str =
 
 
 def drop_placeholders(df: DataFrame, keys: list[str], value: str = "value",
-                      modal: str = "modal", token: str = "-") -> DataFrame:
+                      modal: str = "modal", token: str = "-",
+                      keep_one_if_all_placeholder: bool = False) -> DataFrame:
     """Placeholder precedence inside groups of more than one row (X11).
 
     Rule: count the group's rows; in groups of more than one drop rows whose
     value is the placeholder; recount; in groups still larger than one drop
     rows whose mode is the placeholder; drop the mode and de-duplicate.  A
-    group made only of placeholders vanishes (the reference's rule).
+    group made only of placeholders vanishes (the reference's rule);
+    ``keep_one_if_all_placeholder=True`` keeps such a group's values instead
+    (opt-in repair: a doubled attendance row then still counts).
 
     Plan: rows are first reduced to distinct (keys, value, mode) with their
     multiplicity — a partial map-side aggregate, so a group holding a large
@@ -67,7 +70,10 @@ def drop_placeholders(df: DataFrame, keys: list[str], value: str = "value",
     dist = dist.withColumn("_n1", F.sum("_m").over(by))
     first = dist.where((F.col("_n1") == 1) | not_value_token)
     first = first.withColumn("_n2", F.sum("_m").over(by))
-    second = first.where((F.col("_n2") == 1) | not_modal_token)
+    keep = (F.col("_n2") == 1) | not_modal_token
+    if keep_one_if_all_placeholder:
+        keep = keep | ~F.max(not_modal_token).over(by)
+    second = first.where(keep)
     return second.select(*keys, value).distinct()
 
 

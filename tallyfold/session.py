@@ -19,6 +19,19 @@ _BASE_CONF = {
 }
 
 
+# Suggested settings for a large cluster (pass as ``extra``): many initial
+# shuffle partitions that AQE coalesces to ~256 MB, 256 MB scan splits, and
+# skew splitting for partitions 5x the median and above 512 MB.
+CLUSTER_CONF = {
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+}
+
+
 def build_session(master: str | None = None, app: str = "tallyfold",
                   shuffle_partitions: int | None = None,
                   extra: dict[str, str] | None = None) -> SparkSession:

@@ -85,6 +85,9 @@ def test_drop_placeholders_q2(spark):
         "ubigeo string, value string, modal string").withColumn("name", F.lit("N")).withColumn("fecha", F.lit("m"))
     got = rows(drop_placeholders(df, ["ubigeo", "name", "fecha"]), "ubigeo", "value")
     assert got == [("u2", "1"), ("u3", "1"), ("u4", "CUNA")]
+    repaired = rows(drop_placeholders(df, ["ubigeo", "name", "fecha"], keep_one_if_all_placeholder=True),
+                    "ubigeo", "value")
+    assert repaired == [("u1", "1"), ("u2", "1"), ("u3", "1"), ("u4", "CUNA")]
 
 
 def test_legacy_q7(spark):
