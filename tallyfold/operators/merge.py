@@ -72,7 +72,8 @@ def drop_placeholders(df: DataFrame, keys: list[str], value: str = "value",
     first = first.withColumn("_n2", F.sum("_m").over(by))
     keep = (F.col("_n2") == 1) | not_modal_token
     if keep_one_if_all_placeholder:
-        keep = keep | ~F.max(not_modal_token).over(by)
+        first = first.withColumn("_any_mode", F.max(not_modal_token).over(by))
+        keep = keep | ~F.col("_any_mode")
     second = first.where(keep)
     return second.select(*keys, value).distinct()
 
