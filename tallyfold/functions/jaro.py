@@ -12,10 +12,12 @@ or nothing matches; distance = 1 - similarity; NULL in gives NULL out.
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tallyfold.session import ship_package
+
 
 def jaro_similarity(a: str, b: str) -> float:
     la, lb = len(a), len(b)
@@ -71,6 +73,7 @@ def _jaro_distance_udf(a: pd.Series, b: pd.Series) -> pd.Series:
 
 def jaro_distance(a: Column | str, b: Column | str) -> Column:
     """Jaro distance of two text columns (already case-folded by the caller)."""
+    ship_package(SparkSession.getActiveSession())
     a = F.col(a) if isinstance(a, str) else a
     b = F.col(b) if isinstance(b, str) else b
     return _jaro_distance_udf(a, b)

@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from tallyfold.functions.jaro import jaro_distance, jaro_similarity
 from tallyfold.functions.logic import if_else
-from tallyfold.session import checkpoint_dir
+from tallyfold.session import checkpoint_dir, ship_package
 
 DEFAULT_LEVELS = ("department", "province", "district")
 
@@ -121,6 +121,7 @@ def nearest_candidates(queries: DataFrame, qcol: str, refs: DataFrame, rcol: str
         blocks = blocks.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"),
                                                                  F.lit(salts - 1).cast("long"))))
         pairs = qb.withColumn("_salt", salt).join(blocks, ["_blk", "_salt"])
+    ship_package(q.sparkSession)
     found = pairs.select("_q", "_qkey", "_vals", "_keys", "_ws").mapInPandas(
         _block_candidates(cap), "_q string, _g string, _d double, _w long, _next double")
     found = found.withColumn("_next", F.when(~F.isnan("_next"), F.col("_next")))

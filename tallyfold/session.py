@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import shutil
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -78,3 +79,31 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A sub folder of the shared checkpoint folder for written hand-over tables."""
     return os.path.join(checkpoint_dir(spark), name)
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession | None) -> None:
+    """Make this package importable in the Python workers.
+
+    Python stages (the Jaro UDF, the nearest-candidate lookup) unpickle
+    functions that live in this package; the package is zipped once per
+    application and added with ``addPyFile`` so workers find it wherever
+    the driver was started.  On a cluster, ``--py-files`` does the same.
+    """
+    if spark is None:
+        return
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: ship with the server's --py-files
+        return
+    key = sc.applicationId
+    if key in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    out = tempfile.mkdtemp(prefix="tallyfold-pkg-")
+    archive = shutil.make_archive(os.path.join(out, "tallyfold"), "zip",
+                                  root_dir=os.path.dirname(pkg), base_dir="tallyfold")
+    sc.addPyFile(archive)
+    _SHIPPED.add(key)
