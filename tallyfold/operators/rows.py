@@ -63,11 +63,13 @@ def number_rows(df: DataFrame, order_by: str, tie_break: str, out: str = "n_row"
     depend only on the total order, not on where range boundaries fell.
     """
     spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     path = path or os.path.join(checkpoint_dir(spark), f"numbered-{uuid.uuid4().hex}")
     keys = [F.col(order_by).asc_nulls_last(), F.col(tie_break).asc()]
-    (df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
-       .write.mode("overwrite").parquet(path))
+    # without a given count AQE sizes the ranges by bytes; coalescing joins
+    # adjacent ranges, so every file stays one contiguous run in range order
+    ranged = (df.repartitionByRange(num_partitions, *keys) if num_partitions
+              else df.repartitionByRange(*keys))
+    ranged.sortWithinPartitions(*keys).write.mode("overwrite").parquet(path)
     back = spark.read.schema(df.schema).parquet(path).select(
         "*", F.col("_metadata.file_name").alias("_file"),
         F.col("_metadata.row_index").alias("_pos"))
