@@ -138,3 +138,14 @@ def test_shuffled_block_join_equals_broadcast(spark):
     small = nearest_candidates(q, "t", refs, "v", "w", 3, block_size=2)
     salted = nearest_candidates(q, "t", refs, "v", "w", 3, block_size=2, broadcast_rows=0, salts=3)
     assert rows(small) == rows(salted) and small.count() > 0
+
+
+def test_per_record_ranks_without_duplicate_weights(spark):
+    rng = random.Random(11)
+    gaz = [(f"{i:03d}", rng.choice(["lima", "limon", "puno"]), rng.choice(["alto", "alta", "bajo"]),
+            rng.choice(["san juan", "san jose", "la punta"])) for i in range(30)]
+    base = [(n,) + tuple(_mutate(rng, t) for t in rng.choice(gaz)[1:]) for n in range(25)]
+    records = base + [(100 + r[0],) + r[1:] for r in base[:10]]      # duplicated texts
+    # brute force per record: each record is its own group (k = 1)
+    want = sorted(x for r in records for x in brute_force([r], gaz))
+    assert staged(spark, records, gaz, weight_duplicates=False) == want
