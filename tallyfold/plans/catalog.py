@@ -10,7 +10,6 @@ from __future__ import annotations
 
 import os
 import uuid
-
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -234,7 +233,6 @@ def q_fuzzy_no_candidate(spark, sf):
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    name[2:]: fn for name, fn in sorted(globals().items())
+    name: fn for name, fn in sorted(globals().items())
     if name.startswith("q_") and callable(fn)
 }
-QUERIES = {f"q_{k}": v for k, v in QUERIES.items()}
