@@ -26,6 +26,8 @@ the records, and a triple shared by many records is handled once.
 from __future__ import annotations
 
 import math
+import os
+import uuid
 
 import numpy as np
 import pandas as pd
@@ -148,11 +150,13 @@ def _pair_distances(pairs: DataFrame, typed: str, official: str, out: str) -> Da
 
 
 def _cut(df: DataFrame) -> DataFrame:
-    """Checkpoint a level's survivors to the shared folder: later levels read
-    them without recomputing earlier levels, and a lost executor does not
-    send the job back to the first level."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write a level's rows as Parquet to the shared checkpoint folder and read
+    them back: later levels never recompute earlier ones, a lost executor
+    does not send the job back to the first level, and the copy is columnar
+    and compressed."""
+    path = os.path.join(checkpoint_dir(df.sparkSession), f"match-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def fuzzy_cascade(records: DataFrame, gazetteer: DataFrame, row_id: str = "n_row",
