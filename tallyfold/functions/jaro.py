@@ -23,6 +23,8 @@ def jaro_similarity(a: str, b: str) -> float:
     la, lb = len(a), len(b)
     if la == 0 or lb == 0:
         return 0.0
+    if a == b:
+        return 1.0
     window = max(max(la, lb) // 2 - 1, 0)
     b_used = [False] * lb
     a_hits = []
