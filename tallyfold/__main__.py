@@ -30,6 +30,8 @@ def main(argv=None) -> None:
     for name in ("submissions", "places", "exclusions", "legacy-wide", "classified",
                  "decisions", "attendance", "legacy", "out"):
         ap.add_argument(f"--{name}")
+    ap.add_argument("--decision-column", default="decision",
+                    help="column of the edited candidate file holding the verdict")
     a = ap.parse_args(argv)
     rules = R.FIELD if a.rules == "field" else R.STANDIN
     spark = build_session(a.master)
@@ -44,7 +46,8 @@ def main(argv=None) -> None:
                                     excl, places, a.out, rules)
     else:
         out = workflow.local_job(spark, a.classified,
-                                 read_input(spark, a.decisions, schemas.DECISIONS),
+                                 read_input(spark, a.decisions, schemas.DECISIONS,
+                                            {"decision": a.decision_column}),
                                  read_input(spark, a.attendance, schemas.ATTENDANCE),
                                  a.legacy, places, a.out, rules)
     print(json.dumps(out))

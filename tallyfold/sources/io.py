@@ -26,12 +26,13 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType | None = Non
     return reader.load(path)
 
 
-def read_input(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def read_input(spark: SparkSession, path: str, schema: T.StructType,
+               aliases: dict[str, str] | None = None) -> DataFrame:
     """Scan an exported input by its extension (csv / json / parquet).
 
-    Columns are matched by name and cast to the declared types; CSV is read
-    without inference (every field text) so a reordered export cannot shift
-    columns.
+    Columns are matched by name (or by ``aliases``: declared name → file
+    name) and cast to the declared types; CSV is read without inference
+    (every field text) so a reordered export cannot shift columns.
     """
     ext = os.path.splitext(path.rstrip("/"))[1].lower().lstrip(".") or "parquet"
     if ext == "csv":
@@ -40,10 +41,14 @@ def read_input(spark: SparkSession, path: str, schema: T.StructType) -> DataFram
         raw = spark.read.schema(schema).json(path)
     else:
         raw = spark.read.parquet(path)
-    missing = [f.name for f in schema.fields if f.name not in raw.columns]
+    aliases = aliases or {}
+    source = {f.name: (f.name if f.name in raw.columns else aliases.get(f.name))
+              for f in schema.fields}
+    missing = [n for n, c in source.items() if c is None or c not in raw.columns]
     if missing:
         raise ValueError(f"{path}: missing columns {missing}")
-    return raw.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+    return raw.select(*[F.col(f"`{source[f.name]}`").cast(f.dataType).alias(f.name)
+                        for f in schema.fields])
 
 
 def driver_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -56,8 +56,9 @@ def test_field_workflow(spark, capsys):
     cands = {r.n_row: r.ubigeo for r in spark.read.parquet(out["candidates"]).collect()}
     n03, n05 = classified["s03"].n_row, classified["s05"].n_row
     assert cands == {n03: "020101", n05: "010101"}
-    decisions = _write(d, "decisions.csv", f"n_row,ubigeo,decision\n{n03},020101,OK\n{n05},010101,OK\n")
+    decisions = _write(d, "decisions.csv", f"n_row,ubigeo,dist,RESULTADO\n{n03},020101,0.1,OK\n{n05},010101,0,OK\n")
     main(["local", "--classified", out["classified"], "--decisions", decisions,
+          "--decision-column", "RESULTADO",
           "--attendance", _write(d, "att.csv", ATTENDANCE), "--legacy", d + "/legacy/legacy_long",
           "--places", places, "--out", d + "/local"])
     local = {r.ubigeo: r for r in spark.read.parquet(d + "/local/local_matrix").collect()}
