@@ -61,24 +61,28 @@ def _block_candidates(cap: int):
 
     def run(batches):
         for pdf in batches:
-            qs, ks, vals, keys, ws, outs = [], [], [], [], [], []
-            for q, qkey, bvals, bkeys, bws in zip(pdf["_q"], pdf["_qkey"], pdf["_vals"],
-                                                  pdf["_keys"], pdf["_ws"]):
-                d = np.array([1.0 - jaro_similarity(qkey, g) for g in bkeys])
-                w = np.asarray(bws, dtype=np.int64)
+            out_q, out_text, out_dist, out_weight, out_next = [], [], [], [], []
+            for q, qkey, texts, lowered, weights in zip(pdf["_q"], pdf["_qkey"], pdf["_vals"],
+                                                        pdf["_keys"], pdf["_ws"]):
+                d = np.array([1.0 - jaro_similarity(qkey, g) for g in lowered])
+                w = np.asarray(weights, dtype=np.int64)
                 order = np.argsort(d, kind="stable")
-                d, w, bv = d[order], w[order], np.asarray(bvals, dtype=object)[order]
-                # weight strictly below each distance
+                d, w, texts = d[order], w[order], np.asarray(texts, dtype=object)[order]
+                # weight of the block's texts strictly nearer than each distance
                 uniq, first = np.unique(d, return_index=True)
                 cum = np.concatenate([[0], np.cumsum(w)])
                 below = cum[first][np.searchsorted(uniq, d)]
                 keep = 1 + below <= cap
                 rest = d[~keep]
-                nxt = float(rest.min()) if rest.size else math.nan
-                for g, dd, ww in zip(bv[keep], d[keep], w[keep]):
-                    qs.append(q); ks.append(g); vals.append(float(dd)); keys.append(int(ww))
-                    outs.append(nxt)
-            yield pd.DataFrame({"_q": qs, "_g": ks, "_d": vals, "_w": keys, "_next": outs})
+                nearest_dropped = float(rest.min()) if rest.size else math.nan
+                for g, dist, weight in zip(texts[keep], d[keep], w[keep]):
+                    out_q.append(q)
+                    out_text.append(g)
+                    out_dist.append(float(dist))
+                    out_weight.append(int(weight))
+                    out_next.append(nearest_dropped)
+            yield pd.DataFrame({"_q": out_q, "_g": out_text, "_d": out_dist,
+                                "_w": out_weight, "_next": out_next})
 
     return run
 
