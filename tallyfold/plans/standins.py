@@ -15,7 +15,8 @@ each is derived from the TPC-H-like tables by content rules:
   verdict taken from the customer's balance band;
 * attendance   = suppliers, month name from the balance band;
 * legacy matrix = customers, presence and mode columns from segment,
-  balance and the nation's region;
+  balance and the nation's region (a second one with two June modes per
+  nation exercises the recycling rule);
 * matcher gazetteer = distinct (type, brand, name) of parts, code = first
   part key; matcher records = every part with its texts mistyped by rules
   on its size.
