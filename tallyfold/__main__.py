@@ -23,7 +23,8 @@ from tallyfold.sources.io import read_input
 
 
 def main(argv=None) -> None:
-    ap = argparse.ArgumentParser(prog="tallyfold")
+    ap = argparse.ArgumentParser(prog="tallyfold", description=__doc__,
+                                 formatter_class=argparse.RawDescriptionHelpFormatter)
     ap.add_argument("job", choices=["legacy", "regional", "local"])
     ap.add_argument("--rules", choices=["field", "standin"], default="field")
     ap.add_argument("--master", default=None)
