@@ -47,11 +47,20 @@ def relabel_by_prefix(gaz: DataFrame, code: str, prefix: str, col: str, label: s
                                        F.lit(label), F.col(col)))
 
 
-def _strictly_below(part: list[str], order: str, weight: str) -> Column:
-    """Sum of ``weight`` over rows of the partition with a strictly smaller ``order``."""
-    upto = Window.partitionBy(*part).orderBy(order).rangeBetween(Window.unboundedPreceding, 0)
-    peers = Window.partitionBy(*part, order)
-    return F.sum(weight).over(upto) - F.sum(weight).over(peers)
+def _rank_stats(part: list[str], order: str, weight: str | None = None):
+    """(weight strictly below, group minimum) of ``order`` within ``part``.
+
+    Every statistic is a frame of one ``partitionBy(part).orderBy(order)``
+    spec, so Spark computes them in one window operator after one sort.
+    """
+    w = Window.partitionBy(*part).orderBy(order)
+    whole = w.rangeBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    nearest = F.min(order).over(whole)
+    if weight is None:
+        return None, nearest
+    below = (F.sum(weight).over(w.rangeBetween(Window.unboundedPreceding, 0))
+             - F.sum(weight).over(w.rangeBetween(0, 0)))
+    return below, nearest
 
 
 def _block_candidates(cap: int):
@@ -131,11 +140,15 @@ def nearest_candidates(queries: DataFrame, qcol: str, refs: DataFrame, rcol: str
     found = pairs.select("_q", "_qkey", "_vals", "_keys", "_ws").mapInPandas(
         _block_candidates(cap), "_q string, _g string, _d double, _w long, _next double")
     found = found.withColumn("_next", F.when(~F.isnan("_next"), F.col("_next")))
-    per_q = Window.partitionBy("_q")
-    found = (found.withColumn("_bound", F.min("_next").over(per_q))
-                  .where(F.col("_bound").isNull() | (F.col("_d") <= F.col("_bound")))
-                  .withColumn("below", _strictly_below(["_q"], "_d", "_w"))
-                  .withColumn("m", F.min("_d").over(per_q)))
+    # the bound is the nearest distance any block left out; rows beyond it
+    # cannot survive, and dropping them changes neither "below" nor "m" of
+    # the rows that remain, so all three come from one window pass
+    below, nearest = _rank_stats(["_q"], "_d", "_w")
+    whole = (Window.partitionBy("_q").orderBy("_d")
+             .rangeBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    found = found.select("_q", "_g", "_d", below.alias("below"), nearest.alias("m"),
+                         F.min("_next").over(whole).alias("_bound"))
+    found = found.where(F.col("_bound").isNull() | (F.col("_d") <= F.col("_bound")))
     return found.select(F.col("_q").alias("q"), F.col("_g").alias("g"),
                         F.col("_d").alias("d"), "below", "m")
 
@@ -198,9 +211,8 @@ def fuzzy_cascade(records: DataFrame, gazetteer: DataFrame, row_id: str = "n_row
         F.col(l1).alias("_g1"), F.col(l2).alias("_g2"), "_w2")
     d2 = _pair_distances(s1.select("_t2", "_g1").distinct().join(g2, "_g1"), "_t2", "_g2", "_d2")
     x2 = s1.join(g2, "_g1").join(d2, ["_t2", "_g2"])
-    per_t = Window.partitionBy(*tkey)
-    s2 = (x2.withColumn("_m2", F.min("_d2").over(per_t))
-            .withColumn("_b2", _strictly_below(tkey, "_d2", "_w2"))
+    below2, nearest2 = _rank_stats(tkey, "_d2", "_w2")
+    s2 = (x2.select("*", nearest2.alias("_m2"), below2.alias("_b2"))
             .where(_survives(F.col("_m2"), F.col("_d2"), F.col("_b2"), F.col("_k"), caps[1]))
             .select(*tkey, "_g1", "_d1", "_g2", "_d2"))
 
@@ -211,7 +223,8 @@ def fuzzy_cascade(records: DataFrame, gazetteer: DataFrame, row_id: str = "n_row
                          "_t3", "_g3", "_d3")
     x3 = (s2.join(g3, ["_g1", "_g2"]).join(d3, ["_t3", "_g3"])
             .withColumn("_score", (F.col("_d2") + 1) * (F.col("_d3") + 1) + F.col("_d3")))
-    best = x3.withColumn("_best", F.min("_score").over(per_t)).where(F.col("_score") == F.col("_best"))
+    best_score = _rank_stats(tkey, "_score")[1]
+    best = x3.withColumn("_best", best_score).where(F.col("_score") == F.col("_best"))
 
     # back to the records carrying each triple
     out = best.join(recs, (best["_t1"] == recs[l1]) & (best["_t2"] == recs[l2])
