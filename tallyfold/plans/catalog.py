@@ -56,7 +56,8 @@ def q_banner_csv(spark, sf):
     schema = T.StructType([T.StructField(c, t) for c, t in zip(cols, [
         T.LongType(), T.LongType(), T.StringType(), T.DoubleType(), T.StringType(),
         T.StringType()])])
-    return read_csv_after_banner(spark, path, schema)
+    # the export's files do not each start with the banner: recognise it by content
+    return read_csv_after_banner(spark, path, schema, mode="content")
 
 
 def q_positional_rename(spark, sf):

@@ -58,19 +58,34 @@ def driver_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def read_csv_after_banner(spark: SparkSession, path: str, schema: T.StructType,
-                          sep: str = ",") -> DataFrame:
-    """Scan a CSV export whose header is preceded by banner line(s).
-
-    Lines are read as text and parsed with ``from_csv``; the banner and the
-    header are recognised by content (field count / header text), so the
-    scan stays splittable instead of relying on a line position.
+                          sep: str = ",", mode: str = "position") -> DataFrame:
+    """Scan a CSV export whose header is preceded by one banner line.
+
+    ``mode="position"`` skips exactly the first line of every file (the
+    banner) with Spark's CSV reader, then drops the header row by its text;
+    quoting is handled by the CSV parser.  ``mode="content"`` recognises
+    banner and header by content instead — a line whose field count
+    (commas outside quotes) differs from the schema, or the header text — for
+    exports whose files do not all start with the banner.
     """
     names = [f.name for f in schema.fields]
+    if mode == "position":
+        text_schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
+        raw = (spark.read.schema(text_schema).option("header", "true")
+               .option("enforceSchema", "true").option("sep", sep).csv(path))
+        is_header = None
+        for n in names:
+            c = F.coalesce(F.lower(F.trim(F.col(n))) == n.lower(), F.lit(False))
+            is_header = c if is_header is None else is_header & c
+        return raw.where(~is_header).select(
+            *[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema.fields])
+    if mode != "content":
+        raise ValueError(f"unknown mode {mode!r}")
     header = sep.join(names)
+    outside_quotes = f'{sep}(?=(?:[^"]*"[^"]*")*[^"]*$)'
     text = spark.read.text(path)
-    n_sep = len(names) - 1
     body = text.where(
-        (F.size(F.split("value", sep, -1)) == n_sep + 1)
+        (F.size(F.split("value", outside_quotes, -1)) == len(names))
         & (F.lower(F.col("value")) != header.lower()))
     return body.select(F.from_csv("value", schema.simpleString(),
                                   {"sep": sep}).alias("r")).select("r.*")

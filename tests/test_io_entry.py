@@ -13,10 +13,13 @@ def test_csv_after_banner_and_positional_names(spark):
     d = tempfile.mkdtemp(prefix="tf-io-")
     p = os.path.join(d, "sheet.csv")
     with open(p, "w") as f:
-        f.write("REPORTE DISTRITAL 2022\nubigeo,department,province\n010101,AMAZONAS,CHACHAPOYAS\n150101,LIMA,LIMA\n")
+        f.write('REPORTE DISTRITAL 2022\nubigeo,department,province\n010101,AMAZONAS,CHACHAPOYAS\n'
+                '150101,LIMA,"LIMA, CALLAO"\n')
     schema = T.StructType([T.StructField(n, T.StringType()) for n in ["ubigeo", "department", "province"]])
-    df = read_csv_after_banner(spark, p, schema)
-    assert rows(df) == [("010101", "AMAZONAS", "CHACHAPOYAS"), ("150101", "LIMA", "LIMA")]
+    want = [("010101", "AMAZONAS", "CHACHAPOYAS"), ("150101", "LIMA", "LIMA, CALLAO")]
+    df = read_csv_after_banner(spark, p, schema)                  # skip the first line of each file
+    assert rows(df) == want
+    assert rows(read_csv_after_banner(spark, p, schema, mode="content")) == want
     assert rename_at(df, 3, "prov").columns == ["ubigeo", "department", "prov"]
     assert rename_tail(df, ["a", "b"]).columns == ["ubigeo", "a", "b"]
     back = hand_over(df, os.path.join(d, "handover"))
