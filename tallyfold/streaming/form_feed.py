@@ -23,7 +23,8 @@ def start_form_intake(spark: SparkSession, source_dir: str, schema: T.StructType
     """Start the intake; ``once=True`` processes what is there and stops."""
     reader = spark.readStream.schema(schema).format(fmt)
     if fmt == "csv":
-        reader = reader.option("header", "true")
+        # check header names against the schema instead of mapping by position
+        reader = reader.option("header", "true").option("enforceSchema", "false")
     # watermarks need a session-zone timestamp; form stamps are zone-less
     rows = (reader.load(source_dir)
                   .withColumn("_event_time", F.col(stamp).cast("timestamp"))
