@@ -23,6 +23,9 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType | None = Non
         reader = reader.schema(schema)
     if fmt == "csv":
         reader = reader.option("header", options.get("header", "true"))
+        # with a header, check its names against the schema instead of
+        # mapping columns by position
+        reader = reader.option("enforceSchema", options.get("enforceSchema", "false"))
     return reader.load(path)
 
 
