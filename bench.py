@@ -22,7 +22,7 @@ def main() -> None:
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     only = set(sys.argv[1:])
     spark = build_session(f"local[{cpus}]", app="tallyfold-bench",
-                          shuffle_partitions=max(8, cpus * 2),
+                          shuffle_partitions=cpus,
                           extra={"spark.driver.memory": "16g"})
     # warm-up on the smallest tables: JVM code paths, Python workers (not timed)
     warm_dir = os.path.join(os.path.dirname(sf_dir.rstrip("/")), "sf0.001")
