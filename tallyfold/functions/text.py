@@ -13,17 +13,20 @@ import unicodedata
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Letters that fold to more than one ASCII letter.  They are
-# replaced before upper-casing (upper('ß') is not 'SS' in every engine).
+# Characters that fold to more than one ASCII character.  They
+# are replaced before upper-casing (upper('ß') is not 'SS' in every engine).
 MULTI_LETTER_FOLDS = {
     "ß": "ss", "Æ": "AE", "æ": "ae", "Œ": "OE", "œ": "oe",
-    "Þ": "TH", "þ": "th", "Ĳ": "IJ", "ĳ": "ij",
+    "Þ": "TH", "þ": "th", "Ĳ": "IJ", "ĳ": "ij", "…": "...", "«": "<<", "»": ">>",
 }
 
-# Single letters without a Unicode decomposition.
+# Single characters without a Unicode decomposition to ASCII,
+# including the ordinal indicators and punctuation common in Spanish forms.
 SINGLE_LETTER_FOLDS = {
     "Ø": "O", "ø": "o", "Đ": "D", "đ": "d", "Ð": "D", "ð": "d",
     "Ł": "L", "ł": "l", "Ħ": "H", "ħ": "h", "ı": "i", "Ŧ": "T", "ŧ": "t",
+    "º": "o", "ª": "a", "¿": "?", "¡": "!", "\u00a0": " ",
+    "\u2013": "-", "\u2014": "-", "\u2018": "'", "\u2019": "'", "\u201c": '"', "\u201d": '"',
 }
 
 

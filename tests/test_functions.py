@@ -14,9 +14,11 @@ from tallyfold.functions.text import fold_py, fold_text
 
 
 def test_fold_text_q11(spark):
-    df = spark.createDataFrame([("Ñandú",), ("straße",), (None,), ("Ærø Œuvre",)], "t string")
+    df = spark.createDataFrame([("Ñandú",), ("straße",), (None,), ("Ærø Œuvre",),
+                                ("Nº 3ª – “Cuna Más”… ¿sí?",)], "t string")
     got = [r[0] for r in df.select(fold_text("t")).collect()]
-    assert got == ["NANDU", "STRASSE", None, "AERO OEUVRE"]
+    assert got == ["NANDU", "STRASSE", None, "AERO OEUVRE", 'NO 3A - "CUNA MAS"... ?SI?']
+    assert [fold_py(r) for r in ["Ñandú", "Nº 3ª – “Cuna Más”… ¿sí?"]] == [got[0], got[4]]
     assert fold_py("Ñandú") == "NANDU"
 
 
