@@ -49,6 +49,16 @@ def unknown_members(df: DataFrame, key: str, ref: DataFrame, ref_key: str | None
     return vals.join(refs, key, "left_anti")
 
 
+def membership(df: DataFrame, key: str, ref: DataFrame, ref_key: str | None = None,
+               out: str = "known") -> DataFrame:
+    """Each distinct value of ``key`` with a flag: is it in the reference list (U4)."""
+    ref_key = ref_key or key
+    vals = df.select(key).where(F.col(key).isNotNull()).distinct()
+    refs = (ref.select(F.col(ref_key).alias(key)).where(F.col(key).isNotNull()).distinct()
+               .withColumn(out, F.lit(True)))
+    return vals.join(refs, key, "left").select(key, F.coalesce(F.col(out), F.lit(False)).alias(out))
+
+
 def assert_members(df: DataFrame, key: str, ref: DataFrame, ref_key: str | None = None,
                    message: str = "unknown value") -> None:
     """Stop the job when any value of ``key`` is outside the reference list.

@@ -97,6 +97,11 @@ def q_unknown_members(spark, sf):
     return quality.unknown_members(_tidy(spark, sf), "department", S.official_places(spark, sf))
 
 
+def q_member_check(spark, sf):
+    """Every department of the classified rows, flagged as in the official list or not."""
+    return quality.membership(_tidy(spark, sf), "department", S.official_places(spark, sf))
+
+
 def q_month_counts(spark, sf):
     return jobs.month_counts(_tidy(spark, sf))
 

@@ -310,6 +310,10 @@ SQL: dict[str, str] = {
     "q_unknown_members": with_ctes("tidy", "places") + """
         SELECT DISTINCT department FROM tidy
         WHERE department NOT IN (SELECT department FROM places WHERE department IS NOT NULL)""",
+    "q_member_check": with_ctes("tidy", "places") + """
+        SELECT d.department,
+               d.department IN (SELECT department FROM places WHERE department IS NOT NULL) AS known
+        FROM (SELECT DISTINCT department FROM tidy WHERE department IS NOT NULL) d""",
     "q_month_counts": with_ctes("month_counts") + "SELECT department, name, n FROM month_counts",
     "q_spine": with_ctes("tidy") + f"""
         SELECT DISTINCT t.department, t_name.name FROM tidy t, {_values('name', _REG_NAMES)}""",

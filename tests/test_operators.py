@@ -28,6 +28,8 @@ def test_members_and_exclusions(spark):
     df = spark.createDataFrame([(1, "A"), (2, "B"), (3, "Z")], "n long, d string")
     ref = spark.createDataFrame([("A",), ("B",)], "d string")
     assert rows(unknown_members(df, "d", ref)) == [("Z",)]
+    from tallyfold.operators.quality import membership
+    assert rows(membership(df, "d", ref)) == [("A", True), ("B", True), ("Z", False)]
     with pytest.raises(ValueError, match="Z"):
         assert_members(df, "d", ref)
     assert_members(df.where("d != 'Z'"), "d", ref)
