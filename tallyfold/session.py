@@ -58,14 +58,13 @@ def build_session(master: str | None = None, app: str = "tallyfold",
 def checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    A cluster must name a shared folder there.  Only a local session (tests)
-    without the setting gets a fresh scratch folder of its own.
+    Where the setting is absent, a folder inside the warehouse is used and
+    becomes the setting: the warehouse is the one other place that the driver
+    and all executors share, under any master.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
-        if not spark.conf.get("spark.master", "local").startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-        path = tempfile.mkdtemp(prefix="tallyfold-ckpt-")
+        path = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
         spark.conf.set("spark.checkpoint.dir", path)
     try:
         sc = spark.sparkContext
