@@ -1,38 +1,64 @@
 """From raw documents to tokens, stage by stage.
 
 Every stage takes (spark, docs, sf_dir) and returns a DataFrame, which is
-written as Parquet and read again as the next stage's ``docs``.
+written as Parquet and read again as the next stage's ``docs``.  Each stage
+learns from, and works on, all that its predecessor kept.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyfold.llm import exact_dedup, simhash
+from tallyfold.llm import bpe, exact_dedup, langid, mixing, simhash
 from tallyfold.llm.common import table
+from tallyfold.llm.queries import VOCABULARY
+from tallyfold.session import checkpoint_dir
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents that language identification doesn't reject."""
+    found = langid.predict(docs, langid.fit(docs), docs.columns)
+    return found.where("not rejected").select(*docs.columns)
+
+
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of equal texts."""
+    """One document of each group of equal texts, that of the largest doc_id."""
     return exact_dedup.drop_exact_copies(docs)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each SimHash component."""
+    """One document of each SimHash component, that of the smallest doc_id."""
     return simhash.drop_near_copies(docs)
 
 
-STAGES: list[tuple[str, Stage]] = [("exact_dedup", exact_copies), ("simhash", near_copies)]
+def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The mix, a row for each reading of a document, stored in its order."""
+    return mixing.in_mix_order(mixing.mix(docs))
+
+
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, ids and decoded text of every reading."""
+    return bpe.bpe_round_trip(docs, VOCABULARY)
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("language", known_language), ("exact_dedup", exact_copies), ("near_dedup", near_copies),
+    ("mixing", mixed_sources), ("tokens", tokens)]
 
-# tokens and fingerprints of this pipeline have no SQL form; tests hold it
-# against a brute-force version instead
+# centroids, fingerprints, schedules and tokens have no SQL form: tests hold the
+# pipeline against a brute-force version instead
 ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``, each stored before the next one reads it."""
-    return table(spark, sf_dir, "documents")
+    docs, folder = table(spark, sf_dir, "documents"), checkpoint_dir(spark).rstrip("/")
+    for name, stage in STAGES[:-1]:
+        stage(spark, docs, sf_dir).write.parquet(path := f"{folder}/pipeline-{name}-{uuid.uuid4().hex}")
+        docs = spark.read.parquet(path)
+    return STAGES[-1][1](spark, docs, sf_dir)

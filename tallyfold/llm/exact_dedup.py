@@ -78,9 +78,11 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                  block_chars: int = BLOCK_CHARS) -> DataFrame:
     """rid, doc_id, keep_id, group_size, kept, text_sha256: one row per input row."""
     rows = durable(document_names(docs, id_col, text_col, block_chars))
-    groups = rows.groupBy("level", "name").agg(
+    # stored, so that the join below has a shuffle of its own on both sides and
+    # AQE can split a group of very many copies
+    groups = durable(rows.groupBy("level", "name").agg(
         F.count(F.lit(1)).alias("group_size"),
-        F.max(F.struct("doc_id", "rid")).alias("last"))
+        F.max(F.struct("doc_id", "rid")).alias("last")))
     return rows.join(groups, ["level", "name"]).select(
         "rid", "doc_id", F.col("last.doc_id").alias("keep_id"), "group_size",
         (F.col("rid") == F.col("last.rid")).alias("kept"), "text_sha256")
