@@ -9,12 +9,13 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from tallyfold.plans.catalog import QUERIES  # noqa: E402
-from tallyfold.session import build_session  # noqa: E402
+from tallyfold.session import build_session, scratch_run  # noqa: E402
 
 
 def main() -> None:
@@ -23,19 +24,23 @@ def main() -> None:
     only = set(sys.argv[1:])
     spark = build_session(f"local[{cpus}]", app="tallyfold-bench",
                           shuffle_partitions=cpus,
-                          extra={"spark.driver.memory": "16g"})
+                          extra={"spark.driver.memory": "16g",
+                                 "spark.checkpoint.dir": tempfile.mkdtemp(prefix="tallyfold-bench-"),
+                                 "spark.cleaner.referenceTracking.cleanCheckpoints": "true"})
     # warm-up on the smallest tables: JVM code paths, Python workers (not timed)
     warm_dir = os.path.join(os.path.dirname(sf_dir.rstrip("/")), "sf0.001")
     if os.path.isdir(warm_dir):
         for name in ("q_row_number", "q_fuzzy_cascade"):
-            QUERIES[name](spark, warm_dir).write.format("noop").mode("overwrite").save()
+            with scratch_run(spark):
+                QUERIES[name](spark, warm_dir).write.format("noop").mode("overwrite").save()
     times = {}
     for name, fn in QUERIES.items():
         if only and name not in only:
             continue
-        t0 = time.perf_counter()
-        fn(spark, sf_dir).write.format("noop").mode("overwrite").save()
-        times[name] = round(time.perf_counter() - t0, 3)
+        with scratch_run(spark):
+            t0 = time.perf_counter()
+            fn(spark, sf_dir).write.format("noop").mode("overwrite").save()
+            times[name] = round(time.perf_counter() - t0, 3)
     spark.stop()
     sf_text = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
     try:

@@ -26,17 +26,15 @@ the records, and a triple shared by many records is handled once.
 from __future__ import annotations
 
 import math
-import os
-import uuid
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyfold.functions.jaro import jaro_distance, jaro_similarity
+from tallyfold.functions.jaro import jaro_distance, jaro_similarities
 from tallyfold.functions.logic import if_else
-from tallyfold.session import checkpoint_dir, ship_package
+from tallyfold.session import scratch_path, ship_package
 
 DEFAULT_LEVELS = ("department", "province", "district")
 
@@ -73,7 +71,7 @@ def _block_candidates(cap: int):
             out_q, out_text, out_dist, out_weight, out_next = [], [], [], [], []
             for q, qkey, texts, lowered, weights in zip(pdf["_q"], pdf["_qkey"], pdf["_vals"],
                                                         pdf["_keys"], pdf["_ws"]):
-                d = np.array([1.0 - jaro_similarity(qkey, g) for g in lowered])
+                d = 1.0 - jaro_similarities([qkey] * len(lowered), list(lowered))
                 w = np.asarray(weights, dtype=np.int64)
                 order = np.argsort(d, kind="stable")
                 d, w, texts = d[order], w[order], np.asarray(texts, dtype=object)[order]
@@ -96,9 +94,15 @@ def _block_candidates(cap: int):
     return run
 
 
+def _copies(n: Column | int) -> Column:
+    """0 … n-1, one row each."""
+    n = n if isinstance(n, Column) else F.lit(n)
+    return F.explode(F.sequence(F.lit(0).cast("long"), n.cast("long") - 1))
+
+
 def nearest_candidates(queries: DataFrame, qcol: str, refs: DataFrame, rcol: str,
                        wcol: str, cap: int, block_size: int = 2048,
-                       broadcast_rows: int = 200_000, salts: int = 64) -> DataFrame:
+                       salts: int = 64) -> DataFrame:
     """Nearest official texts for each distinct typed text (Jaro, case-insensitive).
 
     Returns ``(q, g, d, below, m)``: candidate ``g`` of typed text ``q`` at
@@ -107,35 +111,26 @@ def nearest_candidates(queries: DataFrame, qcol: str, refs: DataFrame, rcol: str
     ``1 + k * below <= cap`` for some ``k >= 1`` — or is exact — is present.
 
     The official texts are grouped into blocks of about ``block_size``; each
-    typed text meets each block once.  The block table is broadcast only when
-    the official list has at most ``broadcast_rows`` texts (checked here);
-    above that the join shuffles on (block id, salt), the salt taken from
-    the typed text and each block copied once per salt value.
+    distinct typed text meets each block once, so the work is the product of
+    the distinct texts of both sides.  That holds while the first level is
+    small (some dozen to some ten thousand official names); it is not meant
+    for two large lists.  The join is on (block, salt), the salt taken from the
+    typed text and each block copied once per salt, so a block is no hot key;
+    AQE broadcasts the blocks when their measured size is small.
     """
     q = queries.select(F.col(qcol).alias("_q")).where(F.col("_q").isNotNull()).distinct()
     r = refs.select(F.col(rcol).alias("_g"), F.col(wcol).cast("long").alias("_w"))
-    n_ref = r.count()
-    if n_ref == 0:
-        return q.sparkSession.createDataFrame(
-            [], "q string, g string, d double, below long, m double")
-    n_blocks = max(1, math.ceil(n_ref / block_size))
-    blocks = (r.withColumn("_blk", F.pmod(F.xxhash64("_g"), F.lit(n_blocks)))
+    n_blocks = r.agg(F.greatest(F.ceil(F.count(F.lit(1)) / block_size), F.lit(1)).alias("n")).scalar()
+    blocks = (r.withColumn("_blk", F.pmod(F.xxhash64("_g"), n_blocks))
                .groupBy("_blk")
                .agg(F.collect_list("_g").alias("_vals"),
                     F.collect_list(F.lower("_g")).alias("_keys"),
-                    F.collect_list("_w").alias("_ws")))
+                    F.collect_list("_w").alias("_ws"))
+               .withColumn("_salt", _copies(salts)))
     qb = (q.withColumn("_qkey", F.lower("_q"))
-           .withColumn("_blk", F.explode(F.sequence(F.lit(0).cast("long"),
-                                                    F.lit(n_blocks - 1).cast("long")))))
-    if n_ref <= broadcast_rows:
-        pairs = qb.join(F.broadcast(blocks), "_blk")
-    else:
-        # every typed text meets every block, so a block id alone would be a
-        # hot key; a salt from the typed text spreads each block over tasks
-        salt = F.pmod(F.xxhash64("_q"), F.lit(salts))
-        blocks = blocks.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"),
-                                                                 F.lit(salts - 1).cast("long"))))
-        pairs = qb.withColumn("_salt", salt).join(blocks, ["_blk", "_salt"])
+           .withColumn("_salt", F.pmod(F.xxhash64("_q"), F.lit(salts)))
+           .withColumn("_blk", _copies(n_blocks)))
+    pairs = qb.join(blocks, ["_blk", "_salt"])
     ship_package(q.sparkSession)
     found = pairs.select("_q", "_qkey", "_vals", "_keys", "_ws").mapInPandas(
         _block_candidates(cap), "_q string, _g string, _d double, _w long, _next double")
@@ -166,12 +161,20 @@ def _pair_distances(pairs: DataFrame, typed: str, official: str, out: str) -> Da
                  .withColumn(out, jaro_distance(F.lower(typed), F.lower(official))))
 
 
+def _join_spread(left: DataFrame, right: DataFrame, keys: list[str], by: list[str],
+                 salts: int = 16) -> DataFrame:
+    """Equi-join in which a key that very many rows of ``left`` carry is spread
+    over ``salts`` tasks by its ``by`` columns; ``right`` is copied per salt."""
+    left = left.withColumn("_salt", F.pmod(F.xxhash64(*by), F.lit(salts)))
+    return left.join(right.withColumn("_salt", _copies(salts)), [*keys, "_salt"]).drop("_salt")
+
+
 def _cut(df: DataFrame) -> DataFrame:
     """Write a level's rows as Parquet to the shared checkpoint folder and read
     them back: later levels never recompute earlier ones, a lost executor
     does not send the job back to the first level, and the copy is columnar
     and compressed."""
-    path = os.path.join(checkpoint_dir(df.sparkSession), f"match-{uuid.uuid4().hex}")
+    path = scratch_path(df.sparkSession, "match")
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
@@ -209,8 +212,9 @@ def fuzzy_cascade(records: DataFrame, gazetteer: DataFrame, row_id: str = "n_row
     s1 = _cut(s1)
     g2 = gaz.groupBy(l1, l2).agg(F.count(F.lit(1)).alias("_w2")).select(
         F.col(l1).alias("_g1"), F.col(l2).alias("_g2"), "_w2")
-    d2 = _pair_distances(s1.select("_t2", "_g1").distinct().join(g2, "_g1"), "_t2", "_g2", "_d2")
-    x2 = s1.join(g2, "_g1").join(d2, ["_t2", "_g2"])
+    d2 = _pair_distances(_join_spread(s1.select("_t2", "_g1").distinct(), g2, ["_g1"], ["_t2"]),
+                         "_t2", "_g2", "_d2")
+    x2 = _join_spread(s1, g2, ["_g1"], tkey).join(d2, ["_t2", "_g2"])
     below2, nearest2 = _rank_stats(tkey, "_d2", "_w2")
     s2 = (x2.select("*", nearest2.alias("_m2"), below2.alias("_b2"))
             .where(_survives(F.col("_m2"), F.col("_d2"), F.col("_b2"), F.col("_k"), caps[1]))

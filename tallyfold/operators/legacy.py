@@ -8,21 +8,14 @@ from pyspark.sql import functions as F
 from tallyfold.functions.logic import presence_flag
 
 
-def distinct_values(col: str) -> Column:
-    """Aggregate: sorted distinct non-missing values of a group (an array).
-
-    ``collect_set`` de-duplicates map-side, so a huge group still ships only
-    its distinct values.
-    """
-    return F.array_sort(F.collect_set(col))
-
-
 def distinct_non_null(df: DataFrame, key: str, col: str, out: str | None = None) -> DataFrame:
     """Multi-row aggregate: each distinct non-missing value of ``col`` per key,
     or one missing value when the group has none (A3)."""
     out = out or col
-    return (df.groupBy(key).agg(distinct_values(col).alias("_vals"))
-              .select(key, F.explode_outer("_vals").alias(out)))
+    pairs = df.select(key, F.col(col).alias(out)).distinct()
+    none = pairs.groupBy(key).agg(F.count(out).alias("_n")).where("_n = 0").select(
+        key, F.lit(None).cast(pairs.schema[out].dataType).alias(out))
+    return pairs.where(F.col(out).isNotNull()).unionByName(none)
 
 
 def any_present(df: DataFrame, key: str, cols: list[str]) -> DataFrame:
@@ -30,15 +23,12 @@ def any_present(df: DataFrame, key: str, cols: list[str]) -> DataFrame:
     return df.groupBy(key).agg(*[F.max(presence_flag(c)).alias(c) for c in cols])
 
 
-def recycle(values: Column, n: Column, label: str) -> Column:
-    """Stretch a group's distinct values to ``n`` rows like a summarise would:
-    length n stays, length 1 (or 0 → one missing) repeats n times, any other
-    length is an error."""
-    size = F.size(values)
-    return (F.when(size == n, values)
-             .when(size <= 1, F.array_repeat(F.try_element_at(values, F.lit(1)), n.cast("int")))
-             .otherwise(F.raise_error(F.lit(f"incompatible group sizes in {label}"))
-                        .cast("array<string>")))
+def repeats(own: Column, most: Column, label: str) -> Column:
+    """How often each of a group's ``own`` distinct values appears when the group
+    is stretched to ``most`` rows as a summarise would: as many values stay, a
+    single one is repeated, any other number is an error."""
+    return (F.when(own == most, F.lit(1).cast("long")).when(own == 1, most)
+             .otherwise(F.raise_error(F.lit(f"incompatible group sizes in {label}")).cast("long")))
 
 
 def legacy_wide_to_long(master: DataFrame, wide: DataFrame, key: str,
@@ -52,20 +42,18 @@ def legacy_wide_to_long(master: DataFrame, wide: DataFrame, key: str,
     count); rows without a mode are dropped and the mode is decoded
     (``1`` → ``mode_yes``, else ``mode_no``).
     """
-    aggs = [distinct_values(col).alias(f"_m{i}") for i, (_, col) in enumerate(months)]
-    per_key = wide.groupBy(key).agg(*aggs)
-    joined = master.select(key).join(per_key, key, "left")
-    arrays = [F.coalesce(F.col(f"_m{i}"), F.array().cast("array<string>"))
-              for i in range(len(months))]
-    n = F.greatest(*[F.greatest(F.size(a), F.lit(1)) for a in arrays])
-    def tag(month_key):
-        return lambda m: F.struct(F.lit(month_key).alias("fecha"), m.alias("modal"))
-
-    rows = [F.transform(recycle(a, n, key), tag(fk)) for a, (fk, _) in zip(arrays, months)]
-    exploded = joined.select(key, F.explode(F.concat(*rows)).alias("_r"))
-    kept = exploded.where(F.col("_r.modal").isNotNull())
+    month = [F.struct(F.lit(fk).alias("fecha"), F.col(c).cast("string").alias("modal")) for fk, c in months]
+    modes = (wide.select(key, F.explode(F.array(*month)).alias("_r")).select(key, "_r.*")
+                 .where(F.col("modal").isNotNull()).distinct())
+    # number of distinct modes of each month, one row per key
+    sizes = modes.groupBy(key).agg(*[F.count(F.when(F.col("fecha") == fk, 1)).alias(f"_n{i}")
+                                     for i, (fk, _) in enumerate(months)])
+    own = F.coalesce(*[F.when(F.col("fecha") == fk, F.col(f"_n{i}")) for i, (fk, _) in enumerate(months)])
+    most = F.greatest(F.lit(1).cast("long"), *[F.col(f"_n{i}") for i in range(len(months))])
+    kept = (modes.join(sizes, key).join(master.select(key), key)
+                 .withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), repeats(own, most, key)))))
     return kept.select(
-        key, F.lit(name).alias("name"), F.col("_r.fecha").alias("fecha"),
-        F.when((F.col("_r.modal").try_cast("double") == 1) | (F.col("_r.modal") == "1"),
+        key, F.lit(name).alias("name"), "fecha",
+        F.when((F.col("modal").try_cast("double") == 1) | (F.col("modal") == "1"),
                F.lit(mode_yes)).otherwise(F.lit(mode_no)).alias("modal"),
         F.lit(placeholder).alias("value"))

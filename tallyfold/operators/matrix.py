@@ -23,33 +23,6 @@ def spine(entities: DataFrame, dims: list[tuple[str, list[str]]]) -> DataFrame:
     return out
 
 
-def check_unique_cells(facts: DataFrame, keys: list[str], value: str) -> DataFrame:
-    """One row per cell; a cell with several values stops the job naming its key.
-
-    Spark's pivot would silently keep one of them, so this guard runs first.
-    """
-    msg = F.concat(F.lit("several values in one matrix cell: "),
-                   F.concat_ws("/", *[F.coalesce(F.col(k).cast("string"), F.lit("NULL"))
-                                      for k in keys]))
-    cells = facts.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("_n"), F.first(value, ignorenulls=False).alias("_v"))
-    return cells.select(*keys, F.when(F.col("_n") > 1, F.raise_error(msg).cast("string"))
-                        .otherwise(F.col("_v")).alias(value))
-
-
-def widen(df: DataFrame, ids: list[str], name: str, value: str, names: list[str],
-          check_unique: bool = True) -> DataFrame:
-    """Long to wide with an explicit, ordered column list (A5).
-
-    Giving the values keeps the output schema fixed and lets Spark plan a
-    two-phase pivot aggregate without a job to discover the names.
-    """
-    df = df.where(F.col(name).isin(names))
-    if check_unique:
-        df = check_unique_cells(df, ids + [name], value)
-    return df.groupBy(*ids).pivot(name, names).agg(F.first(value))
-
-
 def dense_count_matrix(facts: DataFrame, entities: DataFrame, entity: str, name: str,
                        names: list[str], fill: int = 0) -> DataFrame:
     """Count facts per (entity, name); every entity × name present, zero-filled.

@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyfold.functions.logic import first_match, in_list, to_number
-from tallyfold.operators.matrix import check_unique_cells, spine
 
 FACT_COLS = ["ubigeo", "name", "fecha", "modal", "value"]
 
@@ -85,31 +84,31 @@ def dense_indicator_matrix(entities: DataFrame, facts: DataFrame, entity: str,
 
     Cells of ``zero_names`` without a fact become ``"0"``; other empty cells
     stay missing.  Columns starting with a ``numeric_prefixes`` entry are
-    turned into numbers.  Facts are reduced to one row per cell (and checked
-    to be unique) before they meet the spine.
+    turned into numbers.  The facts are reduced to one row per cell, those of
+    listed months and names pivoted and joined to the entities once; a cell of a
+    listed entity with several values stops the job, naming it (Spark's pivot
+    would silently keep one).
     """
     ids = list(entities.columns)
-    grid = spine(entities, [("fecha", months), ("name", names)])
-    # only cells the spine can meet are checked (and joined)
-    keys = [entity, "fecha", "name"]
-    facts = facts.join(grid.select(*keys), keys, "left_semi")
-    cells = check_unique_cells(facts, keys, "value")
-    joined = grid.join(cells, [entity, "fecha", "name"], "left")
-    filled = joined.withColumn(
-        "value", F.when(in_list("name", zero_names) & F.col("value").isNull(), F.lit("0"))
-                  .otherwise(F.col("value")))
+    # the pivot's value list leaves out unlisted months and names
+    cells = (facts.select(entity, F.concat_ws("_", "name", "fecha").alias("_cell"), "value")
+                  .groupBy(entity, "_cell").agg(F.count(F.lit(1)).alias("n"), F.first("value").alias("v"))
+                  .select(entity, "_cell", F.struct("n", "v").alias("_c")))
     # month-major, as the spine is crossed month then name
-    col_names = [f"{n}_{m}" for m in months for n in names]
-    order = col_names
-    wide = (filled.withColumn("_cell", F.concat_ws("_", "name", "fecha"))
-                  .groupBy(*ids).pivot("_cell", col_names).agg(F.first("value")))
+    columns = [(n, f"{n}_{m}") for m in months for n in names]
+    wide = cells.groupBy(entity).pivot("_cell", [c for _, c in columns]).agg(F.first("_c"))
+    joined = entities.distinct().join(wide, entity, "left")
     out = []
-    for c in order:
+    for name, c in columns:
+        several = F.raise_error(F.concat(F.lit("several values in one matrix cell: "),
+                                         F.col(entity).cast("string"), F.lit(f"/{c}"))).cast("string")
+        cell = F.when(F.col(f"`{c}`.n") > 1, several).otherwise(F.col(f"`{c}`.v"))
+        if name in zero_names:
+            cell = F.coalesce(cell, F.lit("0"))
         if any(c.lower().startswith(p.lower()) for p in numeric_prefixes):
-            out.append(to_number(F.col(c)).alias(c))
-        else:
-            out.append(F.col(c))
-    return wide.select(*ids, *out)
+            cell = to_number(cell)
+        out.append(cell.alias(c))
+    return joined.select(*ids, *out)
 
 
 def union_facts(frames: list[DataFrame]) -> DataFrame:

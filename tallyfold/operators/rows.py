@@ -2,14 +2,10 @@
 
 from __future__ import annotations
 
-import os
-import re
-import uuid
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyfold.session import checkpoint_dir
+from tallyfold.session import scratch_path
 
 
 def _join_back(df: DataFrame, per_group: DataFrame, keys: list[str],
@@ -32,18 +28,6 @@ def _join_back(df: DataFrame, per_group: DataFrame, keys: list[str],
     return df.join(right, cond, "inner").drop(*tmp)
 
 
-_PART = re.compile(r"part-(\d+)-.*?(?:-c(\d+))?\.")
-
-
-def _file_order(name: str) -> tuple[int, int, str]:
-    """Range order of a written file: task (partition) index, then the file
-    counter inside the task; plain text order breaks past 99999 parts."""
-    m = _PART.match(name)
-    if not m:
-        raise ValueError(f"unexpected output file name: {name}")
-    return int(m.group(1)), int(m.group(2) or 0), name
-
-
 def number_rows(df: DataFrame, order_by: str, tie_break: str, out: str = "n_row",
                 num_partitions: int | None = None, path: str | None = None) -> DataFrame:
     """Global 1..n row number in (``order_by`` nulls last, ``tie_break``) order.
@@ -55,15 +39,16 @@ def number_rows(df: DataFrame, order_by: str, tie_break: str, out: str = "n_row"
     ``path`` (default: a new folder under the shared checkpoint folder) —
     one file per range, in range order.  Read back, a row's number is the
     row count of all earlier files plus its index inside its file
-    (``_metadata.row_index``).  Only one count per file reaches the driver;
-    the offsets return as a broadcast table with one row per file.
+    (``_metadata.row_index``).  The counts of earlier files are a window sum
+    over one row per file, joined back on the file.
 
     The written table is the durable copy row numbers need anyway (they are
     a key across a human review pause), it cuts the lineage, and the numbers
     depend only on the total order, not on where range boundaries fell.
+    All columns of ``df`` are written, so pass the columns that are needed.
     """
     spark = df.sparkSession
-    path = path or os.path.join(checkpoint_dir(spark), f"numbered-{uuid.uuid4().hex}")
+    path = path or scratch_path(spark, "numbered")
     keys = [F.col(order_by).asc_nulls_last(), F.col(tie_break).asc()]
     # without a given count AQE sizes the ranges by bytes; coalescing joins
     # adjacent ranges, so every file stays one contiguous run in range order
@@ -73,13 +58,14 @@ def number_rows(df: DataFrame, order_by: str, tie_break: str, out: str = "n_row"
     back = spark.read.schema(df.schema).parquet(path).select(
         "*", F.col("_metadata.file_name").alias("_file"),
         F.col("_metadata.row_index").alias("_pos"))
-    offsets, total = [], 0
-    for file_name, rows_in_file in sorted(back.groupBy("_file").count().collect(),
-                                          key=lambda r: _file_order(r[0])):
-        offsets.append((file_name, total))
-        total += rows_in_file
-    table = spark.createDataFrame(offsets, "_file string, _off long")
-    return (back.join(F.broadcast(table), "_file")
+    # range order of a file: its task's index, then the file counter inside the
+    # task (as numbers: plain text order breaks past 99999 parts)
+    task = F.regexp_extract("_file", r"^part-(\d+)-", 1).cast("long")
+    counter = F.coalesce(F.regexp_extract("_file", r"-c(\d+)\.", 1).try_cast("long"), F.lit(0))
+    earlier = Window.orderBy(task, counter, "_file").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = back.groupBy("_file").agg(F.count(F.lit(1)).alias("_rows")).select(
+        "_file", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_off"))
+    return (back.join(offsets, "_file")
                 .withColumn(out, F.col("_off") + F.col("_pos") + 1)
                 .drop("_file", "_pos", "_off"))
 
@@ -116,17 +102,3 @@ def group_size(df: DataFrame, keys: list[str], out: str = "reps") -> DataFrame:
     sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_size"))
     joined = _join_back(df.drop(out), sizes, keys)
     return joined.withColumnRenamed("_size", out)
-
-
-def first_row_values(df: DataFrame, keys: list[str], order_col: str,
-                     values: list[str]) -> DataFrame:
-    """One row per group: ``values`` of the row with the smallest ``order_col``.
-
-    A single aggregate (``min`` of a struct led by the order column), so it
-    partially aggregates map-side and never joins back to the rows.  Use it
-    when ``order_col`` is unique inside each group; :func:`keep_first`
-    keeps ties.
-    """
-    first = F.min(F.struct(order_col, *values)).alias("_first")
-    return df.groupBy(*keys).agg(first).select(
-        *keys, *[F.col(f"_first.{v}").alias(v) for v in values])

@@ -8,8 +8,6 @@ so both engines render values alike.
 
 from __future__ import annotations
 
-import os
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,18 +17,20 @@ from pyspark.sql import types as T
 from tallyfold.functions.jaro import jaro_distance
 from tallyfold.functions.text import fold_text
 from tallyfold.operators import fuzzy, legacy, quality, review
-from tallyfold.plans import jobs, params as P, standins as S
-from tallyfold.session import checkpoint_dir
-from tallyfold.sources.io import (driver_table, hand_over, read_csv_after_banner, rename_at,
-                                  rename_tail)
+from tallyfold.plans import jobs, standins as S
+from tallyfold.plans.rules import STANDIN
+from tallyfold.session import scratch_path
+from tallyfold.operators.rows import group_size, keep_first
+from tallyfold.sources.io import (driver_table, hand_over, literal_table, rename_at, rename_tail,
+                                  split_readable)
 
 
 def _day(df: DataFrame, col: str = "event_date") -> DataFrame:
     return df.withColumn(col, F.date_format(col, "yyyy-MM-dd"))
 
 
-def _tidy(spark, sf):
-    return quality.split_valid(S.classified_submissions(spark, sf), "category")[0]
+def _tidy(spark, sf, numbered=True):
+    return quality.split_valid(S.classified_submissions(spark, sf, numbered), "category")[0]
 
 
 def q_scan_declared(spark, sf):
@@ -40,24 +40,35 @@ def q_scan_declared(spark, sf):
                     "o_orderpriority")
 
 
+EXPORT_HEADERS = {"o_orderkey": "Order key", "o_custkey": "Customer", "o_orderstatus": "Status",
+                  "o_totalprice": "Total, gross", "order_day": "Day", "o_orderpriority": "Priority"}
+
+
 def q_banner_csv(spark, sf):
-    """A sheet export with a banner line above the header (S2): orders are
-    written as CSV text with a banner into the shared folder and read back."""
+    """A sheet export with a banner line above its own headers (S2), as the jobs
+    read theirs: missing, quoted and multi-line cells, and records cut short,
+    which come back as rejected with what could be read of them."""
     o = driver_table(spark, sf, "orders")
-    cols = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "order_day",
-            "o_orderpriority"]
-    body = o.select(F.concat_ws(",", "o_orderkey", "o_custkey", "o_orderstatus",
-                                F.col("o_totalprice").cast("string"),
-                                F.date_format("o_orderdate", "yyyy-MM-dd"),
-                                "o_orderpriority").alias("value"))
-    top = spark.createDataFrame([("ORDERS EXPORT",), (",".join(cols),)], "value string")
-    path = os.path.join(checkpoint_dir(spark), f"sheet-{uuid.uuid4().hex}")
+    priority = (F.when(F.col("o_orderpriority") == "4-NOT SPECIFIED", F.lit(None))
+                 .when(F.col("o_orderpriority") == "1-URGENT", F.lit('1-URGENT, "now"'))
+                 .when(F.col("o_orderpriority") == "5-LOW", F.lit("5-LOW\nany time"))
+                 .otherwise(F.col("o_orderpriority")))
+    cells = [F.col("o_orderkey"), F.col("o_custkey"), F.col("o_orderstatus"), F.col("o_totalprice"),
+             F.date_format("o_orderdate", "yyyy-MM-dd"), priority]
+    style = {"escape": '"'}
+    whole = F.to_csv(F.struct(*[c.alias(f"c{i}") for i, c in enumerate(cells)]), style)
+    short = F.to_csv(F.struct(*[c.alias(f"c{i}") for i, c in enumerate(cells[:3])]), style)
+    body = o.select(F.when(F.col("o_orderstatus") == "P", short).otherwise(whole).alias("value"))
+    header = ",".join(f'"{h}"' for h in EXPORT_HEADERS.values())
+    top = spark.createDataFrame([(f"ORDERS EXPORT\n{header}",)], "value string")
+    path = scratch_path(spark, "sheet") + ".csv"
     top.unionByName(body).write.text(path)
-    schema = T.StructType([T.StructField(c, t) for c, t in zip(cols, [
-        T.LongType(), T.LongType(), T.StringType(), T.DoubleType(), T.StringType(),
-        T.StringType()])])
-    # the export's files do not each start with the banner: recognise it by content
-    return read_csv_after_banner(spark, path, schema, mode="content")
+    schema = T.StructType([T.StructField(c, t) for c, t in zip(EXPORT_HEADERS, [
+        T.LongType(), T.LongType(), T.StringType(), T.DoubleType(), T.StringType(), T.StringType()])])
+    good, rejected = split_readable(spark, path, schema, EXPORT_HEADERS)
+    key = F.split("record", ",")[0].cast("long").alias("o_orderkey")
+    return good.withColumn("reason", F.lit(None).cast("string")).unionByName(
+        rejected.select(key, "reason"), allowMissingColumns=True)
 
 
 def q_positional_rename(spark, sf):
@@ -72,13 +83,12 @@ def q_fold_text(spark, sf):
 
 
 def q_row_number(spark, sf):
-    return S.numbered_submissions(spark, sf).select("submission_id", "n_row")
+    return S.row_numbers(spark, sf)
 
 
 def q_exclude_rows(spark, sf):
-    nb = S.numbered_submissions(spark, sf)
-    return quality.exclude_rows(nb, S.exclusions(spark, sf, nb), "n_row").select(
-        "n_row", "submission_id")
+    numbers = S.row_numbers(spark, sf)
+    return quality.exclude_rows(numbers, S.exclusions(spark, sf, numbers), "n_row")
 
 
 def q_clean(spark, sf):
@@ -94,31 +104,51 @@ def q_quarantine(spark, sf):
 
 
 def q_unknown_members(spark, sf):
-    return quality.unknown_members(_tidy(spark, sf), "department", S.official_places(spark, sf))
+    """Departments of the classified rows that the list of regions, which knows
+    no rewritten name, doesn't have."""
+    return quality.unknown_members(_tidy(spark, sf, False), "department", S.region_names(spark, sf))
 
 
 def q_member_check(spark, sf):
-    """Every department of the classified rows, flagged as in the official list or not."""
-    return quality.membership(_tidy(spark, sf), "department", S.official_places(spark, sf))
+    """Every department of the classified rows, flagged as in that list or not."""
+    return quality.membership(_tidy(spark, sf, False), "department", S.region_names(spark, sf))
 
 
 def q_month_counts(spark, sf):
-    return jobs.month_counts(_tidy(spark, sf))
+    return jobs.month_counts(_tidy(spark, sf, False))
 
 
 def q_spine(spark, sf):
-    """Distinct departments of the classified submissions × the 21 class-month names."""
-    return jobs.regional_spine(_tidy(spark, sf))
+    """Distinct departments of the official list × the 21 class-month names."""
+    return jobs.regional_spine(S.official_places(spark, sf))
+
+
+def q_keep_first_ties(spark, sf):
+    """The earliest rows of each department and class, all of the first day."""
+    rows = _tidy(spark, sf, False).select("department", "category", "event_date", "submission_id")
+    return _day(keep_first(rows, ["department", "category"], "event_date"))
+
+
+def q_group_size(spark, sf):
+    """Every classified row with the number of rows of its department and class."""
+    rows = _tidy(spark, sf, False).select("submission_id", "department", "category")
+    return group_size(rows, ["department", "category"])
+
+
+def q_literal_table(spark, sf):
+    """Months of a literal table against the attendance rows that name them."""
+    months = literal_table(spark, sorted(STANDIN.month_numbers.items()), "month_name string, month string")
+    found = S.attendance(spark, sf).groupBy("month_name").agg(F.count(F.lit(1)).alias("n"))
+    return months.join(found, "month_name", "left")
 
 
 def q_regional_matrix(spark, sf):
-    return jobs.regional_matrix(_tidy(spark, sf), S.official_places(spark, sf))
+    return jobs.regional_matrix(_tidy(spark, sf, False), S.official_places(spark, sf))
 
 
 def _tidy_written(spark, sf):
     """Classified rows handed over as a written table, as between the jobs."""
-    return hand_over(_tidy(spark, sf),
-                     os.path.join(checkpoint_dir(spark), f"tidy-{uuid.uuid4().hex}"))
+    return hand_over(_tidy(spark, sf), scratch_path(spark, "tidy"))
 
 
 def _decisions(spark, sf, written: bool = True):
@@ -218,13 +248,13 @@ def _round_dists(df):
 
 
 def matcher_gazetteer(spark, sf):
-    return fuzzy.relabel_by_prefix(S.part_gazetteer(spark, sf), "ubigeo", P.SPECIAL_PREFIX,
-                                   "department", P.SPECIAL_LABEL)
+    return fuzzy.relabel_by_prefix(S.part_gazetteer(spark, sf), "ubigeo", STANDIN.special_prefix,
+                                   "department", STANDIN.special_label)
 
 
 def q_fuzzy_cascade(spark, sf):
     out = fuzzy.fuzzy_cascade(S.part_records(spark, sf), matcher_gazetteer(spark, sf),
-                              caps=P.MATCH_CAPS)
+                              caps=STANDIN.match_caps)
     return _round_dists(out)
 
 

@@ -33,9 +33,10 @@ from tallyfold.plans.rules import STANDIN, Rules
 # cleaning and classification ---------------------------------------------------
 def clean_submissions(numbered: DataFrame, rules: Rules = STANDIN) -> DataFrame:
     """Fold texts, day of the event; keep rows with a department whose
-    intervention matches the pattern.  Expects numbered, not-excluded rows."""
+    intervention matches the pattern.  Expects not-excluded rows, numbered
+    unless they are only counted."""
     out = numbered.select(
-        "n_row", "submission_id",
+        *[c for c in ("n_row",) if c in numbered.columns], "submission_id",
         fold_text("department").alias("department"),
         fold_text("province").alias("province"),
         fold_text("district").alias("district"),
@@ -170,14 +171,14 @@ def legacy_long(places: DataFrame, wide: DataFrame, rules: Rules = STANDIN) -> D
                                rules.mode_yes, rules.mode_no)
 
 
-def fanned_facts(local: DataFrame, cuna: DataFrame, vieja: DataFrame,
+def fanned_facts(local: DataFrame, attendance: DataFrame, legacy: DataFrame,
                  rules: Rules = STANDIN) -> DataFrame:
     kw = dict(presence_value=rules.presence_value, role_name=rules.role_name,
               mode_name=rules.mode_name)
     return union_facts([
         indicator_fanout(local, role_if=F.col("value") != rules.coordination, **kw),
-        indicator_fanout(cuna, **kw),
-        indicator_fanout(vieja, **kw),
+        indicator_fanout(attendance, **kw),
+        indicator_fanout(legacy, **kw),
     ])
 
 

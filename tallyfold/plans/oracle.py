@@ -7,7 +7,7 @@ not from the Spark plans, so the two sides are independent.
 
 from __future__ import annotations
 
-from tallyfold.plans import params as P
+from tallyfold.plans.rules import STANDIN
 
 
 def _fold(x: str) -> str:
@@ -24,8 +24,8 @@ def _values(col: str, values) -> str:
 
 _LO = "DATE '1996-05-01'"
 _HI = "DATE '1996-12-01'"
-_LOCAL = f"DATE '{P.LOCAL_START.isoformat()}'"
-_OLD, _NEW = P.DEPARTMENT_REWRITE
+_LOCAL = f"DATE '{STANDIN.local_start.isoformat()}'"
+_OLD, _NEW = STANDIN.department_rewrite
 
 CTE = {}
 CTE["sub_raw"] = """
@@ -52,26 +52,26 @@ CTE["clean"] = f"""
   FROM numbered
   WHERE n_row NOT IN (SELECT n_row FROM excluded)
     AND {_fold('department')} IS NOT NULL
-    AND coalesce(regexp_matches(intervention, '{P.INTERVENTION_PATTERN}'), false)"""
+    AND coalesce(regexp_matches(intervention, '{STANDIN.intervention_pattern}'), false)"""
 CTE["rw1"] = f"""
   SELECT * REPLACE (CASE WHEN department = '{_OLD}' THEN '{_NEW}' ELSE department END AS department)
   FROM clean"""
 CTE["rw2"] = f"""
-  SELECT * REPLACE (CASE WHEN coalesce(position IN ({_lst(P.COORDINATOR_POSITIONS)}), false)
-                         THEN '{P.COORDINATION}' ELSE responsible END AS responsible)
+  SELECT * REPLACE (CASE WHEN coalesce(position IN ({_lst(STANDIN.coordinator_positions)}), false)
+                         THEN '{STANDIN.coordination}' ELSE responsible END AS responsible)
   FROM rw1"""
 CTE["classified"] = f"""
   SELECT * EXCLUDE (position), CASE
-    WHEN recipient = 'AUTOMOBILE' AND responsible = '{P.COORDINATION}' THEN 'AT_ETR'
-    WHEN recipient = 'BUILDING' AND responsible = '{P.COORDINATION}' THEN 'AT_ETL'
-    WHEN recipient IN ('FURNITURE', 'HOUSEHOLD') AND responsible = '{P.COORDINATION}' THEN 'AT_GORE'
-    WHEN recipient IN ('MACHINERY', 'HOUSEHOLD') AND responsible = '{P.COORDINATION}' THEN 'AT_GL'
-    WHEN recipient IN ('MACHINERY', 'HOUSEHOLD') AND responsible IN ({_lst(P.PROGRAMMES)}) THEN 'AT_PPSS'
+    WHEN recipient = 'AUTOMOBILE' AND responsible = '{STANDIN.coordination}' THEN 'AT_ETR'
+    WHEN recipient = 'BUILDING' AND responsible = '{STANDIN.coordination}' THEN 'AT_ETL'
+    WHEN recipient IN ('FURNITURE', 'HOUSEHOLD') AND responsible = '{STANDIN.coordination}' THEN 'AT_GORE'
+    WHEN recipient IN ('MACHINERY', 'HOUSEHOLD') AND responsible = '{STANDIN.coordination}' THEN 'AT_GL'
+    WHEN recipient IN ('MACHINERY', 'HOUSEHOLD') AND responsible IN ({_lst(STANDIN.class_rules[-1].units)}) THEN 'AT_PPSS'
   END AS category
   FROM rw2"""
 CTE["tidy"] = "SELECT * FROM classified WHERE category IS NOT NULL"
 CTE["places"] = f"""
-  SELECT lpad(CAST(n.n_nationkey AS VARCHAR), 2, '0') AS ubigeo,
+  SELECT printf('%02d', n.n_nationkey) AS ubigeo,
          CASE WHEN r.r_name = '{_OLD}' THEN '{_NEW}' ELSE r.r_name END AS department,
          n.n_name AS province, n.n_name AS district
   FROM nation n JOIN region r ON n.n_regionkey = r.r_regionkey"""
@@ -79,16 +79,16 @@ CTE["reg_facts"] = f"""
   SELECT department, category || '_' || strftime(event_date, '%m%Y') AS name
   FROM tidy
   WHERE event_date >= {_LO} AND event_date < {_HI}
-    AND category IN ({_lst(P.REGIONAL_CLASSES)})"""
+    AND category IN ({_lst(STANDIN.regional_classes)})"""
 CTE["month_counts"] = "SELECT department, name, count(*) AS n FROM reg_facts GROUP BY department, name"
 CTE["local_rows"] = f"""
   SELECT * FROM tidy
   WHERE event_date >= {_LOCAL} AND district IS NOT NULL AND district <> 'NA'
-    AND category IN ({_lst(P.LOCAL_CLASSES)})"""
+    AND category IN ({_lst(STANDIN.local_classes)})"""
 CTE["dec_src"] = """
   SELECT l.n_row, o.o_orderpriority AS pri, c.c_acctbal AS bal,
-         lpad(CAST(c.c_nationkey AS VARCHAR), 2, '0') AS own_code,
-         lpad(CAST(n.n_regionkey AS VARCHAR), 2, '0') AS region_code
+         printf('%02d', c.c_nationkey) AS own_code,
+         printf('%02d', n.n_regionkey) AS region_code
   FROM local_rows l JOIN orders o ON l.submission_id = o.o_orderkey
        JOIN customer c ON o.o_custkey = c.c_custkey
        JOIN nation n ON c.c_nationkey = n.n_nationkey"""
@@ -103,8 +103,8 @@ CTE["accepted"] = """
   FROM decisions WHERE decision <> 'NO'"""
 CTE["right_side"] = f"""
   SELECT n_row, category AS name, strftime(event_date, '%m%Y') AS fecha,
-         CASE WHEN responsible = '{P.COORDINATION}' THEN 'CE'
-              WHEN NOT (responsible = '{P.COORDINATION}') THEN 'PPSS' END AS type,
+         CASE WHEN responsible = '{STANDIN.coordination}' THEN 'CE'
+              WHEN NOT (responsible = '{STANDIN.coordination}') THEN 'PPSS' END AS type,
          mode AS modal, responsible AS value
   FROM tidy WHERE event_date >= {_LOCAL}"""
 CTE["joined"] = """
@@ -122,19 +122,19 @@ CTE["at_local"] = """
     SELECT *, min(n_row) OVER (PARTITION BY ubigeo, name, type, fecha) AS first_row FROM enriched)
   WHERE n_row = first_row"""
 _MONTH_CASE = "CASE month_name " + " ".join(
-    f"WHEN '{k}' THEN '{v}'" for k, v in P.MONTH_NUMBERS.items()) + " END"
+    f"WHEN '{k}' THEN '{v}'" for k, v in STANDIN.month_numbers.items()) + " END"
 CTE["attendance"] = """
-  SELECT lpad(CAST(s_nationkey AS VARCHAR), 2, '0') AS ubigeo,
+  SELECT printf('%02d', s_nationkey) AS ubigeo,
          CASE WHEN s_acctbal < 0 THEN 'MAYO' WHEN s_acctbal < 3000 THEN 'JUNIO'
               WHEN s_acctbal < 6000 THEN 'JULIO' WHEN s_acctbal < 9000 THEN 'AGOSTO'
               ELSE 'SETIEMBRE' END AS month_name
   FROM supplier"""
 CTE["cuna"] = f"""
-  SELECT ubigeo, 'AT_PPSS' AS name, {_MONTH_CASE} || '{P.YEAR}' AS fecha,
+  SELECT ubigeo, 'AT_PPSS' AS name, {_MONTH_CASE} || '{STANDIN.year}' AS fecha,
          '-' AS modal, 'CUNA MAS' AS value
   FROM attendance"""
 CTE["legacy_wide"] = """
-  SELECT lpad(CAST(c.c_nationkey AS VARCHAR), 2, '0') AS ubigeo,
+  SELECT printf('%02d', c.c_nationkey) AS ubigeo,
          CASE WHEN c_mktsegment IN ('BUILDING', 'MACHINERY') THEN 'x' END AS at_june,
          CASE WHEN c_acctbal < 0 THEN NULL WHEN n_regionkey IN (0, 1) THEN '1'
               WHEN n_regionkey = 2 THEN '2' END AS mode_june,
@@ -174,7 +174,7 @@ def _fan(src: str, cond: str = "TRUE") -> str:
   UNION ALL SELECT ubigeo, 'MODALIDAD', fecha, modal, modal FROM {src}"""
 
 
-CTE["fanned"] = (_fan("at_local", f"value <> '{P.COORDINATION}'") + "\n  UNION ALL"
+CTE["fanned"] = (_fan("at_local", f"value <> '{STANDIN.coordination}'") + "\n  UNION ALL"
                  + _fan("cuna") + "\n  UNION ALL" + _fan("legacy_long"))
 CTE["p1"] = "SELECT *, count(*) OVER (PARTITION BY ubigeo, name, fecha) AS reps FROM fanned"
 CTE["p2"] = "SELECT * EXCLUDE (reps) FROM p1 WHERE reps = 1 OR coalesce(value <> '-', false)"
@@ -184,19 +184,19 @@ CTE["facts"] = """
   WHERE reps = 1 OR coalesce(modal <> '-', false)"""
 CTE["grid"] = f"""
   SELECT p.*, t_fecha.fecha, t_name.name
-  FROM places p, {_values('fecha', P.MONTHS)}, {_values('name', P.LOCAL_NAMES)}"""
+  FROM places p, {_values('fecha', STANDIN.months)}, {_values('name', STANDIN.local_names)}"""
 CTE["filled"] = f"""
   SELECT g.ubigeo, g.department, g.province, g.district, g.fecha, g.name,
-         CASE WHEN g.name IN ({_lst(P.ZERO_FILLED)}) AND f.value IS NULL THEN '0'
+         CASE WHEN g.name IN ({_lst(STANDIN.zero_filled)}) AND f.value IS NULL THEN '0'
               ELSE f.value END AS value
   FROM grid g LEFT JOIN facts f ON g.ubigeo = f.ubigeo AND g.fecha = f.fecha AND g.name = f.name"""
 CTE["pg"] = """
-  SELECT lpad(CAST(min(p_partkey) AS VARCHAR), 4, '0') AS ubigeo, p_type, p_brand, p_name
+  SELECT printf('%04d', min(p_partkey)) AS ubigeo, p_type, p_brand, p_name
   FROM part GROUP BY p_type, p_brand, p_name"""
 CTE["gaz"] = f"""
   SELECT ubigeo,
-         CASE WHEN substr(ubigeo, 1, {len(P.SPECIAL_PREFIX)}) = '{P.SPECIAL_PREFIX}'
-              THEN '{P.SPECIAL_LABEL}' ELSE p_type END AS department,
+         CASE WHEN substr(ubigeo, 1, {len(STANDIN.special_prefix)}) = '{STANDIN.special_prefix}'
+              THEN '{STANDIN.special_label}' ELSE p_type END AS department,
          p_brand AS province, p_name AS district
   FROM pg"""
 CTE["recs"] = """
@@ -222,15 +222,15 @@ CTE["pairs"] = """
 _T = "PARTITION BY sd, sp, sdi"
 CTE["a1"] = f"SELECT *, min(d1) OVER ({_T}) AS m1 FROM pairs"
 CTE["c1"] = f"SELECT *, rank() OVER ({_T} ORDER BY d1) AS rk1 FROM a1 WHERE m1 > 0 OR d1 = m1"
-CTE["a2"] = f"SELECT *, min(d2) OVER ({_T}) AS m2 FROM c1 WHERE rk1 <= {P.MATCH_CAPS[0]}"
+CTE["a2"] = f"SELECT *, min(d2) OVER ({_T}) AS m2 FROM c1 WHERE rk1 <= {STANDIN.match_caps[0]}"
 CTE["c2"] = f"SELECT *, rank() OVER ({_T} ORDER BY d2) AS rk2 FROM a2 WHERE m2 > 0 OR d2 = m2"
 CTE["c3"] = (f"SELECT *, rank() OVER ({_T} ORDER BY (d2 + 1) * (d3 + 1) + d3) AS rk3 "
-             f"FROM c2 WHERE rk2 <= {P.MATCH_CAPS[1]}")
+             f"FROM c2 WHERE rk2 <= {STANDIN.match_caps[1]}")
 
 CTE["lplaces"] = f"""
   SELECT ubigeo,
-         CASE WHEN substr(ubigeo, 1, {len(P.SPECIAL_PREFIX)}) = '{P.SPECIAL_PREFIX}'
-              THEN '{P.SPECIAL_LABEL}' ELSE department END AS department,
+         CASE WHEN substr(ubigeo, 1, {len(STANDIN.special_prefix)}) = '{STANDIN.special_prefix}'
+              THEN '{STANDIN.special_label}' ELSE department END AS department,
          province, district
   FROM places"""
 CTE["lpairs"] = """
@@ -243,13 +243,13 @@ CTE["lpairs"] = """
   WHERE r.department IS NOT NULL AND r.province IS NOT NULL AND r.district IS NOT NULL"""
 CTE["la1"] = f"SELECT *, min(d1) OVER ({_T}) AS m1 FROM lpairs"
 CTE["lc1"] = f"SELECT *, rank() OVER ({_T} ORDER BY d1) AS rk1 FROM la1 WHERE m1 > 0 OR d1 = m1"
-CTE["la2"] = f"SELECT *, min(d2) OVER ({_T}) AS m2 FROM lc1 WHERE rk1 <= {P.MATCH_CAPS[0]}"
+CTE["la2"] = f"SELECT *, min(d2) OVER ({_T}) AS m2 FROM lc1 WHERE rk1 <= {STANDIN.match_caps[0]}"
 CTE["lc2"] = f"SELECT *, rank() OVER ({_T} ORDER BY d2) AS rk2 FROM la2 WHERE m2 > 0 OR d2 = m2"
 CTE["lc3"] = (f"SELECT *, rank() OVER ({_T} ORDER BY (d2 + 1) * (d3 + 1) + d3) AS rk3 "
-              f"FROM lc2 WHERE rk2 <= {P.MATCH_CAPS[1]}")
+              f"FROM lc2 WHERE rk2 <= {STANDIN.match_caps[1]}")
 
 CTE["legacy_wide_multi"] = """
-  SELECT lpad(CAST(c.c_nationkey AS VARCHAR), 2, '0') AS ubigeo,
+  SELECT printf('%02d', c.c_nationkey) AS ubigeo,
          CASE WHEN c_acctbal < 0 THEN NULL
               WHEN c_mktsegment IN ('BUILDING', 'MACHINERY') THEN '1' ELSE '2' END AS mode_june,
          CASE WHEN c_acctbal < 0 THEN NULL WHEN n_regionkey IN (1, 3) THEN '2'
@@ -270,14 +270,14 @@ def with_ctes(*names: str) -> str:
 _TIDY_COLS = ("n_row, submission_id, department, province, district, "
               "strftime(event_date, '%Y-%m-%d') AS event_date, responsible, mode, "
               "intervention, recipient, category")
-_REG_NAMES = [f"{c}_{m}" for m in P.MONTHS for c in P.REGIONAL_CLASSES]
-_LOCAL_COLS = [f"{n}_{m}" for m in P.MONTHS for n in P.LOCAL_NAMES]
+_REG_NAMES = [f"{c}_{m}" for m in STANDIN.months for c in STANDIN.regional_classes]
+_LOCAL_COLS = [f"{n}_{m}" for m in STANDIN.months for n in STANDIN.local_names]
 
 
 def _local_col(c: str) -> str:
     name, month = c.rsplit("_", 1)
     cell = f"max(CASE WHEN name = '{name}' AND fecha = '{month}' THEN value END)"
-    if any(c.lower().startswith(p.lower()) for p in P.NUMERIC_PREFIXES):
+    if any(c.lower().startswith(p.lower()) for p in STANDIN.numeric_prefixes):
         cell = f"TRY_CAST({cell} AS DOUBLE)"
     return f'{cell} AS "{c}"'
 
@@ -289,8 +289,15 @@ SQL: dict[str, str] = {
         FROM orders""",
     "q_banner_csv": """
         SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice,
-               strftime(o_orderdate, '%Y-%m-%d') AS order_day, o_orderpriority
-        FROM orders""",
+               strftime(o_orderdate, '%Y-%m-%d') AS order_day,
+               CASE o_orderpriority WHEN '4-NOT SPECIFIED' THEN NULL
+                    WHEN '1-URGENT' THEN '1-URGENT, "now"'
+                    WHEN '5-LOW' THEN '5-LOW' || chr(10) || 'any time'
+                    ELSE o_orderpriority END AS o_orderpriority, NULL::VARCHAR AS reason
+        FROM orders WHERE o_orderstatus <> 'P' OR o_orderstatus IS NULL
+        UNION ALL
+        SELECT o_orderkey, NULL, NULL, NULL, NULL, NULL, 'wrong number of fields'
+        FROM orders WHERE o_orderstatus = 'P'""",
     "q_positional_rename": """
         SELECT p_partkey AS part_id, p_name AS name, p_brand AS brand, p_type AS kind,
                p_size AS size, p_retailprice AS price
@@ -309,14 +316,26 @@ SQL: dict[str, str] = {
     "q_quarantine": with_ctes("classified") + f"SELECT {_TIDY_COLS} FROM classified WHERE category IS NULL",
     "q_unknown_members": with_ctes("tidy", "places") + """
         SELECT DISTINCT department FROM tidy
-        WHERE department NOT IN (SELECT department FROM places WHERE department IS NOT NULL)""",
+        WHERE department NOT IN (SELECT r_name FROM region WHERE r_name IS NOT NULL)""",
     "q_member_check": with_ctes("tidy", "places") + """
         SELECT d.department,
-               d.department IN (SELECT department FROM places WHERE department IS NOT NULL) AS known
+               d.department IN (SELECT r_name FROM region WHERE r_name IS NOT NULL) AS known
         FROM (SELECT DISTINCT department FROM tidy WHERE department IS NOT NULL) d""",
     "q_month_counts": with_ctes("month_counts") + "SELECT department, name, n FROM month_counts",
-    "q_spine": with_ctes("tidy") + f"""
-        SELECT DISTINCT t.department, t_name.name FROM tidy t, {_values('name', _REG_NAMES)}""",
+    "q_spine": with_ctes("places") + f"""
+        SELECT DISTINCT p.department, t_name.name FROM places p, {_values('name', _REG_NAMES)}""",
+    "q_keep_first_ties": with_ctes("tidy") + """
+        SELECT department, category, strftime(event_date, '%Y-%m-%d') AS event_date, submission_id
+        FROM (SELECT *, min(event_date) OVER (PARTITION BY department, category) AS first_day FROM tidy)
+        WHERE event_date = first_day""",
+    "q_group_size": with_ctes("tidy") + """
+        SELECT submission_id, department, category,
+               count(*) OVER (PARTITION BY department, category) AS reps FROM tidy""",
+    "q_literal_table": with_ctes("attendance") + "SELECT m.month_name, m.month, a.n FROM (VALUES "
+        + ", ".join(f"('{k}', '{v}')" for k, v in STANDIN.month_numbers.items())
+        + """) AS m(month_name, month) LEFT JOIN (
+            SELECT month_name, count(*) AS n FROM attendance GROUP BY month_name) a
+          ON a.month_name = m.month_name""",
     "q_regional_matrix": with_ctes("month_counts") + "SELECT d.department, " + ", ".join(
         f"CAST(coalesce(max(CASE WHEN m.name = '{c}' THEN m.n END), 0) AS BIGINT) AS \"{c}\""
         for c in _REG_NAMES) + """
@@ -346,8 +365,8 @@ SQL: dict[str, str] = {
           max(CASE WHEN ial_july IS NOT NULL THEN 1 ELSE 0 END)::DOUBLE AS ial_july
         FROM legacy_wide GROUP BY ubigeo""",
     "q_distinct_non_null": """
-        WITH k AS (SELECT DISTINCT lpad(CAST(c_nationkey AS VARCHAR), 2, '0') AS ubigeo FROM customer),
-             v AS (SELECT DISTINCT lpad(CAST(c_nationkey AS VARCHAR), 2, '0') AS ubigeo,
+        WITH k AS (SELECT DISTINCT printf('%02d', c_nationkey) AS ubigeo FROM customer),
+             v AS (SELECT DISTINCT printf('%02d', c_nationkey) AS ubigeo,
                           c_mktsegment AS segment
                    FROM customer WHERE c_acctbal > 9500)
         SELECT k.ubigeo, v.segment FROM k LEFT JOIN v ON k.ubigeo = v.ubigeo""",

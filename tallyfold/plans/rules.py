@@ -51,7 +51,10 @@ class Rules:
     role_name: str = "CARGO_PPSS"
     mode_name: str = "MODALIDAD"
     presence_class: str = "AT_PPSS"
-    extra: dict = field(default_factory=dict)
+    # original header of each declared column, by input; places of unnamed ones
+    headers: dict[str, dict[str, str]] = field(default_factory=dict)
+    positions: dict[str, dict[int, str]] = field(default_factory=dict)
+    legacy_tail: tuple[str, ...] | None = None
 
 
 # Fixed values of the original workflow.
@@ -84,6 +87,29 @@ FIELD = Rules(
     mode_no="Virtual",
     special_prefix="15",
     special_label="LIMA",
+    headers={
+        "submissions": {
+            "submitted_at": "Marca temporal",
+            "department": "Departamento",
+            "province": "Provincia",
+            "district": "Distrito",
+            "event_date": "Fecha de la Asistencia Técnica",
+            "responsible": "Unidad Orgánica o Programa Social del responsable"
+                           " que brinda la asistencia técnica",
+            "mode": "Modalidad que brindó la asistencia técnica",
+            "position": "Cargo del responsable",
+            "intervention": "Intervención en la que se brindó asistencia técnica",
+            "recipient": "Institución que recibió la asistencia técnica",
+        },
+        "places": {"ubigeo": "UBIGEO", "department": "DEPARTAMENTO", "province": "PROVINCIA",
+                   "district": "DISTRITO"},
+        "attendance": {"ubigeo": "UBIGEO", "month_name": "MES"},
+        "decisions": {"n_row": "N_ROW", "ubigeo": "UBIGEO", "decision": "RESULTADO"},
+        "exclusions": {"n_row": "N_ROW"},
+        "legacy_wide": {"ubigeo": "UBIGEO"},
+    },
+    positions={"places": {9: "EGTPI"}},
+    legacy_tail=("at_june", "mode_june", "ial_june", "at_july", "mode_july", "ial_july"),
 )
 
 # Stand-in values for the driver tables.

@@ -42,7 +42,8 @@ def _t(spark, sf, name):
 
 
 def code2(col) -> F.Column:
-    return F.lpad(F.col(col).cast("string"), 2, "0")
+    """A key as text of at least two digits; longer keys stay whole."""
+    return F.format_string("%02d", F.col(col))
 
 
 def raw_submissions(spark: SparkSession, sf: str) -> DataFrame:
@@ -75,25 +76,49 @@ def official_places(spark: SparkSession, sf: str) -> DataFrame:
         F.col("n_name").alias("province"), F.col("n_name").alias("district"))
 
 
+def region_names(spark: SparkSession, sf: str) -> DataFrame:
+    """A list of departments as the regions are called, before any rewrite."""
+    return _t(spark, sf, "region").select(F.col("r_name").alias("department"))
+
+
+def row_numbers(spark: SparkSession, sf: str) -> DataFrame:
+    """n_row of every submission: only the sort key and the id are numbered."""
+    stamps = raw_submissions(spark, sf).select("submission_id", "submitted_at")
+    return number_rows(stamps, "submitted_at", "submission_id").select("submission_id", "n_row")
+
+
 def numbered_submissions(spark: SparkSession, sf: str) -> DataFrame:
-    return number_rows(raw_submissions(spark, sf), "submitted_at", "submission_id")
+    return raw_submissions(spark, sf).join(row_numbers(spark, sf), "submission_id")
+
+
+def excluded_ids(spark: SparkSession, sf: str) -> DataFrame:
+    """The submissions on the exclusion list."""
+    return _t(spark, sf, "orders").where(F.col("o_totalprice") > 490000).select(
+        F.col("o_orderkey").alias("submission_id"))
+
 
+def exclusions(spark: SparkSession, sf: str, numbers: DataFrame | None = None) -> DataFrame:
+    """Row numbers to drop (column ``n_row``)."""
+    numbers = numbers if numbers is not None else row_numbers(spark, sf)
+    return numbers.join(excluded_ids(spark, sf), "submission_id").select("n_row")
 
-def exclusions(spark: SparkSession, sf: str, numbered: DataFrame | None = None) -> DataFrame:
-    numbered = numbered if numbered is not None else numbered_submissions(spark, sf)
-    big = _t(spark, sf, "orders").where(F.col("o_totalprice") > 490000).select("o_orderkey")
-    return numbered.join(big, numbered.submission_id == big.o_orderkey).select("n_row")
 
+def clean_submissions(spark: SparkSession, sf: str, numbered: bool = True) -> DataFrame:
+    """X1 on the stand-in submissions, exclusions removed.
 
-def clean_submissions(spark: SparkSession, sf: str) -> DataFrame:
-    """X1 on the stand-in submissions (numbered, exclusions removed)."""
-    numbered = numbered_submissions(spark, sf)
-    kept = exclude_rows(numbered, exclusions(spark, sf, numbered), "n_row")
-    return jobs.clean_submissions(kept, STANDIN)
+    With ``numbered=False`` the rows have no number: the exclusion list comes
+    from submission ids, so rows that are only counted need none.
+    """
+    raw = raw_submissions(spark, sf)
+    if not numbered:
+        return jobs.clean_submissions(exclude_rows(raw, excluded_ids(spark, sf), "submission_id"), STANDIN)
+    numbers = row_numbers(spark, sf)
+    kept = exclude_rows(numbers, exclusions(spark, sf, numbers), "n_row")
+    return jobs.clean_submissions(raw.join(kept, "submission_id"), STANDIN)
 
 
-def classified_submissions(spark: SparkSession, sf: str) -> DataFrame:
-    return jobs.classified_submissions(clean_submissions(spark, sf), STANDIN)
+def classified_submissions(spark: SparkSession, sf: str, numbered: bool = True) -> DataFrame:
+    return jobs.classified_submissions(clean_submissions(spark, sf, numbered), STANDIN)
 
 
 def decisions(spark: SparkSession, sf: str, tidy: DataFrame) -> DataFrame:
@@ -156,7 +181,7 @@ def legacy_wide_multi(spark: SparkSession, sf: str) -> DataFrame:
 def part_gazetteer(spark: SparkSession, sf: str) -> DataFrame:
     p = _t(spark, sf, "part")
     g = p.groupBy("p_type", "p_brand", "p_name").agg(F.min("p_partkey").alias("k"))
-    return g.select(F.lpad(F.col("k").cast("string"), 4, "0").alias("ubigeo"),
+    return g.select(F.format_string("%04d", "k").alias("ubigeo"),
                     F.col("p_type").alias("department"), F.col("p_brand").alias("province"),
                     F.col("p_name").alias("district"))
 

@@ -5,6 +5,10 @@ from __future__ import annotations
 import os
 import shutil
 import tempfile
+import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import SparkSession
 
@@ -75,9 +79,29 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
+_RUN: ContextVar[str | None] = ContextVar("tallyfold_scratch_run", default=None)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A sub folder of the shared checkpoint folder for written hand-over tables."""
-    return os.path.join(checkpoint_dir(spark), name)
+    """A new path for a written hand-over table, under the shared checkpoint folder.
+
+    Inside :func:`scratch_run` it lies in the run's own folder.
+    """
+    folder = _RUN.get() or checkpoint_dir(spark)
+    return os.path.join(folder, f"{name}-{uuid.uuid4().hex}")
+
+
+@contextmanager
+def scratch_run(spark: SparkSession) -> Iterator[str]:
+    """A folder for one run's hand-over tables, removed when the run's results are written."""
+    folder = os.path.join(checkpoint_dir(spark), f"run-{uuid.uuid4().hex}")
+    token = _RUN.set(folder)
+    try:
+        yield folder
+    finally:
+        _RUN.reset(token)
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 _SHIPPED: set[str] = set()

@@ -6,6 +6,7 @@ the original workflow arrive here as exported files (CSV / JSON / Parquet).
 
 from __future__ import annotations
 
+import csv
 import os
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,29 +30,135 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType | None = Non
     return reader.load(path)
 
 
-def read_input(spark: SparkSession, path: str, schema: T.StructType,
-               aliases: dict[str, str] | None = None) -> DataFrame:
+def _header(spark: SparkSession, path: str, marks: list[str]) -> list[str]:
+    """Names in the header line of a CSV export: the first line that has one of
+    ``marks`` as a field, so that a banner above it doesn't count."""
+    def fields(line: str) -> list[str]:
+        return next(csv.reader([line]), [])
+
+    marked = [F.col("value").contains(m) for m in marks]
+    lines = spark.read.text(path).where(marked[0] | marked[-1]).limit(100).collect()
+    found = [f for f in (fields(r[0].lstrip("\ufeff")) for r in lines) if set(marks) & set(f)]
+    if not found:
+        raise ValueError(f"{path}: missing columns {marks}: no header line has them")
+    return found[0]
+
+
+def _unique(names: list[str]) -> list[str]:
+    """Header names made distinct (unnamed and repeated cells get their position)."""
+    return [n if n and n not in names[:i] else f"{n}_{i + 1}" for i, n in enumerate(names)]
+
+
+def read_csv_text(spark: SparkSession, path: str, header: list[str]) -> DataFrame:
+    """The records of a CSV export as text columns, without banner and header.
+
+    Records may hold quoted commas, quotes and line ends.  In each file that has
+    a header record, that record and what stands above it (the banner) are left
+    out, once; files without one are read whole.  Besides the columns of
+    ``header`` each row has ``_record``: NULL, or the record's text where its
+    number of fields differs.
+    """
+    names = _unique(header)
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, "_record"]])
+    raw = (spark.read.schema(schema).option("header", "false").option("multiLine", "true")
+           .option("escape", '"').option("mode", "PERMISSIVE").option("columnPruning", "false")
+           .option("columnNameOfCorruptRecord", "_record").csv(path))
+    # a file with quoted line ends is read by one task, in order
+    rows = raw.select("*", F.col("_metadata.file_path").alias("_file"),
+                      F.monotonically_increasing_id().alias("_at"))
+    is_header = F.lit(True)
+    for name, cell in zip(names, header):
+        is_header = is_header & F.coalesce(F.trim(F.regexp_replace(name_col(name), "^\ufeff", "")), F.lit("")).eqNullSafe(
+            F.lit(cell.strip()))
+    heads = rows.where(is_header).groupBy("_file").agg(F.min("_at").alias("_head"))
+    return rows.join(heads, "_file", "left").where(
+        F.col("_head").isNull() | (F.col("_at") > F.col("_head"))).drop("_file", "_at", "_head")
+
+
+def name_col(name: str):
+    """A column by its exact name, whatever characters it has."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def split_readable(spark: SparkSession, path: str, schema: T.StructType,
+                   aliases: dict[str, str] | None = None, tail: list[str] | None = None,
+                   positions: dict[int, str] | None = None,
+                   row_id: str | None = None) -> tuple[DataFrame, DataFrame]:
     """Scan an exported input by its extension (csv / json / parquet).
 
-    Columns are matched by name (or by ``aliases``: declared name → file
-    name) and cast to the declared types; CSV is read without inference
-    (every field text) so a reordered export cannot shift columns.
+    Returns the rows with the declared columns, and the rows that can't be read
+    (``record``, ``reason``): records of a wrong number of fields, and rows with a
+    cell that isn't of its declared type.  Columns are matched by the name in the
+    file: ``aliases`` gives the original header of a declared name, which counts
+    where the file has it.  ``positions`` renames columns by their 1-based place
+    and ``tail`` all columns but the first, before that.  A declared column that
+    the file lacks is an error, in every format; only ``row_id`` is then made from
+    the record's place in the export.
     """
+    aliases = aliases or {}
     ext = os.path.splitext(path.rstrip("/"))[1].lower().lstrip(".") or "parquet"
+    first = schema.fields[0].name
+    wrong = F.lit(None).cast("string")
     if ext == "csv":
-        raw = spark.read.option("header", "true").option("inferSchema", "false").csv(path)
+        known = [aliases[f.name] for f in schema.fields if f.name in aliases]
+        header = _header(spark, path, [*known[:1], first])
+        raw = read_csv_text(spark, path, header)
+        wrong = F.when(F.col("_record").isNotNull(), F.lit("wrong number of fields"))
     elif ext in ("json", "jsonl"):
-        raw = spark.read.schema(schema).json(path)
+        raw = spark.read.option("primitivesAsString", "true").option("mode", "PERMISSIVE").option(
+            "columnNameOfCorruptRecord", "_record").json(path)
+        if "_record" in raw.columns:
+            wrong = F.when(F.col("_record").isNotNull(), F.lit("not a record"))
+        else:
+            raw = raw.withColumn("_record", F.lit(None).cast("string"))
     else:
-        raw = spark.read.parquet(path)
-    aliases = aliases or {}
-    source = {f.name: (f.name if f.name in raw.columns else aliases.get(f.name))
+        raw = spark.read.parquet(path).withColumn("_record", F.lit(None).cast("string"))
+    columns = [c for c in raw.columns if c != "_record"]
+    renamed = list(columns)
+    for place, name in (positions or {}).items():
+        if place <= len(renamed):
+            renamed[place - 1] = name
+    if tail is not None:
+        if len(tail) != len(renamed) - 1:
+            raise ValueError(f"{path}: expected {len(tail) + 1} columns, found {len(renamed)}")
+        renamed = [renamed[0], *tail]
+    raw = raw.select(*[name_col(c).alias(n) for c, n in zip(columns, renamed)], "_record")
+    if row_id and row_id not in renamed and aliases.get(row_id) not in renamed:
+        raw = raw.withColumn(row_id, F.format_string("%019d", F.monotonically_increasing_id()))
+        renamed.append(row_id)
+    source = {f.name: next((n for n in (aliases.get(f.name), f.name) if n in renamed), None)
               for f in schema.fields}
-    missing = [n for n, c in source.items() if c is None or c not in raw.columns]
-    if missing:
+    if missing := [n for n, c in source.items() if c is None]:
         raise ValueError(f"{path}: missing columns {missing}")
-    return raw.select(*[F.col(f"`{source[f.name]}`").cast(f.dataType).alias(f.name)
-                        for f in schema.fields])
+    for f in schema.fields:
+        cell = name_col(source[f.name])
+        bad = cell.isNotNull() & cell.cast("string").try_cast(f.dataType).isNull()
+        if ext == "csv":
+            bad = bad & (F.trim(cell) != "")
+        wrong = F.coalesce(wrong, F.when(bad, F.lit(f"unreadable {f.name}")))
+    marked = raw.withColumn("_reason", wrong)
+    good = marked.where(F.col("_reason").isNull()).select(
+        *[name_col(source[f.name]).cast("string").try_cast(f.dataType).alias(f.name) for f in schema.fields])
+    record = F.coalesce("_record", F.to_json(F.struct(*[name_col(n) for n in renamed])))
+    rejected = marked.where(F.col("_reason").isNotNull()).select(
+        record.alias("record"), F.col("_reason").alias("reason"))
+    return good, rejected
+
+
+def read_input(spark: SparkSession, path: str, schema: T.StructType,
+               aliases: dict[str, str] | None = None, rejects: str | None = None,
+               **places) -> DataFrame:
+    """The readable rows of an exported input; see :func:`split_readable`.
+
+    Unreadable rows are written to ``rejects``; without that path the first of
+    them stops the job.
+    """
+    good, rejected = split_readable(spark, path, schema, aliases, **places)
+    if rejects:
+        write_table(rejected, rejects)
+    elif bad := rejected.take(1):
+        raise ValueError(f"{path}: {bad[0]['reason']}: {bad[0]['record'][:200]}")
+    return good
 
 
 def driver_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -60,40 +167,6 @@ def driver_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
                       schemas.TABLES.get(name))
 
 
-def read_csv_after_banner(spark: SparkSession, path: str, schema: T.StructType,
-                          sep: str = ",", mode: str = "position") -> DataFrame:
-    """Scan a CSV export whose header is preceded by one banner line.
-
-    ``mode="position"`` skips exactly the first line of every file (the
-    banner) with Spark's CSV reader, then drops the header row by its text;
-    quoting is handled by the CSV parser.  ``mode="content"`` recognises
-    banner and header by content instead — a line whose field count
-    (commas outside quotes) differs from the schema, or the header text — for
-    exports whose files do not all start with the banner.
-    """
-    names = [f.name for f in schema.fields]
-    if mode == "position":
-        text_schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
-        raw = (spark.read.schema(text_schema).option("header", "true")
-               .option("enforceSchema", "true").option("sep", sep).csv(path))
-        is_header = None
-        for n in names:
-            c = F.coalesce(F.lower(F.trim(F.col(n))) == n.lower(), F.lit(False))
-            is_header = c if is_header is None else is_header & c
-        return raw.where(~is_header).select(
-            *[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema.fields])
-    if mode != "content":
-        raise ValueError(f"unknown mode {mode!r}")
-    header = sep.join(names)
-    outside_quotes = f'{sep}(?=(?:[^"]*"[^"]*")*[^"]*$)'
-    text = spark.read.text(path)
-    body = text.where(
-        (F.size(F.split("value", outside_quotes, -1)) == len(names))
-        & (F.lower(F.col("value")) != header.lower()))
-    return body.select(F.from_csv("value", schema.simpleString(),
-                                  {"sep": sep}).alias("r")).select("r.*")
-
-
 def rename_at(df: DataFrame, position: int, name: str) -> DataFrame:
     """Rename the column at 1-based ``position``."""
     cols = list(df.columns)

@@ -1,5 +1,6 @@
 import os
 import sys
+import tempfile
 
 import pytest
 
@@ -12,7 +13,9 @@ SF_SMALL = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark():
-    s = build_session("local[4]", app="tallyfold-tests", shuffle_partitions=4)
+    s = build_session("local[4]", app="tallyfold-tests", shuffle_partitions=4,
+                      extra={"spark.checkpoint.dir": tempfile.mkdtemp(prefix="tallyfold-tests-"),
+                             "spark.cleaner.referenceTracking.cleanCheckpoints": "true"})
     yield s
     s.stop()
 

@@ -6,26 +6,29 @@ import tempfile
 
 from tallyfold.__main__ import main
 
-SUBMISSIONS = """submission_id,submitted_at,department,province,district,event_date,responsible,mode,position,intervention,recipient
-s01,2022-05-03T10:00:00,Lima Metropolitana,Lima,Ancón,2022-05-02T00:00:00,Otra unidad,Presencial,Coordinador de Enlace,Sello Municipal,Equipo Territorial MIDIS (Regional)
-s02,2022-06-10T09:00:00,Amazonas,Chachapoyas,Asunción,2022-06-09T00:00:00,Juntos,Virtual,Especialista,Sello Municipal,Gobierno Local
-s03,2022-08-15T08:00:00,Áncash,Huaraz,Huaráz,2022-08-14T00:00:00,Cuna Más,Virtual,Especialista,Sello Municipal,IAL
-s04,2022-08-16T08:00:00,Amazonas,Chachapoyas,Asunción,2022-08-16T00:00:00,Juntos,Virtual,Especialista,Sello Municipal,IAL
-s05,2022-09-01T08:00:00,Amazonas,Chachapoyas,Chachapoyas,2022-08-30T00:00:00,Dirección de Articulación Territorial,Presencial,Coordinador de Enlace,Sello Municipal,Gobierno Local
-s06,2022-09-02T08:00:00,Amazonas,Chachapoyas,Chachapoyas,2022-09-01T00:00:00,Juntos,Virtual,Especialista,Otro programa,IAL
-s07,2022-09-03T08:00:00,,Chachapoyas,Chachapoyas,2022-09-02T00:00:00,Juntos,Virtual,Especialista,Sello Municipal,IAL
-s08,2022-09-04T08:00:00,Amazonas,Chachapoyas,Chachapoyas,2022-09-03T00:00:00,Juntos,Virtual,Especialista,Sello Municipal,Otra institución
+# the exports' own headers; the last columns' order differs from the form's
+SUBMISSIONS = """Marca temporal,Departamento,Provincia,Distrito,Fecha de la Asistencia Técnica,Unidad Orgánica o Programa Social del responsable que brinda la asistencia técnica,Modalidad que brindó la asistencia técnica,Cargo del responsable,Intervención en la que se brindó asistencia técnica,Institución que recibió la asistencia técnica
+2022-05-03T10:00:00,Lima Metropolitana,Lima,Ancón,2022-05-02T00:00:00,Otra unidad,Presencial,Coordinador de Enlace,Sello Municipal,Equipo Territorial MIDIS (Regional)
+2022-06-10T09:00:00,Amazonas,Chachapoyas,Asunción,2022-06-09T00:00:00,Juntos,Virtual,Especialista,Sello Municipal,Gobierno Local
+2022-08-15T08:00:00,Áncash,Huaraz,Huaráz,2022-08-14T00:00:00,Cuna Más,Virtual,Especialista,Sello Municipal,IAL
+2022-08-16T08:00:00,Amazonas,Chachapoyas,Asunción,2022-08-16T00:00:00,Juntos,Virtual,Especialista,Sello Municipal,IAL
+2022-09-01T08:00:00,Amazonas,Chachapoyas,Chachapoyas,2022-08-30T00:00:00,Dirección de Articulación Territorial,Presencial,Coordinador de Enlace,Sello Municipal,Gobierno Local
+2022-09-02T08:00:00,Amazonas,Chachapoyas,Chachapoyas,2022-09-01T00:00:00,Juntos,Virtual,Especialista,Otro programa,IAL
+2022-09-03T08:00:00,,Chachapoyas,Chachapoyas,2022-09-02T00:00:00,Juntos,Virtual,Especialista,Sello Municipal,IAL
+2022-09-04T08:00:00,Amazonas,Chachapoyas,Chachapoyas,2022-09-03T00:00:00,Juntos,Virtual,Especialista,Sello Municipal,Otra institución
 """
-PLACES = """ubigeo,department,province,district
-150101,LIMA M,LIMA,LIMA
-150102,LIMA M,LIMA,ANCON
-010101,AMAZONAS,CHACHAPOYAS,CHACHAPOYAS
-010102,AMAZONAS,CHACHAPOYAS,ASUNCION
-020101,ANCASH,HUARAZ,HUARAZ
+PLACES = """REPORTE DISTRITAL 2022,,,,,,,,
+DEPARTAMENTO,UBIGEO,PROVINCIA,DISTRITO,a,b,c,d,Avance
+LIMA M,150101,LIMA,LIMA,,,,,1
+LIMA M,150102,LIMA,ANCON,,,,,2
+AMAZONAS,010101,CHACHAPOYAS,CHACHAPOYAS,,,,,
+AMAZONAS,010102,CHACHAPOYAS,ASUNCION,,"x, y",,,
+ANCASH,020101,HUARAZ,HUARAZ,,,,,
+cut short
 """
-ATTENDANCE = "ubigeo,month_name\n010101,AGOSTO\n020101,MAYO\n020101,MAYO\n"
-LEGACY = "ubigeo,at_june,mode_june,ial_june,at_july,mode_july,ial_july\n010102,x,1,,x,2,\n"
-EXCLUSIONS = "n_row\n4\n"
+ATTENDANCE = "UBIGEO,MES\n010101,AGOSTO\n020101,MAYO\n020101,MAYO\n"
+LEGACY = "UBIGEO,Junio,,Junio IAL,Julio,,Julio IAL\n010102,x,1,,x,2,\n"
+EXCLUSIONS = "N_ROW\n4\n"
 
 
 def _write(d, name, text):
@@ -43,7 +46,9 @@ def test_field_workflow(spark, capsys):
     main(["regional", "--submissions", _write(d, "subs.csv", SUBMISSIONS), "--places", places,
           "--exclusions", _write(d, "excl.csv", EXCLUSIONS), "--out", d + "/regional"])
     out = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
-    classified = {r.submission_id: r for r in spark.read.parquet(out["classified"]).collect()}
+    # the form has no id: the sheet's order, which is that of the stamps here, numbers the rows
+    classified = {f"s{r.n_row:02d}": r for r in spark.read.parquet(out["classified"]).collect()}
+    assert [r.record for r in spark.read.parquet(d + "/regional/rejects_places").collect()] == ["cut short"]
     assert "s04" not in classified                      # excluded row number 4
     assert "s06" not in classified and "s07" not in classified
     assert classified["s01"].department == "LIMA M" and classified["s01"].category == "AT_ETR"
@@ -56,9 +61,8 @@ def test_field_workflow(spark, capsys):
     cands = {r.n_row: r.ubigeo for r in spark.read.parquet(out["candidates"]).collect()}
     n03, n05 = classified["s03"].n_row, classified["s05"].n_row
     assert cands == {n03: "020101", n05: "010101"}
-    decisions = _write(d, "decisions.csv", f"n_row,ubigeo,dist,RESULTADO\n{n03},020101,0.1,OK\n{n05},010101,0,OK\n")
+    decisions = _write(d, "decisions.csv", f"N_ROW,UBIGEO,dist,RESULTADO\n{n03},020101,0.1,OK\n{n05},010101,0,OK\n")
     main(["local", "--classified", out["classified"], "--decisions", decisions,
-          "--decision-column", "RESULTADO",
           "--attendance", _write(d, "att.csv", ATTENDANCE), "--legacy", d + "/legacy/legacy_long",
           "--places", places, "--out", d + "/local"])
     local = {r.ubigeo: r for r in spark.read.parquet(d + "/local/local_matrix").collect()}

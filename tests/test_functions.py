@@ -1,3 +1,5 @@
+import random
+
 import datetime as dt
 
 import duckdb
@@ -6,7 +8,7 @@ from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from tallyfold.functions.dates import month_bounds, month_key, month_key_to_date
-from tallyfold.functions.jaro import jaro_distance, jaro_similarity
+from tallyfold.functions.jaro import jaro_distance, jaro_similarities
 from tallyfold.functions.logic import first_match, if_else, in_list, matches, to_number
 from tallyfold.functions.text import fold_py, fold_text
 
@@ -22,6 +24,10 @@ def test_fold_text_q11(spark):
     assert fold_py("Ñandú") == "NANDU"
 
 
+def jaro_similarity(a, b):
+    return float(jaro_similarities([a], [b])[0])
+
+
 def test_jaro_known_values():
     assert round(jaro_similarity("abcxxx", "bcaxxx"), 4) == 0.9444
     assert jaro_similarity("", "") == 0.0
@@ -35,6 +41,16 @@ def test_jaro_equals_duckdb(a, b):
     assert jaro_similarity(a, b) == want
 
 
+def test_jaro_batches_equal_single_pairs():
+    rng = random.Random(3)
+    texts = ["".join(rng.choice("abñ😀 ") for _ in range(rng.choice([0, 1, 5, 9, 40, 300]))) for _ in range(120)]
+    a, b = [rng.choice(texts) for _ in range(400)], [rng.choice(texts) for _ in range(400)]
+    want = duckdb.execute("select jaro_similarity(unnest($a), unnest($b))", {"a": a, "b": b}).fetchall()
+    assert jaro_similarities(a, b).tolist() == [jaro_similarity(x, y) for x, y in zip(a, b)]
+    plain = [i for i in range(400) if (a[i] + b[i]).isascii()]  # duckdb compares bytes
+    assert [jaro_similarities(a, b)[i] for i in plain] == [want[i][0] for i in plain]
+
+
 def test_jaro_udf_nulls(spark):
     df = spark.createDataFrame([("abc", "abd"), (None, "x"), ("x", None)], "a string, b string")
     got = [r[0] for r in df.select(jaro_distance("a", "b")).collect()]

@@ -5,7 +5,10 @@ from pyspark.sql import functions as F
 
 from tallyfold.operators.rows import attach_joined_distinct, group_size, keep_first, number_rows
 
-from conftest import rows
+from tallyfold.plans import catalog as C, standins as S
+from tallyfold.session import scratch_run
+
+from conftest import SF_SMALL, rows
 
 
 def _stamps(spark, n=500):
@@ -28,10 +31,24 @@ def test_number_rows_matches_global_row_number(spark):
     assert last == df.where("ts is not null").count() + 1
 
 
-def test_number_rows_plan_has_no_single_partition_over_rows(spark):
-    plan = number_rows(_stamps(spark), "ts", "sid")._jdf.queryExecution().executedPlan().toString()
-    # rows are never gathered into one partition or sorted by a global window
-    assert "SinglePartition" not in plan and "Window" not in plan
+def test_number_rows_gathers_one_row_per_file_only(spark):
+    df = number_rows(_stamps(spark), "ts", "sid")
+    df.collect()
+    lines = df._jdf.queryExecution().executedPlan().toString().splitlines()
+    for i, line in enumerate(lines):
+        if "SinglePartition" in line:  # offsets: counts by file
+            assert "_file" in " ".join(lines[i + 1:i + 3]), line
+
+
+def test_only_needed_columns_are_numbered(spark):
+    import os
+    with scratch_run(spark) as folder:
+        S.row_numbers(spark, SF_SMALL)
+        written = [os.path.join(folder, d) for d in os.listdir(folder)]
+        assert [sorted(spark.read.parquet(w).columns) for w in written] == [["submission_id", "submitted_at"]]
+    with scratch_run(spark) as folder:  # counting needs no numbers at all
+        C.q_month_counts(spark, SF_SMALL).collect()
+        assert not os.path.exists(folder)
 
 
 def test_keep_first_ties(spark):

@@ -1,8 +1,10 @@
-"""The shared checkpoint folder comes from the session; none is invented on a cluster."""
+"""The shared checkpoint folder comes from the session; nothing machine-local is invented."""
+
+import os
 
 import pytest
 
-from tallyfold.session import checkpoint_dir
+from tallyfold.session import checkpoint_dir, scratch_path, scratch_run
 
 
 class _Conf:
@@ -25,9 +27,11 @@ class _Session:
         raise RuntimeError("no SparkContext")
 
 
-def test_cluster_without_setting_is_refused():
-    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
-        checkpoint_dir(_Session({"spark.master": "yarn"}))
+@pytest.mark.parametrize("master", ["yarn", "local[2]", "local-cluster[2,1,512]", None])
+def test_without_setting_a_shared_folder_is_used_under_any_master(master):
+    s = _Session({"spark.sql.warehouse.dir": "hdfs:///warehouse"} | ({"spark.master": master} if master else {}))
+    assert checkpoint_dir(s) == "hdfs:///warehouse/_checkpoints"
+    assert s.conf.get("spark.checkpoint.dir") == "hdfs:///warehouse/_checkpoints"
 
 
 def test_cluster_setting_is_used_as_is():
@@ -35,7 +39,11 @@ def test_cluster_setting_is_used_as_is():
     assert checkpoint_dir(s) == "hdfs:///shared/ckpt"
 
 
-def test_local_session_gets_a_scratch_folder():
-    s = _Session({"spark.master": "local[2]"})
-    path = checkpoint_dir(s)
-    assert path and s.conf.get("spark.checkpoint.dir") == path
+def test_a_run_removes_its_own_tables(spark, tmp_path):
+    with scratch_run(spark) as folder:
+        path = scratch_path(spark, "part")
+        assert path.startswith(folder)
+        spark.range(3).write.parquet(path)
+        assert os.path.isdir(path)
+    assert not os.path.exists(folder)
+    assert not scratch_path(spark, "part").startswith(folder)

@@ -21,5 +21,9 @@ def test_intake_keeps_each_submission_once(spark):
     with open(os.path.join(src, "export2.csv"), "w") as f:
         f.write("\n".join([HEADER, _row(1, 5), _row(2, 6), _row(3, 7)]) + "\n")
     start_form_intake(spark, src, SUBMISSIONS, table, ckpt, once=True).awaitTermination()
+    # a submission from before everything the table has, first seen now
+    with open(os.path.join(src, "export3.csv"), "w") as f:
+        f.write("\n".join([HEADER, _row(4, 1), _row(2, 6)]) + "\n")
+    start_form_intake(spark, src, SUBMISSIONS, table, ckpt, once=True).awaitTermination()
     got = sorted(r[0] for r in spark.read.parquet(table).select("submission_id").collect())
-    assert got == ["s1", "s2", "s3"]
+    assert got == ["s1", "s2", "s3", "s4"]

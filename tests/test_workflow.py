@@ -10,7 +10,7 @@ def test_jobs_round_trip_equal_queries(spark):
     places = S.official_places(spark, SF_SMALL)
     legacy = workflow.legacy_job(places, S.legacy_wide(spark, SF_SMALL), out + "/legacy")
     numbered = S.numbered_submissions(spark, SF_SMALL)
-    paths = workflow.regional_job(None, S.exclusions(spark, SF_SMALL, numbered), places,
+    paths = workflow.regional_job(None, S.exclusions(spark, SF_SMALL, numbered.select("submission_id", "n_row")), places,
                                   out + "/regional", numbered=numbered)
     got = spark.read.parquet(paths["regional_matrix"])
     assert rows(got) == rows(catalog.q_regional_matrix(spark, SF_SMALL))
