@@ -178,13 +178,16 @@ def main_text(page: str | None) -> str:
     if mains:
         content = {p for p in scores if p in mains}
     else:
-        mass: dict[str, float] = defaultdict(float)
+        mass, links, length = (defaultdict(float) for _ in range(3))
         for element, text, linked in found:
+            length[element.path] += len(text)
+            links[element.path] += linked
             if not element.out:
                 holder = element.path.rpartition("/")[0]
                 mass[holder] += scores[element.path] * (len(text) - linked)
         holder = max(mass, key=lambda p: mass[p])
-        content = {p for p in scores if p == holder or p.startswith(f"{holder}/")}
+        content = {p for p in scores if (p == holder or p.startswith(f"{holder}/"))
+                   and 2 * links[p] < length[p]}
         content |= {p for p, score in scores.items() if score >= THRESHOLD * best}
     return " ".join(text for element, text, _ in found if element.path in content and not element.out)
 

@@ -44,12 +44,17 @@ def integer_shares(weights: dict, resolution: int = RESOLUTION) -> dict:
         raise ValueError(f"{len(weights)} sources need a period of more than {resolution} slots")
     if any(w <= 0 for w in weights.values()):
         raise ValueError("every weight must be positive")
-    free, total = resolution - len(weights), sum(map(Fraction, weights.values()))
-    exact = {k: Fraction(w) * free / total for k, w in weights.items()}
-    shares = {k: 1 + math.floor(x) for k, x in exact.items()}
-    by_rest = sorted(weights, key=lambda k: (math.floor(exact[k]) - exact[k], str(k)))
-    for k in by_rest[:resolution - sum(shares.values())]:
-        shares[k] += 1
+    total = sum(map(Fraction, weights.values()))
+    exact = {k: Fraction(w) * resolution / total for k, w in weights.items()}
+    shares = {k: max(1, math.floor(x)) for k, x in exact.items()}
+    while (short := resolution - sum(shares.values())) != 0:
+        # what is left goes to the largest remainders; what the smallest
+        # sources were given beyond their share comes from the largest excess
+        step = 1 if short > 0 else -1
+        by_rest = sorted((k for k in weights if step > 0 or shares[k] > 1),
+                         key=lambda k: (step * (shares[k] - exact[k]), str(k)))
+        for k in by_rest[:abs(short)]:
+            shares[k] += step
     return shares
 
 

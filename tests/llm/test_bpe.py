@@ -1,0 +1,71 @@
+"""BPE against the tokenizers library: random texts, edge cases, the registered query."""
+
+import hashlib
+import json
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from tokenizers import Tokenizer
+
+from tallyfold.llm import bpe, queries
+from tallyfold.llm.common import table
+
+from conftest import SF_SMALL
+
+LIB = Tokenizer.from_file(queries.VOCABULARY)
+LIB.no_padding()
+LIB.no_truncation()
+with open(queries.VOCABULARY, encoding="utf-8") as f:
+    SPEC = json.load(f)
+OWN = bpe.WordBpe(SPEC)
+ALPHABET = "aA \t\n\x1c\x1f\x85\xa0  　éÉßẞ'sdtΣσİı1٣½ⅷ中文!?.,_<|>-́‍﻿ﬁ" + "kK𝔸😀"
+
+
+def lib_ids(text):
+    return LIB.encode(text, add_special_tokens=False).ids
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.text(alphabet=ALPHABET, max_size=40))
+def test_same_ids_and_text_as_the_library(text):
+    assert OWN.encode(text) == lib_ids(text)
+    assert OWN.decode(lib_ids(text)) == LIB.decode(lib_ids(text), skip_special_tokens=False)
+
+
+@pytest.mark.parametrize("text", [
+    "", " ", "<|endoftext|>A<|startoftext|> b", "<|endoftext|", "it's we'll I'D", "a" * 5000,
+    "thethethe " * 300, "x.y , z . w;;, ..", "word, _, !, 9. é.\n"])
+def test_edge_texts(text):
+    assert OWN.encode(text) == lib_ids(text)
+
+
+def test_a_small_cache_gives_the_same_ids():
+    small = bpe.WordBpe(SPEC, cache=3)
+    text = "one two, three four. five one two! six seven three one"
+    assert [small.encode(text) for _ in range(3)] == [lib_ids(text)] * 3
+
+
+def test_frames_with_nulls_repeats_and_clashing_columns(spark):
+    rows = [(1, "Hello, World", "x", 7), (None, None, "y", 8), (1, "Hello, World", "x", 7), (2, "", "z", 9)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, ids string, n_tokens int")
+    trip = bpe.bpe_round_trip(docs, queries.VOCABULARY)
+    got = sorted((r.doc_id or -1, list(r.ids), r.decoded) for r in trip.collect())
+    hello = (1, lib_ids("Hello, World"), LIB.decode(lib_ids("Hello, World"), skip_special_tokens=False))
+    assert got == [(-1, [], ""), hello, hello, (2, [], "")]
+    back = bpe.bpe_decode(trip, queries.VOCABULARY)
+    assert sorted((r.doc_id or -1, r.decoded) for r in back.collect()) == [(g[0], g[2]) for g in got]
+    assert bpe.digests(bpe.bpe_round_trip(docs.limit(0), queries.VOCABULARY)).collect() == []
+
+
+def test_query_equals_the_library(spark):
+    def digest(text):
+        return hashlib.sha256(text.encode()).hexdigest()
+
+    got = {r.doc_id: r for r in queries.op1_bpe(spark, SF_SMALL).collect()}
+    docs = table(spark, SF_SMALL, "documents").select("doc_id", "text").collect()
+    assert len(got) == len(docs)
+    for doc in docs:
+        ids, row = lib_ids(doc.text or ""), got[doc.doc_id]
+        assert (row.n_tokens, row.ids_sha256) == (len(ids), digest(" ".join(map(str, ids))))
+        assert row.decoded_sha256 == digest(LIB.decode(ids, skip_special_tokens=False))
