@@ -197,7 +197,8 @@ def fuzzy_cascade(records: DataFrame, gazetteer: DataFrame, row_id: str = "n_row
     if not weight_duplicates:
         triples = triples.withColumn("_k", F.lit(1).cast("long"))
     tkey = [f"_t{i}" for i in (1, 2, 3)]
-    triples = _cut(triples.select(*[F.col(lv).alias(t) for lv, t in zip(levels, tkey)], "_k"))
+    # both readers of the triples share the exchange of their aggregate: no write
+    triples = triples.select(*[F.col(lv).alias(t) for lv, t in zip(levels, tkey)], "_k")
     gaz = gazetteer.select(code, *levels).where(
         F.col(l1).isNotNull() & F.col(l2).isNotNull() & F.col(l3).isNotNull())
 

@@ -7,6 +7,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from tallyfold.plans.catalog import QUERIES
 
 from conftest import SF_SMALL
 
@@ -24,10 +25,22 @@ def con():
     c.close()
 
 
-@pytest.mark.parametrize("name", sorted(E.oracle_sql()))
+def check_plan(plan: str, name: str) -> None:
+    """No Cartesian or nested-loop join, and any single-partition exchange merges
+    partial aggregates or one row per file (offsets of the row numbers), never rows."""
+    assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan, name
+    lines = plan.splitlines()
+    for i, line in enumerate(lines):
+        if "Exchange SinglePartition" in line:
+            below = " ".join(lines[i:i + 4])
+            assert "bloom_filter_agg" in below or "_file" in below or "partial_" in below, name
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, con, name):
     df = E.queries()[name](spark, SF_SMALL)
     srows = [tuple(r) for r in df.collect()]
+    check_plan(df._jdf.queryExecution().executedPlan().toString(), name)
     res = con.sql(E.oracle_sql()[name])
     drows = res.fetchall()
     assert sorted(df.columns) == sorted(res.columns)
