@@ -22,8 +22,8 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that language identification doesn't reject."""
-    found = langid.predict(docs, langid.fit(docs), docs.columns)
-    return found.where("not rejected").select(*docs.columns)
+    found = langid.predict(docs, langid.fit(docs), docs.columns, prefix="__")
+    return found.where("not __rejected").select(*docs.columns)
 
 
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

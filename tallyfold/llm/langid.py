@@ -189,9 +189,14 @@ def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang",
                  [r["lang"] for r in learned], REJECT_SHARE * np.array([r["least"] for r in learned]))
 
 
-def predict(docs: DataFrame, model: Model, columns: list[str], text_col: str = "text") -> DataFrame:
-    """``columns`` of docs, then lang_pred, score and rejected; no shuffle."""
+def predict(docs: DataFrame, model: Model, columns: list[str], text_col: str = "text",
+            prefix: str = "") -> DataFrame:
+    """``columns`` of docs, then lang_pred, score and rejected; no shuffle.
+
+    ``prefix`` goes before the three names, for frames that have such columns.
+    """
     ship_package(docs.sparkSession)
+    added = [f"{prefix}{n}" for n in ("lang_pred", "score", "rejected")]
     rows = docs.select(*columns, F.col(text_col).alias("__text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -201,7 +206,8 @@ def predict(docs: DataFrame, model: Model, columns: list[str], text_col: str = "
                     pa.array([f[1] for f in found], pa.float64()),
                     pa.array([f[2] for f in found], pa.bool_())]
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:len(columns)], *made], [*columns, "lang_pred", "score", "rejected"])
+                [*batch.columns[:len(columns)], *made], [*columns, *added])
 
     schema = ", ".join(f"`{n}` {t}" for n, t in rows.select(*columns).dtypes)
-    return rows.mapInArrow(run, f"{schema}, lang_pred string, score double, rejected boolean")
+    types = ", ".join(f"`{n}` {t}" for n, t in zip(added, ("string", "double", "boolean")))
+    return rows.mapInArrow(run, f"{schema}, {types}")

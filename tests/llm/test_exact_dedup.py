@@ -3,13 +3,14 @@
 import hashlib
 from collections import defaultdict
 
+import duckdb
 from hypothesis import given, settings
 from hypothesis import strategies as st
 import pytest
 
-from tallyfold.llm import exact_dedup
+from tallyfold.llm import exact_dedup, queries
 
-from conftest import rows
+from conftest import SF_SMALL, rows
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -80,3 +81,12 @@ def test_main_path_has_no_python(spark):
     docs = spark.createDataFrame([(1, "a"), (2, "A")], "doc_id long, text string")
     plan = exact_dedup.exact_groups(docs)._jdf.queryExecution().toString()
     assert not any(w in plan for w in ("Python", "Arrow", "Pandas", "CartesianProduct"))
+
+
+def test_query_equals_its_sql(spark):
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{SF_SMALL}/documents.parquet')")
+    df = queries.op5_exact_dedup(spark, SF_SMALL)
+    res = con.sql(queries.SQL["op5_exact_dedup"])
+    assert df.columns == res.columns
+    assert sorted(tuple(r) for r in df.collect()) == sorted(res.fetchall())

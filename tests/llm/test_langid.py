@@ -63,6 +63,9 @@ def test_edge_rows(spark):
     for i in (3, 4, 5):
         assert (by_id[i].lang_pred, by_id[i].score, by_id[i].rejected) == ("und", 0.0, True)
     assert by_id[7].rejected and by_id[7].lang_pred in ("de", "en")
+    clash = langid.predict(docs, model, docs.columns, prefix="__")
+    assert clash.columns == [*docs.columns, "__lang_pred", "__score", "__rejected"]
+    assert {r.score for r in clash.collect()} == {0.5}
     empty = langid.fit(docs.limit(0))
     assert {r.lang_pred for r in langid.predict(docs, empty, ["doc_id"]).collect()} == {"und"}
     assert langid.predict(docs.limit(0), model, ["doc_id"]).collect() == []
