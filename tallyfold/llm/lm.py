@@ -26,7 +26,8 @@ each order, g what they take away, V the number of known words.
 
 Defined results: a null or empty text is the end token alone; repeated rows
 count as often as they occur; nothing to learn from gives every text score 0;
-other columns are ignored.  Whole texts are used, in runs of bounded size.
+other columns are ignored.  Whole texts are used; a task holds eight bytes for each
+word of its longest text.
 """
 
 from __future__ import annotations
@@ -132,6 +133,8 @@ def _write(folder: str, table: str, shard: int, columns: dict[str, np.ndarray])
     for name, values in columns.items():
         path = os.path.join(folder, f"{table}-{shard:08d}.{name}.npy")
         draft = f"{path}.{uuid.uuid4().hex}"
+        if name != "key" and len(values):  # whole numbers in as few bytes as the shard needs
+            values = values.astype(np.min_scalar_type(int(values.max())))
         with open(draft, "wb") as f:
             np.save(f, values)
         os.replace(draft, path)
@@ -267,12 +270,12 @@ def train(docs: DataFrame, folder: str | None = None, text_col: str = "text") ->
         stats = [0] * 6
         if kind == WORD:
             key, _, n = _summed(columns[0], columns[1])
-            _write(folder, "word", shard, {"key": key, "n": n.astype(np.float64)})
+            _write(folder, "word", shard, {"key": key, "n": n})
             stats[4:] = int(n.sum()), len(key)
         elif kind == BIGRAM:
             before, word, parts = columns
             key, at, n = _summed(bigram_key(before, word), parts)
-            _write(folder, "bigram", shard, {"key": key, "n": n.astype(np.float32)})
+            _write(folder, "bigram", shard, {"key": key, "n": n})
             before, word = before[at], word[at]
             key, _, *sums = _summed(before, n, *((n == k).astype(np.uint64) for k in (1, 2)),
                                     (n > 2).astype(np.uint64))
@@ -282,11 +285,10 @@ def train(docs: DataFrame, folder: str | None = None, text_col: str = "text") ->
             stats[:4] = _of_counts(n)
         elif kind == CONTEXT:
             key, _, *sums = _summed(columns[0], *columns[1:])
-            _write(folder, "context", shard, dict(
-                zip(["key", "n", "n1", "n2", "n3"], [key, *(s.astype(np.float64) for s in sums)])))
+            _write(folder, "context", shard, dict(zip(["key", "n", "n1", "n2", "n3"], [key, *sums])))
         else:
             key, _, n = _summed(*columns)
-            _write(folder, "before", shard, {"key": key, "n": n.astype(np.float32)})
+            _write(folder, "before", shard, {"key": key, "n": n})
             stats[:] = *_of_counts(n), int(n.sum()), int((n > 2).sum())
         # the numbers that hold for the whole model travel as a part of shard -1
         made.append((kind, -1, np.array(stats, "<i8").tobytes()))
