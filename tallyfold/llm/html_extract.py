@@ -59,7 +59,7 @@ _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
     r"|<(script|style)\b[^>]*>.*?(?:</\1[^>]*>|\Z)"
     r"|<[!?][^>]*(?:>|\Z)"
-    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)", re.S | re.I)
+    r"|<(/?)([a-zA-Z][^\s/>]*)((?:=\s*\"[^\"]*(?:\"|\Z)|=\s*'[^']*(?:'|\Z)|[^>])*)(?:>|\Z)", re.S | re.I)
 _MARKED = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _PARTS = re.compile(r"[a-z]+")
 _PUNCTUATION = re.compile(r"[.,;:!?¿¡…。，、！？；：]")

@@ -20,6 +20,7 @@ PARAGRAPH = "This is a sentence, and here is another one. It goes on for a while
     ("<body><nav><a href=x>menu</a></nav><main><p>text</p><div class='ad box'>buy</div></main></body>", "text"),
     ("<article><p>x</p><!-- <p>no</p> --><script>var a='</p><p>';</script><p>y</p></article>", "x y"),
     ("<article><p>x <i>y</p><ul><li>a<li>b</ul></article><aside>z</aside>", "x y a b"),
+    ("<article><p title=it's>x</p><p title = 'a>b' id=\"c>d\">y</p><p it's>z</p></article>", "x y z"),
     ("<article><p>open comment <!-- never closed", "open comment"),
     ("<article><p>5 < 6 and a<b</p></article>", "5 < 6 and a"),
     (f"<header><p>site</p></header><article><header><h1>Title</h1></header><p>{PARAGRAPH}</p></article>",
