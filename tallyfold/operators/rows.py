@@ -9,20 +9,26 @@ from tallyfold.session import scratch_path
 
 
 def _join_back(df: DataFrame, per_group: DataFrame, keys: list[str],
-               extra: Column | None = None) -> DataFrame:
+               extra: Column | None = None, salts: int = 16) -> DataFrame:
     """Join a per-group aggregate back to its rows on the group keys.
 
     Keys are compared null-safely (a missing key is a group of its own) and
     renamed on the aggregate side, so the result keeps ``df``'s columns
-    unambiguous.  ``extra`` may add a condition over both sides.
+    unambiguous.  ``extra`` may add a condition over both sides.  A group that
+    holds a large share of all rows is spread over ``salts`` tasks by a hash of
+    the row, with a copy of its one aggregate row for each.
     """
     tmp = [f"_gk{i}" for i in range(len(keys))]
     right = per_group.select(*[F.col(k).alias(t) for k, t in zip(keys, tmp)],
-                             *[c for c in per_group.columns if c not in keys])
-    cond = None
+                             *[c for c in per_group.columns if c not in keys],
+                             F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_gs"))
+    columns = df.columns
+    df = df.withColumn("_ls", F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in columns]), F.lit(salts)).cast("int"))
+    tmp += ["_gs", "_ls"]
+    cond = F.col("_ls") == F.col("_gs")
     for k, t in zip(keys, tmp):
         c = F.col(k).eqNullSafe(F.col(t))
-        cond = c if cond is None else cond & c
+        cond = cond & c
     if extra is not None:
         cond = cond & extra
     return df.join(right, cond, "inner").drop(*tmp)
