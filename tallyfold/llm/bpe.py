@@ -18,11 +18,11 @@ length are encoded whole.
 
 from __future__ import annotations
 
+import hashlib
 import heapq
 import json
 import re
 import unicodedata
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from tallyfold.llm.common import slices
 from tallyfold.session import ship_package
 
-CACHE_PIECES = 400_000  # entries a generation, about 200 bytes each
+CACHE_PIECES = 300_000  # entries a generation, about 200 bytes each
 _BATCH_CHARS = 4 << 20
 _ID, _RANK = 20, 60  # bits of an id, and where a rank begins above id and place
 _SYMBOL, _PLACE = (1 << _ID) - 1, (1 << _RANK - _ID) - 1
@@ -98,7 +98,12 @@ class WordBpe:
         self._words = regex.compile(split["pattern"]["Regex"])
         self._split_special = regex.compile(
             "(" + "|".join(map(regex.escape, self.special)) + ")") if self.special else None
-        self._pieces = _Pieces(self._merge_piece, cache)
+        self._cache = cache
+        self.forget()
+
+    def forget(self) -> None:
+        """Give back the memory of the cached pieces."""
+        self._pieces = _Pieces(self._merge_piece, self._cache)
 
     def merge_word(self, word: str) -> list[int]:
         """Ids of one word, merged in order of rank and, among equals, of place."""
@@ -170,14 +175,15 @@ class WordBpe:
         return " ".join(map(strings.__getitem__, ids))
 
 
-def _encoder(spec):
-    """This worker's encoder, built once per vocabulary."""
-    if spec.id not in _ENCODERS:
-        _ENCODERS[spec.id] = WordBpe(json.loads(spec.value))
-    return _ENCODERS[spec.id]
+_ENCODERS: dict[str, WordBpe] = {}
 
 
-_ENCODERS: dict[str, WordBpe] = {}
+def _encoder(spec: "_Spec") -> WordBpe:
+    """This worker's encoder; a worker, which Spark uses again, keeps the last one only."""
+    if spec.digest not in _ENCODERS:
+        _ENCODERS.clear()
+        _ENCODERS[spec.digest] = WordBpe(json.loads(spec.sent.value))
+    return _ENCODERS[spec.digest]
 
 
 class _Spec:
@@ -185,15 +191,21 @@ class _Spec:
 
     def __init__(self, spark, path: str):
         with open(path, encoding="utf-8") as f:
-            self.sent = spark.sparkContext.broadcast(f.read())
-        self.id = uuid.uuid4().hex
+            text = f.read()
+        self.digest = hashlib.sha256(text.encode()).hexdigest()
+        self.sent = spark.sparkContext.broadcast(text)
 
-    @property
-    def value(self):
-        return self.sent.value
 
-    def __getstate__(self):
-        return {"sent": self.sent, "id": self.id}
+def _encoded(bpe: WordBpe, batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    sizes = [v or 0 for v in pc.binary_length(batch.column(1)).to_pylist()]
+    for start, end in slices(sizes, _BATCH_CHARS):
+        found = [bpe.ids_of(batch.column(1)[i].as_py()) for i in range(start, end)]
+        offsets = np.cumsum([0, *map(len, found)])
+        ids = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.concatenate(found)))
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0).slice(start, end - start), ids,
+             pa.array([bpe.decode(x.tolist()) for x in found], pa.string())],
+            ["doc_id", "ids", "decoded"])
 
 
 def bpe_round_trip(docs: DataFrame, vocab_path: str, id_col: str = "doc_id",
@@ -204,17 +216,12 @@ def bpe_round_trip(docs: DataFrame, vocab_path: str, id_col: str = "doc_id",
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = _encoder(spec)
-        for batch in batches:
-            sizes = [v or 0 for v in pc.binary_length(batch.column(1)).to_pylist()]
-            for start, end in slices(sizes, _BATCH_CHARS):
-                found = [bpe.ids_of(batch.column(1)[i].as_py()) for i in range(start, end)]
-                offsets = np.cumsum([0, *map(len, found)])
-                ids = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()),
-                                               pa.array(np.concatenate(found)))
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(start, end - start), ids,
-                     pa.array([bpe.decode(x.tolist()) for x in found], pa.string())],
-                    ["doc_id", "ids", "decoded"])
+        try:
+            for batch in batches:
+                yield from _encoded(bpe, batch)
+        finally:  # the worker lives on, for other stages too
+            bpe.forget()
+            pa.default_memory_pool().release_unused()
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     return rows.mapInArrow(run, "doc_id long, ids array<int>, decoded string")
