@@ -22,7 +22,6 @@ all are returned.
 
 from __future__ import annotations
 
-import heapq
 import math
 
 import numpy as np
@@ -38,7 +37,7 @@ NEIGHBOURS = 10
 ROWS_PER_BLOCK = 8192
 QUERIES_PER_BLOCK = 2048
 _LEAF = 32
-_VERIFY = 128  # projected neighbours verified together
+_OPEN = 24   # leaves opened together
 _SEED = 42
 
 
@@ -84,55 +83,34 @@ class KdTree:
                 middle = (end - start) // 2
                 self.order[start:end] = self.order[start:end][np.argpartition(rows[:, axis], middle)]
                 waiting += [(start, start + middle, node, 0), (start + middle, end, node, 1)]
-        self.low, self.high = np.array(self.low), np.array(self.high)
+        leaves = [i for i, node in enumerate(self.nodes) if node[2] < 0]
+        leaves.sort(key=lambda i: self.nodes[i][0])
         self.points = points[self.order]
+        self.places = [np.arange(*self.nodes[i][:2]) for i in leaves]
+        self.low, self.high = np.array([self.low[i] for i in leaves]), np.array([self.high[i] for i in leaves])
 
     def nearest(self, query: np.ndarray):
-        """Yield (places, bound): points in order of distance, ``_VERIFY`` or more at a time.
+        """Yield (places, bound): points in order of distance, some leaves at a time.
 
-        Every point not yet yielded has a squared distance of ``bound`` at least.
+        Leaves are opened in order of the distance of their box, and a point is
+        yielded once no unopened box is nearer.  Every point not yet yielded has a
+        squared distance of ``bound`` at least.
         """
         gaps = np.maximum(0, np.maximum(self.low - query, query - self.high))
         reach = np.einsum("ij,ij->i", gaps, gaps)
-        queue = [(reach[0], 0)]
+        order = np.argsort(reach, kind="stable")
         held, held_at = np.zeros(0), np.zeros(0, np.int64)
-        while queue or len(held):
-            opened = []
-            while queue and sum(map(len, opened)) + len(held) < 2 * _VERIFY:
-                _, node = heapq.heappop(queue)
-                start, end, left, right = self.nodes[node]
-                if left < 0:
-                    opened.append(np.arange(start, end))
-                else:
-                    heapq.heappush(queue, (reach[left], left))
-                    heapq.heappush(queue, (reach[right], right))
-            if opened:
-                at = np.concatenate(opened)
-                apart = self.points[at] - query
-                held = np.concatenate([held, np.einsum("ij,ij->i", apart, apart)])
-                held_at = np.concatenate([held_at, at])
-            bound = queue[0][0] if queue else math.inf
-            within = held <= bound
-            if within.sum() > _VERIFY:  # in order: the nearest first
-                edge = np.partition(held, _VERIFY)[_VERIFY]
-                within = held <= edge
-            rest = held[~within]
-            bound = min(bound, rest.min() if len(rest) else math.inf)
-            if within.any():
-                yield self.order[held_at[within]], bound
-            held, held_at = rest, held_at[~within]
-            if not within.any() and queue:
-                # nothing is certain yet: open one more leaf at least
-                _, node = heapq.heappop(queue)
-                start, end, left, right = self.nodes[node]
-                if left < 0:
-                    at = np.arange(start, end)
-                    apart = self.points[at] - query
-                    held = np.concatenate([held, np.einsum("ij,ij->i", apart, apart)])
-                    held_at = np.concatenate([held_at, at])
-                else:
-                    heapq.heappush(queue, (reach[left], left))
-                    heapq.heappush(queue, (reach[right], right))
+        for first in range(0, len(order), _OPEN):
+            at = np.concatenate([self.places[i] for i in order[first:first + _OPEN]])
+            apart = self.points[at] - query
+            held = np.concatenate([held, np.einsum("ij,ij->i", apart, apart)])
+            held_at = np.concatenate([held_at, at])
+            bound = reach[order[first + _OPEN]] if first + _OPEN < len(order) else math.inf
+            sure = held <= bound
+            rest = held[~sure]
+            if sure.any():
+                yield self.order[held_at[sure]], min(bound, rest.min() if len(rest) else math.inf)
+            held, held_at = rest, held_at[~sure]
 
 
 class Block:
@@ -158,6 +136,8 @@ class Block:
             apart = self.vectors[places] - query
             distances = np.sqrt((apart * apart).sum(axis=1))
             worst = best[-1][0] if len(best) == k else math.inf
+            if len(distances) > k:  # one place may be the query's own
+                worst = min(worst, np.partition(distances, k)[k])
             near = distances <= worst
             for place, distance in zip(places[near], distances[near]):
                 own_out = [i for i in self.ids[place][:k + 1].tolist() if i != own][:k]
