@@ -4,12 +4,17 @@ A page is read into text blocks, each with the path of the elements that hold
 it, from the root to the block.  For every path of the page the text length,
 the punctuation and the link text are added up over its blocks.  A path's
 ratios are text length and punctuation for each block, smoothed over the
-neighbouring paths in page order and fused into one score; link text and paths
-through boilerplate elements (menus, footers, asides, forms, adverts,
-comments …) score nothing.  The container whose paths together score most
-lends them its score, since titles and short paragraphs belong to the article
-they stand in; outside it a path has to reach a share of the best score.  The
-blocks of paths over the threshold are the content.
+neighbouring paths in page order and fused into one score; link text scores
+nothing.  A path is content if its score reaches a share of the best one.  The
+share depends on where the path stands, since short paragraphs belong to the
+article around them: it is least inside the container whose paths together
+score most, higher in the rest of the article or main element around that
+container, and highest elsewhere.  Paths that are mostly links are never
+content.  A heading of the container or of that article or main element goes
+with the text under it.
+
+Boilerplate elements (menus, footers, asides, forms, adverts, comments …) are left
+out with all below them.
 
 Defined results: a null or empty page gives the empty text; broken markup is
 read as far as it goes (an unclosed comment or script reaches to the end);
@@ -31,6 +36,12 @@ from tallyfold.session import ship_package
 
 #: a path outside the main container needs this share of the best score
 THRESHOLD = 0.6
+#: a path in the article or main element around the container, and one inside
+#: the container, need this share of the container's best score
+AROUND, INSIDE = 0.25, 0.05
+#: what a path's score is multiplied with for each element above it that bears a
+#: boilerplate word in a longer token, or is boilerplate but cannot be left out
+WORD_PENALTY, OUT_PENALTY = 0.5, 0.25
 #: weight of a path's direct neighbours when ratios are smoothed
 SMOOTHING = 0.15
 
@@ -44,9 +55,10 @@ _CLOSES_P = frozenset(
     " header hr main menu nav ol p pre section table ul".split())
 _SAME_CLOSES = {"li": "ul ol menu", "dt": "dl", "dd": "dl", "tr": "table tbody thead tfoot", "td": "tr",
                 "th": "tr", "option": "select", "p": ""}
-# what never holds article text, by element, role and words of class and id
-_OUT_ELEMENTS = frozenset(
-    "head nav footer aside form button select textarea dialog menu noscript iframe object svg template title".split())
+# what never holds article text
+_NO_TEXT = frozenset("head button select textarea noscript iframe object svg template title".split())
+# what hardly ever does, by element, role and words of class and id
+_OUT_ELEMENTS = frozenset("nav footer aside form dialog menu".split())
 _OUT_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert form menu".split())
 _OUT_WORDS = frozenset(
     "ad ads advert adverts advertisement advertising banner sponsor sponsored promo promotion sidebar side menu nav"
@@ -54,6 +66,7 @@ _OUT_WORDS = frozenset(
     " cookie cookies consent notice popup modal overlay newsletter subscribe signup login share sharing social"
     " related recommended widget toolbar pagination pager search form".split())
 _MAIN = frozenset(["article", "main"])
+_HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
@@ -66,26 +79,54 @@ _PUNCTUATION = re.compile(r"[.,;:!?¿¡…。，、！？；：]")
 
 
 class _Element:
-    __slots__ = ("tag", "path", "out", "main")
+    """``out``: never holds text; ``soft``: the nearest boilerplate element, itself included.
+
+    ``region`` is the path of the outermost article or main element around it,
+    ``words`` the number of elements with a boilerplate word in a longer token.
+    ``holds_main`` and ``rescued`` are of use in boilerplate elements only.
+    """
+
+    __slots__ = ("tag", "path", "parent", "out", "soft", "region", "words", "holds_main", "rescued")
 
     def __init__(self, tag: str, attributes: str, parent: "_Element | None"):
-        self.tag = tag
-        out, label = tag in _OUT_ELEMENTS, tag
-        main = parent is not None and parent.main or tag in _MAIN
+        self.tag, self.parent = tag, parent
+        soft, label = tag in _OUT_ELEMENTS, tag
+        main, word = tag in _MAIN, False
         if "=" in attributes:
             for name, a, b, c in _MARKED.findall(attributes):
                 value = html.unescape(a or b or c).lower()
-                words = set(_PARTS.findall(value))
+                tokens = value.split()
                 if name.lower() == "role":
-                    out = out or bool(words & _OUT_ROLES)
-                    main = main or "main" in words
+                    soft = soft or not _OUT_ROLES.isdisjoint(tokens)
+                    main = main or "main" in tokens
                 elif tag not in ("html", "body"):
-                    out = out or bool(words & _OUT_WORDS)
+                    soft = soft or not _OUT_WORDS.isdisjoint(_PARTS.findall(value))
+                    words = set(_PARTS.findall(value))
+                    word = word or not _OUT_WORDS.isdisjoint(words)
                     label += "." + ".".join(sorted(words)) if name.lower() == "class" else ""
         # a header inside the article holds its title; one outside belongs to the site
-        out = out or tag == "header" and not main
+        soft = soft or tag == "header" and not (main or parent is not None and parent.region is not None)
+        # paths are told apart by what is left out or lowered
+        label += "!" if soft else "~" if word else ""
         self.path = f"{parent.path}/{label}" if parent else label
-        self.out, self.main = out or (parent is not None and parent.out), main
+        self.out = tag in _NO_TEXT or parent is not None and parent.out
+        self.soft = self if soft else parent.soft if parent else None
+        self.region = parent.region if parent else None
+        self.words = (parent.words if parent else 0) + (word and not soft)
+        self.holds_main = self.rescued = False
+        if main and not self.out:
+            self.region = self.region if self.region is not None else self.path
+            above = self.soft
+            while above is not None and not above.holds_main:
+                above.holds_main = True
+                above = above.parent.soft
+
+    def lowered(self) -> tuple[int, int]:
+        """How many elements above lower the score: by a word, and as kept boilerplate."""
+        kept, above = 0, self.soft
+        while above is not None:
+            kept, above = kept + 1, above.parent.soft
+        return self.words, kept
 
 
 def blocks(page: str) -> list[tuple[_Element, str, int]]:
@@ -143,53 +184,118 @@ def blocks(page: str) -> list[tuple[_Element, str, int]]:
     return found
 
 
+def kept_blocks(found: list[tuple[_Element, str, int]]) -> list[tuple[_Element, str, int]]:
+    """The blocks that stand in no element that is left out."""
+    found = [block for block in found if not block[0].out]
+    if not any(element.soft for element, _, _ in found):
+        return found
+    scores, mass, count = path_scores(found), defaultdict(float), defaultdict(int)
+    total, chain = 0.0, {}
+    for element, text, linked in found:
+        weight = scores[element.path] * (len(text) - linked)
+        total += weight
+        if element.soft:
+            mass[element.soft] += weight
+            count[element.soft] += weight > 0
+            above = element.soft
+            while above is not None and above not in chain:
+                chain[above] = above.path.count("/")
+                above = above.parent.soft
+    for soft in sorted(chain, key=chain.__getitem__, reverse=True):
+        if soft.parent.soft is not None:
+            mass[soft.parent.soft] += mass[soft]
+            count[soft.parent.soft] += count[soft]
+    dropped = {}
+    for soft in sorted(chain, key=chain.__getitem__):
+        soft.rescued = False
+        above = soft.parent.soft
+        dropped[soft] = not soft.rescued or above is not None and dropped[above]
+    return [block for block in found if block[0].soft is None or not dropped[block[0].soft]]
+
+
 def path_scores(found: list[tuple[_Element, str, int]]) -> dict[str, float]:
-    """Fused, smoothed ratio of every path."""
+    """Fused, smoothed ratio of every path, lowered for boilerplate words above it."""
     length, marks, links, nodes = (defaultdict(float) for _ in range(4))
-    out: dict[str, bool] = {}
+    lowered: dict[str, float] = {}
     for element, text, linked in found:
         path = element.path
         length[path] += len(text)
         marks[path] += len(_PUNCTUATION.findall(text))
         links[path] += linked
         nodes[path] += 1
-        out[path] = element.out
+        if path not in lowered:
+            words, kept = element.lowered()
+            lowered[path] = WORD_PENALTY ** words * OUT_PENALTY ** kept
     paths = list(length)  # in page order
-    text_ratio = [0.0 if out[p] else (length[p] - links[p]) / nodes[p] for p in paths]
-    mark_ratio = [0.0 if out[p] else marks[p] / nodes[p] for p in paths]
+    text_ratio = [(length[p] - links[p]) / nodes[p] for p in paths]
+    mark_ratio = [marks[p] / nodes[p] for p in paths]
 
     def smoothed(values: list[float]) -> list[float]:
         padded = [values[0], *values, values[-1]] if values else []
         return [(1 - 2 * SMOOTHING) * padded[i] + SMOOTHING * (padded[i - 1] + padded[i + 1])
                 for i in range(1, len(values) + 1)]
 
-    return {p: 0.0 if out[p] else t * (1 + m)
+    return {p: t * (1 + m) * lowered[p]
             for p, t, m in zip(paths, smoothed(text_ratio), smoothed(mark_ratio))}
 
 
-def main_text(page: str | None) -> str:
-    """The article's text: blocks of content paths, joined by one space."""
-    found = blocks(page or "")
+def _within(path: str, holder: str | None) -> bool:
+    return holder is not None and (path == holder or path.startswith(f"{holder}/"))
+
+
+def content(found: list[tuple[_Element, str, int]]) -> list[bool]:
+    """For each block whether it is content, by its path's score."""
     scores = path_scores(found)
+    mass, links, length = (defaultdict(float) for _ in range(3))
+    elements: dict[str, _Element] = {}
+    for element, text, linked in found:
+        length[element.path] += len(text)
+        links[element.path] += linked
+        mass[element.path.rpartition("/")[0]] += scores[element.path] * (len(text) - linked)
+        elements.setdefault(element.path, element)
     best = max(scores.values(), default=0.0)
-    if best <= 0:
-        return ""
-    mains = {e.path for e, _, _ in found if e.main and not e.out}
-    if mains:
-        content = {p for p in scores if p in mains}
-    else:
-        mass, links, length = (defaultdict(float) for _ in range(3))
-        for element, text, linked in found:
-            length[element.path] += len(text)
-            links[element.path] += linked
-            if not element.out:
-                holder = element.path.rpartition("/")[0]
-                mass[holder] += scores[element.path] * (len(text) - linked)
-        holder = max(mass, key=lambda p: mass[p])
-        content = {p for p in scores if (p == holder or p.startswith(f"{holder}/"))
-                   and 2 * links[p] < length[p]}
-        content |= {p for p, score in scores.items() if score >= THRESHOLD * best}
-    return " ".join(text for element, text, _ in found if element.path in content and not element.out)
+    if best <= 0 or not any(mass.values()):
+        return [False] * len(found)
+    holder = max(mass, key=lambda p: mass[p])
+    inside = [p for p in scores if p.rpartition("/")[0] == holder]
+    region = elements[inside[0]].region
+    # an element below the container that is lowered further counts as elsewhere
+    least = min(elements[p].lowered() for p in inside)
+    top = max(scores[p] for p in inside)
+
+    def near(path: str) -> bool:
+        return elements[path].lowered() <= least
+
+    chosen = {}
+    for path, score in scores.items():
+        if near(path) and _within(path, holder):
+            share = INSIDE * top
+        elif near(path) and _within(path, region):
+            share = AROUND * top
+        else:
+            share = THRESHOLD * best
+        chosen[path] = 2 * links[path] < length[path] and score >= share
+    # backwards: has each heading's level text under it?
+    taken, under = [], [False] * 7
+    for element, _, _ in reversed(found):
+        path, tag = element.path, element.tag
+        close = near(path) and (_within(path, holder) or _within(path, region))
+        if tag in _HEADINGS and close:
+            level = int(tag[1])
+            taken.append(under[level] or chosen[path] and scores[path] >= THRESHOLD * best)
+            # a heading ends the sections of its level and below
+            under[level:] = [False] * (7 - level)
+        else:
+            taken.append(chosen[path])
+            if chosen[path] and close:
+                under = [True] * 7
+    return taken[::-1]
+
+
+def main_text(page: str | None) -> str:
+    """The article's text: blocks of content paths, joined by one space."""
+    found = kept_blocks(blocks(page or ""))
+    return " ".join(text for (_, text, _), taken in zip(found, content(found)) if taken)
 
 
 def extract(pages: DataFrame, columns: list[str], html_col: str = "html") -> DataFrame:

@@ -63,3 +63,27 @@ def test_frames(spark):
     got = sorted((str(r.page_id), r.text) for r in html_extract.extract(pages, ["page_id"]).collect())
     assert got == [("1", ""), ("1", "x"), ("1", "x"), ("None", "x")]
     assert html_extract.extract(pages.limit(0), ["page_id"]).collect() == []
+
+
+STORY = f"<h1>Title</h1><p>{PARAGRAPH} {PARAGRAPH}</p><p>{PARAGRAPH}</p><p>{PARAGRAPH} {PARAGRAPH}</p>"
+STORY_TEXT = " ".join(["Title", *[PARAGRAPH] * 5])
+CARDS = "".join(f"<article class=card><h3><a href=/{i}>Card {i}</a></h3><p>Teaser {i} of a story.</p></article>"
+                for i in range(6))
+LINKS = "<div class=x><h2>More</h2><ul>" + "".join(f"<li><a href=/{i}>link {i}</a></li>" for i in range(9)) + "</ul></div>"
+
+
+@pytest.mark.parametrize("page", [
+    f"<body><div class=story>{STORY}</div>{CARDS}</body>",
+    f"<body><main>{CARDS}</main><div class=story>{STORY}</div></body>",
+    f"<body><main>{LINKS}<article>{STORY}</article>{CARDS}{LINKS}</main></body>",
+    f"<body><main><div class=y><p>We close at six.</p></div>{LINKS}<div class=story>{STORY}</div>{LINKS}</main></body>",
+    f"<body><main><h1>Title</h1><div class=story>{STORY.replace('<h1>Title</h1>', '')}</div>{LINKS}</main></body>",
+])
+def test_scores_choose_also_where_there_is_an_article_element(page):
+    assert html_extract.main_text(page) == STORY_TEXT
+
+
+def test_the_article_of_each_page_is_found_without_its_name(spark):
+    for page in table(spark, SF_SMALL, "pages").collect():
+        renamed = page.html.replace("<article>", "<div>").replace("</article>", "</div>")
+        assert html_extract.main_text(renamed) == html_extract.main_text(page.html) != ""
