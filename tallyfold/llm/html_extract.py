@@ -13,8 +13,12 @@ container, and highest elsewhere.  Paths that are mostly links are never
 content.  A heading of the container or of that article or main element goes
 with the text under it.
 
-Boilerplate elements (menus, footers, asides, forms, adverts, comments …) are left
-out with all below them.
+Boilerplate elements (menus, footers, asides, forms, adverts, comments …), by
+their name, their role or a whole token of their class or id, are left out with
+all below them.  If such an element is or holds an article or main element, or
+holds most of the page's scored text (all of it, if that is a single block), its
+paths' scores are lowered instead.  So are those of an element with a boilerplate word inside a longer token
+(``has-sidebar``, ``post-comments``).
 
 Defined results: a null or empty page gives the empty text; broken markup is
 read as far as it goes (an unclosed comment or script reaches to the end);
@@ -100,7 +104,7 @@ class _Element:
                     soft = soft or not _OUT_ROLES.isdisjoint(tokens)
                     main = main or "main" in tokens
                 elif tag not in ("html", "body"):
-                    soft = soft or not _OUT_WORDS.isdisjoint(_PARTS.findall(value))
+                    soft = soft or not _OUT_WORDS.isdisjoint(tokens)
                     words = set(_PARTS.findall(value))
                     word = word or not _OUT_WORDS.isdisjoint(words)
                     label += "." + ".".join(sorted(words)) if name.lower() == "class" else ""
@@ -207,7 +211,8 @@ def kept_blocks(found: list[tuple[_Element, str, int]]) -> list[tuple[_Element,
             count[soft.parent.soft] += count[soft]
     dropped = {}
     for soft in sorted(chain, key=chain.__getitem__):
-        soft.rescued = False
+        most = 2 * mass[soft] > total and (count[soft] > 1 or mass[soft] == total)
+        soft.rescued = soft.holds_main or most
         above = soft.parent.soft
         dropped[soft] = not soft.rescued or above is not None and dropped[above]
     return [block for block in found if block[0].soft is None or not dropped[block[0].soft]]

@@ -87,3 +87,22 @@ def test_the_article_of_each_page_is_found_without_its_name(spark):
     for page in table(spark, SF_SMALL, "pages").collect():
         renamed = page.html.replace("<article>", "<div>").replace("</article>", "</div>")
         assert html_extract.main_text(renamed) == html_extract.main_text(page.html) != ""
+
+
+@pytest.mark.parametrize("start,end", [
+    ("<div class='content has-sidebar'>", "</div>"), ("<div class=content-sidebar-wrap>", "</div>"),
+    ("<article class='post comments-open'>", "</article>"), ("<div class=no-share>", "</div>"),
+    ("<article id=search-results-article>", "</article>"), ("<form action=/x method=post>", "</form>"),
+    ("<form><main>", "</main></form>"), ("<div class=widget>", "</div>"), ("<div role=search>", "</div>"),
+    ("<article class='post search'>", "</article>"),
+])
+def test_a_boilerplate_word_around_the_article_does_not_lose_it(start, end):
+    nav = "<nav><a href=/>home</a></nav><p class=sidebar-note>Short note.</p>"
+    page = f"<body>{nav}{start}{STORY}{end}<div class=comments><p>{PARAGRAPH}</p></div><footer>f.</footer></body>"
+    assert html_extract.main_text(page) == STORY_TEXT
+
+
+def test_boilerplate_inside_the_article_still_goes():
+    for box in ("<div class='ad box'>", "<div class=ad-box>", "<div id=share-this>", "<aside>"):
+        page = f"<article>{STORY}{box}<p>Buy this now.</p></{box[1:].split()[0].rstrip('>')}></article>"
+        assert html_extract.main_text(page) == STORY_TEXT, box
