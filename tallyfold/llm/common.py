@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,6 +28,31 @@ def durable(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def numbered(docs: DataFrame, name: str) -> DataFrame:
+    """``docs`` and a number of each row, the same however often it is read.
+
+    The rows of a Parquet table that is read as it is are numbered by the order
+    of its files' paths and their place in the file, so that nothing depends on
+    how Spark splits the files.  Anything else is stored once with its numbers.
+    """
+    if docs._jdf.queryExecution().analyzed().getClass().getSimpleName() == "LogicalRelation":
+        try:
+            meta = docs.metadataColumn("_metadata")
+            rows = docs.withColumns({"__file": meta["file_path"], name: meta["row_index"]})
+            counts = rows.groupBy("__file").agg(F.count(F.lit(1)).alias("n")).orderBy("__file").collect()
+        except AnalysisException:  # a format without row places
+            pass
+        else:
+            starts, total = [], 0  # one row for each file
+            for r in counts:
+                starts.append((r["__file"], total))
+                total += r["n"]
+            files = docs.sparkSession.createDataFrame(starts, "__file string, __start long")
+            return rows.join(F.broadcast(files), "__file").select(
+                *docs.columns, (F.col("__start") + F.col(name)).alias(name))
+    return durable(docs.withColumn(name, F.monotonically_increasing_id()))
+
+
 def fold_of(id_col: str, folds: int) -> Column:
     """crc32 of the id as text, modulo ``folds`` (a null id counts as empty text)."""
     return F.pmod(F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")),

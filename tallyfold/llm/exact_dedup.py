@@ -14,24 +14,25 @@ and the join that hands its name back can be split by AQE.
 
 Defined results: a null text counts as empty and all empty texts are equal; a
 null ``doc_id`` is smaller than any other; among rows of equal text and equal
-``doc_id`` exactly one stays; other columns are ignored.  The input should be a
-stored table (or a checkpoint): row numbers are taken from its scan.
+``doc_id`` exactly one stays; other columns are ignored.  Dropping copies goes by
+row numbers that hold in every scan (:func:`tallyfold.llm.common.numbered`).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyfold.llm.common import durable, lower_ascii
+from tallyfold.llm.common import durable, lower_ascii, numbered
 
 BLOCK_CHARS = 4096
 
 
-def _blocks(docs: DataFrame, id_col: str, text_col: str, block_chars: int) -> DataFrame:
+def _blocks(docs: DataFrame, id_col: str, text_col: str, block_chars: int,
+            rid: Column | None = None) -> DataFrame:
     """One row per block: document row number, position, block and its own number."""
     whole = docs.select(
-        F.monotonically_increasing_id().alias("rid"),
+        (F.monotonically_increasing_id() if rid is None else rid).alias("rid"),
         F.col(id_col).cast("long").alias("doc_id"),
         lower_ascii(F.col(text_col)).alias("norm"))
     cut = whole.select(
@@ -50,9 +51,9 @@ def _named(rows: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def document_names(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                   block_chars: int = BLOCK_CHARS) -> DataFrame:
+                   block_chars: int = BLOCK_CHARS, rid: Column | None = None) -> DataFrame:
     """rid, doc_id, text_sha256, level, name: equal (level, name) means equal text."""
-    rows = durable(_named(_blocks(docs, id_col, text_col, block_chars), ["block"]))
+    rows = durable(_named(_blocks(docs, id_col, text_col, block_chars, rid), ["block"]))
     most = rows.agg(F.max("n")).first()[0] or 0
     heads = rows.where("pos = 0").select("rid", "doc_id", "text_sha256", "n", "name")
     current = rows.where("n > 1").select("rid", "pos", "n", "bid", "name")
@@ -75,9 +76,12 @@ def document_names(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 
 def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                 block_chars: int = BLOCK_CHARS) -> DataFrame:
-    """rid, doc_id, keep_id, group_size, kept, text_sha256: one row per input row."""
-    rows = durable(document_names(docs, id_col, text_col, block_chars))
+                 block_chars: int = BLOCK_CHARS, rid: Column | None = None) -> DataFrame:
+    """rid, doc_id, keep_id, group_size, kept, text_sha256: one row per input row.
+
+    ``rid`` is a number that ``docs`` has for each row; without it, one of this scan.
+    """
+    rows = durable(document_names(docs, id_col, text_col, block_chars, rid))
     # stored, so that the join below has a shuffle of its own on both sides and
     # AQE can split a group of very many copies
     groups = durable(rows.groupBy("level", "name").agg(
@@ -90,7 +94,7 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns."""
-    dropped = exact_groups(docs, id_col, text_col).where(~F.col("kept")).select(
+    rows = numbered(docs, "__rid")
+    dropped = exact_groups(rows, id_col, text_col, rid=F.col("__rid")).where(~F.col("kept")).select(
         F.col("rid").alias("__rid"))
-    return docs.withColumn("__rid", F.monotonically_increasing_id()).join(
-        dropped, "__rid", "left_anti").drop("__rid")
+    return rows.join(dropped, "__rid", "left_anti").select(*docs.columns)

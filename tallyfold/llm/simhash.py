@@ -27,10 +27,10 @@ from itertools import combinations, islice
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyfold.llm.common import durable, word_runs
+from tallyfold.llm.common import durable, numbered, word_runs
 from tallyfold.session import ship_package
 
 SHINGLE_WORDS = 3
@@ -66,7 +66,7 @@ def fingerprint(text: str | None, shingle_words: int = SHINGLE_WORDS) -> int:
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                 shingle_words: int = SHINGLE_WORDS) -> DataFrame:
+                 shingle_words: int = SHINGLE_WORDS, rid: Column | None = None) -> DataFrame:
     """rid, doc_id, fp (the 64 bits as a signed long), one row per document."""
     ship_package(docs.sparkSession)
 
@@ -76,7 +76,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(fps, pa.int64())], ["rid", "doc_id", "fp"])
 
-    rows = docs.select(F.monotonically_increasing_id().alias("rid"),
+    rows = docs.select((F.monotonically_increasing_id() if rid is None else rid).alias("rid"),
                        F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     return rows.mapInArrow(score, "rid long, doc_id long, fp long")
 
@@ -127,12 +127,14 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                shingle_words: int = SHINGLE_WORDS, max_bits: int = MAX_BITS) -> DataFrame:
+                shingle_words: int = SHINGLE_WORDS, max_bits: int = MAX_BITS,
+                rid: Column | None = None) -> DataFrame:
     """rid, doc_id, fp, component_id, kept: one row per document.
 
     ``kept`` marks one row of each component, that of the smallest doc_id.
+    ``rid`` is a number that ``docs`` has for each row; without it, one of this scan.
     """
-    rows = durable(fingerprints(docs, id_col, text_col, shingle_words))
+    rows = durable(fingerprints(docs, id_col, text_col, shingle_words, rid))
     points = durable(rows.groupBy("fp").agg(
         F.min("doc_id").alias("first_id"),
         F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "rid")).alias("head")))
@@ -149,7 +151,7 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One document of each component, with all its columns."""
-    dropped = near_groups(docs, id_col, text_col).where(~F.col("kept")).select(
+    rows = numbered(docs, "__rid")
+    dropped = near_groups(rows, id_col, text_col, rid=F.col("__rid")).where(~F.col("kept")).select(
         F.col("rid").alias("__rid"))
-    return docs.withColumn("__rid", F.monotonically_increasing_id()).join(
-        dropped, "__rid", "left_anti").drop("__rid")
+    return rows.join(dropped, "__rid", "left_anti").select(*docs.columns)

@@ -1,6 +1,7 @@
 """Exact groups against a dictionary of normalised texts."""
 
 import hashlib
+import random
 from collections import defaultdict
 
 import duckdb
@@ -8,7 +9,8 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 import pytest
 
-from tallyfold.llm import exact_dedup, queries
+from tallyfold.llm import exact_dedup, queries, simhash
+from tallyfold.llm.common import numbered
 
 from conftest import SF_SMALL, rows
 
@@ -90,3 +92,31 @@ def test_query_equals_its_sql(spark):
     res = con.sql(queries.SQL["op5_exact_dedup"])
     assert df.columns == res.columns
     assert sorted(tuple(r) for r in df.collect()) == sorted(res.fetchall())
+
+
+@pytest.mark.parametrize("drop", [exact_dedup.drop_exact_copies, simhash.drop_near_copies])
+@pytest.mark.parametrize("plain", [True, False])
+def test_rows_to_drop_hold_however_the_files_are_split(spark, tmp_path, drop, plain):
+    words = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu".split()
+    texts = [" ".join(random.Random(i % 20).choices(words, k=40)) for i in range(60)]
+    spark.createDataFrame([(i, t, f"s{i}") for i, t in enumerate(texts)], "doc_id long, text string, source string") \
+        .repartition(12).write.parquet(str(tmp_path / "docs"))
+    docs = spark.read.parquet(str(tmp_path / "docs"))
+    docs = docs if plain else docs.where("doc_id >= 0")
+    key = "spark.sql.files.openCostInBytes"
+    old = spark.conf.get(key)
+    try:
+        spark.conf.set(key, str(1 << 27))  # a split for each file
+        left = drop(docs)
+        spark.conf.set(key, "0")           # few splits
+        kept = [r.text for r in left.collect()]
+    finally:
+        spark.conf.set(key, old)
+    assert left.columns == docs.columns and sorted(kept) == sorted(set(texts))
+
+
+def test_row_numbers_follow_the_files(spark, tmp_path):
+    spark.range(50, numPartitions=5).write.parquet(str(tmp_path / "t"))
+    got = numbered(spark.read.parquet(str(tmp_path / "t")), "n").collect()
+    assert sorted((r.id, r.n) for r in got) == [(i, i) for i in range(50)]
+    assert numbered(spark.read.parquet(str(tmp_path / "t")).limit(0), "n").columns == ["id", "n"]
