@@ -6,16 +6,18 @@ slot ``ceil((j + 1) / w)``; each slot takes the released block that is due
 first.  At every prefix of the mix, each source then deviates from its target
 by less than one block.
 
-Weights are integers over a period of ``RESOLUTION`` slots.  At the end of a
-period every source has exactly its share, so the schedule repeats: only one
-period is scheduled (on the driver, a fixed number of slots), and a block's slot
-follows from its number by arithmetic, for all rows in parallel.  Sources that
-run short are read again from their start; the mix ends with the slot in which
-the last source has been read completely.  No document is dropped.
+Weights are taken exactly as given, as fractions with one denominator, so no
+rounding adds up however long the mix is.  What has been dealt before a slot is
+all the state a schedule has: the driver runs through the slots once (one for
+each block, small integers, nothing kept) and notes that state every
+``resolution`` slots, and Spark schedules these stretches in parallel.  Sources
+that run short are read again from their start; the mix ends with the slot in
+which the last source has been read completely.  No document is dropped.
 
 Rows are numbered inside their source without gathering it: a hash deals them
 to about sqrt(rows) buckets, rows are numbered in each (source, bucket), and
-running counts over the buckets give where each bucket starts.
+running counts over the buckets give where each bucket starts.  A bucket is
+handed the slots of the blocks it touches, so the rows are shuffled only once.
 
 Defined results: a null source is a source of its own; the order in a source
 follows a hash of the id, then the id; repeated rows are rows of their own; an
@@ -26,11 +28,16 @@ from __future__ import annotations
 
 import heapq
 import math
+from collections.abc import Iterator
 from fractions import Fraction
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyfold.session import ship_package
+
+#: slots that are scheduled at a time, and the most sources
 RESOLUTION = 10_000
 BLOCK_ROWS = 16
 #: weights default to size ** TEMPERATURE: small sources gain, none vanishes
@@ -77,6 +84,47 @@ def schedule(shares: dict) -> dict:
     return slots
 
 
+def exact_shares(weights: dict) -> dict:
+    """The weights as integers in exactly the same proportion."""
+    if any(w <= 0 for w in weights.values()):
+        raise ValueError("every weight must be positive")
+    exact = {k: Fraction(w) for k, w in weights.items()}
+    scale = math.lcm(*(x.denominator for x in exact.values()))
+    return {k: int(x * scale) for k, x in exact.items()}
+
+
+def dealt(shares: list[int], done: list[int], start: int) -> Iterator[int]:
+    """The source of each slot from ``start`` on, without end; ``done`` is kept up to date."""
+    total = sum(shares)
+    waiting = [(n * total // share, k) for k, (n, share) in enumerate(zip(done, shares))]  # by release
+    heapq.heapify(waiting)
+    ready: list[tuple[int, int]] = []  # by deadline
+    slot = start
+    while True:
+        while waiting and waiting[0][0] <= slot:
+            k = heapq.heappop(waiting)[1]
+            heapq.heappush(ready, (-(-(done[k] + 1) * total // shares[k]), k))
+        k = heapq.heappop(ready)[1]
+        done[k] += 1
+        heapq.heappush(waiting, (done[k] * total // shares[k], k))
+        slot += 1
+        yield k
+
+
+def stretches(shares: list[int], blocks: list[int], length: int) -> list[tuple[int, int, list[int]]]:
+    """First slot, number of slots and blocks dealt before, until each source was read once."""
+    done, left, slot = [0] * len(shares), len(shares), 0
+    found, source = [], dealt(shares, done, 0)
+    while left:
+        begin, before = slot, done.copy()
+        while left and slot < begin + length:
+            k = next(source)
+            left -= done[k] == blocks[k]
+            slot += 1
+        found.append((begin, slot - begin, before))
+    return found
+
+
 def mix(docs: DataFrame, weights: dict | None = None, source_col: str = "source",
         id_col: str = "doc_id", block_rows: int = BLOCK_ROWS,
         resolution: int = RESOLUTION) -> DataFrame:
@@ -94,46 +142,50 @@ def mix(docs: DataFrame, weights: dict | None = None, source_col: str = "source"
         weights = {s: float(sizes[s]) ** TEMPERATURE for s in names}
     if missing := [s for s in names if s not in weights]:
         raise ValueError(f"no target weight for sources {missing[:10]}")
-    shares = integer_shares({s: weights[s] for s in names}, resolution) if names else {}
-    slots = schedule(shares)
-    blocks = {s: -(-sizes[s] // block_rows) for s in names}
-    period = sum(shares.values())
-
-    def slot_of(s, block: int) -> int:
-        return block // shares[s] * period + slots[s][block % shares[s]]
-
-    end = max((slot_of(s, blocks[s] - 1) + 1 for s in names), default=0)
-    # how many of a source's slots lie before the end
-    used = {s: end // period * shares[s] + sum(x < end % period for x in slots[s]) for s in names}
+    if len(names) > resolution:
+        raise ValueError(f"more than {resolution} sources")
+    exact = exact_shares({s: weights[s] for s in names})
+    shares, blocks = [exact[s] for s in names], [-(-sizes[s] // block_rows) for s in names]
     sources = spark.createDataFrame(
-        [(i, s, shares[s], blocks[s], used[s]) for i, s in enumerate(names)],
-        f"__sid int, __source {docs.schema[source_col].dataType.simpleString()}, "
-        "__share long, __blocks long, __used long")
-    places = spark.createDataFrame(
-        [(i, q, slot) for i, s in enumerate(names) for q, slot in enumerate(slots[s])],
-        "__sid int, __turn long, __offset long")
+        list(enumerate(names)), f"__sid int, __source {docs.schema[source_col].dataType.simpleString()}")
+    ship_package(spark)
+    # the state of a stretch has a number for each source
+    states = spark.createDataFrame(stretches(shares, blocks, max(resolution, 16 * len(names))),
+                                   "start long, slots long, done array<long>")
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start, slots, done in zip(*(c.to_pylist() for c in batch.columns)):
+                order = dealt(shares, done, start)
+                turns = [(k, (done[k] - 1) % blocks[k]) for k, _ in zip(order, range(slots))]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([k for k, _ in turns], pa.int32()), pa.array([b for _, b in turns], pa.int64()),
+                     pa.array(range(start, start + slots), pa.int64())], ["__sid", "__block", "__slot"])
+
+    # a block's slots in order: one for each time its source is read
+    places = states.mapInArrow(deal, "__sid int, __block long, __slot long").groupBy("__sid", "__block").agg(
+        F.array_sort(F.collect_list("__slot")).alias("__slots"))
 
     buckets = max(1, math.isqrt(sum(sizes.values())))
     order = F.xxhash64(F.col(id_col))
-    # both small tables have at most ``resolution`` rows
+    # at most ``resolution`` sources
     rows = docs.join(F.broadcast(sources), F.col(source_col).eqNullSafe(F.col("__source"))).drop("__source")
     rows = rows.withColumn("__bucket", F.pmod(order, F.lit(buckets)))
     counts = rows.groupBy("__sid", "__bucket").count()
     before = Window.partitionBy("__sid").orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
-    starts = counts.select("__sid", "__bucket",
+    starts = counts.select("__sid", "__bucket", "count",
                            F.coalesce(F.sum("count").over(before), F.lit(0)).alias("__start"))
+    touched = starts.withColumn("__block", F.explode(F.sequence(
+        F.floor(F.col("__start") / block_rows), F.floor((F.col("__start") + F.col("count") - 1) / block_rows))))
+    spans = touched.join(places, ["__sid", "__block"]).groupBy("__sid", "__bucket", "__start").agg(
+        F.array_sort(F.collect_list(F.struct("__block", "__slots"))).alias("__span"))
     inside = Window.partitionBy("__sid", "__bucket").orderBy(order, id_col)
-    rows = rows.withColumn("__n", F.row_number().over(inside)).join(starts, ["__sid", "__bucket"])
+    rows = rows.withColumn("__n", F.row_number().over(inside)).join(spans, ["__sid", "__bucket"])
     rows = rows.withColumn("__n", F.col("__start") + F.col("__n") - 1)
-    rows = rows.withColumn("__block", F.floor(F.col("__n") / block_rows))
-    rows = rows.withColumn("__turn", F.explode(
-        F.expr("sequence(__block, __used - 1, __blocks)")))
-    rows = rows.withColumn("__period", F.floor(F.col("__turn") / F.col("__share"))).withColumn(
-        "mix_epoch", F.floor(F.col("__turn") / F.col("__blocks"))).withColumn(
-        "__turn", F.col("__turn") % F.col("__share")).withColumn(
-        "mix_place", F.col("__n") % block_rows)
-    rows = rows.join(F.broadcast(places), ["__sid", "__turn"]).withColumn(
-        "mix_slot", F.col("__period") * period + F.col("__offset"))
+    nth = (F.floor(F.col("__n") / block_rows) - F.floor(F.col("__start") / block_rows)).cast("int")
+    rows = rows.select(*docs.columns, (F.col("__n") % block_rows).alias("mix_place"),
+                       F.posexplode(F.col("__span")[nth]["__slots"]).alias("mix_epoch", "mix_slot"))
+    rows = rows.withColumn("mix_epoch", F.col("mix_epoch").cast("long"))
     return rows.select(*docs.columns, *ADDED)
 
 

@@ -86,3 +86,23 @@ def test_query(spark):
     sizes = {r["source"]: r["count"] for r in table(spark, SF_SMALL, "documents").groupBy("source").count().collect()}
     shares = mixing.integer_shares({s: float(n) ** mixing.TEMPERATURE for s, n in sorted(sizes.items())})
     check_mix(queries.op2_mixing(spark, SF_SMALL).collect(), shares, sizes, mixing.BLOCK_ROWS)
+
+
+def test_no_source_drifts_from_its_true_weight_over_many_periods():
+    sizes = {f"s{i}": 3 + 41 * i * i for i in range(19)} | {"one": 1, "large": 7_000}
+    weights = {s: float(n) ** mixing.TEMPERATURE for s, n in sizes.items()}
+    shares, total = list(mixing.exact_shares(weights).values()), sum(weights.values())
+    done = [0] * len(shares)
+    for slot, k in zip(range(1, 120_001), mixing.dealt(shares, done, 0)):
+        if slot % 97 == 0 or slot > 119_000:
+            assert all(abs(n - slot * w / total) < 1 for n, w in zip(done, weights.values()))
+
+
+def test_mix_to_true_weights_in_stretches(spark):
+    data = [(i, f"s{min(i % 7, i % 5, i % 3)}") for i in range(4000)] + [(9999, "one")]
+    docs = spark.createDataFrame(data, "doc_id long, source string")
+    sizes = Counter(s for _, s in data)
+    weights = {s: float(n) ** mixing.TEMPERATURE for s, n in sizes.items()}
+    got = mixing.mix(docs, block_rows=1, resolution=25).collect()
+    check_mix(got, weights, sizes, 1)
+    assert mixing.mix(docs).schema == mixing.mix(docs, resolution=25).schema
