@@ -5,7 +5,10 @@ every run of other characters one blank), hashed into ``DIMS`` features,
 weighted by log term frequency and inverse document frequency and normalised.
 Each language has several centroids, found by spherical k-means; a text gets
 the language of the centroid with the largest cosine.  A text that is farther
-from its centroid than that centroid's limit is marked as rejected.
+from its centroid than that centroid's limit is marked as rejected.  The limit
+depends on how much a text says, that is on its number of different features,
+since short and monotonous texts are far from every centroid: it is a share of a
+low quantile of the cosines that the centroid's sample rows of that size have.
 
 Document frequencies are counted over all training rows.  Only the clustering
 uses a sample: about ``SAMPLE`` rows of each language, drawn by a hash of the
@@ -36,9 +39,14 @@ CENTROIDS = 4
 SAMPLE = 400  # rows of each language that the clustering sees
 ROUNDS = 10
 MAX_LANGUAGES = 1000  # more than this is refused, never cut
-#: a text is rejected below this share of the smallest cosine that any of the
-#: centroid's own sample rows has
-REJECT_SHARE = 0.25
+#: a text is rejected below this share of the cosine that all but ``LOW`` of the
+#: centroid's own sample rows of its size reach (the language's, if it has too few)
+REJECT_SHARE = 0.55
+LOW = 0.05
+LEAST_ROWS = 10  # fewer rows of a size are joined with those of the next larger one
+SHORTER = 0.7  # limit of half the size, where there are no rows: about sqrt(1/2), as chance has it
+SEEDS = 0.75  # this share of a language's rows, nearest to its mean, can start a cluster
+TINY = 0.02  # clusters of a smaller share of the rows are dissolved
 UNKNOWN = "und"
 
 _CHUNK = 1 << 18
@@ -86,7 +94,7 @@ class Model:
     idf: np.ndarray
     centroids: np.ndarray  # one row each, normalised
     languages: list[str]   # of each centroid, in order
-    limits: np.ndarray     # least cosine that is not rejected
+    limits: np.ndarray     # least cosine that is not rejected, by centroid and size
 
     def vector(self, counts: np.ndarray) -> np.ndarray:
         return _vector(counts, self.idf)
@@ -99,7 +107,7 @@ class Model:
         cosines = self.centroids @ self.vector(counts)
         best = int(np.argmax(cosines))
         score = float(min(1.0, max(0.0, cosines[best])))
-        return self.languages[best], score, score < self.limits[best]
+        return self.languages[best], score, bool(score < self.limits[best, _size(np.count_nonzero(counts))])
 
 
 def _vector(counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
@@ -107,17 +115,59 @@ def _vector(counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
     return weights / max(float(np.linalg.norm(weights)), 1e-12)
 
 
+SIZES = DIMS.bit_length()
+
+
+def _size(features: int) -> int:
+    """Octave of a number of different features."""
+    return max(1, int(features)).bit_length() - 1
+
+
 def _k_means(vectors: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Normalised centres by farthest-first start and ``ROUNDS`` rounds; labels."""
-    centres = vectors[:1]
-    while len(centres) < min(k, len(vectors)):
-        centres = np.vstack([centres, vectors[np.argmin((vectors @ centres.T).max(axis=1))]])
+    """Normalised centres and labels by ``ROUNDS`` rounds.
+
+    The start is farthest-first among the rows near the mean, and clusters of
+    few rows are dissolved, so that no centre stands for odd rows only.
+    """
+    def assigned(centres: np.ndarray) -> np.ndarray:
+        return np.argmax(vectors @ centres.T, axis=1)
+
+    nearness = vectors @ vectors.mean(axis=0)
+    order = np.argsort(-nearness, kind="stable")
+    inner = vectors[order[:max(1, int(np.ceil(SEEDS * len(vectors))))]]
+    centres = inner[:1]
+    while len(centres) < min(k, len(inner)):
+        centres = np.vstack([centres, inner[np.argmin((inner @ centres.T).max(axis=1))]])
     for _ in range(ROUNDS):
-        labels = np.argmax(vectors @ centres.T, axis=1)
+        labels = assigned(centres)
         sums = np.array([vectors[labels == i].sum(axis=0) for i in range(len(centres))])
         norms = np.linalg.norm(sums, axis=1, keepdims=True)
         centres = np.where(norms > 0, sums / np.maximum(norms, 1e-12), centres)
-    return centres, np.argmax(vectors @ centres.T, axis=1)
+    rows = np.bincount(assigned(centres), minlength=len(centres))
+    centres = centres[rows >= min(rows.max(), max(1, TINY * len(vectors)))]
+    return centres, assigned(centres)
+
+
+def _limits(cosines: np.ndarray, features: np.ndarray, usual: np.ndarray | None = None) -> np.ndarray:
+    """Least cosine by size; where there are too few rows of a size, ``usual`` holds if it is given."""
+    sizes = np.array([_size(n) for n in features])
+    if usual is not None:
+        rows = [cosines[sizes == size] for size in range(SIZES)]
+        return np.array([REJECT_SHARE * np.quantile(own, LOW) if len(own) >= LEAST_ROWS else other
+                         for own, other in zip(rows, usual)])
+    limits, waiting = np.full(SIZES, np.nan), np.zeros(0)
+    for size in range(SIZES - 1, -1, -1):
+        waiting = np.concatenate([waiting, cosines[sizes == size]])
+        # the smallest size that has rows takes what is left, if there is no other
+        if len(waiting) >= LEAST_ROWS or (np.isnan(limits).all() and len(waiting) and size == sizes.min()):
+            limits[size] = REJECT_SHARE * np.quantile(waiting, LOW)
+            waiting = np.zeros(0)
+    known = np.flatnonzero(~np.isnan(limits))
+    for size in range(SIZES):
+        if np.isnan(limits[size]):
+            above, below = known[known > size], known[known < size]
+            limits[size] = limits[below[-1]] if len(below) else limits[above[0]] * SHORTER ** (above[0] - size)
+    return np.minimum.accumulate(limits[::-1])[::-1]
 
 
 def _document_frequencies(rows: DataFrame) -> tuple[np.ndarray, int]:
@@ -155,7 +205,7 @@ def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang",
     frequency, total = _document_frequencies(rows)
     idf = np.log((total + 1) / (frequency + 1)) + 1
     if not sizes or not total:
-        return Model(idf, np.zeros((0, DIMS)), [], np.zeros(0))
+        return Model(idf, np.zeros((0, DIMS)), [], np.zeros((0, SIZES)))
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -172,10 +222,11 @@ def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang",
         points = np.array(group["vector"].tolist(), np.float64)
         centres, labels = _k_means(points, centroids)
         own = (points * centres[labels]).sum(axis=1)
-        used = np.unique(labels)
+        features = np.count_nonzero(points, axis=1)
+        used, usual = np.unique(labels), _limits(own, features)
         return pd.DataFrame({
             "lang": group["lang"].iloc[0], "centre": [centres[i].tolist() for i in used],
-            "least": [float(own[labels == i].min()) for i in used]})
+            "least": [_limits(own[labels == i], features[labels == i], usual).tolist() for i in used]})
 
     shares = spark.createDataFrame(
         [(r["lang"], min(1.0, 1.2 * sample / r["count"])) for r in sizes], "lang string, share double")
@@ -183,10 +234,10 @@ def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang",
     drawn = rows.select("lang", "text", draw).join(F.broadcast(shares), "lang").where("draw < share")
     found = drawn.select("lang", "text", "draw").mapInArrow(
         vectors, "lang string, draw double, vector array<float>").groupBy("lang").applyInPandas(
-        cluster, "lang string, centre array<double>, least double")
+        cluster, "lang string, centre array<double>, least array<double>")
     learned = sorted(found.collect(), key=lambda r: (r["lang"], r["centre"]))
     return Model(idf, np.array([r["centre"] for r in learned]).reshape(-1, DIMS),
-                 [r["lang"] for r in learned], REJECT_SHARE * np.array([r["least"] for r in learned]))
+                 [r["lang"] for r in learned], np.array([r["least"] for r in learned]).reshape(-1, SIZES))
 
 
 def predict(docs: DataFrame, model: Model, columns: list[str], text_col: str = "text",

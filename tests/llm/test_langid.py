@@ -1,5 +1,8 @@
 """Language identification: held-out accuracy, edge cases, the n-gram counts."""
 
+import base64
+import random
+
 import numpy as np
 
 from tallyfold.llm import langid, queries
@@ -69,3 +72,35 @@ def test_edge_rows(spark):
     empty = langid.fit(docs.limit(0))
     assert {r.lang_pred for r in langid.predict(docs, empty, ["doc_id"]).collect()} == {"und"}
     assert langid.predict(docs.limit(0), model, ["doc_id"]).collect() == []
+
+
+FINNISH = ("Suomen kieli kuuluu itämerensuomalaisiin kieliin ja sitä puhuu noin viisi miljoonaa ihmistä. Talvella on "
+           "kylmä ja lunta sataa paljon, mutta kesällä aurinko paistaa melkein koko yön. ")
+POLISH = ("Język polski należy do grupy języków słowiańskich i jest używany przez około czterdzieści milionów ludzi. "
+          "Zimą jest zimno i pada śnieg, ale latem słońce świeci długo. ")
+TURKISH = ("Türkçe yaklaşık seksen milyon kişi tarafından konuşulan bir dildir. Kışın hava soğuk olur ve kar yağar, "
+           "ama yazın güneş uzun süre parlar. ")
+
+
+def test_noise_and_unseen_languages_are_rejected_and_clean_rows_are_not(spark):
+    docs = table(spark, SF, "documents").withColumn("held_out", queries.fold_of("doc_id", 3) == 1)
+    model = langid.fit(docs.where("not held_out"))
+    rng = random.Random(1)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    words = " ".join("".join(rng.choices(letters, k=rng.randint(2, 9))) for _ in range(300))
+    for text in ("".join(rng.choices(letters, k=2000)), words, base64.b64encode(rng.randbytes(3000)).decode(),
+                 FINNISH, POLISH, TURKISH):
+        assert model.predict(text)[2], text[:40]
+    assert not any(model.predict(r.text)[2] for r in docs.where("held_out").select("text").collect())
+
+
+def test_odd_rows_get_no_centre_and_set_no_limit():
+    rng = np.random.default_rng(1)
+    points = np.vstack([rng.random((300, 50)) + 3 * (np.arange(50) % 2), np.eye(50)[:3]])
+    points /= np.linalg.norm(points, axis=1, keepdims=True)
+    centres, labels = langid._k_means(points, 4)
+    assert np.bincount(labels, minlength=len(centres)).min() > 3
+    own = (points * centres[labels]).sum(axis=1)
+    limits = langid._limits(own, np.full(len(own), 50))
+    assert limits[langid._size(50)] > 0.9 * langid.REJECT_SHARE * np.median(own)
+    assert (np.diff(limits) >= 0).all()
