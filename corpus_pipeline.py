@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tallyfold.llm import bpe, exact_dedup, langid, mixing, simhash
-from tallyfold.llm.common import table
+from tallyfold.llm.common import numbered, table
 from tallyfold.llm.queries import VOCABULARY
 from tallyfold.session import checkpoint_dir
 
@@ -42,8 +42,11 @@ def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, ids and decoded text of every reading."""
-    return bpe.bpe_round_trip(docs, VOCABULARY)
+    """doc_id, ids, decoded text and place in the mix of every reading.
+
+    The place is that of the row in the stored mix, by file and row in the file.
+    """
+    return bpe.bpe_round_trip(numbered(docs, "place"), VOCABULARY, columns=("place",))
 
 
 STAGES: list[tuple[str, Stage]] = [

@@ -204,13 +204,14 @@ def _encoded(bpe: WordBpe, batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         ids = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.concatenate(found)))
         yield pa.RecordBatch.from_arrays(
             [batch.column(0).slice(start, end - start), ids,
-             pa.array([bpe.decode(x.tolist()) for x in found], pa.string())],
-            ["doc_id", "ids", "decoded"])
+             pa.array([bpe.decode(x.tolist()) for x in found], pa.string()),
+             *(c.slice(start, end - start) for c in batch.columns[2:])],
+            ["doc_id", "ids", "decoded", *batch.schema.names[2:]])
 
 
 def bpe_round_trip(docs: DataFrame, vocab_path: str, id_col: str = "doc_id",
-                   text_col: str = "text") -> DataFrame:
-    """doc_id, ids (array of int), decoded (string): every whole text, no shuffle."""
+                   text_col: str = "text", columns: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, ids (array of int), decoded (string) and ``columns``: every whole text, no shuffle."""
     ship_package(docs.sparkSession)
     spec = _Spec(docs.sparkSession, vocab_path)
 
@@ -223,8 +224,9 @@ def bpe_round_trip(docs: DataFrame, vocab_path: str, id_col: str = "doc_id",
             bpe.forget()
             pa.default_memory_pool().release_unused()
 
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(run, "doc_id long, ids array<int>, decoded string")
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), *columns)
+    kept = "".join(f", `{n}` {t}" for n, t in rows.dtypes[2:])
+    return rows.mapInArrow(run, f"doc_id long, ids array<int>, decoded string{kept}")
 
 
 def bpe_decode(tokens: DataFrame, vocab_path: str, id_col: str = "doc_id",

@@ -78,6 +78,24 @@ def test_stages_and_result(spark, tmp_path):
         assert list(r.ids) == ids and r.decoded == tk.decode(ids, skip_special_tokens=False)
 
 
+def test_the_result_has_the_place_in_the_mix(spark, tmp_path):
+    docs = spark.createDataFrame([(i, f"s{i % 3 % 2}", f"text {i}") for i in range(300)],
+                                 "doc_id long, source string, text string")
+    mixed = mixing.mix(docs)
+    want = [r.doc_id for r in sorted(mixed.collect(), key=lambda r: (r.mix_slot, r.mix_place))]
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    old = spark.conf.get(key)
+    try:
+        spark.conf.set(key, "false")
+        corpus_pipeline.mixed_sources(spark, docs, "").write.parquet(str(tmp_path / "mix"))
+    finally:
+        spark.conf.set(key, old)
+    stored = spark.read.parquet(str(tmp_path / "mix"))
+    assert len(stored.inputFiles()) > 1
+    got = sorted(corpus_pipeline.tokens(spark, stored, "").collect(), key=lambda r: r.place)
+    assert [r.place for r in got] == list(range(len(want))) and [r.doc_id for r in got] == want
+
+
 def test_nothing_else_imports_the_subpackage():
     top = os.path.dirname(os.path.abspath(corpus_pipeline.__file__))
     for folder, _, names in os.walk(os.path.join(top, "tallyfold")):
