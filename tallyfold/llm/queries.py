@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyfold.llm import ann, bpe, exact_dedup, html_extract, langid, lm, mixing, sharding, simhash, toxicity
+from tallyfold.llm import (
+    ann, bpe, exact_dedup, html_extract, langid, lm, mixing, secret_scan, sharding, simhash, sql, toxicity)
 from tallyfold.llm.common import durable, fold_of, table
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -81,19 +82,13 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.scored(matched, weights).select("doc_id", "held_out", "score", "predicted")
 
 
+def op11_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spans of secrets in every document."""
+    return secret_scan.digests(secret_scan.find_secrets(table(spark, sf_dir, "documents")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_bpe, op2_mixing, op3_simhash, op4_sharding, op5_exact_dedup,
-                            op6_langid, op7_lm, op8_html, op9_ann, op10_toxicity)}
-
-SQL: dict[str, str] = {
-    "op5_exact_dedup": """
-        WITH norm AS (
-            SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
-                                     'abcdefghijklmnopqrstuvwxyz') AS t
-            FROM documents)
-        SELECT doc_id, max(doc_id) OVER (PARTITION BY t) AS keep_id,
-               count(*) OVER (PARTITION BY t) AS group_size,
-               doc_id = max(doc_id) OVER (PARTITION BY t) AS kept,
-               sha256(t) AS text_sha256
-        FROM norm""",
-}
+                            op6_langid, op7_lm, op8_html, op9_ann, op10_toxicity, op11_secret_scan)}
+
+SQL: dict[str, str] = {"op5_exact_dedup": sql.EXACT_DEDUP, "op11_secret_scan": sql.secrets()}
