@@ -9,10 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyfold.llm import (
-    ann, bpe, exact_dedup, html_extract, langid, lm, mixing, secret_scan, sharding, simhash, sql, toxicity)
+    ann, bpe, exact_dedup, html_extract, langid, lm, mixing, secret_scan, sharding, simhash, sql,
+    token_alignment, toxicity)
 from tallyfold.llm.common import durable, fold_of, table
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
+ALIGNED_A, ALIGNED_B = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
 
 
 def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -87,8 +89,16 @@ def op11_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.digests(secret_scan.find_secrets(table(spark, sf_dir, "documents")))
 
 
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of byte-level and piece tokens of every document, links with corpus-wide counts."""
+    vocabularies = token_alignment.Vocabularies(spark, ALIGNED_A, ALIGNED_B)
+    aligned = token_alignment.align(table(spark, sf_dir, "documents"), vocabularies)
+    return token_alignment.score_links(token_alignment.digests(aligned), vocabularies)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_bpe, op2_mixing, op3_simhash, op4_sharding, op5_exact_dedup,
-                            op6_langid, op7_lm, op8_html, op9_ann, op10_toxicity, op11_secret_scan)}
+                            op6_langid, op7_lm, op8_html, op9_ann, op10_toxicity, op11_secret_scan,
+                            op12_token_alignment)}
 
 SQL: dict[str, str] = {"op5_exact_dedup": sql.EXACT_DEDUP, "op11_secret_scan": sql.secrets()}
