@@ -9,11 +9,13 @@ number of documents that have such a link is counted in a vector as long as
 A's vocabulary.  Only the links of other, irregular groups become pairs of ids
 that are counted by a shuffle.
 
-A text is cut at single spaces between two characters that are no white space.
-Neither tokenizer joins anything over such a space, and both see what follows
-as they see the start of a text, so that each part is aligned by itself and the
-parts of frequent words come from a cache of bounded size.  Texts of any length
-are aligned whole.
+A is encoded with its merges as ranks where the vocabulary file allows it and the
+text's characters have kept their class in all Unicode versions; any other text
+goes through the file's own tokenizer.  A batch of texts is aligned at once by
+the sorted byte ends of both token rows.  A very long text is cut at single
+spaces between two characters that are no white space: neither tokenizer joins
+anything over such a space, and both see what follows as they see the start of
+a text, so its parts give the tokens of the whole.
 
 Each document's links are stored once.  Counts go back to them in two ways:
 the vectors and the pairs with more than 1/``HOT_PAIRS`` of all pair rows, of
@@ -28,13 +30,16 @@ and counted each; other columns are ignored whatever their names.
 from __future__ import annotations
 
 import hashlib
+import json
 import re
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import sentencepiece
+import tiktoken
 import tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -44,31 +49,45 @@ from tallyfold.llm.common import durable, slices
 from tallyfold.session import scratch_path, ship_package
 
 HOT_PAIRS = 1 << 18
-CACHE_PARTS = 100_000  # entries a generation, about 500 bytes each
-_CACHED_CHARS = 64
-_BATCH_CHARS = 2 << 20
+PART_CHARS = 1 << 20
+_BATCH_CHARS = 1 << 20
 _SPACE = "▁"  # fixed: the piece model's sign for a space
 _BYTE = re.compile("<0x([0-9A-F]{2})>")
-# white space other than single spaces between other characters; a text without it is cut at every space
-_OTHER_SPACE = re.compile("[^\\S \n]|\u180e| [ \n]|\n |^ | $")
 _CUT = re.compile(r"(?<=[!-~\w]) (?=[!-~\w])")
+# fixed: how the byte-level vocabulary cuts a text into words
+_WORDS = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
+# characters outside blocks whose letters and digits are the same in all Unicode versions in use
+_UNSETTLED = re.compile(
+    "[^\x00-\u052f\u2000-\u206f\u3000-\u30ff\u4e00-\u9fa5\uac00-\ud7a3\U0001f300-\U0001f64f]")
 
 
-def parts_of(text: str) -> list[str]:
-    """The text between the spaces where both tokenizers start anew."""
-    return _CUT.split(text) if _OTHER_SPACE.search(text) else text.split(" ")
+def parts_of(text: str, size: int) -> list[str]:
+    """The text between some spaces where both tokenizers start anew, in parts of ``size`` characters or more."""
+    parts, start = [], 0
+    while start + size < len(text) and (cut := _CUT.search(text, start + size)):
+        parts.append(text[start:cut.start()])
+        start = cut.end()
+    return [*parts, text[start:]]
 
 
-class _Part:
-    """One part's alignment: sizes, groups as text, links of same bytes and other links."""
+class Aligned(NamedTuple):
+    """Alignment of a batch of texts: numbers a text, groups as text, links and the text of each."""
 
-    __slots__ = ("n_a", "n_b", "n_groups", "groups", "same", "pairs")
+    n_a: np.ndarray
+    n_b: np.ndarray
+    n_groups: np.ndarray
+    n_links: np.ndarray
+    groups: list[str]
+    link_text: np.ndarray
+    link_a: np.ndarray
+    link_b: np.ndarray
+    link_same: np.ndarray
 
 
 class Aligner:
     """Both tokenizers and the identity map between them."""
 
-    def __init__(self, a_spec: str, b_model: bytes, cache: int = CACHE_PARTS):
+    def __init__(self, a_spec: str, b_model: bytes, part_chars: int = PART_CHARS):
         self._a = tokenizers.Tokenizer.from_str(a_spec)
         self._a.encode_special_tokens = True
         self._a.no_truncation()
@@ -89,71 +108,70 @@ class Aligner:
                 if not self._b.is_control(i) and not self._b.is_unknown(i):
                     plain[self.b_bytes[i]] = i
         #: the B id with the same bytes, of every A id; -1 where there is none
-        self.same = [plain.get(b, -1) for b in self.a_bytes]
+        self.same = np.array([plain.get(b, -1) for b in self.a_bytes], np.int64)
         # a piece that holds a space after another character would cross the cuts
-        self._cuts = not any(re.search(f"[^{_SPACE}]{_SPACE}", self._b.id_to_piece(i)) for i in range(self.n_b))
-        self._limit = cache
-        self.forget()
+        joins = any(re.search(f"[^{_SPACE}]{_SPACE}", self._b.id_to_piece(i)) for i in range(self.n_b))
+        self._part_chars = None if joins else part_chars
+        self._ranked = self._ranked_encoding(json.loads(a_spec))
+        self._a_sizes, self._b_sizes = (np.array([len(x) for x in c], np.int64) for c in (self.a_bytes, self.b_bytes))
+        # an id as text with the sign that follows it, inside a group and at the end of its side
+        self._signed = np.array([f"{i}{sign}" for n, end in ((self.n_a, "|"), (self.n_b, ";"))
+                                 for sign in (",", end) for i in range(n)], object)
+
+    def _ranked_encoding(self, spec: dict) -> tiktoken.Encoding | None:
+        """A's merges as ranks, if each merge makes the next id and the words are cut in the usual way."""
+        vocab, merges = spec["model"]["vocab"], spec["model"]["merges"]
+        made = [vocab["".join(m if isinstance(m, list) else m.split(" "))] for m in merges]
+        usual = {"type": "ByteLevel", "add_prefix_space": False, "use_regex": True}
+        if any(x >= y for x, y in zip(made, made[1:])) or spec["normalizer"] or not (
+                usual.items() <= spec["pre_tokenizer"].items()):
+            return None
+        special = {t["content"] for t in spec["added_tokens"]}
+        return tiktoken.Encoding("a", pat_str=_WORDS, special_tokens={}, mergeable_ranks={
+            self.a_bytes[i]: i for token, i in vocab.items() if token not in special})
 
     @property
     def key_type(self) -> str:
         return "int" if self.n_a * self.n_b < 1 << 31 else "long"
 
-    def forget(self) -> None:
-        self._young: dict[str, _Part | None] = {}
-        self._old: dict[str, _Part | None] = {}
-
-    def _aligned(self, part: str) -> _Part | None:
-        """The alignment of one part with a space before it; None where bytes differ."""
-        data = f" {part}".encode()
-        a, b = self._a.encode(f" {part}", add_special_tokens=False).ids, self._b.encode(part, num_threads=1)
-        a_bytes, b_bytes = [self.a_bytes[i] for i in a], [self.b_bytes[i] for i in b]
-        if b"".join(a_bytes) != data or b"".join(b_bytes) != data:
-            return None
-        found, groups, same, pairs = _Part(), [], [], []
-        i = j = first_a = first_b = 0
-        end_a, end_b = len(a_bytes[0]), len(b_bytes[0])
-        while True:
-            if self.same[a[i]] == b[j]:
-                same.append(a[i])
-            else:
-                pairs.append(a[i] * self.n_b + b[j])
-            closed, more_a, more_b = end_a == end_b, end_a <= end_b, end_b <= end_a
-            if more_a:
-                i += 1
-            if more_b:
-                j += 1
-            if closed:
-                groups.append(f"{','.join(map(str, a[first_a:i]))}|{','.join(map(str, b[first_b:j]))}")
-                if i == len(a):
-                    break
-                first_a, first_b = i, j
-            if more_a:
-                end_a += len(a_bytes[i])
-            if more_b:
-                end_b += len(b_bytes[j])
-        found.n_a, found.n_b, found.n_groups, found.groups = len(a), len(b), len(groups), ";".join(groups)
-        found.same, found.pairs = np.array(same, "<i4").tobytes(), np.array(pairs, "<i8").tobytes()
-        return found
-
-    def _part(self, part: str) -> _Part | None:
-        if part in self._young:
-            return self._young[part]
-        found = self._old[part] if part in self._old else self._aligned(part)
-        if len(part) <= _CACHED_CHARS:
-            if len(self._young) >= self._limit:
-                self._old, self._young = self._young, {}
-            self._young[part] = found
-        return found
-
-    def align(self, text: str | None) -> tuple[int, int, int, str, np.ndarray, np.ndarray]:
-        """n_a, n_b, n_groups, groups, A ids of same-bytes links, keys (a * n_b + b) of other links."""
-        parts = [self._part(p) for p in (parts_of(text) if self._cuts else [text])] if text else []
-        if None in parts:
-            parts = []
-        return (sum([p.n_a for p in parts]), sum([p.n_b for p in parts]), sum([p.n_groups for p in parts]),
-                ";".join([p.groups for p in parts]), np.frombuffer(b"".join([p.same for p in parts]), "<i4"),
-                np.frombuffer(b"".join([p.pairs for p in parts]), "<i8"))
+    def encode_a(self, text: str) -> np.ndarray:
+        if self._ranked is None or _UNSETTLED.search(text):
+            return np.array(self._a.encode(text, add_special_tokens=False).ids, np.int64)
+        return np.array(self._ranked.encode_ordinary(text), np.int64)
+
+    def align(self, texts: list[str | None]) -> Aligned:
+        """The alignment of every text with a space before it; none where bytes differ."""
+        parts = [(i, part) for i, text in enumerate(texts) if text
+                 for part in (parts_of(text, self._part_chars) if self._part_chars else [text])]
+        both = [(i, part, self.encode_a(f" {part}"), b) for (i, part), b in zip(
+            parts, self._b.encode([part for _, part in parts], num_threads=1))] if parts else []
+        a_bytes, b_bytes = self.a_bytes, self.b_bytes
+        other = {i for i, part, a, b in both if not (
+            b"".join([a_bytes[x] for x in a.tolist()]) == f" {part}".encode() == b"".join([b_bytes[x] for x in b]))}
+        both = [x for x in both if x[0] not in other]
+        a = np.concatenate([x[2] for x in both] or [np.empty(0, np.int64)])
+        b = np.array([i for x in both for i in x[3]], np.int64)
+        text_a = np.repeat([x[0] for x in both], [len(x[2]) for x in both]).astype(np.int64)
+        text_b = np.repeat([x[0] for x in both], [len(x[3]) for x in both]).astype(np.int64)
+        ends_a, ends_b = np.cumsum(self._a_sizes[a]), np.cumsum(self._b_sizes[b])
+        cuts = np.intersect1d(ends_a, ends_b, assume_unique=True)
+        group_a, group_b = np.searchsorted(cuts, ends_a), np.searchsorted(cuts, ends_b)
+        # no token ends inside the stretch before an end, so each stretch is one link
+        ends = np.union1d(ends_a, ends_b)
+        at_a, at_b = np.searchsorted(ends_a, ends), np.searchsorted(ends_b, ends)
+
+        def count(text: np.ndarray) -> np.ndarray:
+            return np.bincount(text, minlength=len(texts))
+
+        n_a, n_b = count(text_a), count(text_b)
+        signed = np.empty(len(a) + len(b), np.int64)
+        signed[np.arange(len(a)) + np.searchsorted(group_b, group_a)] = a + self.n_a * (cuts[group_a] == ends_a)
+        signed[np.arange(len(b)) + np.searchsorted(group_a, group_b, "right")] = (
+            b + 2 * self.n_a + self.n_b * (cuts[group_b] == ends_b))
+        words, stops = self._signed[signed].tolist(), np.cumsum(n_a + n_b).tolist()
+        groups = ["".join(words[i:j])[:-1] for i, j in zip([0, *stops], stops)]
+        return Aligned(n_a, n_b, count(text_a[np.searchsorted(ends_a, cuts)]), count(text_a[at_a]), groups,
+                       text_a[at_a], a[at_a], b[at_b], self.same[a[at_a]] == b[at_b])
 
 
 _ALIGNERS: dict[str, Aligner] = {}
@@ -178,24 +196,23 @@ class _Spec:
         return _ALIGNERS[self.digest]
 
 
-def _lists(found: list[np.ndarray], kind: pa.DataType) -> pa.ListArray:
-    offsets = pa.array(np.cumsum([0, *map(len, found)]), pa.int32())
-    return pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(found), kind))
+def _distinct(text: np.ndarray, value: np.ndarray, size: int, texts: int, kind: pa.DataType) -> list[pa.Array]:
+    """The distinct values of each text and how often each occurs, as list columns."""
+    found, times = np.unique(text * size + value, return_counts=True)
+    offsets = pa.array(np.searchsorted(found, np.arange(texts + 1) * size), pa.int32())
+    return [pa.ListArray.from_arrays(offsets, pa.array(x, k)) for x, k in ((found % size, kind), (times, pa.int32()))]
 
 
 def _batch(aligner: Aligner, batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
     sizes = [v or 0 for v in pc.binary_length(batch.column(1)).to_pylist()]
-    key = pa.int32() if aligner.key_type == "int" else pa.int64()
+    key, pair_keys = pa.int32() if aligner.key_type == "int" else pa.int64(), aligner.n_a * aligner.n_b
     for start, end in slices(sizes, _BATCH_CHARS):
-        rows = [aligner.align(batch.column(1)[i].as_py()) for i in range(start, end)]
-        same, pairs = ([np.unique(r[c], return_counts=True) for r in rows] for c in (4, 5))
+        rows, n = aligner.align(batch.column(1).slice(start, end - start).to_pylist()), end - start
+        same, other = rows.link_same, ~rows.link_same
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0).slice(start, end - start),
-             *(pa.array([r[c] for r in rows], pa.int64()) for c in range(3)),
-             pa.array([len(r[4]) + len(r[5]) for r in rows], pa.int64()),
-             pa.array([r[3] for r in rows], pa.string()),
-             _lists([s[0] for s in same], pa.int32()), _lists([s[1] for s in same], pa.int32()),
-             _lists([s[0] for s in pairs], key), _lists([s[1] for s in pairs], pa.int32())],
+            [batch.column(0).slice(start, n), *map(pa.array, rows[:4]), pa.array(rows.groups, pa.string()),
+             *_distinct(rows.link_text[same], rows.link_a[same], aligner.n_a, n, pa.int32()),
+             *_distinct(rows.link_text[other], rows.link_a[other] * aligner.n_b + rows.link_b[other], pair_keys, n, key)],
             ["doc_id", "n_a", "n_b", "n_groups", "n_links", "groups", "same", "same_n", "pairs", "pairs_n"])
 
 
@@ -220,12 +237,9 @@ def align(docs: DataFrame, vocabularies: Vocabularies, id_col: str = "doc_id", t
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         aligner = spec.aligner()
-        try:
-            for batch in batches:
-                yield from _batch(aligner, batch)
-        finally:  # the worker lives on, for other stages too
-            aligner.forget()
-            pa.default_memory_pool().release_unused()
+        for batch in batches:
+            yield from _batch(aligner, batch)
+        pa.default_memory_pool().release_unused()  # the worker lives on, for other stages too
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     return rows.mapInArrow(run, (

@@ -94,23 +94,28 @@ STRANGE = ["", None, " ", "  ", "a", " a", "a ", "a  b", "x \n y", "a\nb c\td",
            "﻿ ​ x", "don't  I'll we've", "١٢ ٣ Ⅳ ①", "aaa aaaa aaaaa " * 9, "日本語 の テキスト", "=" * 300, "a b" * 200]
 
 
-def test_parts_give_the_tokens_of_the_whole_text():
+@pytest.mark.parametrize("part_chars", [token_alignment.PART_CHARS, 1, 40])
+def test_batches_and_parts_give_the_tokens_of_the_whole_text(part_chars):
     with open(queries.ALIGNED_A, encoding="utf-8") as f, open(queries.ALIGNED_B, "rb") as g:
-        aligner = token_alignment.Aligner(f.read(), g.read(), cache=50)
-    assert aligner._cuts
-
-    def same(text):
-        na, nb, groups, links = whole(text)
-        got = aligner.align(text)
-        assert got[:4] == (na, nb, len(groups), ";".join(groups)), text
-        keys = [a * aligner.n_b + b for a, b in links if aligner.same[a] != b]
-        assert sorted(got[5].tolist()) == sorted(keys) and sorted(got[4].tolist()) == sorted(
-            a for a, b in links if aligner.same[a] == b)
-
-    for text in STRANGE + [t for _, t in corpus(60)]:
+        aligner = token_alignment.Aligner(f.read(), g.read(), part_chars)
+    assert aligner._part_chars and aligner._ranked
+
+    def same(*texts):
+        got = aligner.align(list(texts))
+        for i, text in enumerate(texts):
+            na, nb, groups, links = whole(text)
+            mine = got.link_text == i
+            assert [x[i] for x in got[:5]] == [na, nb, len(groups), len(links), ";".join(groups)], text
+            assert list(zip(got.link_a[mine], got.link_b[mine], got.link_same[mine])) == [
+                (a, b, aligner.same[a] == b) for a, b in links]
+
+    same()
+    same(*STRANGE)
+    same(*[t for _, t in corpus(60)], None)
+    for text in STRANGE:
         same(text)
 
-    @settings(max_examples=600, deadline=None, derandomize=True)
+    @settings(max_examples=300, deadline=None, derandomize=True)
     @given(st.lists(st.one_of(st.text(max_size=4), st.sampled_from([" ", "  ", "\n", "\t", "'s", "The", "ing", ".", "\x85"])),
                     max_size=14))
     def random_texts(parts):
