@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyfold.llm import (
-    ann, bpe, exact_dedup, html_extract, langid, lm, mixing, secret_scan, sharding, simhash, sql,
-    token_alignment, toxicity)
+    ann, bpe, exact_dedup, html_extract, langid, lexical_search, lm, mixing, secret_scan, sharding,
+    simhash, sql, token_alignment, toxicity)
 from tallyfold.llm.common import durable, fold_of, table
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -96,9 +96,15 @@ def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_alignment.score_links(token_alignment.digests(aligned), vocabularies)
 
 
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten documents that rank highest for each benchmark item."""
+    return lexical_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_bpe, op2_mixing, op3_simhash, op4_sharding, op5_exact_dedup,
                             op6_langid, op7_lm, op8_html, op9_ann, op10_toxicity, op11_secret_scan,
-                            op12_token_alignment)}
+                            op12_token_alignment, op13_lexical_search)}
 
-SQL: dict[str, str] = {"op5_exact_dedup": sql.EXACT_DEDUP, "op11_secret_scan": sql.secrets()}
+SQL: dict[str, str] = {"op5_exact_dedup": sql.EXACT_DEDUP, "op11_secret_scan": sql.secrets(),
+                       "op13_lexical_search": sql.LEXICAL_SEARCH}

@@ -18,6 +18,34 @@ EXACT_DEDUP = f"""
     FROM norm"""
 
 
+LEXICAL_SEARCH = rf"""
+    WITH docs AS (SELECT row_number() OVER () AS rid, doc_id, translate(text, {_A_TO_Z}) AS t FROM documents),
+    items AS (SELECT row_number() OVER () AS iid, item_id, translate(text, {_A_TO_Z}) AS t FROM benchmark),
+    words AS (
+        SELECT rid, doc_id, unnest(regexp_extract_all(t, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+        FROM docs),
+    lengths AS (SELECT rid, count(*) AS n FROM words GROUP BY rid),
+    totals AS (SELECT count(*) AS docs, sum(n)::BIGINT AS length FROM lengths),
+    asked AS (
+        SELECT DISTINCT iid, item_id,
+               unnest(regexp_extract_all(t, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+        FROM items),
+    postings AS (
+        SELECT rid, doc_id, term, count(*) AS tf FROM words
+        WHERE term IN (SELECT term FROM asked) GROUP BY rid, doc_id, term),
+    weights AS (
+        SELECT term, floor(1000 * ln((2 * any_value(docs) + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w
+        FROM postings, totals GROUP BY term),
+    norms AS (SELECT rid, 100 - 90 + (90 * n * docs) // length AS m FROM lengths, totals),
+    scores AS (
+        SELECT iid, item_id, rid, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m)))::BIGINT AS score
+        FROM asked JOIN postings USING (term) JOIN weights USING (term) JOIN norms USING (rid)
+        GROUP BY iid, item_id, rid, doc_id)
+    SELECT item_id, (row_number() OVER (PARTITION BY iid ORDER BY score DESC, doc_id))::INTEGER AS rank, doc_id, score
+    FROM scores WHERE score > 0
+    QUALIFY rank <= 10"""
+
+
 def _quoted(pattern: str) -> str:
     return "'" + pattern.replace("'", "''") + "'"
 
