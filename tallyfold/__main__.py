@@ -45,7 +45,7 @@ def main(argv=None) -> None:
         if kind == "decisions" and a.decision_column:
             headers["decision"] = a.decision_column
         return read_input(spark, path, schema, headers, rejects=f"{a.out}/rejects_{kind}",
-                          positions=rules.positions.get(kind), **places)
+                          positions=rules.positions.get(kind), patterns=rules.patterns.get(kind), **places)
 
     with scratch_run(spark):
         places = read("places", a.places, schemas.GAZETTEER)

@@ -71,6 +71,34 @@ def q_banner_csv(spark, sf):
         rejected.select(key, "reason"), allowMissingColumns=True)
 
 
+DATED_PATTERNS = {"stamp": ("d/M/yyyy H:mm:ss", "d/M/yyyy H:mm"), "day": ("d/M/yyyy", "M/d/yyyy", "dd.MM.yyyy")}
+
+
+def q_dated_export(spark, sf):
+    """An export whose stamps and days are written in several ways (S1, C2, C3):
+    day-first and ISO stamps, days that are day-first or month-first, so that some
+    are ambiguous, and stamps of no calendar day; read by declared patterns."""
+    o = driver_table(spark, sf, "orders")
+    at, status, priority = F.col("o_orderdate"), F.col("o_orderstatus"), F.col("o_orderpriority")
+    stamp = (F.when(status == "P", F.concat(F.lit("31/2/"), F.date_format(at, "yyyy H:mm:ss")))
+              .when(status == "O", F.date_format(at, "d/M/yyyy H:mm:ss"))
+              .when(priority == "5-LOW", F.date_format(at, "dd/MM/yyyy HH:mm"))
+              .otherwise(F.date_format(at, "yyyy-MM-dd'T'HH:mm:ss")))
+    day = (F.when(priority == "1-URGENT", F.date_format(at, "M/d/yyyy"))
+            .when(priority == "2-HIGH", F.date_format(at, "dd.MM.yyyy"))
+            .when(priority == "3-MEDIUM", F.lit(None))
+            .otherwise(F.date_format(at, "d/M/yyyy")))
+    path = scratch_path(spark, "dated") + ".csv"
+    o.select("o_orderkey", stamp.alias("stamp"), day.alias("day")).write.option("header", "true").csv(path)
+    schema = T.StructType([T.StructField("o_orderkey", T.LongType()), T.StructField("stamp", T.TimestampNTZType()),
+                           T.StructField("day", T.DateType())])
+    good, rejected = split_readable(spark, path, schema, patterns=DATED_PATTERNS)
+    shown = good.select("o_orderkey", F.date_format("stamp", "yyyy-MM-dd HH:mm:ss").alias("stamp"),
+                        F.date_format("day", "yyyy-MM-dd").alias("day"), F.lit(None).cast("string").alias("reason"))
+    key = F.get_json_object("record", "$.o_orderkey").cast("long").alias("o_orderkey")
+    return shown.unionByName(rejected.select(key, "reason"), allowMissingColumns=True)
+
+
 def q_positional_rename(spark, sf):
     p = rename_tail(driver_table(spark, sf, "part"),
                     ["name", "brand", "kind", "size", "price"])

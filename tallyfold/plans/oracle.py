@@ -298,6 +298,19 @@ SQL: dict[str, str] = {
         UNION ALL
         SELECT o_orderkey, NULL, NULL, NULL, NULL, NULL, 'wrong number of fields'
         FROM orders WHERE o_orderstatus = 'P'""",
+    "q_dated_export": """
+        WITH d AS (
+            SELECT o_orderkey, o_orderdate AS dt, o_orderstatus AS status, o_orderpriority AS pri,
+                   coalesce(day(o_orderdate) <= 12 AND day(o_orderdate) <> month(o_orderdate)
+                            AND o_orderpriority NOT IN ('2-HIGH', '3-MEDIUM'), false) AS both_ways
+            FROM orders)
+        SELECT o_orderkey, NULL AS stamp, NULL AS day, 'unreadable stamp' AS reason FROM d WHERE status = 'P'
+        UNION ALL
+        SELECT o_orderkey, NULL, NULL, 'ambiguous day' FROM d WHERE status <> 'P' AND both_ways
+        UNION ALL
+        SELECT o_orderkey, strftime(dt, '%Y-%m-%d %H:%M:%S'),
+               CASE WHEN pri <> '3-MEDIUM' THEN strftime(dt, '%Y-%m-%d') END, NULL
+        FROM d WHERE status <> 'P' AND NOT both_ways""",
     "q_positional_rename": """
         SELECT p_partkey AS part_id, p_name AS name, p_brand AS brand, p_type AS kind,
                p_size AS size, p_retailprice AS price

@@ -55,6 +55,8 @@ class Rules:
     headers: dict[str, dict[str, str]] = field(default_factory=dict)
     positions: dict[str, dict[int, str]] = field(default_factory=dict)
     legacy_tail: tuple[str, ...] | None = None
+    # patterns of dates and stamps that aren't ISO text, by input and declared column, in order
+    patterns: dict[str, dict[str, tuple[str, ...]]] = field(default_factory=dict)
 
 
 # Fixed values of the original workflow.
@@ -110,6 +112,9 @@ FIELD = Rules(
     },
     positions={"places": {9: "EGTPI"}},
     legacy_tail=("at_june", "mode_june", "ial_june", "at_july", "mode_july", "ial_july"),
+    patterns={"submissions": {
+        "submitted_at": ("d/M/yyyy H:mm:ss", "d/M/yyyy H:mm", "d/M/yyyy"),
+        "event_date": ("d/M/yyyy", "d/M/yyyy H:mm:ss", "d/M/yyyy H:mm")}},
 )
 
 # Stand-in values for the driver tables.

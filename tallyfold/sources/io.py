@@ -9,10 +9,11 @@ from __future__ import annotations
 import csv
 import os
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tallyfold.functions.dates import read_by_patterns
 from tallyfold.sources import schemas
 
 
@@ -80,10 +81,31 @@ def name_col(name: str):
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+def _read_json_text(spark: SparkSession, path: str, names: list[str]) -> DataFrame:
+    """The records of a JSON-lines export: the columns of ``names`` that occur, as text.
+
+    One pass, nothing is inferred; names count as they are written.  A name counts as
+    there if one of the first records has it as a key or any record has a value for it.
+    """
+    lines = spark.read.text(path).where(F.trim("value") != "")
+    cells = F.from_json("value", T.MapType(T.StringType(), T.StringType()))
+    raw = lines.select(cells.alias("_cells"), F.when(cells.isNull(), F.col("value")).alias("_record"))
+    first = {k for r in raw.limit(100).select(F.map_keys("_cells").alias("keys")).collect() for k in r["keys"] or []}
+    there = [n for n in names if n in first or raw.where(F.col("_cells")[n].isNotNull()).take(1)]
+    return raw.select(*[F.col("_cells")[n].alias(n) for n in there], "_record")
+
+
+def _typed(cell: Column, data_type: T.DataType, patterns: tuple[str, ...] | None) -> tuple[Column, Column]:
+    """The cell's value (NULL where it can't be read), and whether its patterns disagree."""
+    if patterns is None:
+        return cell.cast("string").try_cast(data_type), F.lit(False)
+    return read_by_patterns(cell, data_type.simpleString(), patterns)
+
+
 def split_readable(spark: SparkSession, path: str, schema: T.StructType,
                    aliases: dict[str, str] | None = None, tail: list[str] | None = None,
-                   positions: dict[int, str] | None = None,
-                   row_id: str | None = None) -> tuple[DataFrame, DataFrame]:
+                   positions: dict[int, str] | None = None, row_id: str | None = None,
+                   patterns: dict[str, tuple[str, ...]] | None = None) -> tuple[DataFrame, DataFrame]:
     """Scan an exported input by its extension (csv / json / parquet).
 
     Returns the rows with the declared columns, and the rows that can't be read
@@ -93,9 +115,11 @@ def split_readable(spark: SparkSession, path: str, schema: T.StructType,
     where the file has it.  ``positions`` renames columns by their 1-based place
     and ``tail`` all columns but the first, before that.  A declared column that
     the file lacks is an error, in every format; only ``row_id`` is then made from
-    the record's place in the export.
+    the record's place in the export.  ``patterns`` names the ways in which a date or
+    stamp column is written besides ISO text; a cell that they read as different
+    values is rejected as ambiguous.
     """
-    aliases = aliases or {}
+    aliases, patterns = aliases or {}, patterns or {}
     ext = os.path.splitext(path.rstrip("/"))[1].lower().lstrip(".") or "parquet"
     first = schema.fields[0].name
     wrong = F.lit(None).cast("string")
@@ -104,6 +128,10 @@ def split_readable(spark: SparkSession, path: str, schema: T.StructType,
         header = _header(spark, path, [*known[:1], first])
         raw = read_csv_text(spark, path, header)
         wrong = F.when(F.col("_record").isNotNull(), F.lit("wrong number of fields"))
+    elif ext in ("json", "jsonl") and tail is None and not positions:
+        raw = _read_json_text(spark, path, list(dict.fromkeys(
+            n for f in schema.fields for n in (aliases.get(f.name, f.name), f.name))))
+        wrong = F.when(F.col("_record").isNotNull(), F.lit("not a record"))
     elif ext in ("json", "jsonl"):
         raw = spark.read.option("primitivesAsString", "true").option("mode", "PERMISSIVE").option(
             "columnNameOfCorruptRecord", "_record").json(path)
@@ -130,15 +158,18 @@ def split_readable(spark: SparkSession, path: str, schema: T.StructType,
               for f in schema.fields}
     if missing := [n for n, c in source.items() if c is None]:
         raise ValueError(f"{path}: missing columns {missing}")
+    values = []
     for f in schema.fields:
         cell = name_col(source[f.name])
-        bad = cell.isNotNull() & cell.cast("string").try_cast(f.dataType).isNull()
+        value, ambiguous = _typed(cell, f.dataType, patterns.get(f.name))
+        bad = cell.isNotNull() & value.isNull()
         if ext == "csv":
             bad = bad & (F.trim(cell) != "")
-        wrong = F.coalesce(wrong, F.when(bad, F.lit(f"unreadable {f.name}")))
+        wrong = F.coalesce(wrong, F.when(bad, F.lit(f"unreadable {f.name}")),
+                           F.when(ambiguous, F.lit(f"ambiguous {f.name}")))
+        values.append(value.alias(f.name))
     marked = raw.withColumn("_reason", wrong)
-    good = marked.where(F.col("_reason").isNull()).select(
-        *[name_col(source[f.name]).cast("string").try_cast(f.dataType).alias(f.name) for f in schema.fields])
+    good = marked.where(F.col("_reason").isNull()).select(*values)
     record = F.coalesce("_record", F.to_json(F.struct(*[name_col(n) for n in renamed])))
     rejected = marked.where(F.col("_reason").isNotNull()).select(
         record.alias("record"), F.col("_reason").alias("reason"))

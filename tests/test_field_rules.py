@@ -1,10 +1,19 @@
 """The original workflow's own labels (rules.FIELD) end to end through the CLI."""
 
+import dataclasses
 import json
 import os
+import re
 import tempfile
 
+import pytest
+
 from tallyfold.__main__ import main
+from tallyfold.plans.rules import FIELD
+from tallyfold.sources.io import split_readable
+from tallyfold.sources.schemas import SUBMISSIONS as SCHEMA
+
+from conftest import rows
 
 # the exports' own headers; the last columns' order differs from the form's
 SUBMISSIONS = """Marca temporal,Departamento,Provincia,Distrito,Fecha de la Asistencia Técnica,Unidad Orgánica o Programa Social del responsable que brinda la asistencia técnica,Modalidad que brindó la asistencia técnica,Cargo del responsable,Intervención en la que se brindó asistencia técnica,Institución que recibió la asistencia técnica
@@ -31,6 +40,13 @@ LEGACY = "UBIGEO,Junio,,Junio IAL,Julio,,Julio IAL\n010102,x,1,,x,2,\n"
 EXCLUSIONS = "N_ROW\n4\n"
 
 
+def day_first(text):
+    """The same submissions as the form's own export writes them: 3/5/2022 10:00:00 and 2/5/2022."""
+    text = re.sub(r"(?m)^(\d{4})-(\d\d)-(\d\d)T0?(\d+:\d\d:\d\d)",
+                  lambda m: f"{int(m[3])}/{int(m[2])}/{m[1]} {m[4]}", text)
+    return re.sub(r"(\d{4})-(\d\d)-(\d\d)T00:00:00", r"\3/\2/\1", text)
+
+
 def _write(d, name, text):
     p = os.path.join(d, name)
     with open(p, "w", encoding="utf-8") as f:
@@ -38,12 +54,13 @@ def _write(d, name, text):
     return p
 
 
-def test_field_workflow(spark, capsys):
+@pytest.mark.parametrize("written", [str, day_first])
+def test_field_workflow(spark, capsys, written):
     d = tempfile.mkdtemp(prefix="tf-field-")
     places = _write(d, "places.csv", PLACES)
     main(["legacy", "--places", places, "--legacy-wide", _write(d, "legacy.csv", LEGACY),
           "--out", d + "/legacy"])
-    main(["regional", "--submissions", _write(d, "subs.csv", SUBMISSIONS), "--places", places,
+    main(["regional", "--submissions", _write(d, "subs.csv", written(SUBMISSIONS)), "--places", places,
           "--exclusions", _write(d, "excl.csv", EXCLUSIONS), "--out", d + "/regional"])
     out = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
     # the form has no id: the sheet's order, which is that of the stamps here, numbers the rows
@@ -76,3 +93,24 @@ def test_field_workflow(spark, capsys):
     assert local["010102"]["MODALIDAD_062022"] == "Presencial"
     assert local["010102"]["MODALIDAD_072022"] == "Virtual"
     assert local["010102"]["CARGO_PPSS_062022"] == "-"
+
+
+def test_stamps_that_the_patterns_read_in_two_ways_are_rejected(spark):
+    d = tempfile.mkdtemp(prefix="tf-field-")
+    head, *lines = day_first(SUBMISSIONS).splitlines()
+    assert lines[0].startswith("3/5/2022 10:00:00") and ",02/05/2022," in lines[0]
+    lines[2] = lines[2].replace("15/8/2022 8:00:00", "31/2/2022 8:00:00")
+    path = _write(d, "subs.csv", "\n".join([head, *lines]) + "\n")
+    headers = FIELD.headers["submissions"]
+    good, rejected = split_readable(spark, path, SCHEMA, headers, row_id="submission_id",
+                                    patterns=FIELD.patterns["submissions"])
+    assert [r["reason"] for r in rejected.collect()] == ["unreadable submitted_at"]
+    assert str(good.orderBy("submitted_at").first()["event_date"]) == "2022-05-02 00:00:00"
+    both = dataclasses.replace(FIELD, patterns={"submissions": {
+        "submitted_at": ("d/M/yyyy H:mm:ss",), "event_date": ("d/M/yyyy", "M/d/yyyy")}})
+    good, rejected = split_readable(spark, path, SCHEMA, headers, row_id="submission_id",
+                                    patterns=both.patterns["submissions"])
+    # 02/05, 09/06, 01/09, 02/09 and 03/09 can be read both ways, 16/08 and 30/08 only as day first
+    assert sorted(r["reason"] for r in rejected.collect()) == ["ambiguous event_date"] * 5 + ["unreadable submitted_at"]
+    assert [str(r["event_date"])[:10] for r in good.orderBy("event_date").collect()] == ["2022-08-16", "2022-08-30"]
+    assert rows(good, "department") == [("Amazonas",)] * 2

@@ -85,3 +85,18 @@ def test_missing_semantics_f3_f4_c9_c11(spark):
 def test_jaro_is_symmetric(a, b):
     # the matcher computes (typed, official); the oracle SQL (official, typed)
     assert jaro_similarity(a, b) == jaro_similarity(b, a)
+
+
+def test_read_by_patterns(spark):
+    from tallyfold.functions.dates import read_by_patterns
+    texts = ["30/08/2022 10:11:12", "3/8/2022 9:05:00", " 03/08/2022 09:05:00 ", "2022-08-30T10:11:12", "30/08/2022", "31/02/2022 1:00:00",
+             "8/30/2022 10:00:00", "2022", "", None, "30/08/22 10:00:00", "30/08/2022 10:11:12 x"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    value, ambiguous = read_by_patterns("t", "timestamp_ntz", ("d/M/yyyy H:mm:ss", "d/M/yyyy"))
+    got = [(str(r.v) if r.v else None, r.a) for r in df.select("i", value.alias("v"), ambiguous.alias("a")).orderBy("i").collect()]
+    assert got == [(v, False) for v in ("2022-08-30 10:11:12", "2022-08-03 09:05:00", "2022-08-03 09:05:00", "2022-08-30 10:11:12",
+                                        "2022-08-30 00:00:00", None, None, None, None, None, None, None)]
+    value, ambiguous = read_by_patterns("t", "date", ("d/M/yyyy", "M/d/yyyy"))
+    days = spark.createDataFrame([("3/4/2022",), ("4/4/2022",), ("13/4/2022",), ("4/13/2022",), (None,)], "t string")
+    got = [(str(r.v), r.a) for r in days.select(value.alias("v"), ambiguous.alias("a")).collect()]
+    assert got == [("2022-04-03", True), ("2022-04-04", False), ("2022-04-13", False), ("2022-04-13", False), ("None", False)]

@@ -86,3 +86,18 @@ def test_read_input_matches_columns_by_name(spark):
     import pytest
     with pytest.raises(ValueError, match="ubigeo"):
         read_input(spark, os.path.join(d, "bad.csv"), DECISIONS)
+
+
+def test_json_is_read_without_inference_and_absent_columns_are_noticed(spark):
+    d = tempfile.mkdtemp(prefix="tf-json-")
+    lines = ['{"N_ROW": %d, "UBIGEO": "0%d"}' % (i, i) for i in range(150)]
+    late = _put(d, "late.json", "\n".join([*lines, '{"N_ROW": 150, "UBIGEO": "1", "RESULTADO": "OK"}', "no record"]) + "\n")
+    names = {"n_row": "N_ROW", "ubigeo": "UBIGEO", "decision": "RESULTADO"}
+    good, rejected = split_readable(spark, late, DECISIONS, names)
+    assert good.count() == 151 and good.where("decision = 'OK'").count() == 1
+    assert rows(rejected) == [("no record", "not a record")]
+    never = _put(d, "never.json", "\n".join(lines) + "\n")
+    with pytest.raises(ValueError, match="decision"):
+        split_readable(spark, never, DECISIONS, names)
+    null = _put(d, "null.json", '{"N_ROW": 1, "UBIGEO": "01", "RESULTADO": null}\n')
+    assert rows(split_readable(spark, null, DECISIONS, names)[0]) == [(1, "01", None)]
