@@ -34,46 +34,85 @@ def _join_back(df: DataFrame, per_group: DataFrame, keys: list[str],
     return df.join(right, cond, "inner").drop(*tmp)
 
 
+_LAST = 2 ** 31 - 1  # the bucket of missing stamps
+_CODE_BYTES = 7      # of a text id, as a number that keeps its order
+
+
+def _order_code(tie_break: Column, low: Column, high: Column) -> Column:
+    """A number that keeps the order of ids between ``low`` and ``high``: the first
+    bytes after those that both have in common (ids compare byte by byte)."""
+    low, high, text = (F.hex(c.cast("string").cast("binary")) for c in (low, high, tie_break))
+    same = F.length(F.regexp_extract(F.concat(low, F.lit("/"), high), "^((?:[0-9A-F]{2})*)[0-9A-F]*/\\1", 1))
+    return F.conv(F.rpad(F.substring(text, same + 1, F.lit(2 * _CODE_BYTES)), 2 * _CODE_BYTES, "0"), 16, 10).cast("long")
+
+
+def _split_buckets(rows: DataFrame, buckets: list[str], stamp: str, tie_break: str, split_rows: int,
+                   out: str) -> DataFrame:
+    """Number the parts of buckets of more than ``split_rows`` rows, in the rows' order.
+
+    A bucket of several stamps is cut into equal stretches of time; one of a single
+    stamp into equal stretches of ids.
+    """
+    numeric = dict(rows.dtypes)[tie_break] in ("tinyint", "smallint", "int", "bigint")
+    stats = rows.groupBy(*buckets).agg(
+        F.count(F.lit(1)).alias("_n"), F.min(stamp).alias("_lo"), F.max(stamp).alias("_hi"),
+        F.min(tie_break).alias("_first"), F.max(tie_break).alias("_last")).where(F.col("_n") > split_rows)
+    parts = F.ceil(F.col("_n") * 2 / split_rows)
+    joined = rows.join(stats, buckets, "left")
+
+    def stretch(value: Column, low: Column, high: Column) -> Column:
+        low, span = low.cast("double"), (high.cast("double") - low.cast("double") + 1)
+        return F.floor((value.cast("double") - low) / span * parts)
+
+    def micros(c: Column) -> Column:
+        return F.unix_micros(c.cast("timestamp"))
+
+    first, last, tie = F.col("_first"), F.col("_last"), F.col(tie_break)
+    by_id = (stretch(tie, first, last) if numeric else
+             stretch(*(_order_code(c, first, last) for c in (tie, first, last))))
+    part = F.when(F.col("_n").isNull(), F.lit(0)).when(
+        F.col("_lo") < F.col("_hi"), stretch(*map(micros, (F.col(stamp), F.col("_lo"), F.col("_hi"))))).otherwise(by_id)
+    return joined.withColumn(out, part.cast("long")).drop("_n", "_lo", "_hi", "_first", "_last")
+
+
 def number_rows(df: DataFrame, order_by: str, tie_break: str, out: str = "n_row",
-                num_partitions: int | None = None, path: str | None = None) -> DataFrame:
+                num_partitions: int | None = None, path: str | None = None,
+                split_rows: int = 1 << 22) -> DataFrame:
     """Global 1..n row number in (``order_by`` nulls last, ``tie_break``) order.
 
-    A plain ``row_number().over(Window.orderBy(...))`` moves every row into
-    one partition.  Instead the rows are range-partitioned on the sort key
-    (the unique tie-break splits even a single hot timestamp across
-    partitions), sorted inside each partition and written as Parquet to
-    ``path`` (default: a new folder under the shared checkpoint folder) —
-    one file per range, in range order.  Read back, a row's number is the
-    row count of all earlier files plus its index inside its file
-    (``_metadata.row_index``).  The counts of earlier files are a window sum
-    over one row per file, joined back on the file.
-
-    The written table is the durable copy row numbers need anyway (they are
-    a key across a human review pause), it cuts the lineage, and the numbers
-    depend only on the total order, not on where range boundaries fell.
-    All columns of ``df`` are written, so pass the columns that are needed.
+    A plain ``row_number().over(Window.orderBy(...))`` moves every row into one
+    partition.  Instead the rows are stored once as Parquet in ``path`` (default: a
+    new folder under the shared checkpoint folder), counted by the day of their
+    stamp, and each is numbered as the rows of earlier days, a prefix sum over one
+    row per day, plus its rank within its day.  A day of more than ``split_rows``
+    rows is first cut into stretches of time, or of ids where all its rows have one
+    stamp, up to twice, so that a hot stamp is ranked by many tasks.
+
+    Whatever ``df`` takes to compute is computed once, for the stored copy; all its
+    columns come back, each row with its number.  The numbers depend only on the
+    total order.  ``num_partitions`` sets the number of ranking tasks, which AQE
+    chooses otherwise.
     """
-    spark = df.sparkSession
+    spark, columns = df.sparkSession, df.columns
     path = path or scratch_path(spark, "numbered")
-    keys = [F.col(order_by).asc_nulls_last(), F.col(tie_break).asc()]
-    # without a given count AQE sizes the ranges by bytes; coalescing joins
-    # adjacent ranges, so every file stays one contiguous run in range order
-    ranged = (df.repartitionByRange(num_partitions, *keys) if num_partitions
-              else df.repartitionByRange(*keys))
-    ranged.sortWithinPartitions(*keys).write.mode("overwrite").parquet(path)
-    back = spark.read.schema(df.schema).parquet(path).select(
-        "*", F.col("_metadata.file_name").alias("_file"),
-        F.col("_metadata.row_index").alias("_pos"))
-    # range order of a file: its task's index, then the file counter inside the
-    # task (as numbers: plain text order breaks past 99999 parts)
-    task = F.regexp_extract("_file", r"^part-(\d+)-", 1).cast("long")
-    counter = F.coalesce(F.regexp_extract("_file", r"-c(\d+)\.", 1).try_cast("long"), F.lit(0))
-    earlier = Window.orderBy(task, counter, "_file").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = back.groupBy("_file").agg(F.count(F.lit(1)).alias("_rows")).select(
-        "_file", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_off"))
-    return (back.join(offsets, "_file")
-                .withColumn(out, F.col("_off") + F.col("_pos") + 1)
-                .drop("_file", "_pos", "_off"))
+    df.write.mode("overwrite").parquet(path)
+    buckets = ["_b0"]
+    rows = spark.read.schema(df.schema).parquet(path).withColumn("_b0", F.coalesce(
+        F.datediff(F.to_date(order_by), F.lit("1970-01-01").cast("date")), F.lit(_LAST)))
+    for level in ("_b1", "_b2"):
+        most = rows.groupBy(*buckets).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0]
+        if (most or 0) <= split_rows:
+            break
+        rows = _split_buckets(rows, buckets, order_by, tie_break, split_rows, level)
+        buckets.append(level)
+    earlier = Window.orderBy(*buckets).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = rows.groupBy(*buckets).agg(F.count(F.lit(1)).alias("_rows")).select(
+        *buckets, F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_off"))
+    if num_partitions:
+        rows = rows.repartition(num_partitions, *buckets)
+    inside = Window.partitionBy(*buckets).orderBy(F.col(order_by).asc_nulls_last(), F.col(tie_break).asc())
+    return rows.withColumn("_rank", F.row_number().over(inside)).join(offsets, buckets).select(
+        *columns, (F.col("_off") + F.col("_rank")).alias(out))
 
 
 def keep_first(df: DataFrame, keys: list[str], order_col: str) -> DataFrame:

@@ -29,8 +29,8 @@ def _day(df: DataFrame, col: str = "event_date") -> DataFrame:
     return df.withColumn(col, F.date_format(col, "yyyy-MM-dd"))
 
 
-def _tidy(spark, sf, numbered=True):
-    return quality.split_valid(S.classified_submissions(spark, sf, numbered), "category")[0]
+def _tidy(spark, sf, numbered=True, keep=()):
+    return quality.split_valid(S.classified_submissions(spark, sf, numbered, keep), "category")[0]
 
 
 def q_scan_declared(spark, sf):
@@ -174,16 +174,16 @@ def q_regional_matrix(spark, sf):
     return jobs.regional_matrix(_tidy(spark, sf, False), S.official_places(spark, sf))
 
 
-def _tidy_written(spark, sf):
+def _tidy_written(spark, sf, keep=()):
     """Classified rows handed over as a written table, as between the jobs."""
-    return hand_over(_tidy(spark, sf), scratch_path(spark, "tidy"))
+    return hand_over(_tidy(spark, sf, keep=keep), scratch_path(spark, "tidy"))
 
 
 def _decisions(spark, sf, written: bool = True):
     """Classified rows and the reviewer decisions on them; ``written`` hands
     the rows over as a table when the query reads them more than once."""
-    tidy = _tidy_written(spark, sf) if written else _tidy(spark, sf)
-    return tidy, S.decisions(spark, sf, tidy)
+    tidy = _tidy_written(spark, sf, S.REVIEWED) if written else _tidy(spark, sf, keep=S.REVIEWED)
+    return tidy.drop(*S.REVIEWED), S.decisions(spark, sf, tidy)
 
 
 def q_distinct_text(spark, sf):

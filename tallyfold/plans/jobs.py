@@ -31,10 +31,11 @@ from tallyfold.plans.rules import STANDIN, Rules
 
 
 # cleaning and classification ---------------------------------------------------
-def clean_submissions(numbered: DataFrame, rules: Rules = STANDIN) -> DataFrame:
+def clean_submissions(numbered: DataFrame, rules: Rules = STANDIN,
+                      keep: tuple[str, ...] = ()) -> DataFrame:
     """Fold texts, day of the event; keep rows with a department whose
     intervention matches the pattern.  Expects not-excluded rows, numbered
-    unless they are only counted."""
+    unless they are only counted; ``keep`` carries further columns."""
     out = numbered.select(
         *[c for c in ("n_row",) if c in numbered.columns], "submission_id",
         fold_text("department").alias("department"),
@@ -45,7 +46,7 @@ def clean_submissions(numbered: DataFrame, rules: Rules = STANDIN) -> DataFrame:
         F.col("mode"),
         fold_text("position").alias("position"),
         F.col("intervention"),
-        F.col("recipient"))
+        F.col("recipient"), *keep)
     return out.where(F.col("department").isNotNull()
                      & matches("intervention", rules.intervention_pattern))
 

@@ -30,7 +30,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyfold.functions.logic import in_list
-from tallyfold.operators.quality import exclude_rows
 from tallyfold.operators.rows import number_rows
 from tallyfold.plans import jobs
 from tallyfold.plans.rules import STANDIN
@@ -46,6 +45,10 @@ def code2(col) -> F.Column:
     return F.format_string("%02d", F.col(col))
 
 
+EXCLUDED_ABOVE = 490000
+REVIEWED = ("c_acctbal", "c_nationkey", "n_regionkey")
+
+
 def raw_submissions(spark: SparkSession, sf: str) -> DataFrame:
     o, c, n, r = (_t(spark, sf, x) for x in ("orders", "customer", "nation", "region"))
     j = (o.join(c, o.o_custkey == c.c_custkey)
@@ -63,7 +66,10 @@ def raw_submissions(spark: SparkSession, sf: str) -> DataFrame:
         F.col("o_orderstatus").alias("mode"),
         F.col("o_orderstatus").alias("position"),
         F.col("o_orderpriority").alias("intervention"),
-        F.col("c_mktsegment").alias("recipient"))
+        F.col("c_mktsegment").alias("recipient"),
+        # what the stand-ins of the exclusion list and of the reviewer go by
+        (F.col("o_totalprice") > EXCLUDED_ABOVE).alias("excluded"),
+        *REVIEWED)
 
 
 def official_places(spark: SparkSession, sf: str) -> DataFrame:
@@ -88,12 +94,12 @@ def row_numbers(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def numbered_submissions(spark: SparkSession, sf: str) -> DataFrame:
-    return raw_submissions(spark, sf).join(row_numbers(spark, sf), "submission_id")
+    return number_rows(raw_submissions(spark, sf), "submitted_at", "submission_id")
 
 
 def excluded_ids(spark: SparkSession, sf: str) -> DataFrame:
     """The submissions on the exclusion list."""
-    return _t(spark, sf, "orders").where(F.col("o_totalprice") > 490000).select(
+    return _t(spark, sf, "orders").where(F.col("o_totalprice") > EXCLUDED_ABOVE).select(
         F.col("o_orderkey").alias("submission_id"))
 
 
@@ -103,37 +109,39 @@ def exclusions(spark: SparkSession, sf: str, numbers: DataFrame | None = None) -
     return numbers.join(excluded_ids(spark, sf), "submission_id").select("n_row")
 
 
-def clean_submissions(spark: SparkSession, sf: str, numbered: bool = True) -> DataFrame:
+def clean_submissions(spark: SparkSession, sf: str, numbered: bool = True,
+                      keep: tuple[str, ...] = ()) -> DataFrame:
     """X1 on the stand-in submissions, exclusions removed.
 
-    With ``numbered=False`` the rows have no number: the exclusion list comes
-    from submission ids, so rows that are only counted need none.
+    The rows know whether they are on the exclusion list, so the numbered table is
+    read once.  With ``numbered=False`` the rows have no number: rows that are only
+    counted need none.  ``keep`` names further columns to carry.
     """
-    raw = raw_submissions(spark, sf)
-    if not numbered:
-        return jobs.clean_submissions(exclude_rows(raw, excluded_ids(spark, sf), "submission_id"), STANDIN)
-    numbers = row_numbers(spark, sf)
-    kept = exclude_rows(numbers, exclusions(spark, sf, numbers), "n_row")
-    return jobs.clean_submissions(raw.join(kept, "submission_id"), STANDIN)
+    rows = numbered_submissions(spark, sf) if numbered else raw_submissions(spark, sf)
+    return jobs.clean_submissions(rows.where(~F.coalesce("excluded", F.lit(False))), STANDIN, keep)
 
 
-def classified_submissions(spark: SparkSession, sf: str, numbered: bool = True) -> DataFrame:
-    return jobs.classified_submissions(clean_submissions(spark, sf, numbered), STANDIN)
+def classified_submissions(spark: SparkSession, sf: str, numbered: bool = True,
+                           keep: tuple[str, ...] = ()) -> DataFrame:
+    return jobs.classified_submissions(clean_submissions(spark, sf, numbered, keep), STANDIN)
 
 
 def decisions(spark: SparkSession, sf: str, tidy: DataFrame) -> DataFrame:
-    """Reviewer decisions (n_row, ubigeo, decision) for the local rows."""
-    loc = jobs.local_submissions(tidy, STANDIN).select("n_row", "submission_id")
-    o, c, n = _t(spark, sf, "orders"), _t(spark, sf, "customer"), _t(spark, sf, "nation")
-    src = (loc.join(o, loc.submission_id == o.o_orderkey)
-              .join(c, o.o_custkey == c.c_custkey)
-              .join(n, c.c_nationkey == n.n_nationkey))
+    """Reviewer decisions (n_row, ubigeo, decision) for the local rows.
+
+    Taken from the columns ``REVIEWED`` where the rows carry them, else from the
+    tables by submission id.
+    """
+    src = jobs.local_submissions(tidy, STANDIN)
+    if not set(REVIEWED) <= set(tidy.columns):
+        src = src.select("n_row", "submission_id", "intervention").join(
+            raw_submissions(spark, sf).select("submission_id", *REVIEWED), "submission_id")
     bal = F.col("c_acctbal")
     verdict = (F.when(bal < 1000, F.lit("NO"))
                 .when(bal < 2000, F.lit(None).cast("string"))
                 .when(bal < 3000, code2("n_regionkey"))
                 .otherwise(F.lit("OK")))
-    cands = F.when(F.col("o_orderpriority") == "1-URGENT",
+    cands = F.when(F.col("intervention") == "1-URGENT",
                    F.array(code2("c_nationkey"), code2("n_regionkey"))
                    ).otherwise(F.array(code2("c_nationkey")))
     return src.select("n_row", F.explode(cands).alias("ubigeo"), verdict.alias("decision"))

@@ -1,5 +1,6 @@
 import datetime as dt
 
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -31,13 +32,40 @@ def test_number_rows_matches_global_row_number(spark):
     assert last == df.where("ts is not null").count() + 1
 
 
-def test_number_rows_gathers_one_row_per_file_only(spark):
+@pytest.mark.parametrize("ids", ["text", "long text", "number"])
+@pytest.mark.parametrize("split", [40, 5, 1])
+def test_hot_stamps_are_ranked_in_parts(spark, ids, split):
+    # a day of one stamp, a day of many stamps with one hot, missing stamps, quiet days
+    hot = dt.datetime(2022, 3, 1)
+    stamps = ([hot] * 300 + [hot + dt.timedelta(days=1, minutes=i % 60 if i % 3 else 0) for i in range(300)]
+              + [None] * 200 + [hot + dt.timedelta(days=i) for i in range(2, 60)])
+    make = {"text": lambda i: f"{i * 7919 % 10007}", "long text": lambda i: f"{i * 7919 % 10007:040d}",
+            "number": lambda i: (i * 7919 % 10007) * 10 ** 12 - 10 ** 15}[ids]
+    df = spark.createDataFrame([(make(i), s, "x") for i, s in enumerate(stamps)],
+                               f"sid {'long' if ids == 'number' else 'string'}, ts timestamp_ntz, _n string")
+    want = df.select("sid", F.row_number().over(Window.orderBy(F.col("ts").asc_nulls_last(), "sid")).alias("n_row"))
+    got = number_rows(df.drop("_n"), "ts", "sid", split_rows=split)
+    assert got.columns == ["sid", "ts", "n_row"]
+    assert rows(got, "sid", "n_row") == rows(want, "sid", "n_row")
+    if split == 5:  # the parts of a hot day, and of a hot stamp within it, are small
+        ranked = got._jdf.queryExecution().analyzed().toString()
+        assert "_b2" in ranked
+
+
+def test_the_input_is_computed_once(spark):
+    """One four-way join: for the stored copy, not again for the numbers."""
+    plan = S.numbered_submissions(spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join") == 1 and "orders" not in plan
+    assert S.numbered_submissions(spark, SF_SMALL).count() == spark.read.parquet(f"{SF_SMALL}/orders.parquet").count()
+
+
+def test_number_rows_gathers_one_row_per_day_only(spark):
     df = number_rows(_stamps(spark), "ts", "sid")
     df.collect()
     lines = df._jdf.queryExecution().executedPlan().toString().splitlines()
     for i, line in enumerate(lines):
-        if "SinglePartition" in line:  # offsets: counts by file
-            assert "_file" in " ".join(lines[i + 1:i + 3]), line
+        if "SinglePartition" in line:  # offsets: counts by day
+            assert "HashAggregate(keys=[_b0" in " ".join(lines[i + 1:i + 3]), line
 
 
 def test_only_needed_columns_are_numbered(spark):
