@@ -100,3 +100,26 @@ def test_read_by_patterns(spark):
     days = spark.createDataFrame([("3/4/2022",), ("4/4/2022",), ("13/4/2022",), ("4/13/2022",), (None,)], "t string")
     got = [(str(r.v), r.a) for r in days.select(value.alias("v"), ambiguous.alias("a")).collect()]
     assert got == [("2022-04-03", True), ("2022-04-04", False), ("2022-04-13", False), ("2022-04-13", False), ("None", False)]
+
+
+def test_every_latin_letter_folds_to_ascii(spark):
+    import sys
+    import unicodedata
+
+    import duckdb
+    letters = [chr(c) for c in range(0x80, sys.maxunicode + 1)
+               if unicodedata.category(chr(c))[0] == "L" and unicodedata.name(chr(c), "").startswith("LATIN ")]
+    assert len(letters) > 1100
+    texts = letters + [unicodedata.normalize("NFD", c) for c in letters] + ["".join(letters), "Jun\u0301i\u0301n \u1ea1\u0218 ñ",
+                                                                          "a\u0301\u0323b", "\uff2c\uff29\uff2d\uff21 \ufb01n ǆ ŋ"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    got = [r.f for r in df.select("i", fold_text("t").alias("f")).orderBy("i").collect()]
+    assert all(f and f.isascii() for f in got), [(t, f) for t, f in zip(texts, got) if not f.isascii()][:20]
+    assert got == [fold_py(t) for t in texts]
+    assert got[-3:] == ["JUNIN AS N", "AB", "LIMA FIN DZ N"]
+    # letters with a canonical decomposition: as the other engine strips accents
+    plain = [t for t in texts if all(c.isascii() or unicodedata.combining(c) for c in unicodedata.normalize("NFD", t))]
+    other = [duckdb.execute("SELECT upper(strip_accents(?))", [t]).fetchone()[0] for t in plain]
+    assert [fold_py(t) for t in plain] == other and len(plain) > 900
+    # letters of other scripts stay, without their marks
+    assert fold_py("Ω\u0301 Ж 日本") == "Ω Ж 日本"
