@@ -14,10 +14,11 @@ Ranks count each official row once per submission carrying the same
 triple (``weight_duplicates=True``), as grouping by the texts does.
 
 How it runs: the records are reduced to distinct triples with their
-multiplicity ``k``.  Level 1 compares each distinct typed first-level text
-with the distinct official first-level texts in fixed-size blocks and
-returns only the candidates that can survive (plus, per block, the nearest
-distance it did not return, which keeps the cut exact).  Levels 2 and 3
+multiplicity ``k``.  Level 1 takes the distinct typed and the distinct official
+first-level texts in fixed-size blocks, bounds every distance by lengths and
+character counts, compares only pairs that the bounds let survive and returns
+the candidates that can (plus, per block, the limit beyond which nothing can,
+which keeps the cut exact).  Levels 2 and 3
 are equi-joins of the survivors to the official rows below them, with the
 distance computed once per distinct text pair.  Nothing is quadratic in
 the records, and a triple shared by many records is handled once.
@@ -61,35 +62,96 @@ def _rank_stats(part: list[str], order: str, weight: str | None = None):
     return below, nearest
 
 
+_COLUMNS = 128   # of a character count matrix
+_FIRST_LOOK = 4   # texts compared with each typed text before its bounds are looked at again
+
+
+def _char_counts(texts: list[str], alphabet: np.ndarray) -> np.ndarray:
+    """How often each character occurs in each text; a column for each of ``alphabet``,
+    or for a remainder of the code point if those are too many."""
+    lengths = np.array([len(t) for t in texts])
+    codes = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), "<u4")
+    row = np.repeat(np.arange(len(texts)), lengths)
+    if len(alphabet) <= _COLUMNS:
+        column = np.searchsorted(alphabet, codes)
+        column[column == len(alphabet)] = 0
+        known = alphabet[column] == codes if len(alphabet) else np.zeros(len(codes), bool)
+        row, column = row[known], column[known]
+    else:
+        column = codes % _COLUMNS
+    counts = np.zeros((len(texts), max(min(len(alphabet), _COLUMNS), 1)), np.int32)
+    np.add.at(counts, (row, column.astype(np.int64)), 1)
+    return counts
+
+
+def _least_distances(typed: list[str], official: list[str]) -> np.ndarray:
+    """A bound below the Jaro distance of every pair, from lengths and character counts.
+
+    No more characters can match than both texts have in common, so that replacing
+    the matches by these, without transpositions, gives the highest similarity.  The
+    steps are those of the exact formula, each of them monotone also when rounded.
+    """
+    alphabet = np.unique(np.frombuffer("".join(official).encode("utf-32-le", "surrogatepass"), "<u4"))
+    a, b = _char_counts(typed, alphabet), _char_counts(official, alphabet)
+    common = np.zeros((len(typed), len(official)), np.int32)
+    for column in range(a.shape[1]):
+        common += np.minimum(a[:, column, None], b[None, :, column])
+    la, lb = (np.maximum([len(t) for t in texts], 1) for texts in (typed, official))
+    most = (common / la[:, None] + common / lb[None, :] + 1.0) / 3.0
+    return 1.0 - np.where(common > 0, most, 0.0)
+
+
+def nearest_in_block(typed: list[str], official: list[str], weights: np.ndarray,
+                     cap: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, int]:
+    """The official texts that can survive a cap, for each typed text of a block.
+
+    Texts are visited in the order of their bounds.  Once the weight of the texts
+    up to some distance reaches the cap, nothing beyond this limit can survive, and
+    the visit ends where the bounds pass it.  Returns place of the typed text, place
+    of the official text and distance of each text within the limit; the limits
+    (infinite where the cap isn't reached); and the number of pairs compared.
+    """
+    least = _least_distances(typed, official)
+    order = np.argsort(least, axis=1, kind="stable")
+    limit = np.full(len(typed), math.inf)
+    exact = np.full(least.shape, math.inf)
+    active, start, step, compared = np.arange(len(typed)), 0, _FIRST_LOOK, 0
+    while len(active) and start < len(official):
+        look = order[active, start:start + step]
+        rows = np.repeat(active, look.shape[1])
+        columns = look.ravel()
+        near = least[rows, columns] <= limit[rows]
+        rows, columns = rows[near], columns[near]
+        exact[rows, columns] = 1.0 - jaro_similarities([typed[i] for i in rows], [official[j] for j in columns])
+        compared += len(rows)
+        start, step = start + step, step * 2
+        for i in active:
+            seen = order[i, :start]
+            found = np.argsort(exact[i, seen], kind="stable")
+            total = np.cumsum(weights[seen[found]])
+            at = np.searchsorted(total, cap)
+            if at < len(found):
+                limit[i] = min(limit[i], exact[i, seen[found[at]]])
+        if start < len(official):
+            active = active[least[active, order[active, start]] <= limit[active]]
+    rows, columns = np.nonzero((exact <= limit[:, None]) & np.isfinite(exact))
+    return rows, columns, exact[rows, columns], limit, compared
+
+
 def _block_candidates(cap: int):
-    """mapInPandas body: per (query text, block of official texts) row, return
-    the block's candidates that can survive a cap of ``cap`` (ties kept) and
-    the nearest distance the block did not return."""
+    """mapInPandas body: per (typed texts, block of official texts) row, the block's
+    candidates that can survive a cap of ``cap`` (ties kept) and the limit beyond
+    which nothing can."""
 
     def run(batches):
         for pdf in batches:
-            out_q, out_text, out_dist, out_weight, out_next = [], [], [], [], []
-            for q, qkey, texts, lowered, weights in zip(pdf["_q"], pdf["_qkey"], pdf["_vals"],
-                                                        pdf["_keys"], pdf["_ws"]):
-                d = 1.0 - jaro_similarities([qkey] * len(lowered), list(lowered))
-                w = np.asarray(weights, dtype=np.int64)
-                order = np.argsort(d, kind="stable")
-                d, w, texts = d[order], w[order], np.asarray(texts, dtype=object)[order]
-                # weight of the block's texts strictly nearer than each distance
-                uniq, first = np.unique(d, return_index=True)
-                cum = np.concatenate([[0], np.cumsum(w)])
-                below = cum[first][np.searchsorted(uniq, d)]
-                keep = 1 + below <= cap
-                rest = d[~keep]
-                nearest_dropped = float(rest.min()) if rest.size else math.nan
-                for g, dist, weight in zip(texts[keep], d[keep], w[keep]):
-                    out_q.append(q)
-                    out_text.append(g)
-                    out_dist.append(float(dist))
-                    out_weight.append(int(weight))
-                    out_next.append(nearest_dropped)
-            yield pd.DataFrame({"_q": out_q, "_g": out_text, "_d": out_dist,
-                                "_w": out_weight, "_next": out_next})
+            for qs, qkeys, texts, lowered, weights in zip(pdf["_qs"], pdf["_qkeys"], pdf["_vals"],
+                                                          pdf["_keys"], pdf["_ws"]):
+                weights = np.asarray(weights, dtype=np.int64)
+                row, column, dist, limit, _ = nearest_in_block(list(qkeys), list(lowered), weights, cap)
+                limit = np.where(np.isfinite(limit), limit, math.nan)
+                yield pd.DataFrame({"_q": np.asarray(qs, dtype=object)[row], "_g": np.asarray(texts, dtype=object)[column],
+                                    "_d": dist, "_w": weights[column], "_next": limit[row]})
 
     return run
 
@@ -102,7 +164,7 @@ def _copies(n: Column | int) -> Column:
 
 def nearest_candidates(queries: DataFrame, qcol: str, refs: DataFrame, rcol: str,
                        wcol: str, cap: int, block_size: int = 2048,
-                       salts: int = 64) -> DataFrame:
+                       salts: int = 64, typed_block: int = 512) -> DataFrame:
     """Nearest official texts for each distinct typed text (Jaro, case-insensitive).
 
     Returns ``(q, g, d, below, m)``: candidate ``g`` of typed text ``q`` at
@@ -110,13 +172,13 @@ def nearest_candidates(queries: DataFrame, qcol: str, refs: DataFrame, rcol: str
     and the nearest distance ``m``.  Every candidate that survives a cut
     ``1 + k * below <= cap`` for some ``k >= 1`` — or is exact — is present.
 
-    The official texts are grouped into blocks of about ``block_size``; each
-    distinct typed text meets each block once, so the work is the product of
-    the distinct texts of both sides.  That holds while the first level is
-    small (some dozen to some ten thousand official names); it is not meant
-    for two large lists.  The join is on (block, salt), the salt taken from the
-    typed text and each block copied once per salt, so a block is no hot key;
-    AQE broadcasts the blocks when their measured size is small.
+    Official and typed texts are grouped into blocks of about ``block_size`` and
+    ``typed_block`` texts, and each block meets each.  Within a pair of blocks only the
+    pairs whose bound (lengths and character counts) lets them survive are compared
+    (:func:`nearest_in_block`); bounds are a few vector steps for a whole block.  The
+    join is on (block, salt), the salt taken from the block of typed texts and each
+    official block copied once per salt, so a block is no hot key; AQE broadcasts the
+    blocks when their measured size is small.
     """
     q = queries.select(F.col(qcol).alias("_q")).where(F.col("_q").isNotNull()).distinct()
     r = refs.select(F.col(rcol).alias("_g"), F.col(wcol).cast("long").alias("_w"))
@@ -127,17 +189,19 @@ def nearest_candidates(queries: DataFrame, qcol: str, refs: DataFrame, rcol: str
                     F.collect_list(F.lower("_g")).alias("_keys"),
                     F.collect_list("_w").alias("_ws"))
                .withColumn("_salt", _copies(salts)))
-    qb = (q.withColumn("_qkey", F.lower("_q"))
-           .withColumn("_salt", F.pmod(F.xxhash64("_q"), F.lit(salts)))
+    n_typed = q.agg(F.greatest(F.ceil(F.count(F.lit(1)) / typed_block), F.lit(1)).alias("n")).scalar()
+    qb = (q.groupBy(F.pmod(F.xxhash64("_q"), n_typed).alias("_chunk"))
+           .agg(F.collect_list("_q").alias("_qs"), F.collect_list(F.lower("_q")).alias("_qkeys"))
+           .withColumn("_salt", F.pmod(F.xxhash64("_chunk"), F.lit(salts)))
            .withColumn("_blk", _copies(n_blocks)))
     pairs = qb.join(blocks, ["_blk", "_salt"])
     ship_package(q.sparkSession)
-    found = pairs.select("_q", "_qkey", "_vals", "_keys", "_ws").mapInPandas(
+    found = pairs.select("_qs", "_qkeys", "_vals", "_keys", "_ws").mapInPandas(
         _block_candidates(cap), "_q string, _g string, _d double, _w long, _next double")
     found = found.withColumn("_next", F.when(~F.isnan("_next"), F.col("_next")))
-    # the bound is the nearest distance any block left out; rows beyond it
-    # cannot survive, and dropping them changes neither "below" nor "m" of
-    # the rows that remain, so all three come from one window pass
+    # the bound is the least limit of any block; each block returned all up to its
+    # limit, rows beyond the bound cannot survive, and dropping them changes neither
+    # "below" nor "m" of the rows that remain, so all three come from one window pass
     below, nearest = _rank_stats(["_q"], "_d", "_w")
     whole = (Window.partitionBy("_q").orderBy("_d")
              .rangeBetween(Window.unboundedPreceding, Window.unboundedFollowing))
@@ -224,9 +288,10 @@ def fuzzy_cascade(records: DataFrame, gazetteer: DataFrame, row_id: str = "n_row
     # level 3: survivors × official rows; best combined score, ties kept
     s2 = _cut(s2)
     g3 = gaz.select(code, F.col(l1).alias("_g1"), F.col(l2).alias("_g2"), F.col(l3).alias("_g3"))
-    d3 = _pair_distances(s2.select("_t3", "_g1", "_g2").distinct().join(g3, ["_g1", "_g2"]),
-                         "_t3", "_g3", "_d3")
-    x3 = (s2.join(g3, ["_g1", "_g2"]).join(d3, ["_t3", "_g3"])
+    pair = ["_g1", "_g2"]
+    d3 = _pair_distances(_join_spread(s2.select("_t3", *pair).distinct(), g3.select(*pair, "_g3").distinct(),
+                                      pair, ["_t3"]), "_t3", "_g3", "_d3")
+    x3 = (_join_spread(s2, g3, pair, tkey).join(d3, ["_t3", "_g3"])
             .withColumn("_score", (F.col("_d2") + 1) * (F.col("_d3") + 1) + F.col("_d3")))
     best_score = _rank_stats(tkey, "_score")[1]
     best = x3.withColumn("_best", best_score).where(F.col("_score") == F.col("_best"))

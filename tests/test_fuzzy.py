@@ -3,12 +3,18 @@
 import random
 from collections import defaultdict
 
+import numpy as np
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from tallyfold.functions.jaro import jaro_similarities
-from tallyfold.operators.fuzzy import (fuzzy_cascade, records_without_candidates,
+from tallyfold.operators.fuzzy import (fuzzy_cascade, nearest_in_block, records_without_candidates,
                                        relabel_by_prefix)
+from tallyfold.plans import standins as S
 
+from conftest import SF_SMALL as SF
 from conftest import rows
 
 GAZ_SCHEMA = "ubigeo string, department string, province string, district string"
@@ -149,3 +155,42 @@ def test_per_record_ranks_without_duplicate_weights(spark):
     # brute force per record: each record is its own group (k = 1)
     want = sorted(x for r in records for x in brute_force([r], gaz))
     assert staged(spark, records, gaz, weight_duplicates=False) == want
+
+
+def _survivors(typed, official, weights, cap):
+    """Every text with less than ``cap`` of weight strictly nearer, from all pairs."""
+    out = set()
+    for i, t in enumerate(typed):
+        d = [1.0 - float(x) for x in jaro_similarities([t] * len(official), official)]
+        out |= {(i, j, d[j]) for j in range(len(d)) if sum(w for w, x in zip(weights, d) if x < d[j]) < cap}
+    return out
+
+
+@settings(max_examples=60, deadline=None, derandomize=True)
+@given(st.lists(st.text("abcñ #é1", max_size=9), min_size=1, max_size=40, unique=True),
+       st.lists(st.text("abcñ #é1", max_size=9), min_size=1, max_size=25, unique=True),
+       st.integers(1, 6), st.integers(0, 2**32))
+def test_bounded_search_of_a_block_equals_all_pairs(official, typed, cap, seed):
+    weights = np.random.default_rng(seed).integers(1, 4, len(official))
+    row, column, dist, limit, compared = nearest_in_block(typed, official, weights, cap)
+    assert set(zip(row.tolist(), column.tolist(), dist.tolist())) == _survivors(typed, official, weights.tolist(), cap)
+    assert compared <= len(typed) * len(official)
+    full = weights.sum() >= cap
+    assert all(np.isfinite(x) == full for x in limit)
+
+
+def test_bounds_of_texts_with_many_different_characters():
+    official = ["".join(chr(0x4E00 + (i * 37 + j * 11) % 900) for j in range(6)) for i in range(60)]
+    typed = [t[1:] + "x" for t in official[:20]] + [""]
+    row, column, dist, *_ = nearest_in_block(typed, official, np.ones(60, int), 3)
+    assert set(zip(row.tolist(), column.tolist(), dist.tolist())) == _survivors(typed, official, [1] * 60, 3)
+
+
+def test_few_pairs_of_the_part_names_are_compared(spark):
+    sf = SF.replace("0.001", "0.01")
+    names = F.lower(F.concat_ws(" ", "department", "province", "district"))
+    official = [r[0] for r in S.part_gazetteer(spark, sf).select(names).distinct().collect()]
+    typed = [r[0] for r in S.part_records(spark, sf).where("province is not null").select(names).distinct().collect()]
+    assert len(official) > 1500 and len(typed) > 1500
+    compared = nearest_in_block(typed[:512], official, np.ones(len(official), int), 3)[-1]
+    assert compared < 0.1 * 512 * len(official)
