@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 
 from tallyfold.functions.dates import read_by_patterns
 from tallyfold.sources import schemas
+from tallyfold.sources.csv_records import csv_records
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None,
@@ -53,27 +54,23 @@ def _unique(names: list[str]) -> list[str]:
 def read_csv_text(spark: SparkSession, path: str, header: list[str]) -> DataFrame:
     """The records of a CSV export as text columns, without banner and header.
 
-    Records may hold quoted commas, quotes and line ends.  In each file that has
-    a header record, that record and what stands above it (the banner) are left
-    out, once; files without one are read whole.  Besides the columns of
-    ``header`` each row has ``_record``: NULL, or the record's text where its
-    number of fields differs.
+    Records may hold quoted commas, quotes and line ends, in files of any size
+    (:mod:`tallyfold.sources.csv_records`).  Besides the columns of ``header`` each
+    row has ``_record``: NULL, or the record's text where its number of fields
+    differs, and ``_file`` and ``_line``, the place of its first line.
     """
     names = _unique(header)
     schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, "_record"]])
-    raw = (spark.read.schema(schema).option("header", "false").option("multiLine", "true")
-           .option("escape", '"').option("mode", "PERMISSIVE").option("columnPruning", "false")
-           .option("columnNameOfCorruptRecord", "_record").csv(path))
-    # a file with quoted line ends is read by one task, in order
-    rows = raw.select("*", F.col("_metadata.file_path").alias("_file"),
-                      F.monotonically_increasing_id().alias("_at"))
-    is_header = F.lit(True)
-    for name, cell in zip(names, header):
-        is_header = is_header & F.coalesce(F.trim(F.regexp_replace(name_col(name), "^\ufeff", "")), F.lit("")).eqNullSafe(
-            F.lit(cell.strip()))
-    heads = rows.where(is_header).groupBy("_file").agg(F.min("_at").alias("_head"))
-    return rows.join(heads, "_file", "left").where(
-        F.col("_head").isNull() | (F.col("_at") > F.col("_head"))).drop("_file", "_at", "_head")
+    cells = F.from_csv("record", _ddl(schema), {
+        "escape": '"', "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_record"})
+    return csv_records(spark, path, header).select(
+        cells.alias("_cells"), F.col("file").alias("_file"), F.col("line").alias("_line")).select(
+        *[F.col("_cells").getField(n).alias(n) for n in [*names, "_record"]], "_file", "_line")
+
+
+def _ddl(schema: T.StructType) -> str:
+    """A schema of text columns as DDL, whatever characters the names have."""
+    return ", ".join("`" + n.replace("`", "``") + "` string" for n in schema.names)
 
 
 def name_col(name: str):
@@ -141,7 +138,8 @@ def split_readable(spark: SparkSession, path: str, schema: T.StructType,
             raw = raw.withColumn("_record", F.lit(None).cast("string"))
     else:
         raw = spark.read.parquet(path).withColumn("_record", F.lit(None).cast("string"))
-    columns = [c for c in raw.columns if c != "_record"]
+    places = [c for c in ("_file", "_line") if ext == "csv"]
+    columns = [c for c in raw.columns if c not in ("_record", *places)]
     renamed = list(columns)
     for place, name in (positions or {}).items():
         if place <= len(renamed):
@@ -150,9 +148,11 @@ def split_readable(spark: SparkSession, path: str, schema: T.StructType,
         if len(tail) != len(renamed) - 1:
             raise ValueError(f"{path}: expected {len(tail) + 1} columns, found {len(renamed)}")
         renamed = [renamed[0], *tail]
-    raw = raw.select(*[name_col(c).alias(n) for c, n in zip(columns, renamed)], "_record")
+    raw = raw.select(*[name_col(c).alias(n) for c, n in zip(columns, renamed)], "_record", *places)
     if row_id and row_id not in renamed and aliases.get(row_id) not in renamed:
-        raw = raw.withColumn(row_id, F.format_string("%019d", F.monotonically_increasing_id()))
+        # in a CSV export the place of the record, the same however the files are split
+        raw = raw.withColumn(row_id, F.concat_ws(":", "_file", F.format_string("%019d", "_line")) if places else
+                             F.format_string("%019d", F.monotonically_increasing_id()))
         renamed.append(row_id)
     source = {f.name: next((n for n in (aliases.get(f.name), f.name) if n in renamed), None)
               for f in schema.fields}

@@ -1,4 +1,7 @@
+import csv
+import io
 import os
+import random
 import tempfile
 
 import pytest
@@ -101,3 +104,70 @@ def test_json_is_read_without_inference_and_absent_columns_are_noticed(spark):
         split_readable(spark, never, DECISIONS, names)
     null = _put(d, "null.json", '{"N_ROW": 1, "UBIGEO": "01", "RESULTADO": null}\n')
     assert rows(split_readable(spark, null, DECISIONS, names)[0]) == [(1, "01", None)]
+
+
+CELLS = ["a", "", "b c", '5" pipe', "x, y", "two\nlines", 'say ""hi""', "\n", "three\n\nlines", '"', "ñ😀", "H1", "tail\n,"]
+
+
+def _export(rng, n):
+    """Records of an export as text, some cells quoted without need."""
+    out, rows_ = ["H1,H2,H3"], []
+    for i in range(n):
+        row = [f"k{i}", rng.choice(CELLS), rng.choice(CELLS)]
+        cells = [c if c == '5" pipe' else '"' + c.replace('"', '""') + '"' if set(c) & set(',"\n') or rng.random() < 0.2 else c
+                 for c in row]
+        out.append(",".join(cells))
+        rows_.append(tuple(row))
+    return "\n".join(out) + "\n", rows_
+
+
+@pytest.mark.parametrize("split", [1 << 27, 150])
+def test_a_file_with_quoted_line_ends_is_cut_by_many_tasks(spark, split):
+    from tallyfold.sources.csv_records import csv_records
+    d = tempfile.mkdtemp(prefix="tf-split-")
+    text, want = _export(random.Random(split), 120)
+    path = _put(d, "sheet.csv", 'BANNER, "of\ntwo lines"\n' + text)
+    keys = {"spark.sql.files.maxPartitionBytes": str(split), "spark.sql.files.openCostInBytes": "1"}
+    old = {k: spark.conf.get(k) for k in keys}
+    try:
+        for k, v in keys.items():
+            spark.conf.set(k, v)
+        got = csv_records(spark, path, ["H1", "H2", "H3"]).orderBy("line").collect()
+        if split < 1000:
+            assert spark.read.text(path).rdd.getNumPartitions() > 10
+        good, rejected = split_readable(spark, path, T.StructType([T.StructField(n, T.StringType()) for n in ("H1", "H2", "H3")]))
+        read = rows(good)
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert [next(csv.reader(io.StringIO(r.record))) for r in got] == [list(w) for w in want]
+    lines = text.split("\n")
+    assert all(r.record.split("\n")[0] == lines[r.line - 2] for r in got)  # the place of its first line
+    assert sorted(tuple(c or "" for c in r) for r in read) == sorted(want)
+    assert rejected.count() == 0
+
+
+def test_the_state_of_a_line():
+    from tallyfold.sources.csv_records import ends_inside
+    outside = {'a,b': False, 'a,"b': True, 'a,"b""': True, 'a,"b"': False, 'a,5" x': False, '"a""b"",c': True, '"a"x,"': True,
+               '"": ,"x': True, '': False, '"': True, '""': False, '"a","b","c': True, 'x"y,"z': True}
+    inside = {'': True, 'a': True, 'a"': False, 'a"",b': True, 'a",b': False, 'a","b': True, '"",': True, '"x,"y': True, '",""': False}
+    assert {k: ends_inside(k, False) for k in outside} == outside
+    assert {k: ends_inside(k, True) for k in inside} == inside
+
+
+def test_row_ids_follow_the_records_however_the_files_are_split(spark):
+    d = os.path.join(tempfile.mkdtemp(prefix="tf-ids-"), "form.csv")
+    os.makedirs(d)
+    _put(d, "a.csv", "BANNER\nn_row,ubigeo,decision\n" + "".join(f'{i},"0\n{i}",OK\n' for i in range(60)))
+    _put(d, "b.csv", "n_row,ubigeo,decision\n" + "".join(f"{i},1,OK\n" for i in range(60, 90)))
+    schema = T.StructType([*DECISIONS.fields, T.StructField("sid", T.StringType())])
+    ids = []
+    for split in ("134217728", "100"):
+        old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+        try:
+            spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+            ids.append([tuple(r) for r in split_readable(spark, d, schema, row_id="sid")[0].orderBy("sid").collect()])
+        finally:
+            spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert ids[0] == ids[1] and [r[0] for r in ids[0]] == list(range(90))
