@@ -49,29 +49,25 @@ class _Stretch:
 
     def follow(self, lines: pa.Array) -> tuple[np.ndarray, list[np.ndarray], list[np.ndarray], list[np.ndarray]]:
         """seq, and for each possibility: inside before, inside after, seq of the record's first line (or -1)."""
-        n = len(lines)
-        seq = np.arange(self.seq, self.seq + n)
-        quoted = np.flatnonzero(pc.match_substring(lines, '"').to_numpy(zero_copy_only=False))
-        texts = lines.take(pa.array(quoted)).to_pylist()
+        seq = np.arange(self.seq, self.seq + len(lines))
+        quoted = pc.match_substring(lines, '"').to_numpy(zero_copy_only=False)
+        # only lines with quotes can change the state: what each makes of both states
+        changes = [(ends_inside(t, False), ends_inside(t, True)) for t in lines.filter(pa.array(quoted)).to_pylist()]
+        passed = np.cumsum(quoted)
         before, after, first = [], [], []
         for h in (0, 1):
-            into, out, at = np.zeros(n, bool), np.zeros(n, bool), np.zeros(n, np.int64)
-            done, inside, start = 0, self.inside[h], self.start[h]
-            for i, text in zip([*quoted.tolist(), n], [*texts, ""]):
-                # lines without quotes leave the state as it is
-                into[done:i] = out[done:i] = inside
-                at[done:i] = start if inside else seq[done:i]
-                if i < n:
-                    into[i] = inside
-                    start = start if inside else int(seq[i])
-                    at[i] = start
-                    inside = out[i] = ends_inside(text, inside)
-                done = i + 1
-            self.inside[h], self.start[h] = inside, start
+            inside, states = self.inside[h], [self.inside[h]]
+            for change in changes:
+                inside = change[inside]
+                states.append(inside)
+            states = np.array(states)
+            into = states[passed - quoted]
+            start = np.maximum.accumulate(np.concatenate([[self.start[h]], np.where(into, -1, seq)]))[1:]
             before.append(into)
-            after.append(out)
-            first.append(at)
-        self.seq += n
+            after.append(states[passed])
+            first.append(start)
+            self.inside[h], self.start[h] = inside, int(start[-1])
+        self.seq += len(lines)
         return seq, before, after, first
 
 

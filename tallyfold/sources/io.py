@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyfold.functions.dates import read_by_patterns
+from tallyfold.session import scratch_path
 from tallyfold.sources import schemas
 from tallyfold.sources.csv_records import csv_records
 
@@ -63,9 +64,10 @@ def read_csv_text(spark: SparkSession, path: str, header: list[str]) -> DataFram
     schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, "_record"]])
     cells = F.from_csv("record", _ddl(schema), {
         "escape": '"', "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_record"})
-    return csv_records(spark, path, header).select(
-        cells.alias("_cells"), F.col("file").alias("_file"), F.col("line").alias("_line")).select(
-        *[F.col("_cells").getField(n).alias(n) for n in [*names, "_record"]], "_file", "_line")
+    parsed = csv_records(spark, path, header).select(cells.alias("_cells"), "file", "line").select(
+        *[F.col("_cells").getField(n).alias(f"c{i}") for i, n in enumerate(schema.names)], "file", "line")
+    # stored once: accepted and rejected rows are both read from it
+    return hand_over(parsed, scratch_path(spark, "csv-cells")).toDF(*schema.names, "_file", "_line")
 
 
 def _ddl(schema: T.StructType) -> str:
