@@ -27,13 +27,13 @@ def con():
 
 def check_plan(plan: str, name: str) -> None:
     """No Cartesian or nested-loop join, and any single-partition exchange merges
-    partial aggregates or one row per file (offsets of the row numbers), never rows."""
+    partial aggregates or one row per day (offsets of the row numbers), never rows."""
     assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan, name
     lines = plan.splitlines()
     for i, line in enumerate(lines):
         if "Exchange SinglePartition" in line:
             below = " ".join(lines[i:i + 4])
-            assert "bloom_filter_agg" in below or "_file" in below or "partial_" in below, name
+            assert "bloom_filter_agg" in below or "HashAggregate(keys=[_b0" in below or "partial_" in below, name
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
