@@ -9,16 +9,23 @@ nothing.  A path is content if its score reaches a share of the best one.  The
 share depends on where the path stands, since short paragraphs belong to the
 article around them: it is least inside the container whose paths together
 score most, higher in the rest of the article or main element around that
-container, and highest elsewhere.  Paths that are mostly links are never
-content.  A heading of the container or of that article or main element goes
-with the text under it.
-
-Boilerplate elements (menus, footers, asides, forms, adverts, comments …), by
-their name, their role or a whole token of their class or id, are left out with
-all below them.  If such an element is or holds an article or main element, or
-holds most of the page's scored text (all of it, if that is a single block), its
-paths' scores are lowered instead.  So are those of an element with a boilerplate word inside a longer token
-(``has-sidebar``, ``post-comments``).
+container, and highest elsewhere.  Blocks that are mostly links count for no
+ratio and are not content, but for a linked paragraph of a path that has more
+prose than links.  A heading of the container or of that article or main
+element goes with the text under it.
+
+Names lower scores.  The ratios of boilerplate elements (menus, footers,
+asides, forms, adverts, comments …), by their name, their role or a token of
+their class or id, count as nothing with all below them.  If such an element is
+or holds an article or main element, or holds most of the page's text (all of
+it, if that is a single block), its paths' scores are only lowered; adverts and
+comments are spared so only where the page has no other text.  So are those of
+an element whose boilerplate word stands beside a word for layout or content
+(``has-sidebar``, ``comments-open``).  Where just one article or main element
+has text, teaser cards aside, the ratios of all outside it count as nothing.
+
+Paths are numbers (parent path and label), so memory grows with the number of
+elements, however deep they are nested.
 
 Defined results: a null or empty page gives the empty text; broken markup is
 read as far as it goes (an unclosed comment or script reaches to the end);
@@ -31,6 +38,7 @@ import html
 import re
 from collections import defaultdict
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -44,8 +52,10 @@ THRESHOLD = 0.6
 #: the container, need this share of the container's best score
 AROUND, INSIDE = 0.25, 0.05
 #: what a path's score is multiplied with for each element above it that bears a
-#: boilerplate word in a longer token, or is boilerplate but cannot be left out
+#: boilerplate word beside one for layout, or is boilerplate but was spared
 WORD_PENALTY, OUT_PENALTY = 0.5, 0.25
+#: more such elements above lower no further, so that no score vanishes
+MOST_PENALTIES = 20
 #: weight of a path's direct neighbours when ratios are smoothed
 SMOOTHING = 0.15
 
@@ -69,6 +79,14 @@ _OUT_WORDS = frozenset(
     " navbar navigation breadcrumb breadcrumbs footer header masthead comment comments respond reply replies disqus"
     " cookie cookies consent notice popup modal overlay newsletter subscribe signup login share sharing social"
     " related recommended widget toolbar pagination pager search form".split())
+# words of adverts, notices and comments: never the article while there is other text
+_NEVER_WORDS = frozenset(
+    "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion comment comments respond"
+    " reply replies disqus cookie cookies consent newsletter related recommended".split())
+# words that make a longer token tell of the layout or of the content as well
+_LAYOUT_WORDS = frozenset(
+    "article content main body story entry text has no with without open closed wrap wrapper container page"
+    " layout".split())
 _MAIN = frozenset(["article", "main"])
 _HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 
@@ -83,18 +101,21 @@ _PUNCTUATION = re.compile(r"[.,;:!?¿¡…。，、！？；：]")
 
 
 class _Element:
-    """``out``: never holds text; ``soft``: the nearest boilerplate element, itself included.
+    """``path``: number of the element's tag path; ``out``: never holds text.
 
-    ``region`` is the path of the outermost article or main element around it,
-    ``words`` the number of elements with a boilerplate word in a longer token.
+    ``soft`` is the nearest boilerplate element, itself included, and ``kept`` the
+    number of them; ``strict``: in an advert, notice or comment; ``words`` counts the elements with a boilerplate word in a
+    token that tells of layout or content too.  ``region`` and ``own`` are the
+    outermost and the innermost article or main element around it.
     ``holds_main`` and ``rescued`` are of use in boilerplate elements only.
     """
 
-    __slots__ = ("tag", "path", "parent", "out", "soft", "region", "words", "holds_main", "rescued")
+    __slots__ = ("tag", "path", "parent", "out", "soft", "strict", "depth", "kept", "words", "region", "own",
+                 "holds_main", "rescued")
 
-    def __init__(self, tag: str, attributes: str, parent: "_Element | None"):
+    def __init__(self, tag: str, attributes: str, parent: "_Element | None", paths: "Paths"):
         self.tag, self.parent = tag, parent
-        soft, label = tag in _OUT_ELEMENTS, tag
+        soft, strict, label = tag in _OUT_ELEMENTS, False, tag
         main, word = tag in _MAIN, False
         if "=" in attributes:
             for name, a, b, c in _MARKED.findall(attributes):
@@ -104,39 +125,76 @@ class _Element:
                     soft = soft or not _OUT_ROLES.isdisjoint(tokens)
                     main = main or "main" in tokens
                 elif tag not in ("html", "body"):
-                    soft = soft or not _OUT_WORDS.isdisjoint(tokens)
-                    words = set(_PARTS.findall(value))
-                    word = word or not _OUT_WORDS.isdisjoint(words)
-                    label += "." + ".".join(sorted(words)) if name.lower() == "class" else ""
+                    for token in tokens:
+                        words = _PARTS.findall(token)
+                        if _OUT_WORDS.isdisjoint(words):
+                            continue
+                        if len(words) > 1 and not _LAYOUT_WORDS.isdisjoint(words):
+                            word = True
+                        else:
+                            soft = True
+                            strict = strict or not _NEVER_WORDS.isdisjoint(words)
+                    label += "." + ".".join(sorted(set(_PARTS.findall(value)))) if name.lower() == "class" else ""
         # a header inside the article holds its title; one outside belongs to the site
         soft = soft or tag == "header" and not (main or parent is not None and parent.region is not None)
-        # paths are told apart by what is left out or lowered
+        # paths are told apart by what is lowered
         label += "!" if soft else "~" if word else ""
-        self.path = f"{parent.path}/{label}" if parent else label
+        self.path = paths.number(parent.path if parent else -1, label)
         self.out = tag in _NO_TEXT or parent is not None and parent.out
         self.soft = self if soft else parent.soft if parent else None
-        self.region = parent.region if parent else None
+        self.strict = strict or parent is not None and parent.strict
+        self.depth = parent.depth + 1 if parent else 0
+        self.kept = (parent.kept if parent else 0) + soft
         self.words = (parent.words if parent else 0) + (word and not soft)
+        self.region, self.own = (parent.region, parent.own) if parent else (None, None)
         self.holds_main = self.rescued = False
         if main and not self.out:
-            self.region = self.region if self.region is not None else self.path
+            self.own = self
+            self.region = self.region or self
             above = self.soft
             while above is not None and not above.holds_main:
                 above.holds_main = True
                 above = above.parent.soft
 
-    def lowered(self) -> tuple[int, int]:
-        """How many elements above lower the score: by a word, and as kept boilerplate."""
-        kept, above = 0, self.soft
-        while above is not None:
-            kept, above = kept + 1, above.parent.soft
-        return self.words, kept
 
+class Paths:
+    """Tag paths of one page, each a number: its parent path's number and one label."""
+
+    def __init__(self) -> None:
+        self.parents: list[int] = []
+        self._numbers: dict[tuple[int, str], int] = {}
+
+    def number(self, parent: int, label: str) -> int:
+        found = self._numbers.setdefault((parent, label), len(self.parents))
+        if found == len(self.parents):
+            self.parents.append(parent)
+        return found
+
+    def below(self, holder: int | None) -> list[bool]:
+        """For each path whether it is the holder or below it; parents have smaller numbers."""
+        inside: list[bool] = []
+        for path, parent in enumerate(self.parents):
+            inside.append(path == holder or parent >= 0 and inside[parent])
+        return inside
+
+
+class Block(NamedTuple):
+    """A text block: holding element, text, characters in links."""
 
-def blocks(page: str) -> list[tuple[_Element, str, int]]:
-    """The page's text blocks in order: holding element, text, characters in links."""
-    root = _Element("", "", None)
-    stack, found = [root], []
+    element: _Element
+    text: str
+    linked: int
+
+    @property
+    def is_link(self) -> bool:
+        return 2 * self.linked >= len(self.text)
+
+
+def blocks(page: str) -> tuple[list[Block], Paths]:
+    """The page's text blocks in order, and its paths."""
+    paths = Paths()
+    stack, found = [_Element("", "", None, paths)], []
+    open_at: dict[str, list[int]] = defaultdict(list)  # depths of the open elements of each name
     pieces: list[str] = []
     linked, in_link, at = 0, False, 0
 
@@ -144,10 +202,14 @@ def blocks(page: str) -> list[tuple[_Element, str, int]]:
         nonlocal linked
         text = " ".join(html.unescape("".join(pieces)).split())
         if text:
-            found.append((stack[-1], text, min(linked, len(text))))
+            found.append(Block(stack[-1], text, min(linked, len(text))))
         pieces.clear()
         linked = 0
 
+    def cut(depth: int) -> None:
+        while len(stack) > depth:
+            open_at[stack.pop().tag].pop()
+
     for token in _TOKEN.finditer(page):
         text = page[at:token.start()]
         if text:
@@ -164,143 +226,177 @@ def blocks(page: str) -> list[tuple[_Element, str, int]]:
         close()
         in_link = False
         if token[2]:
-            for depth in range(len(stack) - 1, 0, -1):
-                if stack[depth].tag == tag:
-                    del stack[depth:]
-                    break
+            if open_at[tag]:
+                cut(open_at[tag][-1])
         elif tag not in _VOID:
             if tag in _CLOSES_P and stack[-1].tag == "p":
-                stack.pop()
-            if tag in _SAME_CLOSES:
-                for depth in range(len(stack) - 1, 0, -1):
-                    if stack[depth].tag == tag:
-                        del stack[depth:]
-                        break
-                    if stack[depth].tag in _SAME_CLOSES[tag].split() or tag == "p":
-                        break
-            if tag == "body" and len(stack) > 1 and any(e.tag == "head" for e in stack):
-                del stack[next(i for i, e in enumerate(stack) if e.tag == "head"):]
-            stack.append(_Element(tag, token[4] or "", stack[-1]))
+                cut(len(stack) - 1)
+            if tag == "p" and stack[-1].tag == "p":
+                cut(len(stack) - 1)
+            elif tag in _SAME_CLOSES and tag != "p" and open_at[tag]:
+                walls = [open_at[wall][-1] for wall in _SAME_CLOSES[tag].split() if open_at[wall]]
+                if open_at[tag][-1] > max(walls, default=0):
+                    cut(open_at[tag][-1])
+            if tag == "body" and open_at["head"]:
+                cut(open_at["head"][0])
+            open_at[tag].append(len(stack))
+            stack.append(_Element(tag, token[4] or "", stack[-1], paths))
     if at < len(page):
         pieces.append(page[at:])
         linked += len(page) - at if in_link else 0
     close()
-    return found
+    return [block for block in found if not block.element.out], paths
 
 
-def kept_blocks(found: list[tuple[_Element, str, int]]) -> list[tuple[_Element, str, int]]:
-    """The blocks that stand in no element that is left out."""
-    found = [block for block in found if not block[0].out]
-    if not any(element.soft for element, _, _ in found):
-        return found
-    scores, mass, count = path_scores(found), defaultdict(float), defaultdict(int)
-    total, chain = 0.0, {}
-    for element, text, linked in found:
-        weight = scores[element.path] * (len(text) - linked)
+def sole_region(found: list[Block]) -> _Element | None:
+    """The one article or main element that has text of its own, if there is just one.
+
+    Teaser cards (their heading is a link) don't count; elements less lowered go first.
+    """
+    cards = {e.own for e, _, _ in found if e.own is not None} & {
+        b.element.own for b in found if b.element.tag in _HEADINGS and b.is_link}
+    regions = {b.element.region: (b.element.strict, b.element.kept, b.element.words)
+               for b in reversed(found) if b.element.own is not None and b.element.own not in cards
+               and b.element.tag not in _HEADINGS and not b.is_link}
+    least = min(regions.values(), default=None)
+    sole = [region for region, lowered in regions.items() if lowered == least]
+    return sole[0] if len(sole) == 1 else None
+
+
+def silenced(found: list[Block]) -> list[bool]:
+    """For each block whether its path's ratios count as nothing.
+
+    So are blocks outside the sole article or main element, and those in a
+    boilerplate element, unless that is or holds an article or main element or
+    holds most of the page's text.  Adverts, notices and reader comments are
+    spared only if the page has no other text.
+    """
+    sole = sole_region(found)
+    outside = [sole is not None and block.element.region is not sole for block in found]
+    if not any(block.element.soft for block in found):
+        return outside
+    mass: dict[_Element, float] = defaultdict(float)
+    count: dict[_Element, int] = defaultdict(int)
+    total, plain_total = 0.0, 0.0
+    chain: set[_Element] = set()
+    for block, away in zip(found, outside):
+        weight = 0 if away or block.is_link else (len(block.text) - block.linked) * (
+            1 + len(_PUNCTUATION.findall(block.text)))
         total += weight
-        if element.soft:
-            mass[element.soft] += weight
-            count[element.soft] += weight > 0
-            above = element.soft
-            while above is not None and above not in chain:
-                chain[above] = above.path.count("/")
-                above = above.parent.soft
-    for soft in sorted(chain, key=chain.__getitem__, reverse=True):
+        soft = block.element.soft
+        if soft is None:
+            plain_total += weight
+            continue
+        mass[soft] += weight
+        count[soft] += weight > 0
+        while soft is not None and soft not in chain:
+            chain.add(soft)
+            soft = soft.parent.soft
+    order = sorted(chain, key=lambda e: e.depth)
+    plain_total += sum(mass[soft] for soft in order if not soft.strict)
+    for soft in reversed(order):
         if soft.parent.soft is not None:
             mass[soft.parent.soft] += mass[soft]
             count[soft.parent.soft] += count[soft]
-    dropped = {}
-    for soft in sorted(chain, key=chain.__getitem__):
+    dropped: dict[_Element, bool] = {}
+    for soft in order:
         most = 2 * mass[soft] > total and (count[soft] > 1 or mass[soft] == total)
-        soft.rescued = soft.holds_main or most
+        around = sole is not None and sole.soft is not None and soft.holds_main and soft.depth <= sole.depth
+        soft.rescued = around or (soft.holds_main or most) and (not soft.strict or plain_total == 0)
         above = soft.parent.soft
         dropped[soft] = not soft.rescued or above is not None and dropped[above]
-    return [block for block in found if block[0].soft is None or not dropped[block[0].soft]]
-
-
-def path_scores(found: list[tuple[_Element, str, int]]) -> dict[str, float]:
-    """Fused, smoothed ratio of every path, lowered for boilerplate words above it."""
-    length, marks, links, nodes = (defaultdict(float) for _ in range(4))
-    lowered: dict[str, float] = {}
-    for element, text, linked in found:
-        path = element.path
-        length[path] += len(text)
-        marks[path] += len(_PUNCTUATION.findall(text))
-        links[path] += linked
-        nodes[path] += 1
+    return [away or block.element.soft is not None and dropped[block.element.soft]
+            for block, away in zip(found, outside)]
+
+
+def path_scores(found: list[Block], silent: list[bool]) -> dict[tuple[int, bool], float]:
+    """Fused, smoothed ratio of every path (its number, silenced or not).
+
+    Text and punctuation are added up over the path's blocks that are not mostly
+    links.  A silenced path has ratios of zero; boilerplate words above lower them.
+    """
+    length, marks, nodes, lowered = {}, {}, {}, {}
+    for block, quiet in zip(found, silent):
+        element, text, linked = block
+        path = (element.path, quiet)
         if path not in lowered:
-            words, kept = element.lowered()
-            lowered[path] = WORD_PENALTY ** words * OUT_PENALTY ** kept
+            length[path] = marks[path] = nodes[path] = 0
+            lowered[path] = 0.0 if quiet else (
+                WORD_PENALTY ** min(element.words, MOST_PENALTIES) * OUT_PENALTY ** min(element.kept, MOST_PENALTIES))
+        if not block.is_link:
+            length[path] += len(text) - linked
+            marks[path] += len(_PUNCTUATION.findall(text))
+            nodes[path] += 1
     paths = list(length)  # in page order
-    text_ratio = [(length[p] - links[p]) / nodes[p] for p in paths]
-    mark_ratio = [marks[p] / nodes[p] for p in paths]
+    text_ratio = [length[p] / max(nodes[p], 1) * (lowered[p] > 0) for p in paths]
+    mark_ratio = [marks[p] / max(nodes[p], 1) * (lowered[p] > 0) for p in paths]
 
     def smoothed(values: list[float]) -> list[float]:
         padded = [values[0], *values, values[-1]] if values else []
         return [(1 - 2 * SMOOTHING) * padded[i] + SMOOTHING * (padded[i - 1] + padded[i + 1])
                 for i in range(1, len(values) + 1)]
 
-    return {p: t * (1 + m) * lowered[p]
+    return {p: t * (1 + m) * (lowered[p] or 1.0)
             for p, t, m in zip(paths, smoothed(text_ratio), smoothed(mark_ratio))}
 
 
-def _within(path: str, holder: str | None) -> bool:
-    return holder is not None and (path == holder or path.startswith(f"{holder}/"))
-
-
-def content(found: list[tuple[_Element, str, int]]) -> list[bool]:
+def content(found: list[Block], paths: Paths) -> list[bool]:
     """For each block whether it is content, by its path's score."""
-    scores = path_scores(found)
-    mass, links, length = (defaultdict(float) for _ in range(3))
-    elements: dict[str, _Element] = {}
-    for element, text, linked in found:
-        length[element.path] += len(text)
-        links[element.path] += linked
-        mass[element.path.rpartition("/")[0]] += scores[element.path] * (len(text) - linked)
-        elements.setdefault(element.path, element)
-    best = max(scores.values(), default=0.0)
-    if best <= 0 or not any(mass.values()):
+    silent = silenced(found)
+    scores = path_scores(found, silent)
+    mass: dict[int, float] = defaultdict(float)
+    elements: dict[tuple[int, bool], _Element] = {}
+    prose: dict[tuple[int, bool], int] = defaultdict(int)  # blocks of prose less blocks of links
+    best = 0.0
+    for block, quiet in zip(found, silent):
+        path = (block.element.path, quiet)
+        elements.setdefault(path, block.element)
+        prose[path] += -1 if block.is_link else 1
+        if not quiet and not block.is_link:
+            mass[paths.parents[path[0]]] += scores[path] * (len(block.text) - block.linked)
+            best = max(best, scores[path])
+    if best <= 0:
         return [False] * len(found)
     holder = max(mass, key=lambda p: mass[p])
-    inside = [p for p in scores if p.rpartition("/")[0] == holder]
+    inside = [p for p in scores if paths.parents[p[0]] == holder and not p[1]]
     region = elements[inside[0]].region
+    in_holder, in_region = paths.below(holder), paths.below(region.path if region else None)
     # an element below the container that is lowered further counts as elsewhere
-    least = min(elements[p].lowered() for p in inside)
+    least = min((elements[p].words, elements[p].kept) for p in inside)
     top = max(scores[p] for p in inside)
-
-    def near(path: str) -> bool:
-        return elements[path].lowered() <= least
-
+    near = {p: not p[1] and (e.words, e.kept) <= least for p, e in elements.items()}
+    close = {p: near[p] and (in_holder[p[0]] or in_region[p[0]]) for p in elements}
     chosen = {}
     for path, score in scores.items():
-        if near(path) and _within(path, holder):
+        if near[path] and in_holder[path[0]]:
             share = INSIDE * top
-        elif near(path) and _within(path, region):
+        elif close[path]:
             share = AROUND * top
         else:
             share = THRESHOLD * best
-        chosen[path] = 2 * links[path] < length[path] and score >= share
+        chosen[path] = score >= share
     # backwards: has each heading's level text under it?
     taken, under = [], [False] * 7
-    for element, _, _ in reversed(found):
-        path, tag = element.path, element.tag
-        close = near(path) and (_within(path, holder) or _within(path, region))
-        if tag in _HEADINGS and close:
+    for block, quiet in zip(reversed(found), reversed(silent)):
+        path, tag = (block.element.path, quiet), block.element.tag
+        # a paragraph that is a link goes with the prose around it, a list of links goes
+        good = chosen[path] and (not block.is_link or close[path] and prose[path] > 0)
+        if tag in _HEADINGS and close[path]:
             level = int(tag[1])
-            taken.append(under[level] or chosen[path] and scores[path] >= THRESHOLD * best)
+            taken.append(under[level] or good and scores[path] >= THRESHOLD * best)
             # a heading ends the sections of its level and below
             under[level:] = [False] * (7 - level)
         else:
-            taken.append(chosen[path])
-            if chosen[path] and close:
+            taken.append(good)
+            if good and close[path]:
                 under = [True] * 7
     return taken[::-1]
 
 
 def main_text(page: str | None) -> str:
     """The article's text: blocks of content paths, joined by one space."""
-    found = kept_blocks(blocks(page or ""))
-    return " ".join(text for (_, text, _), taken in zip(found, content(found)) if taken)
+    found, paths = blocks(page or "")
+    return " ".join(block.text for block, taken in zip(found, content(found, paths)) if taken)
 
 
 def extract(pages: DataFrame, columns: list[str], html_col: str = "html") -> DataFrame:

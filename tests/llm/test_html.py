@@ -2,6 +2,7 @@
 
 import html
 import re
+import tracemalloc
 
 import pytest
 
@@ -106,3 +107,55 @@ def test_boilerplate_inside_the_article_still_goes():
     for box in ("<div class='ad box'>", "<div class=ad-box>", "<div id=share-this>", "<aside>"):
         page = f"<article>{STORY}{box}<p>Buy this now.</p></{box[1:].split()[0].rstrip('>')}></article>"
         assert html_extract.main_text(page) == STORY_TEXT, box
+
+
+LONG = " ".join([PARAGRAPH] * 4)
+SHORT = "A paragraph of fifty characters, or about that much."
+EIGHT, EIGHT_TEXT = f"<p>{SHORT}</p>" * 8, " ".join([SHORT] * 8)
+READERS = f"<p>{LONG}</p><p>{LONG}</p>"
+
+
+@pytest.mark.parametrize("page,text", [
+    # a linked paragraph neither goes nor takes its neighbours with it
+    (f"<article><p>Intro line here.</p><p><a href=x>{PARAGRAPH}</a></p><p>Closing line.</p></article>",
+     f"Intro line here. {PARAGRAPH} Closing line."),
+    (f"<article>{f'<p>{PARAGRAPH}</p>' * 3}<p><a href=x>{LONG}</a></p></article>",
+     " ".join([PARAGRAPH] * 3 + [LONG])),
+    # a short article wins over a long advert, and over its readers
+    (f"<article><p>Yes.</p></article><div class='promo-box'><p>{LONG}</p></div>", "Yes."),
+    (f"<article><p>Yes.</p></article><div><p>{LONG}</p></div>", "Yes."),
+    (f"<article>{EIGHT}</article><div class='comment-list'>{READERS}</div>", EIGHT_TEXT),
+    (f"<article>{EIGHT}<div class='comment-list'>{READERS}</div></article>", EIGHT_TEXT),
+    (f"<div class=post>{EIGHT}</div><div class='comment-list'>{READERS}</div>", EIGHT_TEXT),
+    (f"<article>{EIGHT}</article><section id=comments><article class=comment>{READERS}</article>"
+     f"<article class=comment>{READERS}</article></section>", EIGHT_TEXT),
+    # of a list of sources the plain item stays
+    (f"<article><p>{PARAGRAPH}</p><ul><li><a href=1>Source one</a></li><li><a href=2>Source two</a></li>"
+     "<li>A plain list item, offline.</li></ul></article>", f"{PARAGRAPH} A plain list item, offline."),
+    # a page of nothing but an advert still has a text
+    (f"<div class=ad><p>{PARAGRAPH}</p></div>", PARAGRAPH),
+])
+def test_articles_are_not_lost_to_links_adverts_or_comments(page, text):
+    assert html_extract.main_text(f"<body>{page}</body>") == text
+
+
+def test_memory_grows_with_the_elements_and_not_with_their_depth():
+    page = "<div class=a><aside>" * 50_000 + f"<p>{PARAGRAPH}</p>" + "</x></aside></div>" * 50_000
+    tracemalloc.start()
+    try:
+        assert html_extract.main_text(page) == PARAGRAPH
+        assert tracemalloc.get_traced_memory()[1] < 200 << 20
+    finally:
+        tracemalloc.stop()
+
+
+def test_the_scores_decide_on_every_page_and_names_are_not_needed(spark):
+    same = total = 0
+    for page in table(spark, SF_SMALL, "pages").collect():
+        text = html_extract.main_text(page.html)
+        found, _ = html_extract.blocks(page.html)
+        assert " ".join(block.text for block in found) != text
+        bare = re.sub(r"""\s(class|id)=("[^"]*"|'[^']*'|[^\s>]+)""", "", page.html)
+        same += html_extract.main_text(bare) == text
+        total += 1
+    assert same >= 0.99 * total
