@@ -68,3 +68,20 @@ def assert_members(df: DataFrame, key: str, ref: DataFrame, ref_key: str | None
     bad = unknown_members(df, key, ref, ref_key).take(1)
     if bad:
         raise ValueError(f"{message}: {key}={bad[0][0]!r}")
+
+
+def audited(df: DataFrame, label: str, key: str, ref: DataFrame,
+            accepted: str = "accepted") -> tuple[DataFrame, dict[str, Column]]:
+    """Split, audit and reference check as columns and measures of one pass.
+
+    Returns ``df`` with the flag ``accepted`` (has a label), to be written by that
+    column, and the measures of the write: number of quarantined rows, number of accepted rows whose ``key``
+    the reference list lacks, and the smallest such value.
+    """
+    refs = ref.select(F.col(key).alias("_ref")).where(F.col("_ref").isNotNull()).distinct()
+    rows = df.withColumn(accepted, F.col(label).isNotNull()).join(refs, F.col(key) == F.col("_ref"), "left")
+    unknown = F.col(accepted) & F.col(key).isNotNull() & F.col("_unknown")
+    rows = rows.withColumn("_unknown", F.col("_ref").isNull()).drop("_ref")
+    return rows, {"quarantined": F.coalesce(F.sum((~F.col(accepted)).cast("long")), F.lit(0)),
+                  "unknown": F.coalesce(F.sum(unknown.cast("long")), F.lit(0)),
+                  "first_unknown": F.min(F.when(unknown, F.col(key)))}

@@ -1,0 +1,147 @@
+"""Published tables, review sheets, and the split, audit and check of one write."""
+
+import csv
+import glob
+import os
+import shutil
+import tempfile
+
+import pytest
+from pyspark.sql import functions as F
+
+from tallyfold.operators import quality, review
+from tallyfold.sources.handover import export_sheet, manifest_of, publish, read_sheet, take_over
+
+from conftest import rows
+
+KEYS = ["n_row", "ubigeo"]
+
+
+def _folder():
+    return tempfile.mkdtemp(prefix="tf-handover-")
+
+
+def _table(spark, n=50):
+    return spark.range(n).select(F.col("id").alias("n_row"), F.format_string("%06d", F.col("id") * 7).alias("ubigeo"),
+                                 F.when(F.col("id") % 3 > 0, F.concat(F.lit('a "b",\n'), F.col("id"))).alias("text"),
+                                 (F.col("id") / 8).alias("score"), F.create_map(F.lit("k"), F.col("id")).alias("m"))
+
+
+@pytest.mark.parametrize("n", [50, 0])
+@pytest.mark.parametrize("parts", [None, ["ubigeo"]])
+def test_a_published_table_is_taken_over_as_it_was(spark, n, parts):
+    path = _folder() + "/t"
+    df = _table(spark, n)
+    manifest = publish(df, path, parts, top=F.max("n_row"))
+    assert manifest["rows"] == n and manifest["top"] == (n - 1 if n else None)
+    got = take_over(spark, path)
+    assert got.columns == df.columns and rows(got.drop("m")) == rows(df.drop("m"))
+    publish(df.limit(3), path)  # replaces rows and manifest
+    assert take_over(spark, path).count() == min(n, 3)
+
+
+def test_incomplete_or_altered_tables_stop_the_job(spark):
+    path = _folder() + "/t"
+    df = _table(spark).repartition(4)
+    publish(df, path)
+    first = sorted(glob.glob(path + "/part-*"))[0]
+    shutil.copy(first, path + "/part-99999-copy.parquet")
+    with pytest.raises(ValueError, match="altered.*rows"):
+        take_over(spark, path, contents=False)
+    os.remove(path + "/part-99999-copy.parquet")
+    assert take_over(spark, path).count() == 50
+    # as many rows, other contents
+    other = _folder() + "/o"
+    publish(df.withColumn("text", F.when(F.col("n_row") != 7, F.col("text"))), other)
+    shutil.copytree(other, path + "-new")
+    shutil.copytree(path + "/_manifest", path + "-new/_manifest", dirs_exist_ok=True)
+    for old in glob.glob(path + "-new/_manifest/*"):
+        if os.path.basename(old) not in os.listdir(path + "/_manifest"):
+            os.remove(old)
+    take_over(spark, path + "-new", contents=False)
+    with pytest.raises(ValueError, match="altered.*digest"):
+        take_over(spark, path + "-new")
+    df.write.parquet(path + "-unfinished")
+    with pytest.raises(ValueError, match="no manifest"):
+        take_over(spark, path + "-unfinished")
+
+
+def _edit(sheet, change):
+    """What a person does in a spreadsheet: every cell is written anew."""
+    (path,) = glob.glob(sheet + "/*.csv")
+    with open(path, newline="") as f:
+        head, *lines = list(csv.reader(f))
+    lines = change([dict(zip(head, line)) for line in lines])
+    with open(path, "w", newline="") as f:
+        out = csv.DictWriter(f, head[::-1])
+        out.writeheader()
+        out.writerows(lines)
+    for crc in glob.glob(sheet + "/.*.crc"):
+        os.remove(crc)
+    return lines
+
+
+def _sheet(spark, n=50):
+    base = _folder()
+    publish(_table(spark, n).drop("m"), base + "/t")
+    export_sheet(spark, base + "/t", base + "/review.csv", KEYS)
+    return base
+
+
+def test_export_edit_and_read_back(spark):
+    base = _sheet(spark)
+    given = {}
+
+    def decide(lines):
+        assert [int(r["n_row"]) for r in lines] == list(range(50))
+        for r in lines:
+            i = int(r["n_row"])
+            r["decision"] = given[i] = ["OK", " NO ", "", "777"][i % 4]
+            # zeros in front of a code and digits behind a comma are lost
+            r["ubigeo"], r["score"] = r["ubigeo"].lstrip("0"), "about " + r["score"]
+        return lines[::-1]
+
+    _edit(base + "/review.csv", decide)
+    got = read_sheet(spark, base + "/t", base + "/review.csv", base + "/d", KEYS, "ubigeo")
+    want = {"OK": "OK", " NO ": "NO", "": None, "777": "000777"}
+    assert rows(got) == [(i, f"{i * 7:06d}", want[given[i]]) for i in range(50)]
+    assert review.undecided(got).count() == sum(v == "" for v in given.values())
+    assert (3, "000777") in {(r.n_row, r.ubigeo) for r in review.accepted_codes(got).collect()}
+
+
+@pytest.mark.parametrize("change,problem", [
+    (lambda lines: lines[1:], "missing"),
+    (lambda lines: [*lines, dict(lines[0], n_row="999")], "foreign"),
+    (lambda lines: [*lines, dict(lines[0], decision="OK")], "contradicted"),
+    (lambda lines: [dict(lines[0], decision="NO"), dict(lines[0], decision="OK"), *lines[1:]], "contradicted"),
+])
+def test_sheets_that_lost_or_gained_rows_stop_the_job(spark, change, problem):
+    base = _sheet(spark, 5)
+    _edit(base + "/review.csv", change)
+    with pytest.raises(ValueError, match=problem):
+        read_sheet(spark, base + "/t", base + "/review.csv", base + "/d", KEYS, "ubigeo")
+
+
+def test_large_and_empty_sheets(spark):
+    base = _sheet(spark, 0)
+    assert read_sheet(spark, base + "/t", base + "/review.csv", base + "/d", KEYS, "ubigeo").count() == 0
+    base = _sheet(spark)
+    export_sheet(spark, base + "/t", base + "/review.csv", KEYS, sheet_rows=20)
+    assert len(glob.glob(base + "/review.csv/*.csv")) == 3
+    got = read_sheet(spark, base + "/t", base + "/review.csv", base + "/d", KEYS, "ubigeo")
+    assert got.where("decision is null").count() == 50
+
+
+def test_split_audit_and_check_come_from_one_job(spark):
+    path = _folder() + "/t"
+    df = spark.createDataFrame([(1, "A", "x"), (2, "B", None), (3, "Z", None), (4, None, "y"), (5, "Y", "x"), (6, "A", "x")],
+                               "n int, department string, category string")
+    ref = spark.createDataFrame([("A",), ("B",), ("A",), (None,)], "department string")
+    marked, measures = quality.audited(df, "category", "department", ref)
+    audit = publish(marked, path, ["accepted"], **measures)
+    assert (audit["rows"], audit["quarantined"], audit["unknown"], audit["first_unknown"]) == (6, 2, 1, "Y")
+    assert manifest_of(spark, path)["quarantined"] == 2
+    good, bad = quality.split_valid(take_over(spark, path), "category")
+    assert rows(good, "n") == [(1,), (4,), (5,), (6,)] and rows(bad, "n") == [(2,), (3,)]
+    with pytest.raises(ValueError, match="Y"):
+        quality.assert_members(good, "department", ref)
