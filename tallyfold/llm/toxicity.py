@@ -1,16 +1,24 @@
 """Toxicity scoring with a weighted finite-state pattern grammar.
 
-The words of a clause are read as tags: insult, threat verb, target, negation,
-reporting verb, other.  Four small transducers are composed into one machine.
+The words of a sentence are read as tags: insult, threat verb, target, negation,
+reporting verb, other; commas, colons and semicolons are pauses, and quotation
+marks are tags too.  One small transducer reads the tags from the right, then
+four composed ones from the left.
 
+* The speech transducer (from the right) puts a reporting verb before quoted words
+  that are followed by one, as in ``"…", he said``.
 * The negation transducer rewrites an insult or threat within ``REACH`` words
-  after a negation to its negated form.
+  after a negation to its negated form.  A pause ends its reach, but what stands
+  between two pauses right after the negation is skipped (``not, I think, an …``);
+  a negation between pauses is an interjection and negates nothing.
 * The target transducer rewrites an insult or threat near a target (before it
-  in the clause, or directly after it) to its aimed form.
+  in the clause, or directly after it) to its aimed form.  A pause ends the clause,
+  but a target right before it aims at the word right after it.
 * The threat transducer drops threat verbs that are aimed at nobody.
-* The report transducer marks whatever follows a reporting verb as reported.
+* The report transducer marks whatever follows a reporting verb as reported, to
+  the end of the sentence.
 
-What the machine emits over a clause is its match: a pattern for each insult or
+What the machine emits over a sentence is its match: a pattern for each insult or
 threat, such as ``insult``, ``insult+aimed`` or ``threat+aimed+reported``.  A
 text's score is a logistic function of the weights of the patterns it matches,
 and of whether it has several matches that are not negated.  The weights start
@@ -21,9 +29,10 @@ The insults are the plain list below and what labelled rows show: words, and
 word beginnings of 4 to 6 letters, that occur in toxic texts far more often than
 their number can explain by chance.  That search reads a bounded sample
 (``SAMPLE`` labelled rows of each label, drawn by a hash of the id) from which near copies
-of one text are left out, since their words would all look alike.
+of one text are left out, since their words would all look alike.  All that it finds is
+kept, unless ``most`` limits it.
 
-Only clauses that hold an insult or a threat are read, found by one pass of a
+Only sentences that hold an insult or a threat are read, found by one pass of a
 multi-pattern automaton over the whole lower-cased text.
 
 Defined results: a null, empty or harmless text scores what the intercept
@@ -46,12 +55,12 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyfold.llm.common import durable
 from tallyfold.session import ship_package
 
 REACH = 4   # words over which a negation or a target works
 SAMPLE = {1: 2000, 0: 8000}   # labelled rows that the search for insults reads
 STEMS = (4, 5, 6)             # letters of the word beginnings it considers
-MOST_LEARNED = 2000           # patterns it keeps, the most telling first
 
 # the grammar's word classes: plain lists, lower case
 LEXICON: dict[str, frozenset[str]] = {
@@ -80,8 +89,11 @@ PRIOR = {"intercept": -2.0, "insult": 2.0, "threat": 0.0, "aimed": 1.0, "negated
          "several": 0.5}
 PENALTY = 0.1
 
-_CLAUSE_END = re.compile(r"[.!?;:,|\n]")
+_QUOTES, _PAUSES = '"“”„«»', ",;:"
+# a full stop inside quotation marks does not end the sentence around them
+_SENTENCE_END = re.compile(rf"[.!?](?![.!?]{{0,3}}[{_QUOTES}])|[|\n]")
 _WORDS = re.compile(r"[^\W\d_]+(?:'[^\W\d_]+)?")
+_TOKENS = re.compile(rf"{_WORDS.pattern}|[{_PAUSES}{_QUOTES}]")
 
 Emit = list[str]
 Step = Callable[[object, str], tuple[object, Emit]]
@@ -135,9 +147,30 @@ def _is_match(tag: str) -> bool:
     return tag.startswith(("insult", "threat"))
 
 
-def _negate(left: int, tag: str) -> tuple[int, Emit]:
+def _speech(state: tuple[int, bool, bool], tag: str) -> tuple[tuple[int, bool, bool], Emit]:
+    """From the right.  State: words since a reporting verb that still count; inside quotation marks; reported."""
+    left, inside, reported = state
+    if tag == "quote":
+        if inside:
+            return (0, False, False), [tag, "report"] if reported else [tag]
+        return (0, True, left > 0), [tag]
+    if tag == "report":
+        return (REACH, inside, reported), [tag]
+    return (left if tag == "pause" else max(0, left - 1), inside, reported), [tag]
+
+
+def _negate(state: int | str, tag: str) -> tuple[int | str, Emit]:
+    """State: words that the negation still reaches (below zero: skipping what is between two
+    pauses); ``open`` at the start and after a pause, ``no`` after a negation there."""
+    if tag == "quote":
+        return state, [tag]
+    left = state if isinstance(state, int) else REACH if state == "no" else 0
     if tag == "negation":
-        return REACH, [tag]
+        return "no" if state == "open" else REACH, [tag]
+    if tag == "pause":
+        return -left if left < 0 or state == REACH else "open", [tag]
+    if left < 0:
+        return left, [tag]
     if _is_match(tag) and left:
         return 0, [f"{tag}+negated"]
     return max(0, left - 1), [tag]
@@ -146,11 +179,15 @@ def _negate(left: int, tag: str) -> tuple[int, Emit]:
 def _aim(state: tuple[int, str], tag: str) -> tuple[tuple[int, str], Emit]:
     """State: words since a target that still count; a match that waits one word for its target."""
     left, held = state
+    if tag == "quote":
+        return state, [tag]
     if held and tag == "target":
         return (REACH, ""), [f"{held}+aimed", tag]
     out = [held] if held else []
     if tag == "target":
         return (REACH, ""), [*out, tag]
+    if tag == "pause":
+        return (int(left == REACH), ""), [*out, tag]
     if _is_match(tag):
         return ((0, ""), [*out, f"{tag}+aimed"]) if left else ((0, tag), out)
     return (max(0, left - 1), ""), [*out, tag]
@@ -167,8 +204,8 @@ def _report(inside: bool, tag: str) -> tuple[bool, Emit]:
 
 
 def grammar() -> Transducer:
-    """The composed machine: word tags in, matched patterns out."""
-    return (Transducer(0, _negate)
+    """The composed machine from the left: tags in, matched patterns out."""
+    return (Transducer("open", _negate)
             >> Transducer((0, ""), _aim, lambda state: [state[1]] if state[1] else [])
             >> Transducer(0, _threats) >> Transducer(False, _report))
 
@@ -197,7 +234,9 @@ class Matcher:
         self.insults = insults
         self.tags = {word: kind for kind in ("report", "negation", "target", "threat")
                      for word in lexicon[kind]}
-        self.machine, self.finder = grammar(), ahocorasick.Automaton()
+        self.tags |= dict.fromkeys(_PAUSES, "pause") | dict.fromkeys(_QUOTES, "quote")
+        self.speech, self.machine = Transducer((0, False, False), _speech), grammar()
+        self.finder = ahocorasick.Automaton()
         for word in [*lexicon["threat"], *insults.words, *insults.stems]:
             self.finder.add_word(word, len(word))
         self.finder.make_automaton()
@@ -205,22 +244,23 @@ class Matcher:
     def tag(self, word: str) -> str:
         return "insult" if word in self.insults else self.tags.get(word, "other")
 
-    def clauses(self, text: str) -> Iterator[str]:
-        """Clauses of a lower-cased text that hold the start of an insult or threat."""
+    def sentences(self, text: str) -> Iterator[str]:
+        """Sentences of a lower-cased text that hold the start of an insult or threat."""
         done = 0
         for last, size in self.finder.iter(text):
             start = last - size + 1
             if start < done or text[start - 1:start].isalpha():
                 continue
-            begin = max((m.end() for m in _CLAUSE_END.finditer(text, done, start)), default=done)
-            stop = _CLAUSE_END.search(text, last + 1)
+            begin = max((m.end() for m in _SENTENCE_END.finditer(text, done, start)), default=done)
+            stop = _SENTENCE_END.search(text, last + 1)
             done = stop.end() if stop else len(text)
             yield text[begin:done]
 
     def match(self, text: str | None) -> Counter:
         found: Counter = Counter()
-        for clause in self.clauses((text or "").lower()):
-            found.update(self.machine.run([self.tag(w) for w in _WORDS.findall(clause)]))
+        for sentence in self.sentences((text or "").lower()):
+            tags = [self.tag(w) for w in _TOKENS.findall(sentence)]
+            found.update(self.machine.run(self.speech.run(tags[::-1])[::-1]))
         return found
 
     def features(self, text: str | None) -> list[int]:
@@ -242,8 +282,11 @@ def _near_copy_mark(words: list[str]) -> int:
 
 
 def learn_insults(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                  label_col: str = "toxic") -> Insults:
-    """Insults of the plain list and of a bounded sample of the labelled rows of ``docs``."""
+                  label_col: str = "toxic", most: int | None = None) -> Insults:
+    """Insults of the plain list and of a bounded sample of the labelled rows of ``docs``.
+
+    ``most`` keeps only so many patterns, the most telling first.
+    """
     spark = docs.sparkSession
     ship_package(spark)
     truth = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).groupBy(id_col).agg(
@@ -264,8 +307,9 @@ def learn_insults(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
                 [batch.column(0), pa.array([_near_copy_mark(ws) for ws in words], pa.int64()),
                  pa.array(sets, pa.list_(pa.string()))], ["label", "mark", "patterns"])
 
-    sample = rows.mapInArrow(marked, "label int, mark long, patterns array<string>").groupBy("mark").agg(
-        F.max(F.struct("label", "patterns")).alias("one")).select("one.*")
+    # stored: the sizes, the number of patterns and the patterns are all read from it
+    sample = durable(rows.mapInArrow(marked, "label int, mark long, patterns array<string>").groupBy("mark").agg(
+        F.max(F.struct("label", "patterns")).alias("one")).select("one.*"))
     sizes = {r["label"]: r["n"] for r in sample.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
     toxic, clean = sizes.get(1, 0), sizes.get(0, 0)
     if not toxic or not clean:
@@ -280,7 +324,9 @@ def learn_insults(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
     tried = counts.agg(F.count(F.lit(1))).first()[0]
     # chance alone gives about one pattern in e of the whole search
     found = counts.where((t / toxic > 10 * c / clean) & (F.col("surprise") > math.log(max(tried, 1)) + 1))
-    learned = [r["pattern"] for r in found.orderBy(F.col("surprise").desc(), "pattern").limit(MOST_LEARNED).collect()]
+    if most is not None:
+        found = found.orderBy(F.col("surprise").desc(), "pattern").limit(most)
+    learned = [r["pattern"] for r in found.collect()]
     return Insults(LEXICON["insult"] | {p[:-1] for p in learned if p.endswith("$")},
                    frozenset(p for p in learned if not p.endswith("$")))
 

@@ -4,6 +4,7 @@ import itertools
 import random
 import zlib
 
+import numpy as np
 import pytest
 
 from tallyfold.llm import queries, toxicity
@@ -21,7 +22,17 @@ SF = SF_SMALL.replace("sf0.001", "sf0.01")
     ("he said you are an idiot", ["insult+aimed+reported"]), ("we kill time", []), ("I will kill you", ["threat+aimed"]),
     ("I will not kill them", ["threat+negated+aimed"]), ("she wrote that they kill you", ["threat+aimed+reported"]),
     ("idiotically", []), ("xidiot", []), ("idiot, moron; you clown", ["insult", "insult", "insult+aimed"]),
-    ("you went home after a long day to find an idiot", ["insult"])])
+    ("you went home after a long day to find an idiot", ["insult"]),
+    # punctuated speech
+    ('He said: "you are an idiot"', ["insult+aimed+reported"]), ("she said, you idiot", ["insult+aimed+reported"]),
+    ('"you idiot", he said', ["insult+aimed+reported"]), ('“You idiot!” she told us.', ["insult+aimed+reported"]),
+    ('"hello", he said. You idiot', ["insult+aimed"]), ('He said so. "You idiot"', ["insult+aimed"]),
+    ('"fine words" are not what a good man ever said; you idiot', ["insult+aimed+reported"]),
+    ('"you idiot" is a thing which nobody ever said', ["insult+aimed"]),
+    ("you, idiot", ["insult+aimed"]), ("you went home, idiot", ["insult"]),
+    ("you are not, in my view, an idiot", ["insult+negated"]), ("not here, an idiot", ["insult"]),
+    ("No, you idiot", ["insult+aimed"]), ("no, that is wrong, you idiot", ["insult+aimed"]),
+    ('you are not "an idiot"', ["insult+negated+aimed"])])
 def test_patterns(text, patterns):
     matcher = toxicity.Matcher()
     assert sorted(matcher.match(text).elements()) == sorted(patterns)
@@ -74,6 +85,29 @@ def test_held_out_results(spark):
     assert better > 0.8 and sum(s >= 0.5 for s in clean) <= 0.02 * len(clean)
 
 
+def test_query_equals_a_plain_reading_of_every_document(spark):
+    got = {r.doc_id: r for r in queries.op10_toxicity(spark, SF_SMALL).collect()}
+    docs, labels = table(spark, SF_SMALL, "documents"), table(spark, SF_SMALL, "labels")
+    train = docs.where("crc32(cast(cast(doc_id as string) as binary)) % 5 != 0")
+    insults = toxicity.learn_insults(train, labels)
+    matcher = toxicity.Matcher(insults)
+    found = {r.doc_id: matcher.features(r.text) for r in docs.collect()}
+    truth = {}
+    for r in labels.collect():
+        if r.toxic is not None and zlib.crc32(str(r.doc_id).encode()) % 5:
+            truth[r.doc_id] = max(truth.get(r.doc_id, 0), int(r.toxic))
+    x = np.array([[1, *found[i]] for i in truth if i in found], float)
+    y = np.array([truth[i] for i in truth if i in found], float)
+    start = toxicity.prior_weights()
+    weights = start.copy()
+    for _ in range(5000):  # plain gradient steps to the same optimum
+        p = 1 / (1 + np.exp(-x @ weights))
+        weights += 2 / len(y) * (x.T @ (y - p) - toxicity.PENALTY * (weights - start))
+    for i, features in found.items():
+        want = 1 / (1 + np.exp(-(weights[0] + np.dot(weights[1:], features))))
+        assert got[i].score == pytest.approx(want, abs=0.02)
+
+
 def test_edge_rows(spark):
     rows = [(1, None, "x"), (2, "", "x"), (None, "you idiot", "x"), (3, "you idiot", "x"), (3, "you idiot", "x")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, score string")
