@@ -53,6 +53,14 @@ def numbered(docs: DataFrame, name: str) -> DataFrame:
     return durable(docs.withColumn(name, F.monotonically_increasing_id()))
 
 
+def unused(name: str, columns: list[str]) -> str:
+    """``name``, lengthened until no column has it (names differ in more than case)."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def fold_of(id_col: str, folds: int) -> Column:
     """crc32 of the id as text, modulo ``folds`` (a null id counts as empty text)."""
     return F.pmod(F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")),

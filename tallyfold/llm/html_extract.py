@@ -44,6 +44,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyfold.llm.common import unused
 from tallyfold.session import ship_package
 
 #: a path outside the main container needs this share of the best score
@@ -404,7 +405,7 @@ def extract(pages: DataFrame, columns: list[str], html_col: str = "html") -> Dat
     ship_package(pages.sparkSession)
     kept = pages.select(*columns)
     names = kept.columns
-    rows = pages.select(*columns, F.col(html_col).alias("__html"))
+    rows = pages.select(*columns, F.col(html_col).alias(unused("__html", names)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -8,10 +8,12 @@ bigram shard knows about a context (count, numbers of followers seen once,
 twice, more often) and about a word (number of distinct predecessors) goes
 through a second such step.
 
-The model is a folder of sorted hash arrays, one file per shard and column.
-Workers map these files into memory and look up whole batches of sorted keys
-by binary search, so a model larger than a worker's memory costs page reads,
-not memory.  The folder must be mounted where executors run: it lies in the
+The model is a folder of sorted hash arrays, one file per table and shard with
+its columns one after the other.  Workers map these files into memory and look up
+whole batches of sorted keys by binary search, shard after shard, so a model
+larger than a worker's memory costs page reads, not memory.  A worker keeps
+``MAPPED`` files mapped at a time, however many there are.  Shards and batches
+of lookups grow with the input, so that files per batch stay in proportion.  The folder must be mounted where executors run: it lies in the
 shared folder of ``spark.checkpoint.dir``.
 
 A text is lower-cased (A-Z), cut into words ``[^\\x20\\x09-\\x0D]+`` and closed
@@ -46,12 +48,16 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyfold.llm.common import word_runs
-from tallyfold.session import checkpoint_dir, ship_package
+from tallyfold.llm.common import unused, word_runs
+from tallyfold.session import checkpoint_dir, scratch_run, ship_package
 
 FLUSH_TOKENS = 2_000_000   # counted together in a task
-SHARD_BYTES = 4 << 20      # text for each shard
-SCORE_TOKENS = 500_000     # looked up together
+SHARD_BYTES = 4 << 20      # text for each shard, up to MANY_SHARDS; then it grows with the root of the text
+MANY_SHARDS, LARGEST_SHARD = 1024, 32 << 20
+LEAST_SHARD_BITS = 6
+SCORE_TOKENS = 500_000     # looked up together, or so many for each shard
+SCORE_TOKENS_PER_SHARD, MOST_SCORE_TOKENS = 256, 2_000_000
+MAPPED = 64                # files that a worker keeps mapped
 _WORD_BITS = 40
 _WORD = np.uint64((1 << _WORD_BITS) - 1)
 _START = xxhash.xxh64_intdigest(b" ")
@@ -128,16 +134,38 @@ def _count_tokens(docs: list[np.ndarray], shard_bits: int) -> Iterator[tuple[int
     yield from _parts(BIGRAM, key, 64, shard_bits, [before[at], short[at], n])
 
 
-def _write(folder: str, table: str, shard: int, columns: dict[str, np.ndarray]) -> None:
-    """Columns of one shard; a file appears whole or not at all, and a retry replaces it."""
-    for name, values in columns.items():
-        path = os.path.join(folder, f"{table}-{shard:08d}.{name}.npy")
-        draft = f"{path}.{uuid.uuid4().hex}"
-        if name != "key" and len(values):  # whole numbers in as few bytes as the shard needs
-            values = values.astype(np.min_scalar_type(int(values.max())))
-        with open(draft, "wb") as f:
-            np.save(f, values)
-        os.replace(draft, path)
+def _write(folder: str, table: str, shard: int, columns: list[np.ndarray]) -> None:
+    """One shard as a file: number of rows, bytes of a value in each column, the columns (each
+    from a multiple of eight bytes on).  A file appears whole or not at all, and a retry replaces it."""
+    # whole numbers in as few bytes as the shard needs, but for the key
+    narrow = [c if i == 0 or not len(c) else c.astype(np.min_scalar_type(int(c.max())))
+              for i, c in enumerate(columns)]
+    path = os.path.join(folder, f"{table}-{shard:08d}")
+    draft = f"{path}.{uuid.uuid4().hex}"
+    with open(draft, "wb") as f:
+        f.write(np.array([len(columns[0]), *(c.itemsize for c in narrow)], "<u8").tobytes())
+        for column in narrow:
+            f.write(column.tobytes())
+            f.write(bytes(-column.nbytes % 8))
+    os.replace(draft, path)
+
+
+def _read(path: str, columns: int) -> list[np.ndarray]:
+    """The mapped columns of a file."""
+    data = np.memmap(path, np.uint8, "r")
+    at = 8 * (1 + columns)
+    rows, *sizes = data[:at].view("<u8").tolist()
+    found = []
+    for size in sizes:
+        found.append(data[at:at + rows * size].view(f"<u{size}"))
+        at += -(-rows * size // 8) * 8
+    return found
+
+
+def shard_bits_for(size: int) -> int:
+    """Bits of the shard number for so many bytes of text."""
+    grown = SHARD_BYTES * max(1.0, size / (MANY_SHARDS * SHARD_BYTES)) ** 0.5
+    return max(LEAST_SHARD_BITS, int(size / min(grown, LARGEST_SHARD)).bit_length())
 
 
 def _of_counts(n: np.ndarray) -> list[int]:
@@ -186,11 +214,17 @@ class Model:
         return found
 
     def _arrays(self, table: str, shard: int, names: list[str]) -> list[np.ndarray] | None:
-        if (table, shard) not in self._open:
-            paths = [os.path.join(self.folder, f"{table}-{shard:08d}.{n}.npy") for n in names]
-            self._open[table, shard] = [np.load(p, mmap_mode="r") for p in paths] if os.path.exists(
-                paths[0]) else None
-        return self._open[table, shard]
+        """A shard's columns; those used longest ago are unmapped."""
+        arrays = self._open.pop((table, shard), None)
+        if arrays is None:
+            path = os.path.join(self.folder, f"{table}-{shard:08d}")
+            if not os.path.exists(path):
+                return None
+            arrays = _read(path, len(names))
+            if len(self._open) >= MAPPED:
+                del self._open[next(iter(self._open))]
+        self._open[table, shard] = arrays
+        return arrays
 
     def score(self, docs: list[np.ndarray]) -> list[np.ndarray]:
         """n_tokens, n_known, base score and score of each document."""
@@ -242,7 +276,7 @@ def train(docs: DataFrame, folder: str | None = None, text_col: str = "text") ->
     os.makedirs(folder, exist_ok=True)
     rows = docs.select(F.col(text_col).alias("text"))
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    shard_bits = max(6, (size // SHARD_BYTES).bit_length())
+    shard_bits = shard_bits_for(size)
     schema = "kind int, shard long, payload binary"
 
     def arrow(parts: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
@@ -270,12 +304,12 @@ def train(docs: DataFrame, folder: str | None = None, text_col: str = "text") ->
         stats = [0] * 6
         if kind == WORD:
             key, _, n = _summed(columns[0], columns[1])
-            _write(folder, "word", shard, {"key": key, "n": n})
+            _write(folder, "word", shard, [key, n])
             stats[4:] = int(n.sum()), len(key)
         elif kind == BIGRAM:
             before, word, parts = columns
             key, at, n = _summed(bigram_key(before, word), parts)
-            _write(folder, "bigram", shard, {"key": key, "n": n})
+            _write(folder, "bigram", shard, [key, n])
             before, word = before[at], word[at]
             key, _, *sums = _summed(before, n, *((n == k).astype(np.uint64) for k in (1, 2)),
                                     (n > 2).astype(np.uint64))
@@ -285,10 +319,10 @@ def train(docs: DataFrame, folder: str | None = None, text_col: str = "text") ->
             stats[:4] = _of_counts(n)
         elif kind == CONTEXT:
             key, _, *sums = _summed(columns[0], *columns[1:])
-            _write(folder, "context", shard, dict(zip(["key", "n", "n1", "n2", "n3"], [key, *sums])))
+            _write(folder, "context", shard, [key, *sums])
         else:
             key, _, n = _summed(*columns)
-            _write(folder, "before", shard, {"key": key, "n": n})
+            _write(folder, "before", shard, [key, n])
             stats[:] = *_of_counts(n), int(n.sum()), int((n > 2).sum())
         # the numbers that hold for the whole model travel as a part of shard -1
         made.append((kind, -1, np.array(stats, "<i8").tobytes()))
@@ -313,11 +347,10 @@ def train(docs: DataFrame, folder: str | None = None, text_col: str = "text") ->
         out.write.parquet(target := f"{stage}/{uuid.uuid4().hex}")
         return spark.read.schema(schema).parquet(target)
 
-    stage = f"{checkpoint_dir(spark).rstrip('/')}/lm-parts-{uuid.uuid4().hex}"
-    first = reduced(rows.mapInArrow(count, schema))
-    second = reduced(first.where("shard >= 0"))
-    word, bigram, before = totals(first, WORD), totals(first, BIGRAM), totals(second, BEFORE)
-    shutil.rmtree(urlparse(stage).path, ignore_errors=True)
+    with scratch_run(spark) as stage:
+        first = reduced(rows.mapInArrow(count, schema))
+        second = reduced(first.where("shard >= 0"))
+        word, bigram, before = totals(first, WORD), totals(first, BIGRAM), totals(second, BEFORE)
     d = _discounts(before[:4].tolist())
     taken = d[1] * before[0] + d[2] * before[1] + d[3] * before[5]
     return Model(folder, shard_bits, int(word[4]), int(word[5]), max(int(before[4]), 1),
@@ -329,7 +362,8 @@ def score(docs: DataFrame, model: Model, columns: list[str | Column], text_col:
     ship_package(docs.sparkSession)
     kept = docs.select(*columns)
     names = kept.columns
-    rows = docs.select(*columns, F.col(text_col).alias("__text"))
+    rows = docs.select(*columns, F.col(text_col).alias(unused("__text", names)))
+    together = max(SCORE_TOKENS, min(MOST_SCORE_TOKENS, SCORE_TOKENS_PER_SHARD << model.shard_bits))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -337,7 +371,7 @@ def score(docs: DataFrame, model: Model, columns: list[str | Column], text_col:
             for i, text in enumerate(batch.column(len(names)), 1):
                 held.append(token_hashes(text.as_py()))
                 n += len(held[-1])
-                if n >= SCORE_TOKENS or i == batch.num_rows:
+                if n >= together or i == batch.num_rows:
                     sizes, known, base, found = model.score(held)
                     yield pa.RecordBatch.from_arrays(
                         [*(c.slice(start, i - start) for c in batch.columns[:len(names)]),

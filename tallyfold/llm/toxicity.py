@@ -55,7 +55,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyfold.llm.common import durable
+from tallyfold.llm.common import durable, unused
 from tallyfold.session import ship_package
 
 REACH = 4   # words over which a negation or a target works
@@ -337,7 +337,7 @@ def matches(docs: DataFrame, columns: list[str | Column], insults: Insults = Ins
     ship_package(docs.sparkSession)
     kept = docs.select(*columns)
     names = kept.columns
-    rows = docs.select(*columns, F.col(text_col).alias("__text"))
+    rows = docs.select(*columns, F.col(text_col).alias(unused("__text", names)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         matcher = Matcher(insults)

@@ -64,6 +64,9 @@ def test_frames(spark):
     got = sorted((str(r.page_id), r.text) for r in html_extract.extract(pages, ["page_id"]).collect())
     assert got == [("1", ""), ("1", "x"), ("1", "x"), ("None", "x")]
     assert html_extract.extract(pages.limit(0), ["page_id"]).collect() == []
+    clash = pages.withColumnRenamed("text", "__html")
+    assert html_extract.extract(clash, ["page_id", "__html"]).columns == ["page_id", "__html", "text"]
+    assert html_extract.extract(clash, ["page_id", "__html"]).count() == 4
 
 
 STORY = f"<h1>Title</h1><p>{PARAGRAPH} {PARAGRAPH}</p><p>{PARAGRAPH}</p><p>{PARAGRAPH} {PARAGRAPH}</p>"

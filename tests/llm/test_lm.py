@@ -1,6 +1,8 @@
 """The language model against interpolated modified Kneser-Ney over dictionaries."""
 
 import math
+import os
+import resource
 import zlib
 from collections import Counter
 
@@ -116,9 +118,45 @@ def test_small_flushes_give_the_same_model(spark, tmp_path, monkeypatch):
     docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
     monkeypatch.setattr(lm, "FLUSH_TOKENS", 9)
     monkeypatch.setattr(lm, "SCORE_TOKENS", 11)
+    monkeypatch.setattr(lm, "SCORE_TOKENS_PER_SHARD", 0)
     check(docs, lm.train(docs, str(tmp_path / "model")), Brute(texts))
 
 
+def test_many_shards_need_few_open_files(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(lm, "LEAST_SHARD_BITS", 12)
+    texts = [" ".join(f"w{(i * 31 + j * j) % 4000}" for j in range(400)) for i in range(60)]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    model = lm.train(docs, str(tmp_path / "model"))
+    shards = {name for name in os.listdir(model.folder) if name.startswith("bigram-")}
+    assert model.shard_bits == 12 and len(shards) > 3500
+    assert not any("." in name for name in os.listdir(model.folder))
+    brute, before = Brute(texts), resource.getrlimit(resource.RLIMIT_NOFILE)
+    resource.setrlimit(resource.RLIMIT_NOFILE, (256, before[1]))
+    try:
+        for text in [*texts[:3], "w1 unseen w2"]:
+            found = [float(x[0]) for x in model.score([lm.token_hashes(text)])]
+            want = brute.score(text)
+            assert found == pytest.approx([want[0], want[1], want[3], want[4]], rel=1e-7)
+        everything = model.score([lm.token_hashes(t) for t in texts])
+        assert len(everything[0]) == 60 and len(model._open) <= lm.MAPPED
+    finally:
+        resource.setrlimit(resource.RLIMIT_NOFILE, before)
+
+
+def test_shards_grow_with_the_text():
+    gib = 1 << 30
+    assert [lm.shard_bits_for(n) for n in (0, 100 << 20, 4 * gib, 30 * gib)] == [6, 6, 11, 12]
+    assert 100_000 * gib / 2 ** lm.shard_bits_for(100_000 * gib) <= lm.LARGEST_SHARD
+
+
+def test_long_texts_null_ids_and_clashing_names(spark, tmp_path):
+    texts = ["a b " * 30_000, "c", None]
+    docs = spark.createDataFrame([(None, t, 1, 2) for t in texts], "doc_id long, text string, shard int, `__text` int")
+    model = lm.train(docs, str(tmp_path / "model"))
+    assert len(check(docs, model, Brute(texts))) == 3
+    assert lm.score(docs, model, ["shard", "__text"]).columns[:2] == ["shard", "__text"]
+
+
 def test_query(spark):
     docs = {r.doc_id: r.text for r in table(spark, SF_SMALL, "documents").select("doc_id", "text").collect()}
     held = {i: zlib.crc32(str(i).encode()) % 5 == 1 for i in docs}

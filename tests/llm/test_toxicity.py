@@ -119,3 +119,5 @@ def test_edge_rows(spark):
     assert all(r.predicted == 1 for r in found if r.doc_id == 3)
     assert (toxicity.fit(matched, labels.limit(0)) == toxicity.prior_weights()).all()
     assert toxicity.scored(matched.limit(0), weights).collect() == []
+    clash = docs.withColumnRenamed("score", "__text")
+    assert {r["__text"] for r in toxicity.matches(clash, ["doc_id", "__text"]).collect()} == {"x"}
