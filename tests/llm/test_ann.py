@@ -49,6 +49,38 @@ def test_tree_yields_every_point_in_bounds():
     assert seen == set(range(500))
 
 
+def test_points_come_in_order_of_projected_distance():
+    points = np.random.default_rng(5).standard_normal((1000, 6))
+    tree, query = ann.KdTree(points), np.zeros(6)
+    apart = (points ** 2).sum(axis=1)
+    seen = np.concatenate([places for places, _ in tree.nearest(query)])
+    assert len(seen) == 1000 and (np.diff(apart[seen]) >= 0).all()
+
+
+def test_the_stopping_test_saves_most_of_the_work(spark):
+    rows = table(spark, SF_SMALL.replace("sf0.001", "sf0.1"), "embeddings").select("vec_id", "embedding").collect()
+    ids, vectors = np.array([r.vec_id for r in rows]), np.array([r.embedding for r in rows], float)
+    block = ann.Block(ids, vectors, ann.PROJECTIONS, ann.CONFIDENCE)
+    hits, asked = 0, ids[ids % 100 == 0]
+    for q in asked:
+        query = vectors[ids == q][0]
+        near = np.argsort(((vectors - query) ** 2).sum(axis=1))[:11]
+        hits += len({i for _, i in block.search(int(q), query, 10)} & set(ids[near].tolist()))
+    assert hits / (10 * len(asked)) >= 0.9
+    assert block.verified < 0.6 * len(ids) * len(asked)
+
+
+def test_one_id_with_many_vectors_and_clashing_names(spark):
+    rng = np.random.default_rng(6)
+    points = [(100, rng.standard_normal(4).tolist()) for _ in range(50)] + [
+        (i, rng.standard_normal(4).tolist()) for i in range(1, 60)]
+    frame = spark.createDataFrame([(*p, 1, 2, 3) for p in points],
+                                  "vec_id long, embedding array<double>, b int, vector int, dim int")
+    got = ann.nearest(frame, every=100).collect()
+    assert {r.query_id for r in got} == {100} and all(r.vec_id != 100 for r in got)
+    assert sorted(r["rank"] for r in got) == list(range(1, 11))
+
+
 def test_clusters_over_several_blocks(spark, monkeypatch):
     monkeypatch.setattr(ann, "ROWS_PER_BLOCK", 300)
     monkeypatch.setattr(ann, "QUERIES_PER_BLOCK", 5)
