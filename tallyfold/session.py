@@ -79,6 +79,12 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
+def remove_path(spark: SparkSession, folder: str) -> None:
+    """Delete a written table or folder from whatever store it lies in."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 _RUN: ContextVar[str | None] = ContextVar("tallyfold_scratch_run", default=None)
 
 
@@ -100,8 +106,7 @@ def scratch_run(spark: SparkSession) -> Iterator[str]:
         yield folder
     finally:
         _RUN.reset(token)
-        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        remove_path(spark, folder)
 
 
 _SHIPPED: set[str] = set()
