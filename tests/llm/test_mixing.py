@@ -1,7 +1,9 @@
 """The mix against its definition: windows, deviation, completeness."""
 
+import time
 from collections import Counter
 
+import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -106,3 +108,60 @@ def test_mix_to_true_weights_in_stretches(spark):
     got = mixing.mix(docs, block_rows=1, resolution=25).collect()
     check_mix(got, weights, sizes, 1)
     assert mixing.mix(docs).schema == mixing.mix(docs, resolution=25).schema
+
+
+def walked(shares, blocks, length):
+    """The states of the schedule by going through all its slots."""
+    done, left, slot = [0] * len(shares), len(shares), 0
+    found, source = [], mixing.dealt(shares, done, 0)
+    while left:
+        begin, before = slot, done.copy()
+        while left and slot < begin + length:
+            k = next(source)
+            left -= done[k] == blocks[k]
+            slot += 1
+        found.append((begin, slot - begin, before))
+    return found
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.tuples(st.integers(1, 5000), st.integers(1, 40)), min_size=1, max_size=15),
+       st.integers(1, 70), st.sampled_from([1, 0.7, 0.31]))
+def test_states_are_those_of_the_walk(sources, length, power):
+    shares = list(mixing.exact_shares({i: s ** power for i, (s, _) in enumerate(sources)}).values())
+    blocks = [b for _, b in sources]
+    assert list(mixing.stretches(shares, blocks, length)) == walked(shares, blocks, length)
+
+
+def test_a_hundred_million_slots_take_seconds_and_stay_within_one_block():
+    sizes = {f"s{i}": 3 + 41 * i * i for i in range(99)} | {"one": 1}
+    weights = {s: float(n) ** mixing.TEMPERATURE for s, n in sizes.items()}
+    shares, total = list(mixing.exact_shares(weights).values()), sum(weights.values())
+    true = np.array(list(weights.values())) / total
+    done, length, began = np.zeros(len(shares), np.int64), 1_000_000, time.monotonic()
+    for start in range(0, 100 * length, length):
+        done = mixing.state_after(shares, done, start, start + length)
+        assert done.sum() == start + length
+        assert np.abs(done - (start + length) * true).max() < 1.0001  # doubles, for the test's own arithmetic
+    assert time.monotonic() - began < 60  # the walk takes minutes
+
+
+def test_null_and_repeated_ids_and_clashing_names(spark):
+    data = [(None if i % 3 else 7, f"s{i % 2}", f"t{i}", i, i, i, {"a": i}) for i in range(300)] + [
+        (None, "s0", None, None, None, None, None)] * 20
+    docs = spark.createDataFrame(
+        data, "doc_id long, source string, `a.b` string, row long, __n long, bucket long, m map<string,long>")
+    got = mixing.mix(docs, {"s0": 1, "s1": 3}, block_rows=4)
+    assert got.columns == [*docs.columns, *mixing.ADDED]
+    rows = got.collect()
+    check_mix(rows, {"s0": 1, "s1": 3}, Counter(s for _, s, *_ in data), 4)
+    first = Counter((r.doc_id, r["a.b"], r.row, r.bucket) for r in rows if r.mix_epoch == 0 and r.source == "s0")
+    assert first == Counter((d, t, n, n) for d, s, t, n, *_ in data if s == "s0")
+
+
+def test_a_small_source_that_is_read_very_often(spark):
+    docs = spark.createDataFrame([(i, "large") for i in range(3000)] + [(-i, "small") for i in (1, 2, 3)],
+                                 "doc_id long, source string")
+    rows = mixing.mix(docs, {"large": 1, "small": 2}, block_rows=2).collect()
+    assert max(r.mix_epoch for r in rows) > 4 * mixing.PART
+    check_mix(rows, {"large": 1, "small": 2}, {"large": 3000, "small": 3}, 2)
