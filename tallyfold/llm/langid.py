@@ -11,8 +11,9 @@ since short and monotonous texts are far from every centroid: it is a share of a
 low quantile of the cosines that the centroid's sample rows of that size have.
 
 Document frequencies are counted over all training rows.  Only the clustering
-uses a sample: about ``SAMPLE`` rows of each language, drawn by a hash of the
-row number, so its size doesn't grow with the corpus.
+uses a sample: ``SAMPLE`` different texts of each language (all, if there are
+fewer), those of the smallest hashes.  Its size doesn't grow with the corpus, copies of a text
+count once, and the model is the same however the rows are stored and split.
 
 Defined results: ``und`` with score 0 for a null text or one without a letter
 (and for all texts where nothing could be learned); ties go to the language
@@ -32,11 +33,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyfold.llm.common import unused
 from tallyfold.session import ship_package
 
 DIMS = 4096
 CENTROIDS = 4
-SAMPLE = 400  # rows of each language that the clustering sees
+SAMPLE = 400  # different texts of each language that the clustering sees
 ROUNDS = 10
 MAX_LANGUAGES = 1000  # more than this is refused, never cut
 #: a text is rejected below this share of the cosine that all but ``LOW`` of the
@@ -199,7 +201,9 @@ def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang",
     ship_package(spark)
     rows = docs.select(F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang")).where(
         F.col("lang").isNotNull())
-    sizes = rows.groupBy("lang").count().limit(MAX_LANGUAGES + 1).collect()
+    hashed = F.xxhash64("text")
+    sizes = rows.groupBy("lang").agg(F.approx_count_distinct(hashed).alias("texts")).limit(
+        MAX_LANGUAGES + 1).collect()
     if len(sizes) > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} languages")
     frequency, total = _document_frequencies(rows)
@@ -229,9 +233,11 @@ def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang",
             "least": [_limits(own[labels == i], features[labels == i], usual).tolist() for i in used]})
 
     shares = spark.createDataFrame(
-        [(r["lang"], min(1.0, 1.2 * sample / r["count"])) for r in sizes], "lang string, share double")
-    draw = (F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(1 << 30)) / (1 << 30)).alias("draw")
+        [(r["lang"], min(1.0, (1.2 * sample + 20) / max(1, r["texts"]))) for r in sizes], "lang string, share double")
+    draw = (F.pmod(hashed, F.lit(1 << 52)) / (1 << 52)).alias("draw")
     drawn = rows.select("lang", "text", draw).join(F.broadcast(shares), "lang").where("draw < share")
+    # copies meet before the shuffle
+    drawn = drawn.groupBy("lang", "draw").agg(F.min("text").alias("text"))
     found = drawn.select("lang", "text", "draw").mapInArrow(
         vectors, "lang string, draw double, vector array<float>").groupBy("lang").applyInPandas(
         cluster, "lang string, centre array<double>, least array<double>")
@@ -248,7 +254,7 @@ def predict(docs: DataFrame, model: Model, columns: list[str], text_col: str = "
     """
     ship_package(docs.sparkSession)
     added = [f"{prefix}{n}" for n in ("lang_pred", "score", "rejected")]
-    rows = docs.select(*columns, F.col(text_col).alias("__text"))
+    rows = docs.select(*columns, F.col(text_col).alias(unused("__text", columns)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

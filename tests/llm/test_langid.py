@@ -4,6 +4,7 @@ import base64
 import random
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from tallyfold.llm import langid, queries
 from tallyfold.llm.common import table
@@ -104,3 +105,15 @@ def test_odd_rows_get_no_centre_and_set_no_limit():
     limits = langid._limits(own, np.full(len(own), 50))
     assert limits[langid._size(50)] > 0.9 * langid.REJECT_SHARE * np.median(own)
     assert (np.diff(limits) >= 0).all()
+
+
+def test_the_model_is_the_same_however_the_rows_are_split(spark):
+    docs = table(spark, SF, "documents").select("doc_id", "text", "lang")
+    copies = docs.where("lang = 'en'").limit(1).select(F.explode(F.sequence(F.lit(1), F.lit(3000))).alias("n"), "*")
+    copies = copies.drop("n").checkpoint()
+    docs = docs.unionByName(copies)  # a hot group of copies counts as one text of the sample
+    one, many = langid.fit(docs.coalesce(1)), langid.fit(docs.repartition(7))
+    assert one.languages == many.languages and (one.centroids == many.centroids).all()
+    assert (one.limits == many.limits).all() and (one.idf == many.idf).all()
+    clean = table(spark, SF, "documents").select("text").limit(300).collect()
+    assert not any(one.predict(r.text)[2] for r in clean)
