@@ -5,8 +5,8 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.errors import PySparkException
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallyfold.session import checkpoint_dir
@@ -31,26 +31,37 @@ def durable(df: DataFrame) -> DataFrame:
 def numbered(docs: DataFrame, name: str) -> DataFrame:
     """``docs`` and a number of each row, the same however often it is read.
 
-    The rows of a Parquet table that is read as it is are numbered by the order
-    of its files' paths and their place in the file, so that nothing depends on
-    how Spark splits the files.  Anything else is stored once with its numbers.
+    The rows of a Parquet table are numbered by the order of its files' paths and
+    their place in the file, so that nothing depends on how Spark splits the
+    files.  Where the rows aren't each row of their files once (rows were
+    filtered or multiplied, or come from elsewhere), they are stored once with
+    their numbers.  A column called ``name`` is replaced.
+
+    Files are counted by a scan without columns and meet their rows by a 64-bit
+    hash of the path: 16 bytes for each file, no value goes through the driver.
     """
-    if docs._jdf.queryExecution().analyzed().getClass().getSimpleName() == "LogicalRelation":
-        try:
-            meta = docs.metadataColumn("_metadata")
-            rows = docs.withColumns({"__file": meta["file_path"], name: meta["row_index"]})
-            counts = rows.groupBy("__file").agg(F.count(F.lit(1)).alias("n")).orderBy("__file").collect()
-        except AnalysisException:  # a format without row places
-            pass
-        else:
-            starts, total = [], 0  # one row for each file
-            for r in counts:
-                starts.append((r["__file"], total))
-                total += r["n"]
-            files = docs.sparkSession.createDataFrame(starts, "__file string, __start long")
-            return rows.join(F.broadcast(files), "__file").select(
-                *docs.columns, (F.col("__start") + F.col(name)).alias(name))
-    return durable(docs.withColumn(name, F.monotonically_increasing_id()))
+    docs = docs.drop(name)
+    file, start, row = (unused(n, [*docs.columns, name]) for n in ("__file", "__start", "__row"))
+    try:
+        meta = docs.metadataColumn("_metadata")
+        rows = docs.withColumns({file: F.xxhash64(meta["file_path"]), row: meta["row_index"]})
+        places = docs.select(meta["file_path"].alias("path"), meta["row_index"].cast("decimal(38,0)").alias("row"))
+        files = durable(places.groupBy("path").agg(
+            F.count(F.lit(1)).alias("n"), F.max("row").alias("last"), F.sum("row").alias("sum"),
+            F.sum(F.col("row") * F.col("row")).alias("squares")))
+    except PySparkException:  # no files, or a format without row places
+        return durable(docs.withColumn(name, F.monotonically_increasing_id()))
+    n = F.col("n").cast("decimal(18,0)")
+    whole = files.agg(
+        F.bool_and((F.col("last") == n - 1) & (F.col("sum") * 2 == n * (n - 1))
+                   & (F.col("squares") * 6 == (n - 1) * n * (n * 2 - 1))),
+        F.count(F.lit(1)) == F.count_distinct(F.xxhash64("path"))).first()
+    if not all(x in (True, None) for x in whole):
+        return durable(docs.withColumn(name, F.monotonically_increasing_id()))
+    before = Window.orderBy("path").rowsBetween(Window.unboundedPreceding, -1)  # a row for each file
+    starts = files.select(F.xxhash64("path").alias(file),
+                          F.coalesce(F.sum("n").over(before), F.lit(0)).alias(start))
+    return rows.join(starts, file).withColumn(name, F.col(start) + F.col(row)).drop(file, start, row)
 
 
 def unused(name: str, columns: list[str]) -> str:

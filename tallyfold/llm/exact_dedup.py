@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyfold.llm.common import durable, lower_ascii, numbered
+from tallyfold.llm.common import durable, lower_ascii, numbered, unused
 
 BLOCK_CHARS = 4096
 
@@ -94,7 +94,7 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns."""
-    rows = numbered(docs, "__rid")
-    dropped = exact_groups(rows, id_col, text_col, rid=F.col("__rid")).where(~F.col("kept")).select(
-        F.col("rid").alias("__rid"))
-    return rows.join(dropped, "__rid", "left_anti").select(*docs.columns)
+    rows = numbered(docs, rid := unused("__rid", docs.columns))
+    dropped = exact_groups(rows, id_col, text_col, rid=F.col(rid)).where(~F.col("kept")).select(
+        F.col("rid").alias(rid))
+    return rows.join(dropped, rid, "left_anti").drop(rid)

@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyfold.llm.common import durable, numbered, word_runs
+from tallyfold.llm.common import durable, numbered, unused, word_runs
 from tallyfold.session import ship_package
 
 SHINGLE_WORDS = 3
@@ -151,7 +151,7 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One document of each component, with all its columns."""
-    rows = numbered(docs, "__rid")
-    dropped = near_groups(rows, id_col, text_col, rid=F.col("__rid")).where(~F.col("kept")).select(
-        F.col("rid").alias("__rid"))
-    return rows.join(dropped, "__rid", "left_anti").select(*docs.columns)
+    rows = numbered(docs, rid := unused("__rid", docs.columns))
+    dropped = near_groups(rows, id_col, text_col, rid=F.col(rid)).where(~F.col("kept")).select(
+        F.col("rid").alias(rid))
+    return rows.join(dropped, rid, "left_anti").drop(rid)

@@ -7,6 +7,7 @@ from collections import defaultdict
 import duckdb
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 import pytest
 
 from tallyfold.llm import exact_dedup, queries, simhash
@@ -120,3 +121,25 @@ def test_row_numbers_follow_the_files(spark, tmp_path):
     got = numbered(spark.read.parquet(str(tmp_path / "t")), "n").collect()
     assert sorted((r.id, r.n) for r in got) == [(i, i) for i in range(50)]
     assert numbered(spark.read.parquet(str(tmp_path / "t")).limit(0), "n").columns == ["id", "n"]
+
+
+def test_rows_that_are_not_their_files_rows_once_are_numbered_apart(spark, tmp_path):
+    spark.range(50, numPartitions=5).write.parquet(str(tmp_path / "t"))
+    docs = spark.read.parquet(str(tmp_path / "t"))
+    twice = docs.withColumn("copy", F.explode(F.array(F.lit(1), F.lit(2))))
+    for df in (docs.where("id % 7 <> 3"), docs.unionByName(docs), twice, spark.range(30), docs.join(docs, "id")):
+        got = numbered(df, "n").collect()
+        assert len({r.n for r in got}) == len(got) == df.count()
+
+
+@pytest.mark.parametrize("drop", [exact_dedup.drop_exact_copies, simhash.drop_near_copies])
+def test_columns_of_any_names_come_through(spark, tmp_path, drop):
+    names = ["__file", "__start", "__row", "__rid", "__RID_", "_metadata", "rid", "a.b", "fp"]
+    columns = ", ".join(f"`{n}` string" for n in names)
+    data = [(i, f"text number {i % 4} of some", *(f"{n}{i}" for n in names)) for i in range(12)]
+    spark.createDataFrame(data, f"doc_id long, text string, {columns}").write.parquet(str(tmp_path / "t"))
+    docs = spark.read.parquet(str(tmp_path / "t"))
+    got = drop(docs)
+    assert got.columns == docs.columns
+    rows = got.collect()
+    assert len(rows) == 4 and all(tuple(r) == data[r.doc_id] for r in rows)

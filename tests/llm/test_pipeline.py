@@ -9,6 +9,7 @@ from tokenizers import Tokenizer
 
 from tallyfold.llm import langid, mixing, queries, simhash
 from tallyfold.llm.common import table
+from tallyfold.session import scratch_run
 
 from conftest import SF_SMALL
 
@@ -96,6 +97,26 @@ def test_the_result_has_the_place_in_the_mix(spark, tmp_path):
     assert [r.place for r in got] == list(range(len(want))) and [r.doc_id for r in got] == want
 
 
+def test_columns_of_any_names_come_through_all_stages_and_no_copy_stays(spark, tmp_path):
+    names = ["__file", "__start", "__rid", "__text", "__rejected", "place", "row", "mix_slot_"]
+    data = [(i, f"s{i % 2}", "en", f"the cat number {i} and the dog of the house", *(f"{n}{i}" for n in names))
+            for i in range(60)]
+    columns = ", ".join(f"{n} string" for n in names)
+    spark.createDataFrame(data, f"doc_id long, source string, lang string, text string, {columns}").write.parquet(
+        str(tmp_path / "documents.parquet"))
+    docs = spark.read.parquet(str(tmp_path / "documents.parquet"))
+    current = docs
+    for name, stage in corpus_pipeline.STAGES[:4]:
+        stage(spark, current, str(tmp_path)).write.parquet(str(tmp_path / name))
+        current = spark.read.parquet(str(tmp_path / name))
+        assert current.columns == docs.columns
+        assert current.count() and all(tuple(r) == data[r.doc_id] for r in current.collect()), name
+    with scratch_run(spark) as folder:
+        assert corpus_pipeline.run(spark, str(tmp_path)).collect()
+        assert [n.split("-")[:2] for n in os.listdir(folder)] == [["pipeline", "mixing"]]
+    assert not os.path.exists(folder)
+
+
 def test_nothing_else_imports_the_subpackage():
     top = os.path.dirname(os.path.abspath(corpus_pipeline.__file__))
     for folder, _, names in os.walk(os.path.join(top, "tallyfold")):
