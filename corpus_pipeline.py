@@ -7,23 +7,24 @@ learns from, and works on, all that its predecessor kept.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
 from tallyfold.llm import bpe, exact_dedup, langid, mixing, simhash
-from tallyfold.llm.common import numbered, table
+from tallyfold.llm.common import numbered, table, unused
 from tallyfold.llm.queries import VOCABULARY
-from tallyfold.session import checkpoint_dir
+from tallyfold.session import remove_path, scratch_path
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that language identification doesn't reject."""
-    found = langid.predict(docs, langid.fit(docs), docs.columns, prefix="__")
-    return found.where("not __rejected").select(*docs.columns)
+    # names that no column of docs begins with
+    prefix = unused("__", [c[:i] for c in docs.columns for i in range(len(c) + 1)])
+    found = langid.predict(docs, langid.fit(docs), docs.columns, prefix=prefix)
+    return found.where(f"not {prefix}rejected").drop(*(f"{prefix}{n}" for n in ("lang_pred", "score", "rejected")))
 
 
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -59,9 +60,15 @@ ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``, each stored before the next one reads it."""
-    docs, folder = table(spark, sf_dir, "documents"), checkpoint_dir(spark).rstrip("/")
+    """All stages over ``documents``, each stored before the next one reads it.
+
+    A stage's copy goes when the next stage is stored.  The last copy is read by
+    the result: it stays until the caller's ``session.scratch_run`` ends.
+    """
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
-        stage(spark, docs, sf_dir).write.parquet(path := f"{folder}/pipeline-{name}-{uuid.uuid4().hex}")
-        docs = spark.read.parquet(path)
+        stage(spark, docs, sf_dir).write.parquet(path := scratch_path(spark, f"pipeline-{name}"))
+        if before:
+            remove_path(spark, before)
+        docs, before = spark.read.parquet(path), path
     return STAGES[-1][1](spark, docs, sf_dir)
