@@ -12,6 +12,10 @@ from pyspark.sql import functions as F
 from tallyfold.session import checkpoint_dir
 
 
+#: so many rows of 16 bytes are broadcast at most (16 MB)
+BROADCAST_FILES = 1 << 20
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One whole table of a data folder."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -38,7 +42,8 @@ def numbered(docs: DataFrame, name: str) -> DataFrame:
     their numbers.  A column called ``name`` is replaced.
 
     Files are counted by a scan without columns and meet their rows by a 64-bit
-    hash of the path: 16 bytes for each file, no value goes through the driver.
+    hash of the path, 16 bytes for each file.  Up to ``BROADCAST_FILES`` files these
+    go to every worker, more than that meet the rows in a join that Spark plans.
     """
     docs = docs.drop(name)
     file, start, row = (unused(n, [*docs.columns, name]) for n in ("__file", "__start", "__row"))
@@ -55,12 +60,14 @@ def numbered(docs: DataFrame, name: str) -> DataFrame:
     whole = files.agg(
         F.bool_and((F.col("last") == n - 1) & (F.col("sum") * 2 == n * (n - 1))
                    & (F.col("squares") * 6 == (n - 1) * n * (n * 2 - 1))),
-        F.count(F.lit(1)) == F.count_distinct(F.xxhash64("path"))).first()
-    if not all(x in (True, None) for x in whole):
+        F.count(F.lit(1)), F.count_distinct(F.xxhash64("path"))).first()
+    if whole[0] is False or whole[1] != whole[2]:
         return durable(docs.withColumn(name, F.monotonically_increasing_id()))
     before = Window.orderBy("path").rowsBetween(Window.unboundedPreceding, -1)  # a row for each file
     starts = files.select(F.xxhash64("path").alias(file),
                           F.coalesce(F.sum("n").over(before), F.lit(0)).alias(start))
+    if whole[1] <= BROADCAST_FILES:
+        starts = F.broadcast(starts)
     return rows.join(starts, file).withColumn(name, F.col(start) + F.col(row)).drop(file, start, row)
 
 

@@ -10,7 +10,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 import pytest
 
-from tallyfold.llm import exact_dedup, queries, simhash
+from tallyfold.llm import common, exact_dedup, queries, simhash
 from tallyfold.llm.common import numbered
 
 from conftest import SF_SMALL, rows
@@ -116,7 +116,9 @@ def test_rows_to_drop_hold_however_the_files_are_split(spark, tmp_path, drop, pl
     assert left.columns == docs.columns and sorted(kept) == sorted(set(texts))
 
 
-def test_row_numbers_follow_the_files(spark, tmp_path):
+@pytest.mark.parametrize("most", [common.BROADCAST_FILES, 2])
+def test_row_numbers_follow_the_files(spark, tmp_path, monkeypatch, most):
+    monkeypatch.setattr(common, "BROADCAST_FILES", most)
     spark.range(50, numPartitions=5).write.parquet(str(tmp_path / "t"))
     got = numbered(spark.read.parquet(str(tmp_path / "t")), "n").collect()
     assert sorted((r.id, r.n) for r in got) == [(i, i) for i in range(50)]
